@@ -7,6 +7,8 @@ plain projections, so they run inside whole-stage codegen, batch or stream.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +29,8 @@ def _key(text: Column) -> Column:
     return F.nullif(text, F.lit("")).cast("binary")
 
 
-def encode_readings(readings: DataFrame, producer_time: Column | None = None) -> DataFrame:
+def encode_readings(readings: DataFrame, producer_time: Column | None = None,
+                    keep: Sequence[str] = ()) -> DataFrame:
     """Typed readings -> records keyed by device (C-10..C-13, F-14)."""
     produced = producer_time if producer_time is not None else F.current_timestamp()
     iso = to_iso(F.col("event_timestamp"))
@@ -46,10 +49,12 @@ def encode_readings(readings: DataFrame, producer_time: Column | None = None) ->
         F.to_json(payload).cast("binary").alias("value"),
         F.lit(READINGS_TOPIC).alias("topic"),
         F.col("event_timestamp").alias("timestamp"),
+        *keep,
     )
 
 
-def encode_window_events(events: DataFrame, producer_time: Column | None = None) -> DataFrame:
+def encode_window_events(events: DataFrame, producer_time: Column | None = None,
+                         keep: Sequence[str] = ()) -> DataFrame:
     """Typed window events -> records keyed ``<code>_<event_type>``.
 
     The payload carries the event time as ``timestamp`` (as producers do).
@@ -68,6 +73,7 @@ def encode_window_events(events: DataFrame, producer_time: Column | None = None)
         F.to_json(payload).cast("binary").alias("value"),
         F.lit(WINDOW_EVENTS_TOPIC).alias("topic"),
         F.col("event_timestamp").alias("timestamp"),
+        *keep,
     )
 
 

@@ -62,3 +62,41 @@ def window_events(ev: DataFrame, compress: bool = False) -> DataFrame:
         F.when(F.col("event_type") == "signup", "opened").otherwise("closed").alias("event_type"),
         F.lit(WINDOW_MESSAGE_TYPE).alias("message_type"),
     )
+
+
+
+def with_offsets(records: DataFrame, id_col: str) -> DataFrame:
+    """Dense per-(topic, partition) offsets in ``id_col`` order, as a bus would assign.
+
+    offset = number of records of the same topic partition with a smaller id,
+    computed by the skew-proof ordered scan (no window over a whole partition).
+    """
+    from sensorlake.operators.ordered import later_targets
+
+    keyed = records.withColumn("_neg_id", -F.col(id_col))
+    targets = keyed.select("topic", "partition", "_neg_id")
+    counted = later_targets(keyed, targets, ["topic", "partition"], "_neg_id")
+    return counted.withColumn("offset", F.col("later_count")).drop("_neg_id", "later_count", "later_min")
+
+
+def reading_records(readings_df: DataFrame, partitions: int = 3) -> DataFrame:
+    """Readings as bus records keyed by device; partition = device number mod ``partitions``.
+
+    The producer time is set to the event time so the records are reproducible.
+    """
+    from sensorlake.functions.codec import encode_readings
+
+    rec = encode_readings(readings_df, producer_time=F.col("event_timestamp"), keep=["reading_id"])
+    device_no = F.substring(F.col("key").cast("string"), 8, 12).cast("int")
+    rec = rec.withColumn("partition", F.pmod(device_no, F.lit(partitions)))
+    return with_offsets(rec, "reading_id")
+
+
+def window_event_records(events_df: DataFrame, partitions: int = 3) -> DataFrame:
+    """Window events as bus records keyed ``<code>_<type>``; partition = code mod ``partitions``."""
+    from sensorlake.functions.codec import encode_window_events
+
+    rec = encode_window_events(events_df, producer_time=F.col("event_timestamp"),
+                               keep=["event_id", "object_code"])
+    rec = rec.withColumn("partition", F.pmod(F.col("object_code"), F.lit(partitions))).drop("object_code")
+    return with_offsets(rec, "event_id")
