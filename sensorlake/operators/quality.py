@@ -79,16 +79,18 @@ def split(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
     return valid, bad
 
 
+def _fill(df: DataFrame, defaults: dict) -> DataFrame:
+    for name, value in defaults.items():
+        if name in df.columns:
+            df = df.withColumn(name, F.coalesce(F.col(name), value))
+    return df
+
+
 def fill_reading_defaults(df: DataFrame) -> DataFrame:
     """Column defaults of the sink, applied explicitly (an append writes NULLs) (Q-4)."""
-    return (df.withColumn("message_type", F.coalesce(F.col("message_type"), F.lit(READING_MESSAGE_TYPE)))
-              .withColumn("is_anomaly", F.coalesce(F.col("is_anomaly"), F.lit(False)))
-              .withColumn("anomaly_type", F.coalesce(F.col("anomaly_type"), F.lit("NORMAL")))
-              .withColumn("processing_timestamp",
-                          F.coalesce(F.col("processing_timestamp"), F.current_timestamp())))
+    return _fill(df, {"message_type": F.lit(READING_MESSAGE_TYPE), "is_anomaly": F.lit(False),
+                      "anomaly_type": F.lit("NORMAL"), "processing_timestamp": F.current_timestamp()})
 
 
 def fill_window_defaults(df: DataFrame) -> DataFrame:
-    return (df.withColumn("message_type", F.coalesce(F.col("message_type"), F.lit(WINDOW_MESSAGE_TYPE)))
-              .withColumn("processing_timestamp",
-                          F.coalesce(F.col("processing_timestamp"), F.current_timestamp())))
+    return _fill(df, {"message_type": F.lit(WINDOW_MESSAGE_TYPE), "processing_timestamp": F.current_timestamp()})

@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, TimestampType
 
 from sensorlake.functions import codec
-from sensorlake.functions.classify import detect_anomalies
-from sensorlake.functions.timefmt import format_clock, format_day, parse_day_clock
+from sensorlake.functions.classify import detect_anomalies, detect_window_patterns
+from sensorlake.functions.timefmt import format_clock, format_day, parse_day_clock, whole_second_duration
 from sensorlake.operators import aggregates as agg
 from sensorlake.operators import pairing, quality, retention, sampling, status, views
 from sensorlake.sinks import audit, parquet
 from sensorlake.session import configure, scratch_path
 from sensorlake.sources import bus, fixtures as fx
+from sensorlake.streaming.pairing import stream_first_close_pairs
 from sensorlake.streaming.runner import materialize
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -307,6 +308,17 @@ def window_agg_daily_stream(spark, sf_dir):
     return present(materialize(spark, agg.window_event_agg(s, agg.EVENTS_DAILY), "daily"))
 
 
+PAIRING_DELAY = "10 minutes"   # watermark delay of the streaming pairing (compressed time)
+
+
+def window_cycles_stream(spark, sf_dir):
+    s = fx.window_events(_event_stream(spark, sf_dir), compress=True)
+    pairs = materialize(spark, stream_first_close_pairs(s, PAIRING_DELAY), "cycles")
+    pairs = pairs.withColumn("duration_seconds", whole_second_duration(F.col("opened_at"), F.col("closed_at")))
+    pairs = pairs.withColumn("duration_minutes", F.col("duration_seconds") / 60)
+    return present(detect_window_patterns(pairs))
+
+
 QUERIES: dict[str, QueryFn] = {
     "readings_classified": readings_classified,
     "anomaly_alerts": anomaly_alerts,
@@ -320,6 +332,7 @@ QUERIES: dict[str, QueryFn] = {
     "window_agg_daily_stream": window_agg_daily_stream,
     "window_cycles_first_close": window_cycles_first_close,
     "window_pair_counts": window_pair_counts,
+    "window_cycles_stream": window_cycles_stream,
     "latest_reading_per_device": latest_reading_per_device,
     "temperature_stats_24h": temperature_stats_24h,
     "window_activity_7d": window_activity_7d,
