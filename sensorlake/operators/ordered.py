@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from sensorlake.session import checkpoint_root
+from sensorlake.session import checkpoint_root, scratch_path
 
 _KIND_TARGET, _KIND_PROBE, _KIND_SUMMARY = 0, 1, 2
 
@@ -97,6 +97,14 @@ def _scan_partition(keys: Sequence[str], payload: Sequence[str]):
     return scan
 
 
+def _materialize(df: DataFrame) -> DataFrame:
+    """Write to a table in the shared checkpoint folder and read it back (cuts lineage,
+    pins ``_pid``; a lost executor re-reads files instead of re-sampling the range shuffle)."""
+    path = scratch_path(df.sparkSession, "ordered-scan")
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def later_targets(probes: DataFrame, targets: DataFrame, keys: Sequence[str], order: str,
                   tie: str | None = None, n_partitions: int | None = None) -> DataFrame:
     """Per probe row: count and smallest order value of same-key targets with a greater order.
@@ -135,7 +143,7 @@ def later_targets(probes: DataFrame, targets: DataFrame, keys: Sequence[str], or
         + [StructField(c, probe_schema[c], True) for c in payload]
         + [StructField("_pid", IntegerType()), StructField("_cnt", LongType()), StructField("_min", LongType())]
     )
-    scanned = ranged.mapInPandas(_scan_partition(keys, payload), out_schema).checkpoint(eager=True)
+    scanned = _materialize(ranged.mapInPandas(_scan_partition(keys, payload), out_schema))
 
     per_part = (scanned.filter(F.col("_k") == _KIND_SUMMARY)
                 .groupBy("_pid", *keys)
