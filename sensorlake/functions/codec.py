@@ -131,3 +131,14 @@ def openings_to_events(openings: DataFrame, roll_midnight: bool = False) -> Data
     return (parsed.select("*", kinds)
             .withColumn("event_timestamp", event_time_for(F.col("event_type"), F.col("_start"), F.col("_end")))
             .drop("_start", "_end"))
+
+
+def in_publish_order(df: DataFrame, order_cols: Sequence[str], num_partitions: int | None = None) -> DataFrame:
+    """Time order for publishing or replay (L-7, L-8) without a single-task global sort.
+
+    Range partitioning (sampled bounds) followed by a sort inside each
+    partition: partition i holds earlier rows than partition i+1, so writing
+    or publishing partitions in index order yields the global order.
+    """
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)

@@ -21,7 +21,7 @@ from sensorlake.operators import aggregates as agg
 from sensorlake.operators import pairing, quality, retention, sampling, status, views
 from sensorlake.sinks import audit, parquet
 from sensorlake.session import configure, scratch_path
-from sensorlake.sources import bus, fixtures as fx
+from sensorlake.sources import bus, files, fixtures as fx
 from sensorlake.streaming.pairing import stream_first_close_pairs
 from sensorlake.streaming.runner import materialize
 
@@ -280,6 +280,39 @@ def batch_audit(spark, sf_dir):
     return audit.audit_frame(spark, [rec])
 
 
+def readings_csv_scan(spark, sf_dir):
+    """Readings written as the producer's CSV input (in time order), then scanned back."""
+    r = _readings(spark, sf_dir)
+    csv_rows = codec.in_publish_order(r, ["event_timestamp", "reading_id"]).select(
+        F.date_format("event_timestamp", "yyyy-MM-dd HH:mm:ss").alias("timestamp_utc"),
+        "device_id",
+        F.col("temperature_fahrenheit").alias("temp_f"),
+        F.col("temperature_celsius").alias("temp_c"),
+    )
+    path = scratch_path(spark, "readings-csv")
+    csv_rows.write.option("header", True).csv(path)
+    back = files.readings_csv(spark, path)
+    return present(back.select("device_id", "event_timestamp", "timestamp_epoch",
+                               "temperature_celsius", "temperature_fahrenheit"))
+
+
+def openings_csv_events(spark, sf_dir):
+    """Openings CSV (12-hour clock, one row per first-close cycle) -> opened/closed events in time order."""
+    pairs = pairing.first_close_pairs(_window_events(spark, sf_dir, compress=True))
+    rows = pairs.select(
+        format_day(F.col("opened_at")).alias("DayPST"),
+        format_clock(F.col("opened_at")).alias("StartTimePST"),
+        format_clock(F.col("closed_at")).alias("EndTimePST"),
+        F.col("object_code").alias("ObjectCode"),
+        F.col("object_name").alias("ObjectName"),
+    )
+    path = scratch_path(spark, "openings-csv")
+    rows.write.option("header", True).csv(path)
+    ev = codec.openings_to_events(files.openings_csv(spark, path))
+    ordered = codec.in_publish_order(ev, ["event_timestamp", "object_code", "event_type"])
+    return present(ordered.select("object_code", "object_name", "event_type", "event_timestamp"))
+
+
 # --------------------------------------------------------------------------- streaming queries
 
 def _event_stream(spark, sf_dir) -> DataFrame:
@@ -349,6 +382,8 @@ QUERIES: dict[str, QueryFn] = {
     "window_events_codec": window_events_codec,
     "clock_parse": clock_parse,
     "openings_fanout": openings_fanout,
+    "openings_csv_events": openings_csv_events,
+    "readings_csv_scan": readings_csv_scan,
     "quality_quarantine": quality_quarantine,
     "replay_sample": replay_sample,
     "replay_dedup": replay_dedup,

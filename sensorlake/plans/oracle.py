@@ -116,6 +116,13 @@ FROM (SELECT *, {part_expr} AS p FROM {src}) x"""
 _READING_COLS = ("reading_id, device_id, event_timestamp, timestamp_epoch, temperature_celsius, "
                  "temperature_fahrenheit, is_anomaly, anomaly_type")
 
+_FANOUT = f"""SELECT object_code, object_name, 'opened' AS event_type,
+       date_trunc('second', opened_at) AS event_timestamp FROM ({_FIRST_CLOSE}) f
+UNION ALL
+SELECT object_code, object_name, 'closed',
+       date_trunc('second', CAST(CAST(opened_at AS DATE) AS TIMESTAMP) + (closed_at - date_trunc('day', closed_at)))
+FROM ({_FIRST_CLOSE}) g"""
+
 ORACLE: dict[str, str] = {
     "readings_classified": _with(R) + f"SELECT {_READING_COLS} FROM R",
     "anomaly_alerts": _with(R) + """SELECT reading_id, device_id, event_timestamp, temperature_celsius,
@@ -195,12 +202,10 @@ ORDER BY p, off LIMIT 10""",
     "clock_parse": _with(W) + """SELECT event_id,
        CASE WHEN event_id % 2 = 0 THEN date_trunc('second', event_timestamp)
             ELSE date_trunc('minute', event_timestamp) END AS parsed_at FROM W""",
-    "openings_fanout": _with(WC) + f"""SELECT object_code, object_name, 'opened' AS event_type,
-       date_trunc('second', opened_at) AS event_timestamp FROM ({_FIRST_CLOSE}) f
-UNION ALL
-SELECT object_code, object_name, 'closed',
-       date_trunc('second', CAST(CAST(opened_at AS DATE) AS TIMESTAMP) + (closed_at - date_trunc('day', closed_at)))
-FROM ({_FIRST_CLOSE}) g""",
+    "openings_fanout": _with(WC) + _FANOUT,
+    "openings_csv_events": _with(WC) + _FANOUT,
+    "readings_csv_scan": _with(R) + """SELECT device_id, date_trunc('second', event_timestamp) AS event_timestamp,
+       timestamp_epoch, temperature_celsius, temperature_fahrenheit FROM R""",
     "quality_quarantine": _with(R) + """SELECT reading_id AS offset,
        CASE WHEN k BETWEEN 0 AND 4 THEN 'quarantine' ELSE 'valid' END AS quality_status,
        CASE k WHEN 0 THEN 'malformed_payload' WHEN 1 THEN 'malformed_payload'

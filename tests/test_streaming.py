@@ -82,3 +82,37 @@ def test_reading_job_end_to_end_with_replayed_input(spark):
     assert spark.read.parquet(f"{t}/alerts").count() == r.filter("is_anomaly").count()
     assert spark.read.parquet(f"{t}/audit_temperature_readings").agg(F.sum("row_count")).first()[0] == n
     assert spark.read.parquet(f"{t}/temperature_aggregations_1min").agg(F.sum("reading_count")).first()[0] > 0
+
+
+def test_replayed_duplicates_dropped_within_watermark(spark):
+    from sensorlake.operators.sampling import drop_replayed
+    root = scratch_path(spark, "dedup").replace("file:", "")
+    d = dt.datetime(2024, 1, 1)
+    a = (d, "a", 1.0, 34.0)
+    b = (d + dt.timedelta(seconds=5), "a", 2.0, 35.0)
+    c = (d + dt.timedelta(seconds=5), "b", 3.0, 36.0)
+    e = (d + dt.timedelta(seconds=9), "b", 4.0, 37.0)
+    _write_files(spark, root, [[a, b], [a, c], [b, c, e]])
+    src = (spark.readStream.schema(READING_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+           .withWatermark("event_timestamp", "1 hour"))
+    q = start_to_parquet(drop_replayed(src), f"{root}/out", f"{root}/ckpt")
+    q.awaitTermination()
+    assert spark.read.parquet(f"{root}/out").count() == 4
+
+
+def test_window_event_job_end_to_end(spark):
+    root = scratch_path(spark, "wjob").replace("file:", "")
+    w = fx.window_events(fx.events(spark, SF_SMALL), compress=True)
+    fx.window_event_records(w).select(*RECORD.fieldNames()).write.parquet(f"{root}/records")
+    stream = bus.record_file_stream(spark, f"{root}/records")
+    qs = jobs.start_window_events(spark, stream, f"{root}/tables", f"{root}/ckpt",
+                                  jobs.Triggers.available_now(), pairing_delay="10 minutes")
+    for q in qs:
+        q.awaitTermination()
+        assert q.exception() is None
+    t = f"{root}/tables"
+    assert spark.read.parquet(f"{t}/window_events").count() == w.count()
+    assert spark.read.parquet(f"{t}/window_aggregations_hourly").agg(F.sum("event_count")).first()[0] > 0
+    durations = spark.read.parquet(f"{t}/window_durations")
+    assert durations.count() > 0
+    assert durations.filter(F.col("closed_at") <= F.col("opened_at")).count() == 0
