@@ -111,3 +111,14 @@ def newest_readings(readings: DataFrame, n: int = 5) -> DataFrame:
     """Top-n newest readings (L-6): a bounded top-k, planned as TakeOrderedAndProject."""
     return (readings.orderBy(F.desc("event_timestamp"), F.desc("reading_id")).limit(n)
             .select("reading_id", "device_id", "temperature_celsius", "event_timestamp", "is_anomaly"))
+
+
+# Names of the serving views.
+VIEW_NAMES = ("latest_temperature_readings", "temperature_stats_24h", "window_activity_7d")
+
+
+def register_views(readings: DataFrame, events: DataFrame, as_of: AsOf = None) -> None:
+    """Named views for SQL users (M-2): ``SELECT * FROM temperature_stats_24h``."""
+    latest_per_device(readings).createOrReplaceTempView(VIEW_NAMES[0])
+    temperature_stats(readings, as_of).createOrReplaceTempView(VIEW_NAMES[1])
+    window_activity(events, as_of).createOrReplaceTempView(VIEW_NAMES[2])

@@ -26,6 +26,15 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """Keep streaming state in RocksDB (off-heap, spills to local disk, checkpointed).
+
+    Must be set before a query's first run; the provider is pinned by its checkpoint.
+    """
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints, stream state and written intermediate tables.
 

@@ -27,6 +27,15 @@ def start_to_parquet(df: DataFrame, path: str, checkpoint: str, name: str | None
     return writer.start()
 
 
+def start_console(df: DataFrame, name: str, checkpoint: str, trigger: dict | None = None,
+                  rows: int = 20) -> StreamingQuery:
+    """Debug stream to the driver log (B-10 alerts, B-11 all events); never a data path."""
+    return (df.writeStream.format("console").queryName(name).outputMode("append")
+            .option("truncate", False).option("numRows", rows)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "30 seconds"})).start())
+
+
 def run_available_now(df: DataFrame, name: str) -> str:
     """Process all available input of ``df`` into a fresh Parquet folder; return its path."""
     spark = df.sparkSession

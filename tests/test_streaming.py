@@ -116,3 +116,17 @@ def test_window_event_job_end_to_end(spark):
     durations = spark.read.parquet(f"{t}/window_durations")
     assert durations.count() > 0
     assert durations.filter(F.col("closed_at") <= F.col("opened_at")).count() == 0
+
+
+def test_progress_metrics_and_await_all(spark):
+    from sensorlake.operators.metrics import progress_metrics
+    from sensorlake.streaming.runner import await_all
+    s = detect_anomalies(fx.readings(catalog._event_stream(spark, SF_SMALL)))
+    root = scratch_path(spark, "progress")
+    q = start_to_parquet(agg.temperature_window_agg(s, agg.READINGS_1MIN), f"{root}/o", f"{root}/c", name="p1")
+    await_all(spark, [q])
+    m = progress_metrics(spark, q)
+    got = {r.metric_name: r.metric_value for r in m.filter("metric_name = 'stream_input_rows'").collect()}
+    assert got["stream_input_rows"] >= 0
+    assert m.agg(F.sum(F.when(F.col("metric_name") == "stream_input_rows", F.col("metric_value")))).first()[0] \
+        == fx.events(spark, SF_SMALL).count()

@@ -45,3 +45,19 @@ def test_newest_is_a_bounded_top_k(spark):
     top = views.newest_readings(r, 5)
     assert [x.reading_id for x in top.collect()] == [19, 18, 17, 16, 15]
     assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
+
+
+def test_named_views_answer_sql(spark):
+    r = _readings(spark, [(1, "a", T0, 1.0, 2.0), (2, "b", T0, 50.0, 122.0)])
+    ev = spark.createDataFrame([(1, "w1", "opened", T0)],
+                               "object_code int, object_name string, event_type string, event_timestamp timestamp")
+    views.register_views(r, ev, T0 + dt.timedelta(minutes=1))
+    rows = spark.sql("SELECT device_id, anomaly_count FROM temperature_stats_24h ORDER BY device_id").collect()
+    assert [(x.device_id, x.anomaly_count) for x in rows] == [("a", 0), ("b", 1)]
+    assert spark.sql("SELECT * FROM window_activity_7d").first().open_events == 1
+
+
+def test_metric_rows_shape(spark):
+    from sensorlake.operators.metrics import metric_rows
+    m = metric_rows(spark, [("views_created", 3, "count", {"type": "monitoring_views"})], T0).first()
+    assert (m.metric_name, m.metric_value, m.tags) == ("views_created", 3.0, '{"type":"monitoring_views"}')
