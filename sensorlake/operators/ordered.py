@@ -97,6 +97,24 @@ def _scan_partition(keys: Sequence[str], payload: Sequence[str]):
     return scan
 
 
+def _partitions_for(df: DataFrame) -> int:
+    """Range partition count from Catalyst's size estimate of the input.
+
+    At least ``spark.sql.shuffle.partitions``; more when the estimated input is
+    larger than that many advisory-sized partitions, so each range partition
+    stays near ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
+    """
+    spark = df.sparkSession
+    floor_n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    target = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    target_bytes = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(target))
+    try:
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # stats unavailable (e.g. some sources): keep the configured count
+        return floor_n
+    return max(floor_n, min(100_000, -(-size // max(target_bytes, 1))))
+
+
 def _materialize(df: DataFrame) -> DataFrame:
     """Write to a table in the shared checkpoint folder and read it back (cuts lineage,
     pins ``_pid``; a lost executor re-reads files instead of re-sampling the range shuffle)."""
@@ -132,7 +150,7 @@ def later_targets(probes: DataFrame, targets: DataFrame, keys: Sequence[str], or
         return df.filter(nonnull).select(*cols)
 
     both = shaped(probes, _KIND_PROBE).unionByName(shaped(targets.select(*keys, order, *([tie] if tie else [])), _KIND_TARGET))
-    n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = n_partitions or _partitions_for(both)
     ranged = (both.repartitionByRange(n, *keys, "_o", "_k", "_t")
                   .sortWithinPartitions(*keys, F.desc("_o"), F.desc("_k"), F.desc("_t"))
                   .drop("_t"))
