@@ -56,13 +56,26 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, schema=None) -> D
     return reader.parquet(out)
 
 
-def await_all(spark: SparkSession, queries: list[StreamingQuery], timeout: float | None = None) -> None:
-    """Block until any query stops; surface its failure instead of hiding it (S-8)."""
-    spark.streams.awaitAnyTermination(timeout)
-    for q in queries:
-        err = q.exception()
-        if err is not None:
-            for other in queries:
-                if other.isActive:
-                    other.stop()
-            raise RuntimeError(f"streaming query {q.name or q.id} failed") from Exception(str(err))
+def await_all(spark: SparkSession, queries: list[StreamingQuery], timeout: float | None = None,
+              poll_seconds: float = 1.0) -> None:
+    """Block until every query has stopped; the first failure stops the rest and is raised (S-8).
+
+    Polls each query instead of ``streams.awaitAnyTermination``, which returns
+    at once if any earlier query of the session has terminated.
+    """
+    import time
+
+    deadline = None if timeout is None else time.monotonic() + timeout
+    pending = list(queries)
+    while pending:
+        for q in pending:
+            err = q.exception()
+            if err is not None:
+                for other in queries:
+                    if other.isActive:
+                        other.stop()
+                raise RuntimeError(f"streaming query {q.name or q.id} failed: {err}")
+        pending = [q for q in pending if q.isActive]
+        if not pending or (deadline is not None and time.monotonic() >= deadline):
+            return
+        pending[0].awaitTermination(poll_seconds)

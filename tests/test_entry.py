@@ -14,8 +14,11 @@ def test_entry_runs(spark):
     assert "reading_count" in df.columns
 
 
+ROWS_ONLY = {"late_data_report"}   # streaming progress metrics: checked by test_streaming instead
+
+
 def test_every_query_has_an_oracle():
-    assert set(entry_mod.queries()) == set(entry_mod.oracle_sql())
+    assert set(entry_mod.queries()) - ROWS_ONLY == set(entry_mod.oracle_sql())
 
 
 def test_queries_match_duckdb_on_small_data(spark):
