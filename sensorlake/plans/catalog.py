@@ -248,9 +248,10 @@ def quality_quarantine(spark, sf_dir):
 
 
 def topic_status(spark, sf_dir):
-    recs = fx.reading_records(_readings(spark, sf_dir)).unionByName(
-        fx.window_event_records(_window_events(spark, sf_dir)), allowMissingColumns=True)
-    return status.topic_status(recs.select("topic", "partition", "offset"))
+    recs = (fx.reading_records(_readings(spark, sf_dir), offsets=False).select("topic", "partition", "_id")
+            .unionByName(fx.window_event_records(_window_events(spark, sf_dir), offsets=False)
+                         .select("topic", "partition", "_id")))
+    return status.topic_status(fx.with_offsets(recs, "_id"))
 
 
 def kafka_peek(spark, sf_dir):

@@ -79,24 +79,27 @@ def with_offsets(records: DataFrame, id_col: str) -> DataFrame:
     return counted.withColumn("offset", F.col("later_count")).drop("_neg_id", "later_count", "later_min")
 
 
-def reading_records(readings_df: DataFrame, partitions: int = 3) -> DataFrame:
+def reading_records(readings_df: DataFrame, partitions: int = 3, offsets: bool = True) -> DataFrame:
     """Readings as bus records keyed by device; partition = device number mod ``partitions``.
 
     The producer time is set to the event time so the records are reproducible.
+    Without ``offsets`` the record id is kept as ``_id`` for a later
+    :func:`with_offsets` over several topics at once.
     """
     from sensorlake.functions.codec import encode_readings
 
     rec = encode_readings(readings_df, producer_time=F.col("event_timestamp"), keep=["reading_id"])
     device_no = F.substring(F.col("key").cast("string"), 8, 12).cast("int")
-    rec = rec.withColumn("partition", F.pmod(device_no, F.lit(partitions)))
-    return with_offsets(rec, "reading_id")
+    rec = rec.withColumn("partition", F.pmod(device_no, F.lit(partitions))).withColumnRenamed("reading_id", "_id")
+    return with_offsets(rec, "_id").drop("_id") if offsets else rec
 
 
-def window_event_records(events_df: DataFrame, partitions: int = 3) -> DataFrame:
+def window_event_records(events_df: DataFrame, partitions: int = 3, offsets: bool = True) -> DataFrame:
     """Window events as bus records keyed ``<code>_<type>``; partition = code mod ``partitions``."""
     from sensorlake.functions.codec import encode_window_events
 
     rec = encode_window_events(events_df, producer_time=F.col("event_timestamp"),
                                keep=["event_id", "object_code"])
-    rec = rec.withColumn("partition", F.pmod(F.col("object_code"), F.lit(partitions))).drop("object_code")
-    return with_offsets(rec, "event_id")
+    rec = (rec.withColumn("partition", F.pmod(F.col("object_code"), F.lit(partitions))).drop("object_code")
+              .withColumnRenamed("event_id", "_id"))
+    return with_offsets(rec, "_id").drop("_id") if offsets else rec

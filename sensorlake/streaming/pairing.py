@@ -7,8 +7,9 @@ holds only
 * the openings seen so far that no closing has answered yet.
 
 Once the watermark passes an event, no earlier event can still arrive, so the
-final events are replayed in event-time order: a closing answers every pending
-opening, an opening waits. Arrival order (bus partitions, retries) does not
+final events are settled: each pending opening is answered by the first final
+closing strictly after it (a vectorised ``searchsorted``); unanswered openings
+stay pending. Arrival order (bus partitions, retries) does not
 matter. Events older than what was already finalised are late and ignored,
 as Spark's own stateful operators do. The output is append-only: a pair is
 emitted once, when its closing becomes final -- equal to the batch pairing
@@ -36,50 +37,48 @@ def _pairer():
     OPEN, CLOSE = _OPEN, _CLOSE
 
     def pair_events(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        import numpy as np
+
         (code,) = key
         if state.exists:
             buf_us, buf_kind, pending, name, final_upto = state.get
-            buf_us, buf_kind, pending = list(buf_us or []), list(buf_kind or []), list(pending or [])
+            buf_us = np.asarray(buf_us or [], dtype="int64")
+            buf_kind = np.asarray(buf_kind or [], dtype="int64")
+            pending = np.asarray(pending or [], dtype="int64")
         else:
-            buf_us, buf_kind, pending, name, final_upto = [], [], [], None, None
+            buf_us, buf_kind, pending = (np.empty(0, "int64") for _ in range(3))
+            name, final_upto = None, None
 
         for pdf in batches:
-            if pdf.empty:
-                continue
             if final_upto is not None:
                 pdf = pdf[pdf["_us"] >= final_upto]           # late: older than what is final
-            buf_us.extend(int(v) for v in pdf["_us"])
-            buf_kind.extend(int(v) for v in pdf["_kind"])
-            if name is None and len(pdf):
+            if pdf.empty:
+                continue
+            buf_us = np.concatenate([buf_us, pdf["_us"].to_numpy("int64")])
+            buf_kind = np.concatenate([buf_kind, pdf["_kind"].to_numpy("int64")])
+            if name is None:
                 name = str(pdf["object_name"].iloc[0])
 
         watermark_us = state.getCurrentWatermarkMs() * 1000
-        order = sorted(range(len(buf_us)), key=lambda i: (buf_us[i], buf_kind[i]))
-        out_open, out_close, keep = [], [], []
-        for i in order:
-            t, kind = buf_us[i], buf_kind[i]
-            if watermark_us > 0 and t < watermark_us:
-                if kind == OPEN:
-                    pending.append(t)
-                elif kind == CLOSE:
-                    # strict: an opening at the same instant is not answered by this closing
-                    answered = [o for o in pending if o < t]
-                    pending = [o for o in pending if o >= t]
-                    out_open.extend(answered)
-                    out_close.extend([t] * len(answered))
-            else:
-                keep.append(i)
+        final = buf_us < watermark_us if watermark_us > 0 else np.zeros(len(buf_us), bool)
+        opens = np.sort(np.concatenate([pending, buf_us[final & (buf_kind == OPEN)]]))
+        closes = np.sort(buf_us[final & (buf_kind == CLOSE)])
+        # first closing strictly later than each opening
+        nxt = np.searchsorted(closes, opens, side="right")
+        answered = nxt < len(closes)
+        out_open, out_close = opens[answered], closes[nxt[answered]]
+        pending = opens[~answered]
 
         if watermark_us > 0:
             final_upto = max(final_upto or 0, watermark_us)
-        state.update((
-            [buf_us[i] for i in keep], [buf_kind[i] for i in keep], pending, name, final_upto))
-        if keep:
+        keep_us, keep_kind = buf_us[~final], buf_kind[~final]
+        state.update((keep_us.tolist(), keep_kind.tolist(), pending.tolist(), name, final_upto))
+        if len(keep_us):
             # wake up as soon as the watermark passes the oldest event still buffered
-            oldest_ms = min(buf_us[i] for i in keep) // 1000
-            state.setTimeoutTimestamp(max(oldest_ms, state.getCurrentWatermarkMs(), 1))
-        if out_open:
-            yield pd.DataFrame({"object_code": [code] * len(out_open), "object_name": [name] * len(out_open),
+            state.setTimeoutTimestamp(max(int(keep_us.min()) // 1000, state.getCurrentWatermarkMs(), 1))
+        if len(out_open):
+            yield pd.DataFrame({"object_code": np.full(len(out_open), code, dtype="int32"),
+                                "object_name": [name] * len(out_open),
                                 "opened_at_us": out_open, "closed_at_us": out_close})
 
     return pair_events
