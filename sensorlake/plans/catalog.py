@@ -221,8 +221,7 @@ def _corrupted_reading_records(spark, sf_dir) -> DataFrame:
     device id, 4 a missing Celsius field; every other record is intact."""
     ev = _events(spark, sf_dir)
     k = F.get_json_object(F.col("props"), "$.k").try_cast("int")
-    base = ev.select("*", k.alias("_k"))
-    rd = fx.readings(base).join(base.select(F.col("event_id").alias("reading_id"), "_k"), "reading_id")
+    rd = fx.readings(ev.select("*", k.alias("_k")), keep=("_k",))
     iso = F.date_format(F.col("event_timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     payload = F.struct(
         F.when(F.col("_k") == 2, F.lit("NaT")).otherwise(iso).alias("event_timestamp"),

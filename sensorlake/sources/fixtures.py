@@ -38,8 +38,11 @@ def event_time(ts: Column, compress: bool) -> Column:
     return F.timestamp_micros(F.lit(BASE_MICROS) + compressed)
 
 
-def readings(ev: DataFrame, compress: bool = True) -> DataFrame:
-    """Readings fixture: one row per event, ``reading_id`` is a tie-break id."""
+def readings(ev: DataFrame, compress: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Readings fixture: one row per event, ``reading_id`` is a tie-break id.
+
+    ``keep`` names extra ``events`` columns to carry along unchanged.
+    """
     celsius = F.col("value") - 30
     fahrenheit = celsius * 9 / 5 + 32 + F.when(F.col("event_type") == "view", 10).otherwise(0)
     return ev.select(
@@ -49,6 +52,7 @@ def readings(ev: DataFrame, compress: bool = True) -> DataFrame:
         celsius.alias("temperature_celsius"),
         fahrenheit.alias("temperature_fahrenheit"),
         F.lit(READING_MESSAGE_TYPE).alias("message_type"),
+        *keep,
     ).withColumn("timestamp_epoch", F.unix_timestamp("event_timestamp"))
 
 
