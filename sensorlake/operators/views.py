@@ -1,6 +1,6 @@
 """Serving queries relative to an explicit ``as_of`` instant (N-1, G-5..G-9, D-3, D-4, L-*).
 
-The reference evaluates these against ``NOW()``; here ``as_of`` is a parameter:
+The original queries use ``NOW()``; here ``as_of`` is a parameter:
 a Python ``datetime``, a Column, or ``None`` for "the newest event time in the
 input", which Spark evaluates once as a scalar subquery (a global partial
 aggregate) inside the same plan. Strict ``>`` (views) and inclusive ``>=``

@@ -108,7 +108,7 @@ SYSTEM_METRICS = _fields(
 )
 
 # Column length limits of the sink tables (quality rule Q-3).
-# VARCHAR sizes of the reference tables.
+# VARCHAR sizes of the original sink tables.
 MAX_LENGTH = {
     "device_id": 50,
     "message_type": 50,

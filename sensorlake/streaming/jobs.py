@@ -4,8 +4,8 @@ Each job starts
 
 * one *raw* query whose ``foreachBatch`` decodes, labels and fans the batch out
   to the valid table, the quarantine table, the alerts table and the audit
-  log -- the batch is persisted once and read by every sink (the reference
-  re-reads the source for each of five queries);
+  log -- the batch is persisted once and read by every sink instead of
+  re-reading the source once per sink;
 * one query per stateful operator (each needs its own checkpoint): tumbling
   aggregates, and for window events the first-close pairing.
 
@@ -34,7 +34,7 @@ from sensorlake.streaming.runner import start_to_parquet
 
 @dataclass
 class Triggers:
-    # Trigger intervals of the reference jobs.
+    # Trigger intervals of the original jobs.
     raw: dict = field(default_factory=lambda: {"processingTime": "10 seconds"})
     agg_fast: dict = field(default_factory=lambda: {"processingTime": "1 minute"})
     agg_slow: dict = field(default_factory=lambda: {"processingTime": "5 minutes"})
