@@ -43,10 +43,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; point it at shared storage "
-            "(HDFS/S3/...) before running sensorlake jobs"
-        )
+        # unset: fall back to a folder under the warehouse, which a cluster keeps on shared storage
+        warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+        if not warehouse:
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage (HDFS/S3/...)")
+        root = f"{warehouse.rstrip('/')}/_sensorlake_checkpoints"
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
