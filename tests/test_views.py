@@ -61,3 +61,13 @@ def test_metric_rows_shape(spark):
     from sensorlake.operators.metrics import metric_rows
     m = metric_rows(spark, [("views_created", 3, "count", {"type": "monitoring_views"})], T0).first()
     assert (m.metric_name, m.metric_value, m.tags) == ("views_created", 3.0, '{"type":"monitoring_views"}')
+
+
+def test_literal_as_of_reaches_the_parquet_scan(spark):
+    from sensorlake.session import scratch_path
+    path = scratch_path(spark, "pushdown")
+    _readings(spark, [(i, "a", T0 - dt.timedelta(hours=i), 1.0, 2.0) for i in range(48)]).write.parquet(path)
+    stored = spark.read.parquet(path)
+    plan = views.temperature_stats(stored, T0)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "GreaterThan(event_timestamp" in plan
+    assert views.temperature_stats(stored, T0).first().reading_count == 24
