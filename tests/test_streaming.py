@@ -19,18 +19,15 @@ READING_SCHEMA = ("event_timestamp timestamp, device_id string, temperature_cels
 
 
 def _write_files(spark, folder, batches):
-    """One Parquet file per batch, with increasing modification times."""
-    for i, rows in enumerate(batches):
-        df = spark.createDataFrame(rows, READING_SCHEMA).coalesce(1)
-        df.write.mode("overwrite").parquet(f"{folder}/part{i}")
+    """One Parquet file per batch under ``<folder>/in/<n>/``, with increasing modification times;
+    read back with the glob ``<folder>/in/*`` so one file is one micro-batch."""
     base = time.time() - 1000
-    for i in range(len(batches)):
-        for f in os.listdir(f"{folder}/part{i}"):
+    for i, rows in enumerate(batches):
+        part = f"{folder}/in/{i:03d}"
+        spark.createDataFrame(rows, READING_SCHEMA).coalesce(1).write.parquet(part)
+        for f in os.listdir(part):
             if f.endswith(".parquet"):
-                os.rename(f"{folder}/part{i}/{f}", f"{folder}/in/{i:03d}.parquet") if os.path.isdir(
-                    f"{folder}/in") else (os.makedirs(f"{folder}/in"), os.rename(
-                        f"{folder}/part{i}/{f}", f"{folder}/in/{i:03d}.parquet"))
-                os.utime(f"{folder}/in/{i:03d}.parquet", (base + i * 10, base + i * 10))
+                os.utime(f"{part}/{f}", (base + i * 10, base + i * 10))
 
 
 def test_late_rows_dropped_only_after_the_watermark_passes(spark):
@@ -39,7 +36,7 @@ def test_late_rows_dropped_only_after_the_watermark_passes(spark):
     r = lambda h, m, s: (d.replace(hour=h, minute=m, second=s), "a", 1.0, 34.0)
     _write_files(spark, root, [[r(0, 0, 10), r(0, 10, 0)], [r(0, 0, 20), r(0, 12, 0)],
                                [r(0, 0, 30), r(0, 30, 0)], [r(0, 40, 0)]])
-    src = spark.readStream.schema(READING_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    src = spark.readStream.schema(READING_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{root}/in/*")
     out = f"{root}/out"
     q = start_to_parquet(agg.temperature_window_agg(detect_anomalies(src), agg.READINGS_1MIN),
                          out, f"{root}/ckpt")
@@ -93,7 +90,7 @@ def test_replayed_duplicates_dropped_within_watermark(spark):
     c = (d + dt.timedelta(seconds=5), "b", 3.0, 36.0)
     e = (d + dt.timedelta(seconds=9), "b", 4.0, 37.0)
     _write_files(spark, root, [[a, b], [a, c], [b, c, e]])
-    src = (spark.readStream.schema(READING_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    src = (spark.readStream.schema(READING_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{root}/in/*")
            .withWatermark("event_timestamp", "1 hour"))
     q = start_to_parquet(drop_replayed(src), f"{root}/out", f"{root}/ckpt")
     q.awaitTermination()
