@@ -45,7 +45,7 @@ class Triggers:
         return cls(raw=t, agg_fast=t, agg_slow=t)
 
 
-def _fan_out(tables: str, valid_name: str, time_col: str, label, fill, alerts: bool):
+def _fan_out(tables: str, valid_name: str, time_col: str, label, fill, alerts: bool, key_col: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         labelled = label(batch).persist()
         try:
@@ -53,8 +53,10 @@ def _fan_out(tables: str, valid_name: str, time_col: str, label, fill, alerts: b
             if alerts:
                 valid = detect_anomalies(valid)
             valid = fill(valid)
+            # sorted by key and time inside each file: readers prune row groups on both
             records = [audit.observed_write(valid, batch_id, valid_name,
-                                            parquet.batch_writer(f"{tables}/{valid_name}", time_col))]
+                                            parquet.batch_writer(f"{tables}/{valid_name}", time_col,
+                                                                 sort_cols=(key_col, time_col)))]
             parquet.write_batch(bad.withColumn(time_col, F.coalesce(F.col(time_col), F.col("kafka_timestamp"))),
                                 batch_id, f"{tables}/quarantine_{valid_name}", time_col)
             if alerts:
@@ -74,7 +76,8 @@ def start_readings(spark: SparkSession, records: DataFrame, tables: str, checkpo
     decoded = codec.decode_readings(records)
     raw = (decoded.writeStream.queryName("readings_raw")
            .foreachBatch(_fan_out(tables, "temperature_readings", "event_timestamp",
-                                  quality.label_readings, quality.fill_reading_defaults, alerts=True))
+                                  quality.label_readings, quality.fill_reading_defaults, alerts=True,
+                                  key_col="device_id"))
            .option("checkpointLocation", f"{checkpoints}/readings_raw")
            .trigger(**t.raw).start())
     valid = detect_anomalies(quality.split(quality.label_readings(decoded))[0])
@@ -94,7 +97,8 @@ def start_window_events(spark: SparkSession, records: DataFrame, tables: str, ch
     decoded = codec.decode_window_events(records)
     raw = (decoded.writeStream.queryName("window_events_raw")
            .foreachBatch(_fan_out(tables, "window_events", "event_timestamp",
-                                  quality.label_window_events, quality.fill_window_defaults, alerts=False))
+                                  quality.label_window_events, quality.fill_window_defaults, alerts=False,
+                                  key_col="object_code"))
            .option("checkpointLocation", f"{checkpoints}/window_events_raw")
            .trigger(**t.raw).start())
     valid = quality.split(quality.label_window_events(decoded))[0]
