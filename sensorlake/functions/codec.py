@@ -111,16 +111,22 @@ def decode_window_events(records: DataFrame, processing_time: Column | None = No
             .withColumn("processing_timestamp", processed))
 
 
-def openings_to_events(openings: DataFrame, roll_midnight: bool = False) -> DataFrame:
+def openings_to_events(openings: DataFrame, roll_midnight: bool = False,
+                       source_tz: str | None = None) -> DataFrame:
     """One opening row -> an ``opened`` and a ``closed`` event (C-9, F-11, R-5).
 
     Start and end clock times are read against the same day. With
-    ``roll_midnight`` an end before its start moves to the next day.
+    ``roll_midnight`` an end before its start moves to the next day. The clock
+    columns carry no zone; ``source_tz`` (e.g. ``"America/Los_Angeles"``)
+    converts them to UTC, ``None`` keeps the wall-clock values. A bad day or
+    clock gives NULL times for that row only (it is quarantined downstream).
     """
     start = parse_day_clock(F.col("DayPST"), F.col("StartTimePST"))
     end = parse_day_clock(F.col("DayPST"), F.col("EndTimePST"))
     if roll_midnight:
         end = F.when(end < start, end + F.expr("INTERVAL 1 DAY")).otherwise(end)
+    if source_tz:
+        start, end = F.to_utc_timestamp(start, source_tz), F.to_utc_timestamp(end, source_tz)
     parsed = openings.select(
         F.col("ObjectCode").cast("int").alias("object_code"),
         F.col("ObjectName").cast("string").alias("object_name"),

@@ -83,3 +83,34 @@ def test_openings_fan_out_and_midnight(spark):
     assert parity == {"opened": dt.datetime(2024, 1, 5, 23, 30), "closed": dt.datetime(2024, 1, 5, 0, 30)}
     rolled = {r.event_type: r.event_timestamp for r in codec.openings_to_events(df, roll_midnight=True).collect()}
     assert rolled["closed"] == dt.datetime(2024, 1, 6, 0, 30)
+
+
+def test_bad_opening_day_quarantines_only_its_row(spark):
+    df = spark.createDataFrame([("2024-01-05", "1:00 PM", "2:00 PM", 1, "w1"),
+                                ("not a day", "1:00 PM", "2:00 PM", 2, "w2")],
+                               "DayPST string, StartTimePST string, EndTimePST string, ObjectCode int, ObjectName string")
+    ev = codec.openings_to_events(df).withColumn("message_key", F.lit(None).cast("string"))
+    for c in ("message_type", "producer_timestamp"):
+        ev = ev.withColumn(c, F.lit(None).cast("string"))
+    labelled = {(r.object_code, r.event_type): r.quality_status for r in quality.label_window_events(ev).collect()}
+    assert labelled == {(1, "opened"): "valid", (1, "closed"): "valid",
+                        (2, "opened"): "quarantine", (2, "closed"): "quarantine"}
+
+
+def test_openings_source_zone(spark):
+    df = spark.createDataFrame([("2024-01-05", "1:00 PM", "2:00 PM", 1, "w1")],
+                               "DayPST string, StartTimePST string, EndTimePST string, ObjectCode int, ObjectName string")
+    got = {r.event_type: r.event_timestamp
+           for r in codec.openings_to_events(df, source_tz="America/Los_Angeles").collect()}
+    assert got["opened"] == dt.datetime(2024, 1, 5, 21, 0)      # 13:00 PST = 21:00 UTC
+
+
+def test_readings_csv_bad_time_is_null(spark):
+    from sensorlake.session import scratch_path
+    from sensorlake.sources import files
+    path = scratch_path(spark, "csv-bad")
+    spark.createDataFrame([("2024-01-01 00:00:05", "7", 41.0, 5.0), ("NaT", "8", 40.0, 4.4)],
+                          "timestamp_utc string, device_id string, temp_f double, temp_c double") \
+        .coalesce(1).write.option("header", True).csv(path)
+    rows = {r.device_id: r.event_timestamp for r in files.readings_csv(spark, path).collect()}
+    assert rows == {"7": dt.datetime(2024, 1, 1, 0, 0, 5), "8": None}
