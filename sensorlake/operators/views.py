@@ -26,10 +26,17 @@ def resolve_as_of(df: DataFrame, as_of: AsOf, col: str = "event_timestamp") -> C
 
 
 def since(df: DataFrame, as_of: AsOf, interval: str, col: str = "event_timestamp",
-          inclusive: bool = True) -> DataFrame:
-    """Rows with ``col >= as_of - interval`` (or ``>`` when not inclusive)."""
+          inclusive: bool = True, date_col: str = "event_date") -> DataFrame:
+    """Rows with ``col >= as_of - interval`` (or ``>`` when not inclusive).
+
+    On tables partitioned by ``date_col`` (the archive layout) the same bound
+    is also applied to the date, so whole date folders are pruned before any
+    file is opened; Spark does not derive one filter from the other.
+    """
     start = resolve_as_of(df, as_of, col) - F.expr(f"INTERVAL {interval}")
     cond = F.col(col) >= start if inclusive else F.col(col) > start
+    if date_col in df.columns:
+        cond = cond & (F.col(date_col) >= F.to_date(start))
     return df.filter(cond)
 
 

@@ -71,3 +71,16 @@ def test_literal_as_of_reaches_the_parquet_scan(spark):
     plan = views.temperature_stats(stored, T0)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "GreaterThan(event_timestamp" in plan
     assert views.temperature_stats(stored, T0).first().reading_count == 24
+
+
+def test_date_partitions_pruned_for_trailing_ranges(spark):
+    from sensorlake.session import scratch_path
+    from sensorlake.sinks import parquet
+    path = scratch_path(spark, "pruned")
+    r = _readings(spark, [(i, "a", T0 - dt.timedelta(hours=6 * i), 1.0, 2.0) for i in range(20)])
+    parquet.write_batch(r, 0, path)
+    stored = parquet.read_archive(spark, path)
+    q = views.temperature_stats(stored, T0)
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan and "event_date#" in plan
+    assert q.first().reading_count == 4        # 0, 6, 12, 18 hours back; 24 h is excluded
