@@ -20,6 +20,7 @@ from sensorlake.functions.timefmt import format_clock, format_day, parse_day_clo
 from sensorlake.operators import aggregates as agg
 from sensorlake.operators import metrics, pairing, quality, retention, sampling, status, views
 from sensorlake.sinks import audit, parquet
+from sensorlake.schemas import READING_MESSAGE_TYPE, READINGS_TOPIC
 from sensorlake.session import configure, scratch_path
 from sensorlake.sources import bus, files, fixtures as fx
 from sensorlake.streaming.pairing import stream_first_close_pairs
@@ -229,14 +230,14 @@ def _corrupted_reading_records(spark, sf_dir) -> DataFrame:
         F.when(F.col("_k") == 3, F.repeat(F.lit("x"), 51)).otherwise(F.col("device_id")).alias("device_id"),
         F.col("temperature_fahrenheit").alias("temperature_fahrenheit"),
         F.when(F.col("_k") != 4, F.col("temperature_celsius")).alias("temperature_celsius"),
-        F.lit("temperature_reading").alias("message_type"),
+        F.lit(READING_MESSAGE_TYPE).alias("message_type"),
         iso.alias("producer_timestamp"),
     )
     value = (F.when(F.col("_k") == 0, F.lit("not json"))
              .when(F.col("_k") == 1, F.lit('{"test": "connection"}'))
              .otherwise(F.to_json(payload)))
     return rd.select(F.col("device_id").cast("binary").alias("key"), value.cast("binary").alias("value"),
-                     F.lit("iot-temperature").alias("topic"), F.lit(0).alias("partition"),
+                     F.lit(READINGS_TOPIC).alias("topic"), F.lit(0).alias("partition"),
                      F.col("reading_id").alias("offset"), F.col("event_timestamp").alias("timestamp"))
 
 
