@@ -123,14 +123,12 @@ def _materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def later_targets(probes: DataFrame, targets: DataFrame, keys: Sequence[str], order: str,
-                  tie: str | None = None, n_partitions: int | None = None) -> DataFrame:
-    """Per probe row: count and smallest order value of same-key targets with a greater order.
+def scan_table(probes: DataFrame, targets: DataFrame, keys: Sequence[str], order: str,
+               tie: str | None = None, n_partitions: int | None = None) -> DataFrame:
+    """Steps 1-3: range-partition, scan each partition, write the result to the shared folder.
 
-    ``order`` (and ``tie``) must be integral columns present in both inputs;
-    every other probe column is carried through. Rows with a NULL key or order
-    are dropped (they pair with nothing). Returns the probe columns plus
-    ``later_count`` (long) and ``later_min`` (long, NULL when none).
+    Returns the written table: probe rows (``_k`` = 1) with in-partition
+    ``_cnt`` / ``_min`` and summary rows (``_k`` = 2) per (``_pid``, key).
     """
     spark = probes.sparkSession
     checkpoint_root(spark)
@@ -149,20 +147,35 @@ def later_targets(probes: DataFrame, targets: DataFrame, keys: Sequence[str], or
             nonnull = nonnull & F.col(k).isNotNull()
         return df.filter(nonnull).select(*cols)
 
-    both = shaped(probes, _KIND_PROBE).unionByName(shaped(targets.select(*keys, order, *([tie] if tie else [])), _KIND_TARGET))
+    both = shaped(probes, _KIND_PROBE).unionByName(
+        shaped(targets.select(*keys, order, *([tie] if tie else [])), _KIND_TARGET))
     n = n_partitions or _partitions_for(both)
     ranged = (both.repartitionByRange(n, *keys, "_o", "_k", "_t")
                   .sortWithinPartitions(*keys, F.desc("_o"), F.desc("_k"), F.desc("_t"))
                   .drop("_t"))
-
     out_schema = StructType(
         [both.schema[k] for k in keys]
         + [StructField("_o", LongType()), StructField("_k", IntegerType())]
         + [StructField(c, probe_schema[c], True) for c in payload]
         + [StructField("_pid", IntegerType()), StructField("_cnt", LongType()), StructField("_min", LongType())]
     )
-    scanned = _materialize(ranged.mapInPandas(_scan_partition(keys, payload), out_schema))
+    return _materialize(ranged.mapInPandas(_scan_partition(keys, payload), out_schema))
+
+
+def later_targets(probes: DataFrame, targets: DataFrame, keys: Sequence[str], order: str,
+                  tie: str | None = None, n_partitions: int | None = None) -> DataFrame:
+    """Per probe row: count and smallest order value of same-key targets with a greater order.
+
+    ``order`` (and ``tie``) must be integral columns present in both inputs;
+    every other probe column is carried through. Rows with a NULL key or order
+    are dropped (they pair with nothing). Returns the probe columns plus
+    ``later_count`` (long) and ``later_min`` (long, NULL when none).
+    """
+    keys = list(keys)
+    payload = [c for c in probes.columns if c not in (*keys, order)]
+    scanned = scan_table(probes, targets, keys, order, tie, n_partitions)
 
+    # step 4: what lies in later partitions of the same key
     per_part = (scanned.filter(F.col("_k") == _KIND_SUMMARY)
                 .groupBy("_pid", *keys)
                 .agg(F.sum("_cnt").alias("_pcnt"), F.min("_min").alias("_pmin")))

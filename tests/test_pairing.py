@@ -104,3 +104,20 @@ def test_pair_counts_match_brute_force(spark):
     got = {(r.object_code, r.usage_pattern): (r.pair_count, r.unusual_count)
            for r in pair_pattern_counts(ev, n_partitions=5).collect()}
     assert got == expect
+
+
+def test_one_key_with_all_rows_is_spread_over_partitions(spark):
+    """The skew claim: a single object holding every event is split by the range bounds."""
+    from sensorlake.operators.ordered import scan_table
+    ev = spark.range(20000).select(
+        F.col("id").alias("event_id"), F.lit(7).alias("object_code"),
+        (F.col("id") * 1000).alias("_us"), (F.col("id") % 2 == 0).alias("is_open"))
+    opens = ev.filter("is_open").select("object_code", "_us", "event_id")
+    closes = ev.filter("not is_open").select("object_code", "_us", "event_id")
+    table = scan_table(opens, closes, ["object_code"], "_us", tie="event_id", n_partitions=8)
+    sizes = [r["count"] for r in table.filter("_k = 1").groupBy("_pid").count().collect()]
+    assert len(sizes) >= 6 and max(sizes) <= 0.3 * sum(sizes)
+    got = {r.event_id: (r.later_count, r.later_min)
+           for r in later_targets(opens, closes, ["object_code"], "_us", tie="event_id", n_partitions=8)
+           .filter("event_id in (0, 9998, 19998)").collect()}
+    assert got == {0: (10000, 1000), 9998: (5001, 9999000), 19998: (1, 19999000)}
