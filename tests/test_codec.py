@@ -114,3 +114,21 @@ def test_readings_csv_bad_time_is_null(spark):
         .coalesce(1).write.option("header", True).csv(path)
     rows = {r.device_id: r.event_timestamp for r in files.readings_csv(spark, path).collect()}
     assert rows == {"7": dt.datetime(2024, 1, 1, 0, 0, 5), "8": None}
+
+
+def test_producer_records_round_trip_in_time_order(spark):
+    from sensorlake.session import scratch_path
+    from sensorlake.streaming import publish
+    rpath, opath = scratch_path(spark, "prod-r"), scratch_path(spark, "prod-o")
+    spark.createDataFrame([("2024-01-01 00:00:09", "2", 41.0, 5.0), ("2024-01-01 00:00:05", "1", 40.0, 4.4)],
+                          "timestamp_utc string, device_id string, temp_f double, temp_c double") \
+        .write.option("header", True).csv(rpath)
+    spark.createDataFrame([("2024-01-05", "1:00:00 PM", "1:30 PM", 3, "w3"), ("bad", "1:00 PM", "2:00 PM", 4, "w4")],
+                          "DayPST string, StartTimePST string, EndTimePST string, ObjectCode int, ObjectName string") \
+        .write.option("header", True).csv(opath)
+    rec = publish.readings_csv_to_records(spark, rpath)
+    back = codec.decode_readings(rec.withColumn("timestamp", F.current_timestamp())).collect()
+    assert [(r.message_key, r.event_timestamp.second) for r in back] == [("1", 5), ("2", 9)]
+    wrec = publish.openings_csv_to_records(spark, opath)
+    wback = codec.decode_window_events(wrec.withColumn("timestamp", F.current_timestamp())).collect()
+    assert [(r.message_key, r.event_timestamp.minute) for r in wback] == [("3_opened", 0), ("3_closed", 30)]
