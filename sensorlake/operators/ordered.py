@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from sensorlake.session import checkpoint_root, scratch_path
+from sensorlake.session import checkpoint_root, estimated_bytes, partitions_for_size, scratch_path
 
 _KIND_TARGET, _KIND_PROBE, _KIND_SUMMARY = 0, 1, 2
 
@@ -100,19 +100,13 @@ def _scan_partition(keys: Sequence[str], payload: Sequence[str]):
 def _partitions_for(df: DataFrame) -> int:
     """Range partition count from Catalyst's size estimate of the input.
 
-    At least ``spark.sql.shuffle.partitions``; more when the estimated input is
-    larger than that many advisory-sized partitions, so each range partition
-    stays near ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
+    One partition per ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` of
+    estimated input, at least the cluster's cores (capped by
+    ``spark.sql.shuffle.partitions``) so small inputs still use every core.
     """
     spark = df.sparkSession
-    floor_n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    target = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
-    target_bytes = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(target))
-    try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # stats unavailable (e.g. some sources): keep the configured count
-        return floor_n
-    return max(floor_n, min(100_000, -(-size // max(target_bytes, 1))))
+    floor_n = min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return partitions_for_size(spark, estimated_bytes(df), max(floor_n, 1), 100_000)
 
 
 def _materialize(df: DataFrame) -> DataFrame:

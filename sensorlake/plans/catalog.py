@@ -21,10 +21,10 @@ from sensorlake.operators import aggregates as agg
 from sensorlake.operators import metrics, pairing, quality, retention, sampling, status, views
 from sensorlake.sinks import audit, parquet
 from sensorlake.schemas import READING_MESSAGE_TYPE, READINGS_TOPIC
-from sensorlake.session import configure, scratch_path
+from sensorlake.session import configure, estimated_bytes, partitions_for_size, scratch_path
 from sensorlake.sources import bus, files, fixtures as fx
 from sensorlake.streaming.pairing import stream_first_close_pairs
-from sensorlake.streaming.runner import materialize, start_to_parquet
+from sensorlake.streaming.runner import materialize, partitions_for_new_queries, start_to_parquet
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -322,24 +322,36 @@ def _event_stream(spark, sf_dir) -> DataFrame:
     return bus.table_file_stream(spark, sf_dir, "events.parquet", schema)
 
 
+def _state_partitions(spark, sf_dir) -> int:
+    """State partitions for a one-shot stream over ``events``: sized from the input
+    (at least the cluster's cores), never above the session's shuffle partitions."""
+    ceiling = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    floor = min(spark.sparkContext.defaultParallelism, ceiling)
+    return partitions_for_size(spark, estimated_bytes(fx.events(spark, sf_dir)), floor, ceiling)
+
+
+def _run_stream(spark, sf_dir, df, name) -> DataFrame:
+    return materialize(spark, df, name, state_partitions=_state_partitions(spark, sf_dir))
+
+
 def temp_agg_1min_stream(spark, sf_dir):
     s = detect_anomalies(fx.readings(_event_stream(spark, sf_dir)))
-    return present(materialize(spark, agg.temperature_window_agg(s, agg.READINGS_1MIN), "agg1"), AGG_ROUNDED)
+    return present(_run_stream(spark, sf_dir, agg.temperature_window_agg(s, agg.READINGS_1MIN), "agg1"), AGG_ROUNDED)
 
 
 def temp_agg_5min_stream(spark, sf_dir):
     s = detect_anomalies(fx.readings(_event_stream(spark, sf_dir)))
-    return present(materialize(spark, agg.temperature_window_agg(s, agg.READINGS_5MIN), "agg5"), AGG_ROUNDED)
+    return present(_run_stream(spark, sf_dir, agg.temperature_window_agg(s, agg.READINGS_5MIN), "agg5"), AGG_ROUNDED)
 
 
 def window_agg_hourly_stream(spark, sf_dir):
     s = fx.window_events(_event_stream(spark, sf_dir))
-    return present(materialize(spark, agg.window_event_agg(s, agg.EVENTS_HOURLY), "hourly"))
+    return present(_run_stream(spark, sf_dir, agg.window_event_agg(s, agg.EVENTS_HOURLY), "hourly"))
 
 
 def window_agg_daily_stream(spark, sf_dir):
     s = fx.window_events(_event_stream(spark, sf_dir))
-    return present(materialize(spark, agg.window_event_agg(s, agg.EVENTS_DAILY), "daily"))
+    return present(_run_stream(spark, sf_dir, agg.window_event_agg(s, agg.EVENTS_DAILY), "daily"))
 
 
 # Order in which the late-data replay sends the readings, one event type per file.
@@ -356,9 +368,10 @@ def late_data_report(spark, sf_dir):
         fx.readings(ev.filter(F.col("event_type") == kind)).write.parquet(f"{root}/in/{i:02d}")
     schema = fx.readings(ev).schema
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in/*")
-    q = start_to_parquet(agg.temperature_window_agg(detect_anomalies(src), agg.READINGS_1MIN),
-                         f"{root}/out", f"{root}/ckpt", name=None)
-    q.awaitTermination()
+    with partitions_for_new_queries(spark, _state_partitions(spark, sf_dir)):
+        q = start_to_parquet(agg.temperature_window_agg(detect_anomalies(src), agg.READINGS_1MIN),
+                             f"{root}/out", f"{root}/ckpt", name=None)
+        q.awaitTermination()
     m = metrics.progress_metrics(spark, q)
     batch = F.get_json_object("tags", "$.batch_id").cast("long")
     return (m.groupBy(batch.alias("batch_id"))
@@ -374,7 +387,7 @@ PAIRING_DELAY = "10 minutes"   # watermark delay of the streaming pairing (compr
 
 def window_cycles_stream(spark, sf_dir):
     s = fx.window_events(_event_stream(spark, sf_dir), compress=True)
-    pairs = materialize(spark, stream_first_close_pairs(s, PAIRING_DELAY), "cycles")
+    pairs = _run_stream(spark, sf_dir, stream_first_close_pairs(s, PAIRING_DELAY), "cycles")
     pairs = pairs.withColumn("duration_seconds", whole_second_duration(F.col("opened_at"), F.col("closed_at")))
     pairs = pairs.withColumn("duration_minutes", F.col("duration_seconds") / 60)
     return present(detect_window_patterns(pairs))

@@ -81,3 +81,22 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         fallback = os.environ.get("SENSORLAKE_CHECKPOINT_DIR", "/tmp/sensorlake-checkpoints")
         spark.sparkContext.setCheckpointDir(fallback)
     return configure(spark)
+
+
+def estimated_bytes(df) -> int | None:
+    """Catalyst's size estimate of a DataFrame's plan (file sizes for scans), or None."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:
+        return None
+
+
+def advisory_bytes(spark: SparkSession) -> int:
+    target = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(target))
+
+
+def partitions_for_size(spark: SparkSession, size: int | None, floor: int, ceiling: int | None = None) -> int:
+    """ceil(size / advisory partition size), clamped to [floor, ceiling]."""
+    n = floor if size is None else max(floor, -(-size // max(advisory_bytes(spark), 1)))
+    return min(n, ceiling) if ceiling else n

@@ -9,12 +9,26 @@ test trigger; production jobs pass ``processingTime`` triggers instead.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from sensorlake.session import scratch_path
 
 
+@contextmanager
+def partitions_for_new_queries(spark: SparkSession, n: int | None):
+    """Shuffle/state partition count for queries started (and awaited) inside the block."""
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    if n:
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
+
+
 def start_to_parquet(df: DataFrame, path: str, checkpoint: str, name: str | None = None,
                      trigger: dict | None = None, partition_by: list[str] | None = None) -> StreamingQuery:
     writer = (df.writeStream.format("parquet").outputMode("append")
@@ -36,20 +50,27 @@ def start_console(df: DataFrame, name: str, checkpoint: str, trigger: dict | Non
             .trigger(**(trigger or {"processingTime": "30 seconds"})).start())
 
 
-def run_available_now(df: DataFrame, name: str) -> str:
-    """Process all available input of ``df`` into a fresh Parquet folder; return its path."""
+def run_available_now(df: DataFrame, name: str, state_partitions: int | None = None) -> str:
+    """Process all available input of ``df`` into a fresh Parquet folder; return its path.
+
+    ``state_partitions`` sets the shuffle/state partition count this query is
+    created with (a stateful query keeps it for its lifetime); the session
+    setting is restored after the run.
+    """
     spark = df.sparkSession
     out = scratch_path(spark, f"{name}-out")
-    q = start_to_parquet(df, out, scratch_path(spark, f"{name}-ckpt"))
-    q.awaitTermination()
+    with partitions_for_new_queries(spark, state_partitions):
+        q = start_to_parquet(df, out, scratch_path(spark, f"{name}-ckpt"))
+        q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"stream {name} failed: {q.exception()}")
     return out
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str, schema=None) -> DataFrame:
+def materialize(spark: SparkSession, df: DataFrame, name: str, schema=None,
+                state_partitions: int | None = None) -> DataFrame:
     """Run a streaming DataFrame to completion (``availableNow``) and read the table back."""
-    out = run_available_now(df, name)
+    out = run_available_now(df, name, state_partitions)
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
