@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sensorlake.functions.numeric import exact_avg
+
 
 @dataclass(frozen=True)
 class Tumbling:
@@ -40,17 +42,23 @@ def _split_window(df: DataFrame) -> DataFrame:
               .drop("window"))
 
 
+def average(col: str, digits: int | None):
+    """``exact_avg`` to ``digits`` decimals (reproducible), or a plain double ``avg`` when None."""
+    return F.avg(col) if digits is None else exact_avg(F.col(col), digits)
+
+
 def temperature_window_agg(readings: DataFrame, spec: Tumbling = READINGS_1MIN,
-                           streaming: bool | None = None) -> DataFrame:
+                           streaming: bool | None = None, avg_digits: int | None = 6) -> DataFrame:
     """Per device and tumbling window: averages, extremes, count and anomalies.
 
     ``readings`` must carry ``is_anomaly`` (see ``detect_anomalies``). Rows
-    without event time fall in no window.
+    without event time fall in no window. Averages are exact and rounded to
+    ``avg_digits`` decimals (``None``: plain double average).
     """
     src = _windowed(readings, spec, streaming)
     agg = src.groupBy(F.window("event_timestamp", spec.width), "device_id").agg(
-        F.avg("temperature_celsius").alias("avg_temp_celsius"),
-        F.avg("temperature_fahrenheit").alias("avg_temp_fahrenheit"),
+        average("temperature_celsius", avg_digits).alias("avg_temp_celsius"),
+        average("temperature_fahrenheit", avg_digits).alias("avg_temp_fahrenheit"),
         F.max("temperature_celsius").alias("max_temp_celsius"),
         F.min("temperature_celsius").alias("min_temp_celsius"),
         F.count(F.lit(1)).alias("reading_count"),

@@ -14,6 +14,8 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sensorlake.functions.numeric import exact_avg
+
 AsOf = Column | _dt.datetime | None
 
 
@@ -54,12 +56,14 @@ def latest_per_device(readings: DataFrame) -> DataFrame:
             .select("device_id", *[F.col(f"latest.{c}").alias(c) for c in cols]))
 
 
-def temperature_stats(readings: DataFrame, as_of: AsOf = None, interval: str = "24 HOURS") -> DataFrame:
-    """Per-device statistics over the strict trailing range (G-5)."""
+def temperature_stats(readings: DataFrame, as_of: AsOf = None, interval: str = "24 HOURS",
+                      avg_digits: int | None = 6) -> DataFrame:
+    """Per-device statistics over the strict trailing range (G-5); exact average (see ``numeric``)."""
     recent = since(readings, as_of, interval, inclusive=False)
+    avg = F.avg("temperature_celsius") if avg_digits is None else exact_avg(F.col("temperature_celsius"), avg_digits)
     return recent.groupBy("device_id").agg(
         F.count(F.lit(1)).alias("reading_count"),
-        F.avg("temperature_celsius").alias("avg_temp_celsius"),
+        avg.alias("avg_temp_celsius"),
         F.min("temperature_celsius").alias("min_temp_celsius"),
         F.max("temperature_celsius").alias("max_temp_celsius"),
         F.stddev_samp("temperature_celsius").alias("stddev_temp_celsius"),

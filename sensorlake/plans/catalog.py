@@ -63,7 +63,7 @@ def _window_events(spark, sf_dir, compress=False) -> DataFrame:
 
 READING_COLS = ["reading_id", "device_id", "event_timestamp", "timestamp_epoch",
                 "temperature_celsius", "temperature_fahrenheit", "is_anomaly", "anomaly_type"]
-AGG_ROUNDED = ("avg_temp_celsius", "avg_temp_fahrenheit")
+AGG_ROUNDED = ()   # averages are already exact to 6 decimals (functions.numeric)
 
 
 # --------------------------------------------------------------------------- batch queries
@@ -103,7 +103,7 @@ def latest_reading_per_device(spark, sf_dir):
 
 def temperature_stats_24h(spark, sf_dir):
     stats = views.temperature_stats(_readings(spark, sf_dir, compress=False))
-    return present(stats.orderBy(F.desc("avg_temp_celsius")), ("avg_temp_celsius", "stddev_temp_celsius"))
+    return present(stats.orderBy(F.desc("avg_temp_celsius")), ("stddev_temp_celsius",))
 
 
 def window_activity_7d(spark, sf_dir):
@@ -123,7 +123,7 @@ def agg_1min_last_2h(spark, sf_dir):
     r = _readings(spark, sf_dir)
     as_of = views.resolve_as_of(r, None)
     one_min = agg.temperature_window_agg(r, agg.READINGS_1MIN, streaming=False)
-    return present(views.recent_aggregates(one_min, as_of), ("avg_temp_celsius",))
+    return present(views.recent_aggregates(one_min, as_of))
 
 
 def activity_by_object_24h(spark, sf_dir):

@@ -45,6 +45,14 @@ W = _window_cte("W", "ts")
 WC = _window_cte("WC", _COMPRESSED)
 
 
+def _exact_avg(col: str, digits: int = 6) -> str:
+    """Same integer arithmetic as ``functions.numeric.exact_avg``."""
+    units = f"CAST(sign({col} * CAST(10000000000 AS DOUBLE)) * floor(abs({col} * CAST(10000000000 AS DOUBLE)) + 0.5) AS BIGINT)"
+    step = f"(count({col}) * {10 ** (10 - digits)})"
+    return (f"CASE WHEN count({col}) > 0 THEN CAST((2 * sum({units}) + sign(sum({units})) * {step}) "
+            f"// (2 * {step}) AS DOUBLE) / {10 ** digits} END")
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -59,8 +67,8 @@ def _temp_agg(width_us: int, label: str) -> str:
     we = _bucket("event_timestamp", width_us, ends=True)
     return f"""SELECT device_id, {ws} AS window_start, {we} AS window_end,
        '{label}' AS window_duration,
-       round(avg(temperature_celsius), 6) AS avg_temp_celsius,
-       round(avg(temperature_fahrenheit), 6) AS avg_temp_fahrenheit,
+       {_exact_avg('temperature_celsius')} AS avg_temp_celsius,
+       {_exact_avg('temperature_fahrenheit')} AS avg_temp_fahrenheit,
        max(temperature_celsius) AS max_temp_celsius,
        min(temperature_celsius) AS min_temp_celsius,
        count(*) AS reading_count,
@@ -146,8 +154,8 @@ WHERE closed_at < make_timestamp((epoch_us((SELECT max(event_timestamp) FROM WC)
        event_timestamp, is_anomaly, anomaly_type
 FROM R QUALIFY row_number() OVER (PARTITION BY device_id ORDER BY event_timestamp DESC, reading_id DESC) = 1
 ORDER BY device_id""",
-    "temperature_stats_24h": _with(RU) + """SELECT device_id, count(*) AS reading_count,
-       round(avg(temperature_celsius), 6) AS avg_temp_celsius,
+    "temperature_stats_24h": _with(RU) + f"""SELECT device_id, count(*) AS reading_count,
+       {_exact_avg('temperature_celsius')} AS avg_temp_celsius,
        min(temperature_celsius) AS min_temp_celsius, max(temperature_celsius) AS max_temp_celsius,
        round(stddev_samp(temperature_celsius), 6) AS stddev_temp_celsius,
        count(CASE WHEN is_anomaly THEN 1 END) AS anomaly_count
