@@ -174,6 +174,11 @@ def window_cycles_first_close(spark, sf_dir):
     return present(pairing.first_close_pairs(_window_events(spark, sf_dir, compress=True)))
 
 
+def window_usage_patterns(spark, sf_dir):
+    cycles = pairing.first_close_pairs(_window_events(spark, sf_dir, compress=True))
+    return pairing.usage_pattern_summary(cycles)
+
+
 def window_pair_counts(spark, sf_dir):
     return pairing.pair_pattern_counts(_window_events(spark, sf_dir, compress=True))
 
@@ -407,6 +412,7 @@ QUERIES: dict[str, QueryFn] = {
     "late_data_report": late_data_report,
     "window_cycles_first_close": window_cycles_first_close,
     "window_pair_counts": window_pair_counts,
+    "window_usage_patterns": window_usage_patterns,
     "window_cycles_stream": window_cycles_stream,
     "latest_reading_per_device": latest_reading_per_device,
     "temperature_stats_24h": temperature_stats_24h,
