@@ -48,51 +48,59 @@ def _scan_partition(keys: Sequence[str], payload: Sequence[str]):
     out_cols = [*keys, "_o", "_k", *payload, "_pid", "_cnt", "_min"]
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import numpy as np
         from pyspark import TaskContext
 
+        none = np.iinfo(np.int64).max            # "no target seen yet"
         pid = TaskContext.get().partitionId()
-        carry_key, carry_cnt, carry_min = None, 0, pd.NA
+        carry_key, carry_cnt, carry_min = None, 0, none
         for pdf in batches:
             if pdf.empty:
                 continue
             pdf = pdf.reset_index(drop=True)
             kf = pdf[list(keys)]
-            starts = (kf != kf.shift()).any(axis=1)
-            starts.iloc[0] = True
-            group = starts.cumsum()
-            is_target = pdf["_k"] == _KIND_TARGET
-            target_o = pdf["_o"].astype("Int64").where(is_target)
-            # rows arrive in descending order: "seen before" == "later in time"
-            count_incl = is_target.astype("int64").groupby(group).cumsum()
-            last_target = target_o.groupby(group).ffill()
-            first_key = tuple(kf.iloc[0])
-            if carry_key is not None and first_key == carry_key:
+            starts = (kf != kf.shift()).any(axis=1).to_numpy()
+            starts[0] = True
+            group = np.cumsum(starts)
+            is_target = (pdf["_k"] == _KIND_TARGET).to_numpy()
+            o = pdf["_o"].to_numpy(dtype=np.int64)
+            # rows arrive in descending order: "seen before" == "later in time", and the
+            # smallest target seen so far is the next target after the current row
+            tgt_one = is_target.astype(np.int64)
+            tgt_o = np.where(is_target, o, none)
+            by_group = pd.DataFrame({"g": group, "n": tgt_one, "m": tgt_o}).groupby("g", sort=False)
+            count_incl = by_group["n"].cumsum().to_numpy()
+            min_incl = by_group["m"].cummin().to_numpy()
+            if carry_key is not None and tuple(kf.iloc[0]) == carry_key:
                 first = group == 1
-                count_incl = count_incl.where(~first, count_incl + carry_cnt)
-                last_target = last_target.where(~(first & last_target.isna()), carry_min)
-            count_excl = count_incl - is_target.astype("int64")
+                count_incl = np.where(first, count_incl + carry_cnt, count_incl)
+                min_incl = np.where(first, np.minimum(min_incl, carry_min), min_incl)
+            count_excl = count_incl - tgt_one          # probes are not targets: same value
 
-            probes = pdf.loc[~is_target, [*keys, "_o", "_k", *payload]].copy()
+            probe = ~is_target
+            probes = pdf.loc[probe, [*keys, "_o", "_k", *payload]].copy()
             probes["_pid"] = pid
-            probes["_cnt"] = count_excl[~is_target].astype("int64")
-            probes["_min"] = last_target[~is_target].astype("Int64")
+            probes["_cnt"] = count_excl[probe]
+            pmin = min_incl[probe]
+            probes["_min"] = pd.arrays.IntegerArray(np.where(pmin == none, 0, pmin), pmin == none)
 
-            summary = pdf[list(keys)].groupby(group, sort=False).first()
-            summary["_o"] = pd.array([pd.NA] * len(summary), dtype="Int64")
+            summary = kf.groupby(group, sort=False).first().reset_index(drop=True)
+            agg = by_group.agg(n=("n", "sum"), m=("m", "min"))
+            summary["_o"] = pd.arrays.IntegerArray(np.zeros(len(summary), np.int64), np.ones(len(summary), bool))
             summary["_k"] = _KIND_SUMMARY
             for c in payload:
                 summary[c] = None
             summary["_pid"] = pid
-            summary["_cnt"] = is_target.astype("int64").groupby(group, sort=False).sum().values
-            summary["_min"] = target_o.groupby(group, sort=False).min().astype("Int64").values
+            summary["_cnt"] = agg["n"].to_numpy()
+            smin = agg["m"].to_numpy()
+            summary["_min"] = pd.arrays.IntegerArray(np.where(smin == none, 0, smin), smin == none)
 
             carry_key = tuple(kf.iloc[-1])
-            carry_cnt = int(count_incl.iloc[-1])
-            carry_min = last_target.iloc[-1]
+            carry_cnt = int(count_incl[-1])
+            carry_min = int(min_incl[-1])
             with warnings.catch_warnings():
                 warnings.simplefilter("ignore", FutureWarning)
-                yield pd.concat([probes[out_cols], summary.reset_index(drop=True)[out_cols]],
-                                ignore_index=True)
+                yield pd.concat([probes[out_cols], summary[out_cols]], ignore_index=True)
 
     return scan
 

@@ -23,6 +23,8 @@ def configure(spark: SparkSession) -> SparkSession:
     conf.set("spark.sql.adaptive.enabled", "true")
     conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # fewer, larger Arrow batches for the vectorised pandas passes (about 10 MB each here)
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "65536")
     return spark
 
 
