@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -35,11 +35,10 @@ def append_new(batch: DataFrame, url: str, table: str, key_cols: Sequence[str],
         pred = f"{time_col} BETWEEN '{bounds['lo']}' AND '{bounds['hi']}'"
         existing = read_table(spark, url, table, properties, pred).select(*key_cols)
         fresh = batch.join(existing, list(key_cols), "left_anti")
-        fresh = fresh.persist()
-        n = fresh.count()
-        fresh.write.jdbc(url, table, mode="append", properties=properties or {})
-        fresh.unpersist()
-        return n
+        obs = Observation(f"jdbc_append_{table}")
+        fresh.observe(obs, F.count(F.lit(1)).alias("n")).write.jdbc(
+            url, table, mode="append", properties=properties or {})
+        return int(obs.get["n"])
     finally:
         batch.unpersist()
 
