@@ -24,6 +24,7 @@ from sensorlake.schemas import READING_MESSAGE_TYPE, READINGS_TOPIC
 from sensorlake.session import configure, estimated_bytes, partitions_for_size, scratch_path
 from sensorlake.sources import bus, files, fixtures as fx
 from sensorlake.streaming.pairing import stream_first_close_pairs
+from sensorlake.streaming.pairing_tables import start_table_state_pairing
 from sensorlake.streaming.runner import materialize, partitions_for_new_queries, start_to_parquet
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -388,6 +389,7 @@ def late_data_report(spark, sf_dir):
 
 
 PAIRING_DELAY = "10 minutes"   # watermark delay of the streaming pairing (compressed time)
+PAIRING_DELAY_SECONDS = 600
 
 
 def window_cycles_stream(spark, sf_dir):
@@ -398,6 +400,18 @@ def window_cycles_stream(spark, sf_dir):
     return present(detect_window_patterns(pairs))
 
 
+def window_cycles_stream_tables(spark, sf_dir):
+    """Streaming first-close pairing with table-backed state (skew-proof micro-batches)."""
+    s = fx.window_events(_event_stream(spark, sf_dir), compress=True)
+    root = scratch_path(spark, "cycles-tables")
+    q = start_table_state_pairing(s, f"{root}/pairs", f"{root}/state", f"{root}/ckpt",
+                                  delay_seconds=PAIRING_DELAY_SECONDS, trigger={"availableNow": True})
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"pairing stream failed: {q.exception()}")
+    return present(spark.read.parquet(f"{root}/pairs").drop("batch_id"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "readings_classified": readings_classified,
     "anomaly_alerts": anomaly_alerts,
@@ -414,6 +428,7 @@ QUERIES: dict[str, QueryFn] = {
     "window_pair_counts": window_pair_counts,
     "window_usage_patterns": window_usage_patterns,
     "window_cycles_stream": window_cycles_stream,
+    "window_cycles_stream_tables": window_cycles_stream_tables,
     "latest_reading_per_device": latest_reading_per_device,
     "temperature_stats_24h": temperature_stats_24h,
     "window_activity_7d": window_activity_7d,

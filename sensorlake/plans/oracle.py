@@ -154,6 +154,8 @@ WHERE closed_at < make_timestamp((epoch_us((SELECT max(event_timestamp) FROM WC)
        count(*) AS cycles, count(*) FILTER (WHERE is_unusual) AS unusual_cycles,
        {_exact_avg('duration_minutes')} AS avg_duration_minutes
 FROM ({_durations(_FIRST_CLOSE)}) d GROUP BY ALL""",
+    "window_cycles_stream_tables": _with(WC) + f"""SELECT * FROM ({_durations(_FIRST_CLOSE)}) d
+WHERE closed_at < (SELECT max(event_timestamp) FROM WC) - INTERVAL '10 minutes'""",
     "latest_reading_per_device": _with(R) + """SELECT device_id, temperature_celsius, temperature_fahrenheit,
        event_timestamp, is_anomaly, anomaly_type
 FROM R QUALIFY row_number() OVER (PARTITION BY device_id ORDER BY event_timestamp DESC, reading_id DESC) = 1

@@ -29,6 +29,7 @@ from sensorlake.operators import aggregates as agg
 from sensorlake.operators import quality
 from sensorlake.sinks import audit, parquet
 from sensorlake.streaming.pairing import stream_first_close_pairs
+from sensorlake.streaming.pairing_tables import start_table_state_pairing
 from sensorlake.streaming.runner import start_to_parquet
 
 
@@ -90,8 +91,14 @@ def start_readings(spark: SparkSession, records: DataFrame, tables: str, checkpo
 
 
 def start_window_events(spark: SparkSession, records: DataFrame, tables: str, checkpoints: str,
-                        triggers: Triggers | None = None, pairing_delay: str = "1 hour") -> list[StreamingQuery]:
-    """Window-event job: raw fan-out, hourly and daily counts, open/close durations."""
+                        triggers: Triggers | None = None, pairing_delay: str = "1 hour",
+                        pairing: str = "tables") -> list[StreamingQuery]:
+    """Window-event job: raw fan-out, hourly and daily counts, open/close durations.
+
+    ``pairing="tables"`` (default) pairs in skew-proof micro-batch jobs with
+    table-backed state (``streaming.pairing_tables``); ``"state_store"`` uses
+    ``applyInPandasWithState`` (lower latency, one task per object).
+    """
     t = triggers or Triggers(raw={"processingTime": "15 seconds"},
                              agg_fast={"processingTime": "1 hour"}, agg_slow={"processingTime": "1 day"})
     decoded = codec.decode_window_events(records)
@@ -107,6 +114,11 @@ def start_window_events(spark: SparkSession, records: DataFrame, tables: str, ch
         name = f"window_aggregations_{spec.label}"
         queries.append(start_to_parquet(agg.window_event_agg(valid, spec), f"{tables}/{name}",
                                         f"{checkpoints}/{name}", name=name, trigger=trig))
+    if pairing == "tables":
+        queries.append(start_table_state_pairing(
+            valid, f"{tables}/window_durations", f"{checkpoints}/window_durations_state",
+            f"{checkpoints}/window_durations", delay_seconds=_seconds(pairing_delay), trigger=t.raw))
+        return queries
     pairs = stream_first_close_pairs(valid, pairing_delay)
     durations = detect_window_patterns(
         pairs.withColumn("duration_seconds", whole_second_duration(F.col("opened_at"), F.col("closed_at")))
@@ -114,3 +126,10 @@ def start_window_events(spark: SparkSession, records: DataFrame, tables: str, ch
     queries.append(start_to_parquet(durations, f"{tables}/window_durations", f"{checkpoints}/window_durations",
                                     name="window_durations", trigger=t.raw))
     return queries
+
+
+def _seconds(interval: str) -> float:
+    """'10 minutes' / '1 hour' / '30 seconds' / '1 day' -> seconds."""
+    n, unit = interval.split()
+    scale = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s").lower()]
+    return float(n) * scale
