@@ -70,10 +70,12 @@ AGG_ROUNDED = ()   # averages are already exact to 6 decimals (functions.numeric
 # --------------------------------------------------------------------------- batch queries
 
 def readings_classified(spark, sf_dir):
+    """R-1, R-2: every reading with its anomaly flag and type."""
     return present(_readings(spark, sf_dir).select(*READING_COLS))
 
 
 def anomaly_alerts(spark, sf_dir):
+    """D-2, B-10: anomalous readings only."""
     r = _readings(spark, sf_dir)
     return present(r.filter(F.col("is_anomaly")).select(
         "reading_id", "device_id", "event_timestamp", "temperature_celsius",
@@ -81,46 +83,56 @@ def anomaly_alerts(spark, sf_dir):
 
 
 def temp_agg_1min(spark, sf_dir):
+    """G-1, C-5, C-6: 1-minute tumbling aggregates per device (batch)."""
     return present(agg.temperature_window_agg(_readings(spark, sf_dir), agg.READINGS_1MIN, streaming=False),
                    AGG_ROUNDED)
 
 
 def temp_agg_5min(spark, sf_dir):
+    """G-2: 5-minute tumbling aggregates per device (batch)."""
     return present(agg.temperature_window_agg(_readings(spark, sf_dir), agg.READINGS_5MIN, streaming=False),
                    AGG_ROUNDED)
 
 
 def window_agg_hourly(spark, sf_dir):
+    """G-3: hourly event counts per object and event type (batch)."""
     return present(agg.window_event_agg(_window_events(spark, sf_dir), agg.EVENTS_HOURLY, streaming=False))
 
 
 def window_agg_daily(spark, sf_dir):
+    """G-4: daily (UTC-aligned) event counts per object and event type (batch)."""
     return present(agg.window_event_agg(_window_events(spark, sf_dir), agg.EVENTS_DAILY, streaming=False))
 
 
 def latest_reading_per_device(spark, sf_dir):
+    """N-1, L-4: newest reading per device."""
     return present(views.latest_per_device(_readings(spark, sf_dir)).orderBy("device_id"))
 
 
 def temperature_stats_24h(spark, sf_dir):
+    """G-5, D-4, GF-5, GF-6, L-3: per-device statistics over the strict last 24 hours."""
     stats = views.temperature_stats(_readings(spark, sf_dir, compress=False))
     return present(stats.orderBy(F.desc("avg_temp_celsius")), ("stddev_temp_celsius",))
 
 
 def window_activity_7d(spark, sf_dir):
+    """G-6, D-4, F-7, L-5: per-object daily activity over the strict last 7 days."""
     act = views.window_activity(_window_events(spark, sf_dir))
     return present(act.orderBy(F.desc("activity_date"), "object_code"))
 
 
 def readings_last_hour(spark, sf_dir):
+    """D-3, L-1: readings of the inclusive last hour, by time."""
     return present(views.recent_readings(_readings(spark, sf_dir)))
 
 
 def anomaly_count_last_hour(spark, sf_dir):
+    """G-7: number of anomalies in the inclusive last hour."""
     return views.anomaly_count(_readings(spark, sf_dir))
 
 
 def agg_1min_last_2h(spark, sf_dir):
+    """D-3, L-2: 1-minute aggregates starting in the last 2 hours."""
     r = _readings(spark, sf_dir)
     as_of = views.resolve_as_of(r, None)
     one_min = agg.temperature_window_agg(r, agg.READINGS_1MIN, streaming=False)
@@ -128,18 +140,22 @@ def agg_1min_last_2h(spark, sf_dir):
 
 
 def activity_by_object_24h(spark, sf_dir):
+    """G-8: event count per object name over the last 24 hours."""
     return views.activity_by_object(_window_events(spark, sf_dir))
 
 
 def events_by_hour_type_24h(spark, sf_dir):
+    """G-9, F-7: event count per hour and event type over the last 24 hours."""
     return present(views.events_by_hour_and_type(_window_events(spark, sf_dir)))
 
 
 def newest_5_readings(spark, sf_dir):
+    """L-6: the five newest readings (a top-k)."""
     return present(views.newest_readings(_readings(spark, sf_dir), 5))
 
 
 def table_status(spark, sf_dir):
+    """G-10, M-5: row count and status of the monitored tables."""
     r = _readings(spark, sf_dir)
     return status.table_status({
         "temperature_readings": r,
@@ -150,41 +166,49 @@ def table_status(spark, sf_dir):
 
 
 def retention_kept(spark, sf_dir):
+    """M-3, D-5, F-9: rows kept by a 7-day retention run."""
     r = _readings(spark, sf_dir, compress=False)
     kept = retention.kept_rows(r, None, RETENTION_DAYS)
     return present(kept.select("reading_id", "device_id", "event_timestamp", "temperature_celsius"))
 
 
 def retention_metric(spark, sf_dir):
+    """M-3, G-11, F-10, M-4: the metric row of that retention run."""
     r = _readings(spark, sf_dir, compress=False)
     return present(retention.cleanup_metric(r, None, RETENTION_DAYS))
 
 
 def replay_sample(spark, sf_dir):
+    """L-9: deterministic sample of 100 readings for replay."""
     r = _readings(spark, sf_dir).select("reading_id", "device_id", "event_timestamp", "temperature_celsius")
     return present(sampling.replay_sample(r, SAMPLE_SIZE, "reading_id"))
 
 
 def replay_dedup(spark, sf_dir):
+    """S-11: replayed copies removed."""
     r = _readings(spark, sf_dir).select(*READING_COLS)
     replayed = r.unionByName(r.filter(F.col("is_anomaly")))  # a replay re-sends anomalous rows
     return present(sampling.drop_replayed(replayed, ["device_id", "event_timestamp"]))
 
 
 def window_cycles_first_close(spark, sf_dir):
+    """J-3, F-4..F-6, R-3, R-4: each opening paired with its first later closing."""
     return present(pairing.first_close_pairs(_window_events(spark, sf_dir, compress=True)))
 
 
 def window_usage_patterns(spark, sf_dir):
+    """R-3, R-4 over J-3: cycles, unusual cycles and average minutes per pattern."""
     cycles = pairing.first_close_pairs(_window_events(spark, sf_dir, compress=True))
     return pairing.usage_pattern_summary(cycles)
 
 
 def window_pair_counts(spark, sf_dir):
+    """J-1 (re-aimed), R-3, R-4: exact all-pairs counts per object and usage pattern."""
     return pairing.pair_pattern_counts(_window_events(spark, sf_dir, compress=True))
 
 
 def clock_parse(spark, sf_dir):
+    """F-11, F-12, F-18: 12-hour clock text (with and without seconds) parsed back."""
     w = _window_events(spark, sf_dir)
     with_seconds = F.col("event_id") % 2 == 0
     texts = w.select("event_id", format_day(F.col("event_timestamp")).alias("day"),
@@ -193,6 +217,7 @@ def clock_parse(spark, sf_dir):
 
 
 def openings_fanout(spark, sf_dir):
+    """C-9, R-5, F-11: opening rows fanned out to opened/closed events."""
     pairs = pairing.first_close_pairs(_window_events(spark, sf_dir, compress=True))
     openings = pairs.select(
         format_day(F.col("opened_at")).alias("DayPST"),
@@ -206,6 +231,7 @@ def openings_fanout(spark, sf_dir):
 
 
 def readings_codec(spark, sf_dir):
+    """C-1..C-4, C-10..C-13, F-1, F-2, F-14, A-6, Q-*: readings encoded to records and decoded back."""
     r = _readings(spark, sf_dir)
     rec = codec.encode_readings(r, producer_time=F.col("event_timestamp"))
     dec = quality.label_readings(codec.decode_readings(rec))
@@ -215,6 +241,7 @@ def readings_codec(spark, sf_dir):
 
 
 def window_events_codec(spark, sf_dir):
+    """C-2, C-12, W1: window events encoded with `timestamp` and decoded back."""
     w = _window_events(spark, sf_dir)
     rec = codec.encode_window_events(w, producer_time=F.col("event_timestamp"))
     dec = quality.label_window_events(codec.decode_window_events(rec))
@@ -248,12 +275,14 @@ def _corrupted_reading_records(spark, sf_dir) -> DataFrame:
 
 
 def quality_quarantine(spark, sf_dir):
+    """Q-1..Q-3, T2: records with injected faults labelled valid or quarantined."""
     rec = _corrupted_reading_records(spark, sf_dir)
     labelled = quality.label_readings(codec.decode_readings(rec))
     return labelled.select("offset", "quality_status", "quarantine_reason")
 
 
 def topic_status(spark, sf_dir):
+    """A-9, M-5: messages per topic from end offsets."""
     recs = (fx.reading_records(_readings(spark, sf_dir), offsets=False).select("topic", "partition", "_id")
             .unionByName(fx.window_event_records(_window_events(spark, sf_dir), offsets=False)
                          .select("topic", "partition", "_id")))
@@ -261,6 +290,7 @@ def topic_status(spark, sf_dir):
 
 
 def kafka_peek(spark, sf_dir):
+    """A-8: first records of the readings topic."""
     recs = fx.reading_records(_readings(spark, sf_dir))
     peeked = status.peek(recs.select("topic", "partition", "offset", "key"), PEEK_SIZE)
     return peeked.select("topic", "partition", "offset", F.col("key").cast("string").alias("message_key"))
@@ -281,6 +311,7 @@ def archive_roundtrip(spark, sf_dir):
 
 
 def batch_audit(spark, sf_dir):
+    """B-15: row count of a written batch, observed during the write."""
     r = _readings(spark, sf_dir).select(*READING_COLS)
     path = scratch_path(spark, "audited")
     rec = audit.observed_write(r, 0, "temperature_readings", parquet.batch_writer(path))
@@ -341,21 +372,25 @@ def _run_stream(spark, sf_dir, df, name) -> DataFrame:
 
 
 def temp_agg_1min_stream(spark, sf_dir):
+    """G-1, S-1..S-3: the 1-minute aggregate as an append-mode stream."""
     s = detect_anomalies(fx.readings(_event_stream(spark, sf_dir)))
     return present(_run_stream(spark, sf_dir, agg.temperature_window_agg(s, agg.READINGS_1MIN), "agg1"), AGG_ROUNDED)
 
 
 def temp_agg_5min_stream(spark, sf_dir):
+    """G-2, S-1..S-3: the 5-minute aggregate as an append-mode stream."""
     s = detect_anomalies(fx.readings(_event_stream(spark, sf_dir)))
     return present(_run_stream(spark, sf_dir, agg.temperature_window_agg(s, agg.READINGS_5MIN), "agg5"), AGG_ROUNDED)
 
 
 def window_agg_hourly_stream(spark, sf_dir):
+    """G-3, S-1..S-3: hourly counts as an append-mode stream."""
     s = fx.window_events(_event_stream(spark, sf_dir))
     return present(_run_stream(spark, sf_dir, agg.window_event_agg(s, agg.EVENTS_HOURLY), "hourly"))
 
 
 def window_agg_daily_stream(spark, sf_dir):
+    """G-4, S-1..S-3: daily counts as an append-mode stream."""
     s = fx.window_events(_event_stream(spark, sf_dir))
     return present(_run_stream(spark, sf_dir, agg.window_event_agg(s, agg.EVENTS_DAILY), "daily"))
 
@@ -393,6 +428,7 @@ PAIRING_DELAY_SECONDS = 600
 
 
 def window_cycles_stream(spark, sf_dir):
+    """J-3 on a stream (state store): pairs final before the last watermark."""
     s = fx.window_events(_event_stream(spark, sf_dir), compress=True)
     pairs = _run_stream(spark, sf_dir, stream_first_close_pairs(s, PAIRING_DELAY), "cycles")
     pairs = pairs.withColumn("duration_seconds", whole_second_duration(F.col("opened_at"), F.col("closed_at")))
