@@ -48,3 +48,26 @@ def read_archive(spark: SparkSession, path: str, schema=None) -> DataFrame:
 def read_legacy_archive(spark: SparkSession, path: str) -> DataFrame:
     """Archive laid out as ``<path>/batch_<n>/`` (no ``key=value`` folders)."""
     return spark.read.option("recursiveFileLookup", "true").parquet(path)
+
+
+def compact_date(spark: SparkSession, path: str, day, out_path: str, sort_cols: Sequence[str],
+                 target_files: int | None = None) -> int:
+    """Rewrite one closed ``event_date`` partition as a few large, range-sorted files.
+
+    Micro-batch sinks leave many small files per day (one folder per batch).
+    Once a day can no longer receive replays, its rows are range-partitioned
+    on ``sort_cols`` (so files cover disjoint key/time ranges and row-group
+    statistics prune well) and written to ``out_path``; the caller swaps the
+    folder in. Nothing is read and overwritten at the same path. Returns the
+    number of rows written.
+    """
+    from pyspark.sql import Observation
+
+    src = spark.read.parquet(path).filter(F.col("event_date") == F.lit(day)).drop("batch_id")
+    n = target_files or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
+    obs = Observation(f"compact_{day}")
+    # observe after the range shuffle: its sampling job re-reads the input and must not count
+    (src.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+        .observe(obs, F.count(F.lit(1)).alias("n"))
+        .write.mode("errorifexists").parquet(out_path))
+    return int(obs.get["n"])

@@ -16,7 +16,10 @@ from sensorlake.schemas import RECORD
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str,
                  starting_offsets: str = "latest", fail_on_data_loss: bool = False,
-                 max_offsets_per_trigger: int | None = None) -> DataFrame:
+                 max_offsets_per_trigger: int | None = None,
+                 min_partitions: int | None = None) -> DataFrame:
+    """Subscribe to ``topic`` (A-3, A-4, A-5). ``max_offsets_per_trigger`` bounds a
+    micro-batch; ``min_partitions`` splits large topic partitions over more tasks."""
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", servers)
               .option("subscribe", topic)
@@ -24,6 +27,8 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str,
               .option("failOnDataLoss", str(fail_on_data_loss).lower()))
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    if min_partitions:
+        reader = reader.option("minPartitions", str(min_partitions))
     return reader.load()
 
 

@@ -47,3 +47,17 @@ def test_apply_retention_rewrites_only_what_is_kept(spark):
     kept = sorted(r.id for r in spark.read.parquet(dst).collect())
     assert kept == [0, 1, 2, 3, 4]            # the row exactly at the cut-off stays
     assert metric.metric_value == 2.0
+
+
+def test_compact_date_rewrites_one_day_sorted(spark):
+    path, out = scratch_path(spark, "cmp-src"), scratch_path(spark, "cmp-dst")
+    day = dt.date(2024, 1, 2)
+    for b in range(6):
+        rows = [(i + 100 * b, f"d{i % 3}", dt.datetime(2024, 1, 2, b, i)) for i in range(20)]
+        parquet.write_batch(spark.createDataFrame(rows, "id long, device_id string, event_timestamp timestamp"), b, path)
+    parquet.write_batch(spark.createDataFrame([(999, "d0", dt.datetime(2024, 1, 3))],
+                                              "id long, device_id string, event_timestamp timestamp"), 6, path)
+    n = parquet.compact_date(spark, path, day, out, ["device_id", "event_timestamp"], target_files=2)
+    back = spark.read.parquet(out)
+    assert n == 120 == back.count()
+    assert back.select(F.input_file_name()).distinct().count() <= 2
