@@ -400,9 +400,13 @@ LATE_REPLAY_ORDER = ("click", "error", "purchase", "signup", "view")
 
 
 def late_data_report(spark, sf_dir):
-    """Replay the readings one event type per file (each file spans the whole period, so
-    every file after the first arrives late) through the 1-minute aggregate; report per
-    micro-batch the rows read and the rows the watermark dropped (S-4)."""
+    """S-4: replay the readings one event type per file (each file spans the whole period,
+    so every file after the first arrives late) through the 1-minute aggregate; report per
+    micro-batch the rows read and the state-operator rows the watermark dropped.
+
+    Spark filters late rows after the map-side partial aggregation, so a dropped
+    "row" is one (window, device) partial group per map task; and batch ``b`` is
+    filtered with the watermark of the batch before it (one batch of slack)."""
     ev = _events(spark, sf_dir)
     root = scratch_path(spark, "late-replay")
     for i, kind in enumerate(LATE_REPLAY_ORDER):
@@ -419,7 +423,7 @@ def late_data_report(spark, sf_dir):
             .agg(F.sum(F.when(F.col("metric_name") == "stream_input_rows", F.col("metric_value")))
                  .cast("long").alias("input_rows"),
                  F.sum(F.when(F.col("metric_name") == "stream_rows_dropped_by_watermark", F.col("metric_value")))
-                 .cast("long").alias("rows_dropped_by_watermark"))
+                 .cast("long").alias("state_rows_dropped_by_watermark"))
             .orderBy("batch_id"))
 
 

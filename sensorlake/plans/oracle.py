@@ -131,6 +131,29 @@ SELECT object_code, object_name, 'closed',
        date_trunc('second', CAST(CAST(opened_at AS DATE) AS TIMESTAMP) + (closed_at - date_trunc('day', closed_at)))
 FROM ({_FIRST_CLOSE}) g"""
 
+_LATE_FILE = ("CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'purchase' THEN 2 "
+              "WHEN 'signup' THEN 3 ELSE 4 END")
+
+# One replay file per event type (one input split each). Batch b drops the partial groups
+# (device, 1-minute window) of its file whose window ended at or before the watermark of the
+# previous batch: max event time of the files up to b-2, minus the 2-minute delay.
+_LATE_REPORT = f"""SELECT CAST(b AS BIGINT) AS batch_id, input_rows, state_rows_dropped_by_watermark FROM (
+  SELECT f.b, count(*) AS input_rows,
+         count(DISTINCT (device_id, wmin)) FILTER (
+           WHERE wm.w IS NOT NULL AND make_timestamp((wmin + 1) * 60000000) <= wm.w) AS state_rows_dropped_by_watermark
+  FROM (SELECT device_id, event_timestamp, epoch_us(event_timestamp) // 60000000 AS wmin,
+               {_LATE_FILE} AS b
+        FROM (SELECT *, event_type FROM events) e0
+        JOIN (SELECT reading_id, device_id, event_timestamp FROM R) r ON r.reading_id = e0.event_id) f
+  JOIN (SELECT b0.b, (SELECT max(m) FROM (SELECT {_LATE_FILE} AS b, max({_COMPRESSED}) AS m
+                                         FROM events GROUP BY 1) mx WHERE mx.b <= b0.b - 2)
+                     - INTERVAL '2 minutes' AS w
+        FROM (SELECT DISTINCT {_LATE_FILE} AS b FROM events) b0) wm USING (b)
+  GROUP BY f.b
+  -- the trailing no-data batch runs only when the last file raised the watermark
+  UNION ALL SELECT 5, 0, 0 WHERE (SELECT max({_COMPRESSED}) FROM events WHERE {_LATE_FILE} = 4)
+                               > (SELECT max({_COMPRESSED}) FROM events WHERE {_LATE_FILE} < 4)) t"""
+
 ORACLE: dict[str, str] = {
     "readings_classified": _with(R) + f"SELECT {_READING_COLS} FROM R",
     "anomaly_alerts": _with(R) + """SELECT reading_id, device_id, event_timestamp, temperature_celsius,
@@ -143,6 +166,7 @@ ORACLE: dict[str, str] = {
     "window_agg_daily": _with(W) + _event_agg("W", _DAY, "daily"),
     "window_agg_hourly_stream": _with(W) + _emitted(_event_agg("W", _HOUR, "hourly"), "W", "1 hour"),
     "window_agg_daily_stream": _with(W) + _emitted(_event_agg("W", _DAY, "daily"), "W", "1 day"),
+    "late_data_report": _with(R) + _LATE_REPORT,
     "window_cycles_first_close": _with(WC) + _durations(_FIRST_CLOSE),
     "window_pair_counts": _with(WC) + f"""SELECT object_code, object_name, usage_pattern,
        count(*) AS pair_count, count(*) FILTER (WHERE is_unusual) AS unusual_count
