@@ -193,3 +193,50 @@ def test_table_state_pairing_across_batches_equals_batch_pairing(spark):
     assert got.count() == expect.count() > 0
     assert got.exceptAll(expect).count() == 0 and expect.exceptAll(got).count() == 0
     assert len(os.listdir(f"{root}/pairs")) >= 4          # one partition per micro-batch
+
+
+def _late_but_within_delay_files(spark, root, w):
+    """Four files by time quartile; events in the last 2 minutes of a quartile arrive one file later."""
+    rows = w.collect()                                       # small fixture only
+    t0 = min(r.event_timestamp for r in rows)
+    span = (max(r.event_timestamp for r in rows) - t0) / 4
+    files = [[] for _ in range(4)]
+    for r in rows:
+        q = min(3, int((r.event_timestamp - t0) / span))
+        boundary = t0 + span * (q + 1)
+        if q < 3 and boundary - r.event_timestamp < dt.timedelta(minutes=2):
+            q += 1
+        files[q].append(r)
+    base = time.time() - 1000
+    for i, part_rows in enumerate(files):
+        part = f"{root}/in/{i:03d}"
+        spark.createDataFrame(part_rows, w.schema).coalesce(1).write.parquet(part)
+        for f in os.listdir(part):
+            if f.endswith(".parquet"):
+                os.utime(f"{part}/{f}", (base + i * 10, base + i * 10))
+    return max(r.event_timestamp for r in rows)
+
+
+def test_both_streaming_pairings_ignore_arrival_order(spark):
+    from sensorlake.operators.pairing import first_close_pairs
+    from sensorlake.streaming.pairing import stream_first_close_pairs
+    from sensorlake.streaming.pairing_tables import start_table_state_pairing
+    w = fx.window_events(fx.events(spark, SF_SMALL), compress=True)
+    root = scratch_path(spark, "ooo").replace("file:", "")
+    max_ts = _late_but_within_delay_files(spark, root, w)
+    cut = F.lit(max_ts - dt.timedelta(minutes=10))
+    cols = ["object_code", "opened_at", "closed_at"]
+    expect = first_close_pairs(w).filter(F.col("closed_at") < cut).select(*cols)
+
+    src = lambda: spark.readStream.schema(w.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in/*")
+    q1 = start_table_state_pairing(src(), f"{root}/p1", f"{root}/s1", f"{root}/c1",
+                                   delay_seconds=600, trigger={"availableNow": True})
+    q1.awaitTermination()
+    got1 = spark.read.parquet(f"{root}/p1").select(*cols)
+    q2 = start_to_parquet(stream_first_close_pairs(src(), "10 minutes"), f"{root}/p2", f"{root}/c2")
+    q2.awaitTermination()
+    # the state-store variant's watermark is in milliseconds: compare on closings before the cut
+    got2 = spark.read.parquet(f"{root}/p2").select(*cols).filter(F.col("closed_at") < cut)
+    for got in (got1, got2):
+        assert got.count() == expect.count() > 0
+        assert got.exceptAll(expect).count() == 0 and expect.exceptAll(got).count() == 0
