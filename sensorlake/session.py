@@ -93,9 +93,19 @@ def estimated_bytes(df) -> int | None:
         return None
 
 
+_SIZE_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+               "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def size_bytes(text: str) -> int:
+    """'64m' / '128MB' / '1g' / '1048576' -> bytes (Spark's size-string convention)."""
+    t = text.strip().lower()
+    digits = t.rstrip("abcdefghijklmnopqrstuvwxyz")
+    return int(float(digits) * _SIZE_UNITS[t[len(digits):].strip()])
+
+
 def advisory_bytes(spark: SparkSession) -> int:
-    target = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
-    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(target))
+    return size_bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
 
 
 def partitions_for_size(spark: SparkSession, size: int | None, floor: int, ceiling: int | None = None) -> int:
