@@ -240,3 +240,24 @@ def test_both_streaming_pairings_ignore_arrival_order(spark):
     for got in (got1, got2):
         assert got.count() == expect.count() > 0
         assert got.exceptAll(expect).count() == 0 and expect.exceptAll(got).count() == 0
+
+
+def test_console_debug_sink_and_rocksdb_state(spark):
+    from sensorlake.session import use_rocksdb_state
+    from sensorlake.streaming.runner import start_console
+    root = scratch_path(spark, "console")
+    s = detect_anomalies(fx.readings(catalog._event_stream(spark, SF_SMALL)))
+    q = start_console(s.filter("is_anomaly"), "alerts_console", f"{root}/c1", trigger={"availableNow": True}, rows=3)
+    q.awaitTermination()
+    assert q.exception() is None
+    key = "spark.sql.streaming.stateStore.providerClass"
+    previous = spark.conf.get(key)
+    try:
+        use_rocksdb_state(spark)
+        out = f"{root}/agg"
+        q2 = start_to_parquet(agg.temperature_window_agg(s, agg.READINGS_5MIN), out, f"{root}/c2")
+        q2.awaitTermination()
+        assert q2.exception() is None
+        assert spark.read.parquet(out).count() > 0
+    finally:
+        spark.conf.set(key, previous)
