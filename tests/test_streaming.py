@@ -261,3 +261,21 @@ def test_console_debug_sink_and_rocksdb_state(spark):
         assert spark.read.parquet(out).count() > 0
     finally:
         spark.conf.set(key, previous)
+
+
+def test_table_state_pairing_replay_of_a_batch_is_identical(spark):
+    from sensorlake.streaming.pairing_tables import pair_batch
+    root = scratch_path(spark, "treplay")
+    w = fx.window_events(fx.events(spark, SF_SMALL), compress=True)
+    mid = w.agg(F.percentile_approx(F.unix_micros("event_timestamp"), 0.5)).first()[0]
+    b0 = w.filter(F.unix_micros("event_timestamp") < mid)
+    b1 = w.filter(F.unix_micros("event_timestamp") >= mid)
+    delay = 600 * 1_000_000
+    pair_batch(b0, 0, f"{root}/pairs", f"{root}/state", delay)
+    pair_batch(b1, 1, f"{root}/pairs", f"{root}/state", delay)
+    first_pairs = spark.read.parquet(f"{root}/pairs/batch_id=1").collect()
+    first_state = spark.read.parquet(f"{root}/state/batch_id=1").collect()
+    pair_batch(b1, 1, f"{root}/pairs", f"{root}/state", delay)        # the retry of batch 1
+    assert sorted(spark.read.parquet(f"{root}/pairs/batch_id=1").collect()) == sorted(first_pairs)
+    assert sorted(spark.read.parquet(f"{root}/state/batch_id=1").collect()) == sorted(first_state)
+    assert len(first_pairs) > 0
