@@ -117,16 +117,20 @@ def _partitions_for(df: DataFrame) -> int:
     return partitions_for_size(spark, estimated_bytes(df), max(floor_n, 1), 100_000)
 
 
-def _materialize(df: DataFrame) -> DataFrame:
+def _materialize(df: DataFrame, created: list[str] | None = None) -> DataFrame:
     """Write to a table in the shared checkpoint folder and read it back (cuts lineage,
-    pins ``_pid``; a lost executor re-reads files instead of re-sampling the range shuffle)."""
+    pins ``_pid``; a lost executor re-reads files instead of re-sampling the range shuffle).
+    The folder is appended to ``created`` so a caller that consumed the result can delete it."""
     path = scratch_path(df.sparkSession, "ordered-scan")
     df.write.mode("errorifexists").parquet(path)
+    if created is not None:
+        created.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scan_table(probes: DataFrame, targets: DataFrame, keys: Sequence[str], order: str,
-               tie: str | None = None, n_partitions: int | None = None) -> DataFrame:
+               tie: str | None = None, n_partitions: int | None = None,
+               created: list[str] | None = None) -> DataFrame:
     """Steps 1-3: range-partition, scan each partition, write the result to the shared folder.
 
     Returns the written table: probe rows (``_k`` = 1) with in-partition
@@ -161,21 +165,24 @@ def scan_table(probes: DataFrame, targets: DataFrame, keys: Sequence[str], order
         + [StructField(c, probe_schema[c], True) for c in payload]
         + [StructField("_pid", IntegerType()), StructField("_cnt", LongType()), StructField("_min", LongType())]
     )
-    return _materialize(ranged.mapInPandas(_scan_partition(keys, payload), out_schema))
+    return _materialize(ranged.mapInPandas(_scan_partition(keys, payload), out_schema), created)
 
 
 def later_targets(probes: DataFrame, targets: DataFrame, keys: Sequence[str], order: str,
-                  tie: str | None = None, n_partitions: int | None = None) -> DataFrame:
+                  tie: str | None = None, n_partitions: int | None = None,
+                  created: list[str] | None = None) -> DataFrame:
     """Per probe row: count and smallest order value of same-key targets with a greater order.
 
     ``order`` (and ``tie``) must be integral columns present in both inputs;
     every other probe column is carried through. Rows with a NULL key or order
     are dropped (they pair with nothing). Returns the probe columns plus
-    ``later_count`` (long) and ``later_min`` (long, NULL when none).
+    ``later_count`` (long) and ``later_min`` (long, NULL when none). The folder
+    of the intermediate table is appended to ``created`` (if given); it may be
+    deleted once every action on the result has run.
     """
     keys = list(keys)
     payload = [c for c in probes.columns if c not in (*keys, order)]
-    scanned = scan_table(probes, targets, keys, order, tie, n_partitions)
+    scanned = scan_table(probes, targets, keys, order, tie, n_partitions, created)
 
     # step 4: what lies in later partitions of the same key
     per_part = (scanned.filter(F.col("_k") == _KIND_SUMMARY)

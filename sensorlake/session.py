@@ -112,3 +112,11 @@ def partitions_for_size(spark: SparkSession, size: int | None, floor: int, ceili
     """ceil(size / advisory partition size), clamped to [floor, ceiling]."""
     n = floor if size is None else max(floor, -(-size // max(advisory_bytes(spark), 1)))
     return min(n, ceiling) if ceiling else n
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete a folder this library wrote (any Hadoop-compatible file system)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(hpath, True))

@@ -19,7 +19,9 @@ micro-batch is a batch job instead (``foreachBatch``):
 
 All three writes replace the batch's own partition, and batch ``b`` reads
 only what batch ``b-1`` wrote, so a re-run of a failed batch reproduces it
-exactly (effectively-once). Previously final closings never need to be kept:
+exactly (effectively-once). After its writes, batch ``b`` deletes its own
+ordered-scan table and the state of batch ``b-2``, so a long-running stream
+keeps a bounded footprint. Previously final closings never need to be kept:
 they are earlier than every event still to become final.
 """
 
@@ -35,6 +37,7 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 from sensorlake.functions.classify import detect_window_patterns
 from sensorlake.functions.timefmt import whole_second_duration
 from sensorlake.operators.ordered import later_targets
+from sensorlake.session import delete_path
 
 _OPEN, _CLOSE = 0, 1
 
@@ -100,7 +103,8 @@ def pair_batch(batch: DataFrame, batch_id: int, pairs_path: str, state_path: str
         opens = events.filter((F.col("_kind") == _OPEN) & final).select(
             "object_code", "_us", "object_name", "event_id")
         closes = events.filter((F.col("_kind") == _CLOSE) & final).select("object_code", "_us", "event_id")
-        matched = later_targets(opens, closes, ["object_code"], "_us", tie="event_id")
+        scratch: list[str] = []
+        matched = later_targets(opens, closes, ["object_code"], "_us", tie="event_id", created=scratch)
 
         pairs = matched.filter(F.col("later_min").isNotNull()).select(
             "object_code", "object_name",
@@ -115,6 +119,12 @@ def pair_batch(batch: DataFrame, batch_id: int, pairs_path: str, state_path: str
         pending.unionByName(waiting).write.mode("overwrite").parquet(f"{state_path}/batch_id={batch_id}")
         spark.createDataFrame([(max_us, upto)], WATERMARK_SCHEMA).coalesce(1).write.mode("overwrite") \
             .parquet(f"{state_path}/_watermark/batch_id={batch_id}")
+        # housekeeping: the scan table is consumed; batch b-1's state stays for a retry of b
+        for path in scratch:
+            delete_path(spark, path)
+        if batch_id >= 2:
+            delete_path(spark, f"{state_path}/batch_id={batch_id - 2}")
+            delete_path(spark, f"{state_path}/_watermark/batch_id={batch_id - 2}")
     finally:
         new.unpersist()
 

@@ -193,6 +193,9 @@ def test_table_state_pairing_across_batches_equals_batch_pairing(spark):
     assert got.count() == expect.count() > 0
     assert got.exceptAll(expect).count() == 0 and expect.exceptAll(got).count() == 0
     assert len(os.listdir(f"{root}/pairs")) >= 4          # one partition per micro-batch
+    # bounded footprint: only the last two batches' state is kept
+    kept = sorted(d for d in os.listdir(f"{root}/state") if d.startswith("batch_id="))
+    assert len(kept) == 2 and kept[-1] == f"batch_id={len(os.listdir(f'{root}/pairs')) - 1}"
 
 
 def _late_but_within_delay_files(spark, root, w):
