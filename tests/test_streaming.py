@@ -282,3 +282,27 @@ def test_table_state_pairing_replay_of_a_batch_is_identical(spark):
     assert sorted(spark.read.parquet(f"{root}/pairs/batch_id=1").collect()) == sorted(first_pairs)
     assert sorted(spark.read.parquet(f"{root}/state/batch_id=1").collect()) == sorted(first_state)
     assert len(first_pairs) > 0
+
+
+def test_multi_batch_stream_aggregate_equals_batch(spark):
+    root = scratch_path(spark, "mstream").replace("file:", "")
+    r = fx.readings(fx.events(spark, SF_SMALL))
+    rows = r.orderBy("event_timestamp").collect()            # small fixture only
+    quarter = len(rows) // 4 + 1
+    base = time.time() - 1000
+    for i in range(4):
+        part = f"{root}/in/{i:03d}"
+        spark.createDataFrame(rows[i * quarter:(i + 1) * quarter], r.schema).coalesce(1).write.parquet(part)
+        for f in os.listdir(part):
+            if f.endswith(".parquet"):
+                os.utime(f"{part}/{f}", (base + i * 10, base + i * 10))
+    src = spark.readStream.schema(r.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in/*")
+    q = start_to_parquet(agg.temperature_window_agg(detect_anomalies(src), agg.READINGS_1MIN), f"{root}/out", f"{root}/ckpt")
+    q.awaitTermination()
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 4
+    max_ts = max(x.event_timestamp for x in rows)
+    batch = agg.temperature_window_agg(detect_anomalies(r), agg.READINGS_1MIN, streaming=False).filter(
+        F.col("window_end") <= F.lit(max_ts - dt.timedelta(minutes=2)))
+    got = spark.read.parquet(f"{root}/out").select(*batch.columns)
+    assert got.count() == batch.count() > 0
+    assert got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
