@@ -9,7 +9,10 @@ rounded digit. ``exact_avg`` avoids both:
 1. each value is scaled to integer units of 1e-10 with IEEE operations only
    (``sign(y) * floor(|y| + 0.5)``, exact half-away-from-zero rounding for
    |value| < 4.5e5);
-2. the units are summed exactly (``decimal(38,0)``; order-independent);
+2. the units are summed exactly and order-independently: each unit is split
+   into a high and a low part of ``SPLIT_BITS`` bits and both are summed as
+   plain longs (no per-row decimal arithmetic; exact for up to 2^36 rows per
+   group), and only the per-group total is formed as ``decimal(38,0)``;
 3. the quotient is rounded half away from zero to ``digits`` decimals with
    integer division.
 
@@ -23,6 +26,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 UNIT_SCALE = 10
+SPLIT_BITS = 26
 
 
 def scaled_units(col: Column) -> Column:
@@ -33,7 +37,11 @@ def scaled_units(col: Column) -> Column:
 
 def exact_avg(col: Column, digits: int = 6) -> Column:
     """Average of the non-NULL values, rounded half away from zero to ``digits`` decimals."""
-    total = F.sum(scaled_units(col).cast("decimal(38,0)"))
+    units = scaled_units(col)
+    low = F.pmod(units, F.lit(1 << SPLIT_BITS))
+    high = F.call_function("div", units - low, F.lit(1 << SPLIT_BITS))
+    total = (F.sum(high).cast("decimal(38,0)") * F.lit(1 << SPLIT_BITS).cast("decimal(38,0)")
+             + F.sum(low).cast("decimal(38,0)"))
     n = F.count(col)
     step = (n * (10 ** (UNIT_SCALE - digits))).cast("decimal(38,0)")
     q = F.call_function("div", total * 2 + F.signum(total).cast("decimal(38,0)") * step, step * 2)
