@@ -61,3 +61,14 @@ def test_compact_date_rewrites_one_day_sorted(spark):
     back = spark.read.parquet(out)
     assert n == 120 == back.count()
     assert back.select(F.input_file_name()).distinct().count() <= 2
+
+
+def test_size_strings_and_scratch_deletion(spark):
+    import os
+    from sensorlake.session import delete_path, size_bytes
+    assert size_bytes("64m") == 64 << 20 and size_bytes("128MB") == 128 << 20
+    assert size_bytes("1g") == 1 << 30 and size_bytes("1048576") == 1048576
+    path = scratch_path(spark, "del")
+    spark.range(3).write.parquet(path)
+    assert delete_path(spark, path)
+    assert not os.path.exists(path.replace("file:", ""))
