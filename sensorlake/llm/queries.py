@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from sensorlake.llm import mixing, sharding
+from sensorlake.llm import decontam, language, mixing, sharding, simhash
 
 QUERIES = {
+    "op1_decontaminate": decontam.op1_decontaminate,
+    "op3_simhash": simhash.op3_simhash,
     "op4_mix": mixing.op4_mix,
     "op5_shard": sharding.op5_shard,
+    "op6_language": language.op6_language,
 }
 ORACLE = {"op4_mix": mixing.OP4_SQL}
