@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sensorlake.llm import decontam, language, mixing, sharding, simhash
+from sensorlake.llm import decontam, language, mixing, pii, sharding, simhash
 
 QUERIES = {
     "op1_decontaminate": decontam.op1_decontaminate,
@@ -10,5 +10,6 @@ QUERIES = {
     "op4_mix": mixing.op4_mix,
     "op5_shard": sharding.op5_shard,
     "op6_language": language.op6_language,
+    "op10_pii": pii.op10_pii,
 }
 ORACLE = {"op4_mix": mixing.OP4_SQL}
