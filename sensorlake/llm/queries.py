@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from sensorlake.llm import decontam, language, mixing, pii, sharding, simhash
+from sensorlake.llm import decontam, language, mixing, pii, sharding, simhash, suffixes
 
 QUERIES = {
     "op1_decontaminate": decontam.op1_decontaminate,
+    "op2_suffixes": suffixes.op2_suffixes,
     "op3_simhash": simhash.op3_simhash,
     "op4_mix": mixing.op4_mix,
     "op5_shard": sharding.op5_shard,
