@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sensorlake.llm import decontam, kneser, language, mixing, pii, sharding, simhash, suffixes, warc
+from sensorlake.llm import decontam, kneser, language, mixing, pii, sharding, simhash, suffixes, vectors, warc
 
 QUERIES = {
     "op1_decontaminate": decontam.op1_decontaminate,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_mix": mixing.op4_mix,
     "op5_shard": sharding.op5_shard,
     "op6_language": language.op6_language,
+    "op7_vectors": vectors.op7_vectors,
     "op8_kneser_ney": kneser.op8_kneser_ney,
     "op9_warc": warc.op9_warc,
     "op10_pii": pii.op10_pii,
