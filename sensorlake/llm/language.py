@@ -138,8 +138,8 @@ def _predicted(model: dict, keys: list[str]):
 
 def predict(docs: DataFrame, model: dict, keys: dict[str, str]) -> DataFrame:
     """The ``keys`` columns (name -> type), lang_pred, score and ambiguous of every row."""
-    schema = ", ".join(f"{k} {t}" for k, t in keys.items()) + ", lang_pred string, score double, ambiguous boolean"
-    return docs.select(*keys, "text").mapInArrow(_predicted(model, list(keys)), schema)
+    schema = ", ".join(f"`{k}` {t}" for k, t in keys.items()) + ", lang_pred string, score double, ambiguous boolean"
+    return docs.select(*[docs[f"`{k}`"] for k in dict.fromkeys([*keys, "text"])]).mapInArrow(_predicted(model, list(keys)), schema)
 
 
 def held_out(part: int, of: int) -> Column:

@@ -225,13 +225,13 @@ def link_components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, keys: dict[str, str] | None = None, shingle: int = SHINGLE,
                     max_bits: int = MAX_BITS) -> DataFrame:
-    """Per row: the key columns (doc_id among them), fp and component_id."""
+    """Per row: the key columns (doc_id among them), fp, group (a fingerprint of the component) and component_id."""
     rows = pinned(with_fingerprints(docs, keys or {"doc_id": "long"}, shingle))
     prints = rows.groupBy("fp").agg(F.min("doc_id").alias("_first"))
     rooted = prints.join(link_components(prints.select("fp"), max_bits), prints.fp == F.col("node"), "left").select(
         "fp", "_first", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("_first").alias("component_id"))
-    return rows.join(rooted.join(named, "root").select("fp", "component_id"), "fp")
+    return rows.join(rooted.join(named, "root").select("fp", F.col("root").alias("group"), "component_id"), "fp")
 
 
 def op3_simhash(spark, sf_dir):
