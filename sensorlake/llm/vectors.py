@@ -215,8 +215,8 @@ def _linked(rows: dict[str, np.ndarray], dims: int, cosine: float) -> Iterator[p
              pa.array(np.concatenate([b, np.zeros(len(u), np.int64)]))], ["node", "other", "links"])
 
 
-_USABLE = ("label is not null and size(embedding) > 0 and forall(embedding, x -> x is not null and not isnan(x) "
-           "and abs(x) < double('inf')) and exists(embedding, x -> x != 0)")
+_USABLE = ("coalesce(label is not null and size(embedding) > 0 and forall(embedding, x -> x is not null and not isnan(x) "
+           "and abs(x) < double('inf')) and exists(embedding, x -> x != 0), false)")
 
 
 def _as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
