@@ -81,9 +81,10 @@ def _decode(records: DataFrame, schema) -> DataFrame:
     return records.select(
         F.col("key").cast("string").alias("message_key"),
         F.from_json(F.col("value").cast("string"), schema).alias("data"),
+        F.col("value").alias("raw_value"),
         F.col("timestamp").alias("kafka_timestamp"),
         *[c for c in ("topic", "partition", "offset") if c in records.columns],
-    ).select("message_key", "kafka_timestamp",
+    ).select("message_key", "kafka_timestamp", "raw_value",
              *[c for c in ("topic", "partition", "offset") if c in records.columns], "data.*")
 
 
@@ -91,7 +92,7 @@ def decode_readings(records: DataFrame, processing_time: Column | None = None) -
     """Records -> typed readings (A-6, C-1, C-3, C-4, F-1, F-2).
 
     Malformed JSON gives a row whose payload fields are all NULL; it is kept
-    here and routed to quarantine by :mod:`sensorlake.operators.quality`.
+    here, its bytes as ``raw_value``, and routed to quarantine by :mod:`sensorlake.operators.quality`.
     """
     processed = processing_time if processing_time is not None else F.current_timestamp()
     return (_decode(records, READING_PAYLOAD)

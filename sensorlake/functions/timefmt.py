@@ -6,6 +6,8 @@ a bad value becomes NULL (and is quarantined) instead of failing the batch.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,6 +19,16 @@ CLOCK_WITH_SECONDS = "h:mm:ss a"
 CLOCK_WITHOUT_SECONDS = "h:mm a"
 
 
+def utc(at: _dt.datetime) -> _dt.datetime:
+    """The instant with its zone; a datetime without one is UTC, whatever the driver's zone."""
+    return at.replace(tzinfo=_dt.timezone.utc) if at.tzinfo is None else at.astimezone(_dt.timezone.utc)
+
+
+def utc_literal(at: _dt.datetime) -> Column:
+    """A TIMESTAMP literal that doesn't depend on the zone of driver or session."""
+    return F.lit(utc(at).isoformat()).cast("timestamp")
+
+
 def parse_iso(text: Column) -> Column:
     """ISO-8601 text (``T`` or space separator, optional fraction) -> TIMESTAMP, bad -> NULL."""
     return F.try_to_timestamp(text)
@@ -28,17 +40,19 @@ def parse_strict(text: Column, fmt: str = CSV_TIME_FORMAT) -> Column:
 
 
 def parse_day_clock(day: Column, clock: Column) -> Column:
-    """Date + 12-hour clock text, with or without seconds (F-11); neither -> NULL."""
-    text = F.concat_ws(" ", F.trim(day), F.trim(clock))
-    return F.coalesce(
+    """Lenient date + 12-hour clock text, with or without seconds (F-11, F-12); neither -> NULL."""
+    text = F.concat_ws(" ", format_day(lenient_day(day)), F.trim(clock))
+    return F.when(lenient_day(day).isNotNull(), F.coalesce(
         F.try_to_timestamp(text, F.lit(f"{DAY_FORMAT} {CLOCK_WITH_SECONDS}")),
         F.try_to_timestamp(text, F.lit(f"{DAY_FORMAT} {CLOCK_WITHOUT_SECONDS}")),
-    )
+    ))
 
 
 def lenient_day(text: Column) -> Column:
-    """Lenient date parse (F-12): bad -> NULL."""
-    return F.try_to_date(text)
+    """Lenient date parse (F-12): ISO, with or without a time after it, or month/day/year; bad -> NULL."""
+    t = F.trim(text)
+    return F.coalesce(F.try_to_timestamp(t).cast("date"), F.try_to_date(t, "M/d/yyyy"),
+                      F.try_to_timestamp(t, F.lit("M/d/yyyy H:mm:ss")).cast("date"))
 
 
 def format_day(ts: Column) -> Column:

@@ -22,8 +22,10 @@ Plan (one shuffle of the input, no window over a whole key):
    the checkpoint, not from a re-sampled range shuffle);
 4. the per-(partition, key) summaries -- at most #keys + #partitions rows --
    are turned into "everything in later partitions" by a window over the
-   partitions of one key (bounded by the partition count), then joined back on
-   (partition, key).
+   partitions of one key (bounded by the partition count). Only keys that go on
+   in a later partition have one -- at most one a partition boundary, since the
+   rows are range-partitioned by key -- and only those are joined back on
+   (partition, key), a side of at most #partitions rows.
 
 Ordering contract: at an equal order value targets sort before probes, so a
 target never counts as "later" than a probe with the same value.
@@ -109,12 +111,10 @@ def _partitions_for(df: DataFrame) -> int:
     """Range partition count from Catalyst's size estimate of the input.
 
     One partition per ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` of
-    estimated input, at least the cluster's cores (capped by
-    ``spark.sql.shuffle.partitions``) so small inputs still use every core.
+    estimated input, and enough for the cluster's cores; without an estimate (a
+    micro-batch) the session's shuffle partitions.
     """
-    spark = df.sparkSession
-    floor_n = min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return partitions_for_size(spark, estimated_bytes(df), max(floor_n, 1), 100_000)
+    return partitions_for_size(df.sparkSession, estimated_bytes(df))
 
 
 def _materialize(df: DataFrame, created: list[str] | None = None) -> DataFrame:
@@ -191,7 +191,7 @@ def later_targets(probes: DataFrame, targets: DataFrame, keys: Sequence[str], or
     later_parts = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(1, Window.unboundedFollowing)
     suffix = per_part.select("_pid", *keys,
                              F.sum("_pcnt").over(later_parts).alias("_acnt"),
-                             F.min("_pmin").over(later_parts).alias("_amin"))
+                             F.min("_pmin").over(later_parts).alias("_amin")).filter("_acnt is not null")
     return (scanned.filter(F.col("_k") == _KIND_PROBE)
             .join(suffix, ["_pid", *keys], "left")
             .select(*keys, F.col("_o").alias(order), *payload,

@@ -28,7 +28,6 @@ from sensorlake.functions.classify import (
     UNUSUAL_ABOVE_MIN,
     detect_window_patterns,
 )
-from sensorlake.functions.numeric import exact_avg
 from sensorlake.functions.timefmt import whole_second_duration
 from sensorlake.operators.ordered import later_targets
 
@@ -118,10 +117,10 @@ def pair_pattern_counts(events: DataFrame, tie: str | None = "event_id",
             .filter(F.col("pair_count") > 0))
 
 
-def usage_pattern_summary(cycles: DataFrame, avg_digits: int = 6) -> DataFrame:
+def usage_pattern_summary(cycles: DataFrame) -> DataFrame:
     """Per object and usage pattern over open/close cycles: count, unusual count, average minutes."""
     return cycles.groupBy("object_code", "object_name", "usage_pattern").agg(
         F.count(F.lit(1)).alias("cycles"),
         F.count_if(F.col("is_unusual")).alias("unusual_cycles"),
-        exact_avg(F.col("duration_minutes"), avg_digits).alias("avg_duration_minutes"),
+        F.avg("duration_minutes").alias("avg_duration_minutes"),
     )

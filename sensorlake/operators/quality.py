@@ -18,6 +18,7 @@ BAD_EVENT_TIME = "missing_event_timestamp"
 MISSING_REQUIRED = "missing_required_field"
 TOO_LONG = "value_too_long"
 BAD_EVENT_TYPE = "unknown_event_type"
+NON_FINITE = "non_finite_value"
 
 READING_FIELDS = ("device_id", "temperature_celsius", "temperature_fahrenheit",
                   "timestamp_epoch", "message_type", "producer_timestamp")
@@ -40,6 +41,14 @@ def _any_null(cols) -> Column:
     return cond
 
 
+def _non_finite() -> Column:
+    """NaN or an infinity in a temperature: JSON readers accept both, and one would spoil a whole average."""
+    cond = F.lit(False)
+    for c in ("temperature_celsius", "temperature_fahrenheit"):
+        cond = cond | F.isnan(c) | (F.abs(c) == float("inf"))
+    return F.coalesce(cond, F.lit(False))
+
+
 def _too_long(df: DataFrame) -> Column:
     cond = F.lit(False)
     for c, n in MAX_LENGTH.items():
@@ -53,6 +62,7 @@ def label_readings(decoded: DataFrame) -> DataFrame:
     reason = (F.when(_all_null(READING_FIELDS) & F.col("event_timestamp").isNull(), MALFORMED)
               .when(F.col("event_timestamp").isNull(), BAD_EVENT_TIME)
               .when(_any_null(READING_REQUIRED), MISSING_REQUIRED)
+              .when(_non_finite(), NON_FINITE)
               .when(_too_long(decoded), TOO_LONG))
     return _with_status(decoded, reason)
 
@@ -73,8 +83,8 @@ def _with_status(df: DataFrame, reason: Column) -> DataFrame:
 
 
 def split(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid rows without the label columns, quarantined rows with reason)."""
-    valid = labelled.filter(F.col("quality_status") == "valid").drop("quality_status", "quarantine_reason")
+    """(valid rows without label columns and raw payload, quarantined rows with reason and raw payload)."""
+    valid = labelled.filter(F.col("quality_status") == "valid").drop("quality_status", "quarantine_reason", "raw_value")
     bad = labelled.filter(F.col("quality_status") == "quarantine")
     return valid, bad
 

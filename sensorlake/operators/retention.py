@@ -1,18 +1,23 @@
 """Retention (M-3, D-5, F-9, F-10, G-11, M-4).
 
 ``cleanup_old_data`` in a relational store deletes rows older than
-``as_of - days`` and logs the count. On Parquet there is no DELETE: the table
-is split by the same strict predicate into kept and expired rows, the count of
-the expired side becomes a metric row, and :func:`apply_retention` rewrites
-only the event-date partitions that straddle or precede the cut-off.
+``as_of - days`` and logs the count. On Parquet there is no DELETE: rows are
+split by the same strict predicate into kept and expired ones, and
+:func:`apply_retention` does it on a stored table: it drops expired dates,
+rewrites the cut-off's own date and stores the count as a metric row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime as _dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorlake.functions.timefmt import utc, utc_literal
+from sensorlake.operators.metrics import metric_rows
 from sensorlake.operators.views import AsOf, resolve_as_of
+from sensorlake.session import child_folders, delete_path, replace_folder
 
 # Retention default and metric naming.
 DEFAULT_DAYS_TO_KEEP = 30
@@ -50,20 +55,36 @@ def cleanup_metric(df: DataFrame, as_of: AsOf = None, days_to_keep: int = DEFAUL
     )
 
 
-def apply_retention(spark, table_path: str, out_path: str, as_of, days_to_keep: int = DEFAULT_DAYS_TO_KEEP,
-                    date_col: str = "event_date", col: str = "event_timestamp") -> DataFrame:
-    """Write the kept rows of a date-partitioned Parquet table to ``out_path``.
+def apply_retention(spark: SparkSession, table_path: str, metrics_path: str, as_of: _dt.datetime,
+                    days_to_keep: int = DEFAULT_DAYS_TO_KEEP, date_col: str = "event_date",
+                    col: str = "event_timestamp") -> int:
+    """Delete expired rows of a table laid out by date, append the metric row, return the number deleted.
 
-    Partitions wholly after the cut-off date are copied unchanged by the same
-    scan; the boundary date is filtered row by row; partitions wholly before it
-    are pruned from the scan (partition filter on ``date_col``). The caller
-    swaps ``out_path`` in for the old table; a table being read is never
-    overwritten in place. Returns the metric row.
+    Dates before the cut-off's are dropped as folders, its own date is rewritten
+    without its expired rows (its inner layout by ``batch_id`` is kept); later
+    dates aren't touched. Only those dates are read. The rewritten date is
+    complete under ``_retention`` (a name that readers skip) before it takes the
+    old one's place; one left there by a run that stopped is dropped and made anew.
     """
-    df = spark.read.parquet(table_path)
-    at = F.lit(as_of).cast("timestamp")
-    cut = at - F.make_dt_interval(F.lit(days_to_keep))
-    kept = df.filter(F.col(date_col).isNull() | (F.col(date_col) >= F.to_date(cut))).filter(
-        F.col(col).isNull() | (F.col(col) >= cut))
-    kept.write.mode("overwrite").partitionBy(date_col).parquet(out_path)
-    return cleanup_metric(df, at, days_to_keep, col)
+    cut = utc(as_of) - _dt.timedelta(days=days_to_keep)
+    boundary, staged = cut.date().isoformat(), f"{table_path}/_retention"
+    folder = lambda day: f"{table_path}/{date_col}={day}"
+    days = [name.partition("=")[2] for name in child_folders(spark, table_path) if name.startswith(f"{date_col}=")]
+    table = spark.read.parquet(table_path)
+    expired = (F.col(date_col) <= F.lit(cut.date())) & (F.col(col) < utc_literal(cut))
+    deleted = table.filter(expired).count()
+    metric = metric_rows(spark, [(CLEANUP_METRIC, deleted, CLEANUP_UNIT, {"days_to_keep": days_to_keep})], as_of)
+    if boundary in days:
+        kept = table.filter((F.col(date_col) == F.lit(cut.date())) & F.coalesce(F.col(col) >= utc_literal(cut), F.lit(True)))
+        inner = [c for c in ("batch_id",) if c in table.columns]
+        kept.write.mode("overwrite").partitionBy(date_col, *inner).parquet(staged)
+        if f"{date_col}={boundary}" in child_folders(spark, staged):
+            replace_folder(spark, f"{staged}/{date_col}={boundary}", folder(boundary))
+        else:
+            delete_path(spark, folder(boundary))
+        delete_path(spark, staged)
+    for day in days:
+        if day < boundary:
+            delete_path(spark, folder(day))
+    metric.coalesce(1).write.mode("append").parquet(metrics_path)
+    return deleted

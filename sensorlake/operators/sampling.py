@@ -1,4 +1,4 @@
-"""Replay helpers: deterministic sample (L-9) and duplicate removal (S-11)."""
+"""Replay helpers: seeded sample (L-9) and duplicate removal (S-11)."""
 
 from __future__ import annotations
 
@@ -7,14 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A Lehmer (MINSTD) permutation of ids, computable in any SQL engine
-# without overflow: ((id mod P) * A + seed) mod P with P = 2^31 - 1.
-_P = 2147483647
-_A = 48271
-
 
 def sample_key(id_col: Column, seed: int = 0) -> Column:
-    return F.pmod(F.pmod(id_col, F.lit(_P)) * F.lit(_A) + F.lit(seed), F.lit(_P))
+    """A hash of id and seed that any SQL engine has: neighbouring ids, and other seeds, are unrelated."""
+    return F.md5(F.concat(F.coalesce(id_col.cast("string"), F.lit("")), F.lit(f"/{seed}")))
 
 
 def replay_sample(df: DataFrame, n: int, id_col: str, seed: int = 0) -> DataFrame:
@@ -26,12 +22,13 @@ def replay_sample(df: DataFrame, n: int, id_col: str, seed: int = 0) -> DataFram
     return df.orderBy(sample_key(F.col(id_col), seed), F.col(id_col)).limit(n)
 
 
-def drop_replayed(df: DataFrame, keys: Sequence[str] = ("device_id", "event_timestamp")) -> DataFrame:
-    """Remove re-sent copies: one row per key.
+def drop_replayed(df: DataFrame, identity: Sequence[str] | None = None) -> DataFrame:
+    """Remove re-sent copies: one row per record identity (such as topic, partition and offset, or a
+    record's own id), or per distinct row if no identity is named. Device and time are no identity: a
+    device may report twice in an instant.
 
     Batch: a hash aggregate with map-side combine. Stream: bounded state via
     ``dropDuplicatesWithinWatermark`` (the input must carry a watermark).
     """
-    if df.isStreaming:
-        return df.dropDuplicatesWithinWatermark(list(keys))
-    return df.dropDuplicates(list(keys))
+    keys = list(identity or df.columns)
+    return df.dropDuplicatesWithinWatermark(keys) if df.isStreaming else df.dropDuplicates(keys)

@@ -1,7 +1,7 @@
 """Serving queries relative to an explicit ``as_of`` instant (N-1, G-5..G-9, D-3, D-4, L-*).
 
 The original queries use ``NOW()``; here ``as_of`` is a parameter:
-a Python ``datetime``, a Column, or ``None`` for "the newest event time in the
+a Python ``datetime`` (UTC if it names no zone), a Column, or ``None`` for "the newest event time in the
 input", which Spark evaluates once as a scalar subquery (a global partial
 aggregate) inside the same plan. Strict ``>`` (views) and inclusive ``>=``
 (dashboard panels) are kept apart on purpose.
@@ -14,7 +14,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.functions.numeric import exact_avg
+from sensorlake.functions.timefmt import utc_literal
 
 AsOf = Column | _dt.datetime | None
 
@@ -24,7 +24,7 @@ def resolve_as_of(df: DataFrame, as_of: AsOf, col: str = "event_timestamp") -> C
         return df.select(F.max(col)).scalar()
     if isinstance(as_of, Column):
         return as_of
-    return F.lit(as_of).cast("timestamp")
+    return utc_literal(as_of)
 
 
 def since(df: DataFrame, as_of: AsOf, interval: str, col: str = "event_timestamp",
@@ -56,14 +56,12 @@ def latest_per_device(readings: DataFrame) -> DataFrame:
             .select("device_id", *[F.col(f"latest.{c}").alias(c) for c in cols]))
 
 
-def temperature_stats(readings: DataFrame, as_of: AsOf = None, interval: str = "24 HOURS",
-                      avg_digits: int | None = 6) -> DataFrame:
-    """Per-device statistics over the strict trailing range (G-5); exact average (see ``numeric``)."""
+def temperature_stats(readings: DataFrame, as_of: AsOf = None, interval: str = "24 HOURS") -> DataFrame:
+    """Per-device statistics over the strict trailing range (G-5)."""
     recent = since(readings, as_of, interval, inclusive=False)
-    avg = F.avg("temperature_celsius") if avg_digits is None else exact_avg(F.col("temperature_celsius"), avg_digits)
     return recent.groupBy("device_id").agg(
         F.count(F.lit(1)).alias("reading_count"),
-        avg.alias("avg_temp_celsius"),
+        F.avg("temperature_celsius").alias("avg_temp_celsius"),
         F.min("temperature_celsius").alias("min_temp_celsius"),
         F.max("temperature_celsius").alias("max_temp_celsius"),
         F.stddev_samp("temperature_celsius").alias("stddev_temp_celsius"),

@@ -3,11 +3,12 @@
 Every query reads ``events`` (through the fixture derivations of
 ``sources.fixtures``) and runs over the whole table. Results are presented for
 comparison: timestamps as TIMESTAMP_NTZ (UTC wall clock), averages and standard
-deviations rounded to 6 decimals in both engines.
+deviations rounded in both engines, since their last bits depend on the order of summing.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,33 +19,32 @@ from sensorlake.functions import codec
 from sensorlake.functions.classify import detect_anomalies, detect_window_patterns
 from sensorlake.functions.timefmt import format_clock, format_day, parse_day_clock, whole_second_duration
 from sensorlake.operators import aggregates as agg
-from sensorlake.operators import metrics, pairing, quality, retention, sampling, status, views
+from sensorlake.operators import pairing, quality, retention, sampling, status, views
 from sensorlake.sinks import audit, parquet
-from sensorlake.schemas import READING_MESSAGE_TYPE, READINGS_TOPIC
-from sensorlake.session import configure, estimated_bytes, partitions_for_size, scratch_path
+from sensorlake.schemas import READING_MESSAGE_TYPE, READINGS_TOPIC, SYSTEM_METRICS
+from sensorlake.session import configure, scratch_path
 from sensorlake.sources import bus, files, fixtures as fx
 from sensorlake.streaming.pairing import stream_first_close_pairs
 from sensorlake.streaming.pairing_tables import start_table_state_pairing
-from sensorlake.streaming.runner import materialize, partitions_for_new_queries, start_to_parquet
+from sensorlake.streaming.runner import materialize
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 RETENTION_DAYS = 7          # registered retention run (library default: 30)
 SAMPLE_SIZE = 100           # replay sample size
-PEEK_SIZE = 10              # records shown by the peek
 
 
 # --------------------------------------------------------------------------- helpers
 
-def present(df: DataFrame, rounded: tuple[str, ...] = ()) -> DataFrame:
-    """Timestamps -> TIMESTAMP_NTZ; listed double columns rounded to 6 decimals."""
+def present(df: DataFrame, rounded: dict[str, int] | None = None) -> DataFrame:
+    """Timestamps -> TIMESTAMP_NTZ; listed double columns rounded to so many decimals."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, TimestampType):
             c = c.cast("timestamp_ntz")
-        elif f.name in rounded and isinstance(f.dataType, DoubleType):
-            c = F.round(c, 6)
+        elif f.name in (rounded or {}) and isinstance(f.dataType, DoubleType):
+            c = F.round(c, rounded[f.name])
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
@@ -54,6 +54,37 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.events(spark, sf_dir)
 
 
+def _trailing(spark, sf_dir, span: dt.timedelta, compress: bool, only=None) -> tuple[DataFrame, dt.datetime | None]:
+    """Events of the trailing range and the instant it ends at, the newest event's time.
+
+    The newest time comes from a scan of that one column; the range is then a
+    literal on the stored column, so it reaches the Parquet scan (a table that is
+    written by day would be pruned by folder, too). It is a little wider than the
+    range itself, which the view applies on event times. No events: no bound.
+    """
+    ev = _events(spark, sf_dir)
+    ev = ev if only is None else ev.filter(only)
+    newest = ev.agg(F.max("ts")).first()[0]
+    if newest is None:
+        return ev, None
+    start = newest - span * (fx.COMPRESSION if compress else 1) - dt.timedelta(seconds=fx.COMPRESSION)
+    recent = ev.filter(F.col("ts").isNull() | (F.col("ts") >= F.expr(f"TIMESTAMP_NTZ '{start}'")))
+    return recent, fx.instant(newest, compress)
+
+
+def _recent_readings(spark, sf_dir, span: dt.timedelta, compress=True) -> tuple[DataFrame, dt.datetime | None]:
+    ev, as_of = _trailing(spark, sf_dir, span, compress)
+    return detect_anomalies(fx.readings(ev, compress)), as_of
+
+
+def _recent_window_events(spark, sf_dir, span: dt.timedelta) -> tuple[DataFrame, dt.datetime | None]:
+    ev, as_of = _trailing(spark, sf_dir, span, False, fx.IS_WINDOW_EVENT)
+    return fx.window_events(ev), as_of
+
+
+HOUR, DAY = dt.timedelta(hours=1), dt.timedelta(days=1)
+
+
 def _readings(spark, sf_dir, compress=True) -> DataFrame:
     return detect_anomalies(fx.readings(_events(spark, sf_dir), compress))
 
@@ -64,7 +95,7 @@ def _window_events(spark, sf_dir, compress=False) -> DataFrame:
 
 READING_COLS = ["reading_id", "device_id", "event_timestamp", "timestamp_epoch",
                 "temperature_celsius", "temperature_fahrenheit", "is_anomaly", "anomaly_type"]
-AGG_ROUNDED = ()   # averages are already exact to 6 decimals (functions.numeric)
+AGG_ROUNDED = {"avg_temp_celsius": 8, "avg_temp_fahrenheit": 8}
 
 
 # --------------------------------------------------------------------------- batch queries
@@ -111,42 +142,43 @@ def latest_reading_per_device(spark, sf_dir):
 
 def temperature_stats_24h(spark, sf_dir):
     """G-5, D-4, GF-5, GF-6, L-3: per-device statistics over the strict last 24 hours."""
-    stats = views.temperature_stats(_readings(spark, sf_dir, compress=False))
-    return present(stats.orderBy(F.desc("avg_temp_celsius")), ("stddev_temp_celsius",))
+    stats = views.temperature_stats(*_recent_readings(spark, sf_dir, DAY, compress=False))
+    return present(stats.orderBy(F.desc("avg_temp_celsius")), AGG_ROUNDED | {"stddev_temp_celsius": 6})
 
 
 def window_activity_7d(spark, sf_dir):
     """G-6, D-4, F-7, L-5: per-object daily activity over the strict last 7 days."""
-    act = views.window_activity(_window_events(spark, sf_dir))
+    act = views.window_activity(*_recent_window_events(spark, sf_dir, 7 * DAY))
     return present(act.orderBy(F.desc("activity_date"), "object_code"))
 
 
 def readings_last_hour(spark, sf_dir):
     """D-3, L-1: readings of the inclusive last hour, by time."""
-    return present(views.recent_readings(_readings(spark, sf_dir)))
+    return present(views.recent_readings(*_recent_readings(spark, sf_dir, HOUR)))
 
 
 def anomaly_count_last_hour(spark, sf_dir):
     """G-7: number of anomalies in the inclusive last hour."""
-    return views.anomaly_count(_readings(spark, sf_dir))
+    return views.anomaly_count(*_recent_readings(spark, sf_dir, HOUR))
 
 
 def agg_1min_last_2h(spark, sf_dir):
     """D-3, L-2: 1-minute aggregates starting in the last 2 hours."""
-    r = _readings(spark, sf_dir)
-    as_of = views.resolve_as_of(r, None)
+    r, as_of = _recent_readings(spark, sf_dir, 2 * HOUR)
+    as_of = views.resolve_as_of(r, as_of)
+    r = r.filter(F.col("event_timestamp") >= as_of - F.expr("INTERVAL 2 HOURS"))    # whole windows, as they start no earlier
     one_min = agg.temperature_window_agg(r, agg.READINGS_1MIN, streaming=False)
-    return present(views.recent_aggregates(one_min, as_of))
+    return present(views.recent_aggregates(one_min, as_of), AGG_ROUNDED)
 
 
 def activity_by_object_24h(spark, sf_dir):
     """G-8: event count per object name over the last 24 hours."""
-    return views.activity_by_object(_window_events(spark, sf_dir))
+    return views.activity_by_object(*_recent_window_events(spark, sf_dir, DAY))
 
 
 def events_by_hour_type_24h(spark, sf_dir):
     """G-9, F-7: event count per hour and event type over the last 24 hours."""
-    return present(views.events_by_hour_and_type(_window_events(spark, sf_dir)))
+    return present(views.events_by_hour_and_type(*_recent_window_events(spark, sf_dir, DAY)))
 
 
 def newest_5_readings(spark, sf_dir):
@@ -167,8 +199,8 @@ def table_status(spark, sf_dir):
 
 def retention_kept(spark, sf_dir):
     """M-3, D-5, F-9: rows kept by a 7-day retention run."""
-    r = _readings(spark, sf_dir, compress=False)
-    kept = retention.kept_rows(r, None, RETENTION_DAYS)
+    r, as_of = _recent_readings(spark, sf_dir, RETENTION_DAYS * DAY, compress=False)
+    kept = retention.kept_rows(r, as_of, RETENTION_DAYS)
     return present(kept.select("reading_id", "device_id", "event_timestamp", "temperature_celsius"))
 
 
@@ -178,8 +210,21 @@ def retention_metric(spark, sf_dir):
     return present(retention.cleanup_metric(r, None, RETENTION_DAYS))
 
 
+def retention_run(spark, sf_dir):
+    """M-3, G-11, M-4: that retention run on a stored table by date: rows deleted and kept per its stored metric and files."""
+    r = _readings(spark, sf_dir, compress=False).select(*READING_COLS)
+    root = scratch_path(spark, "retention")
+    parquet.write_batch(r, 0, f"{root}/readings", sort_cols=["device_id", "event_timestamp"])
+    newest = _events(spark, sf_dir).agg(F.max("ts")).first()[0]
+    if newest is not None:
+        retention.apply_retention(spark, f"{root}/readings", f"{root}/metrics", fx.instant(newest, False), RETENTION_DAYS)
+    kept = parquet.read_archive(spark, f"{root}/readings").agg(F.count(F.lit(1)).alias("rows_kept"))
+    stored = spark.read.schema(SYSTEM_METRICS).parquet(f"{root}/metrics")
+    return present(stored.select("metric_name", "metric_value", "metric_unit", "tags", "timestamp").crossJoin(kept))
+
+
 def replay_sample(spark, sf_dir):
-    """L-9: deterministic sample of 100 readings for replay."""
+    """L-9: seeded sample of 100 readings for replay."""
     r = _readings(spark, sf_dir).select("reading_id", "device_id", "event_timestamp", "temperature_celsius")
     return present(sampling.replay_sample(r, SAMPLE_SIZE, "reading_id"))
 
@@ -188,7 +233,7 @@ def replay_dedup(spark, sf_dir):
     """S-11: replayed copies removed."""
     r = _readings(spark, sf_dir).select(*READING_COLS)
     replayed = r.unionByName(r.filter(F.col("is_anomaly")))  # a replay re-sends anomalous rows
-    return present(sampling.drop_replayed(replayed, ["device_id", "event_timestamp"]))
+    return present(sampling.drop_replayed(replayed, ["reading_id"]))
 
 
 def window_cycles_first_close(spark, sf_dir):
@@ -199,7 +244,7 @@ def window_cycles_first_close(spark, sf_dir):
 def window_usage_patterns(spark, sf_dir):
     """R-3, R-4 over J-3: cycles, unusual cycles and average minutes per pattern."""
     cycles = pairing.first_close_pairs(_window_events(spark, sf_dir, compress=True))
-    return pairing.usage_pattern_summary(cycles)
+    return present(pairing.usage_pattern_summary(cycles), {"avg_duration_minutes": 6})
 
 
 def window_pair_counts(spark, sf_dir):
@@ -278,22 +323,9 @@ def quality_quarantine(spark, sf_dir):
     """Q-1..Q-3, T2: records with injected faults labelled valid or quarantined."""
     rec = _corrupted_reading_records(spark, sf_dir)
     labelled = quality.label_readings(codec.decode_readings(rec))
-    return labelled.select("offset", "quality_status", "quarantine_reason")
-
-
-def topic_status(spark, sf_dir):
-    """A-9, M-5: messages per topic from end offsets."""
-    recs = (fx.reading_records(_readings(spark, sf_dir), offsets=False).select("topic", "partition", "_id")
-            .unionByName(fx.window_event_records(_window_events(spark, sf_dir), offsets=False)
-                         .select("topic", "partition", "_id")))
-    return status.topic_status(fx.with_offsets(recs, "_id"))
-
-
-def kafka_peek(spark, sf_dir):
-    """A-8: first records of the readings topic."""
-    recs = fx.reading_records(_readings(spark, sf_dir))
-    peeked = status.peek(recs.select("topic", "partition", "offset", "key"), PEEK_SIZE)
-    return peeked.select("topic", "partition", "offset", F.col("key").cast("string").alias("message_key"))
+    return labelled.select("offset", "quality_status", "quarantine_reason",
+                           F.when(F.col("quarantine_reason") == quality.MALFORMED, F.col("raw_value").cast("string"))
+                           .alias("malformed_payload"))
 
 
 def archive_roundtrip(spark, sf_dir):
@@ -301,7 +333,8 @@ def archive_roundtrip(spark, sf_dir):
     r = _readings(spark, sf_dir).select(*READING_COLS)
     path = scratch_path(spark, "archive")
     split_at = F.timestamp_micros(F.lit(fx.BASE_MICROS + 6 * 3600 * 1_000_000))
-    first, second = r.filter(F.col("event_timestamp") < split_at), r.filter(~(F.col("event_timestamp") < split_at))
+    early = F.coalesce(F.col("event_timestamp") < split_at, F.lit(False))   # rows without time go to the second
+    first, second = r.filter(early), r.filter(~early)
     sort = ["device_id", "event_timestamp"]
     parquet.write_batch(first, 0, path, sort_cols=sort)
     parquet.write_batch(second, 1, path, sort_cols=sort)
@@ -359,16 +392,8 @@ def _event_stream(spark, sf_dir) -> DataFrame:
     return bus.table_file_stream(spark, sf_dir, "events.parquet", schema)
 
 
-def _state_partitions(spark, sf_dir) -> int:
-    """State partitions for a one-shot stream over ``events``: sized from the input
-    (at least the cluster's cores), never above the session's shuffle partitions."""
-    ceiling = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    floor = min(spark.sparkContext.defaultParallelism, ceiling)
-    return partitions_for_size(spark, estimated_bytes(fx.events(spark, sf_dir)), floor, ceiling)
-
-
 def _run_stream(spark, sf_dir, df, name) -> DataFrame:
-    return materialize(spark, df, name, state_partitions=_state_partitions(spark, sf_dir))
+    return materialize(spark, df, name)
 
 
 def temp_agg_1min_stream(spark, sf_dir):
@@ -395,38 +420,6 @@ def window_agg_daily_stream(spark, sf_dir):
     return present(_run_stream(spark, sf_dir, agg.window_event_agg(s, agg.EVENTS_DAILY), "daily"))
 
 
-# Order in which the late-data replay sends the readings, one event type per file.
-LATE_REPLAY_ORDER = ("click", "error", "purchase", "signup", "view")
-
-
-def late_data_report(spark, sf_dir):
-    """S-4: replay the readings one event type per file (each file spans the whole period,
-    so every file after the first arrives late) through the 1-minute aggregate; report per
-    micro-batch the rows read and the state-operator rows the watermark dropped.
-
-    Spark filters late rows after the map-side partial aggregation, so a dropped
-    "row" is one (window, device) partial group per map task; and batch ``b`` is
-    filtered with the watermark of the batch before it (one batch of slack)."""
-    ev = _events(spark, sf_dir)
-    root = scratch_path(spark, "late-replay")
-    for i, kind in enumerate(LATE_REPLAY_ORDER):
-        fx.readings(ev.filter(F.col("event_type") == kind)).write.parquet(f"{root}/in/{i:02d}")
-    schema = fx.readings(ev).schema
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in/*")
-    with partitions_for_new_queries(spark, _state_partitions(spark, sf_dir)):
-        q = start_to_parquet(agg.temperature_window_agg(detect_anomalies(src), agg.READINGS_1MIN),
-                             f"{root}/out", f"{root}/ckpt", name=None)
-        q.awaitTermination()
-    m = metrics.progress_metrics(spark, q)
-    batch = F.get_json_object("tags", "$.batch_id").cast("long")
-    return (m.groupBy(batch.alias("batch_id"))
-            .agg(F.sum(F.when(F.col("metric_name") == "stream_input_rows", F.col("metric_value")))
-                 .cast("long").alias("input_rows"),
-                 F.sum(F.when(F.col("metric_name") == "stream_rows_dropped_by_watermark", F.col("metric_value")))
-                 .cast("long").alias("state_rows_dropped_by_watermark"))
-            .orderBy("batch_id"))
-
-
 PAIRING_DELAY = "10 minutes"   # watermark delay of the streaming pairing (compressed time)
 PAIRING_DELAY_SECONDS = 600
 
@@ -463,7 +456,6 @@ QUERIES: dict[str, QueryFn] = {
     "window_agg_daily": window_agg_daily,
     "window_agg_hourly_stream": window_agg_hourly_stream,
     "window_agg_daily_stream": window_agg_daily_stream,
-    "late_data_report": late_data_report,
     "window_cycles_first_close": window_cycles_first_close,
     "window_pair_counts": window_pair_counts,
     "window_usage_patterns": window_usage_patterns,
@@ -479,8 +471,6 @@ QUERIES: dict[str, QueryFn] = {
     "events_by_hour_type_24h": events_by_hour_type_24h,
     "newest_5_readings": newest_5_readings,
     "table_status": table_status,
-    "topic_status": topic_status,
-    "kafka_peek": kafka_peek,
     "readings_codec": readings_codec,
     "window_events_codec": window_events_codec,
     "clock_parse": clock_parse,
@@ -492,6 +482,7 @@ QUERIES: dict[str, QueryFn] = {
     "replay_dedup": replay_dedup,
     "retention_kept": retention_kept,
     "retention_metric": retention_metric,
+    "retention_run": retention_run,
     "archive_roundtrip": archive_roundtrip,
     "batch_audit": batch_audit,
 }

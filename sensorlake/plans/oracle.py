@@ -45,14 +45,6 @@ W = _window_cte("W", "ts")
 WC = _window_cte("WC", _COMPRESSED)
 
 
-def _exact_avg(col: str, digits: int = 6) -> str:
-    """Same integer arithmetic as ``functions.numeric.exact_avg``."""
-    units = f"CAST(sign({col} * CAST(10000000000 AS DOUBLE)) * floor(abs({col} * CAST(10000000000 AS DOUBLE)) + 0.5) AS BIGINT)"
-    step = f"(count({col}) * {10 ** (10 - digits)})"
-    return (f"CASE WHEN count({col}) > 0 THEN CAST((2 * sum({units}) + sign(sum({units})) * {step}) "
-            f"// (2 * {step}) AS DOUBLE) / {10 ** digits} END")
-
-
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -67,8 +59,8 @@ def _temp_agg(width_us: int, label: str) -> str:
     we = _bucket("event_timestamp", width_us, ends=True)
     return f"""SELECT device_id, {ws} AS window_start, {we} AS window_end,
        '{label}' AS window_duration,
-       {_exact_avg('temperature_celsius')} AS avg_temp_celsius,
-       {_exact_avg('temperature_fahrenheit')} AS avg_temp_fahrenheit,
+       round(avg(temperature_celsius), 8) AS avg_temp_celsius,
+       round(avg(temperature_fahrenheit), 8) AS avg_temp_fahrenheit,
        max(temperature_celsius) AS max_temp_celsius,
        min(temperature_celsius) AS min_temp_celsius,
        count(*) AS reading_count,
@@ -116,11 +108,6 @@ def _durations(src: str) -> str:
             f"usage_pattern, is_unusual FROM ({_DURATIONS.format(src=src)}) d")
 
 
-def _offsets(src: str, id_col: str, part_expr: str) -> str:
-    return f"""SELECT *, row_number() OVER (PARTITION BY p ORDER BY {id_col}) - 1 AS off
-FROM (SELECT *, {part_expr} AS p FROM {src}) x"""
-
-
 _READING_COLS = ("reading_id, device_id, event_timestamp, timestamp_epoch, temperature_celsius, "
                  "temperature_fahrenheit, is_anomaly, anomaly_type")
 
@@ -131,29 +118,6 @@ SELECT object_code, object_name, 'closed',
        date_trunc('second', CAST(CAST(opened_at AS DATE) AS TIMESTAMP) + (closed_at - date_trunc('day', closed_at)))
 FROM ({_FIRST_CLOSE}) g"""
 
-_LATE_FILE = ("CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'purchase' THEN 2 "
-              "WHEN 'signup' THEN 3 ELSE 4 END")
-
-# One replay file per event type (one input split each). Batch b drops the partial groups
-# (device, 1-minute window) of its file whose window ended at or before the watermark of the
-# previous batch: max event time of the files up to b-2, minus the 2-minute delay.
-_LATE_REPORT = f"""SELECT CAST(b AS BIGINT) AS batch_id, input_rows, state_rows_dropped_by_watermark FROM (
-  SELECT f.b, count(*) AS input_rows,
-         count(DISTINCT (device_id, wmin)) FILTER (
-           WHERE wm.w IS NOT NULL AND make_timestamp((wmin + 1) * 60000000) <= wm.w) AS state_rows_dropped_by_watermark
-  FROM (SELECT device_id, event_timestamp, epoch_us(event_timestamp) // 60000000 AS wmin,
-               {_LATE_FILE} AS b
-        FROM (SELECT *, event_type FROM events) e0
-        JOIN (SELECT reading_id, device_id, event_timestamp FROM R) r ON r.reading_id = e0.event_id) f
-  JOIN (SELECT b0.b, (SELECT max(m) FROM (SELECT {_LATE_FILE} AS b, max({_COMPRESSED}) AS m
-                                         FROM events GROUP BY 1) mx WHERE mx.b <= b0.b - 2)
-                     - INTERVAL '2 minutes' AS w
-        FROM (SELECT DISTINCT {_LATE_FILE} AS b FROM events) b0) wm USING (b)
-  GROUP BY f.b
-  -- the trailing no-data batch runs only when the last file raised the watermark
-  UNION ALL SELECT 5, 0, 0 WHERE (SELECT max({_COMPRESSED}) FROM events WHERE {_LATE_FILE} = 4)
-                               > (SELECT max({_COMPRESSED}) FROM events WHERE {_LATE_FILE} < 4)) t"""
-
 ORACLE: dict[str, str] = {
     "readings_classified": _with(R) + f"SELECT {_READING_COLS} FROM R",
     "anomaly_alerts": _with(R) + """SELECT reading_id, device_id, event_timestamp, temperature_celsius,
@@ -166,7 +130,6 @@ ORACLE: dict[str, str] = {
     "window_agg_daily": _with(W) + _event_agg("W", _DAY, "daily"),
     "window_agg_hourly_stream": _with(W) + _emitted(_event_agg("W", _HOUR, "hourly"), "W", "1 hour"),
     "window_agg_daily_stream": _with(W) + _emitted(_event_agg("W", _DAY, "daily"), "W", "1 day"),
-    "late_data_report": _with(R) + _LATE_REPORT,
     "window_cycles_first_close": _with(WC) + _durations(_FIRST_CLOSE),
     "window_pair_counts": _with(WC) + f"""SELECT object_code, object_name, usage_pattern,
        count(*) AS pair_count, count(*) FILTER (WHERE is_unusual) AS unusual_count
@@ -176,7 +139,7 @@ WHERE closed_at < make_timestamp((epoch_us((SELECT max(event_timestamp) FROM WC)
                   - INTERVAL '10 minutes'""",
     "window_usage_patterns": _with(WC) + f"""SELECT object_code, object_name, usage_pattern,
        count(*) AS cycles, count(*) FILTER (WHERE is_unusual) AS unusual_cycles,
-       {_exact_avg('duration_minutes')} AS avg_duration_minutes
+       round(avg(duration_minutes), 6) AS avg_duration_minutes
 FROM ({_durations(_FIRST_CLOSE)}) d GROUP BY ALL""",
     "window_cycles_stream_tables": _with(WC) + f"""SELECT * FROM ({_durations(_FIRST_CLOSE)}) d
 WHERE closed_at < (SELECT max(event_timestamp) FROM WC) - INTERVAL '10 minutes'""",
@@ -185,7 +148,7 @@ WHERE closed_at < (SELECT max(event_timestamp) FROM WC) - INTERVAL '10 minutes'"
 FROM R QUALIFY row_number() OVER (PARTITION BY device_id ORDER BY event_timestamp DESC, reading_id DESC) = 1
 ORDER BY device_id""",
     "temperature_stats_24h": _with(RU) + f"""SELECT device_id, count(*) AS reading_count,
-       {_exact_avg('temperature_celsius')} AS avg_temp_celsius,
+       round(avg(temperature_celsius), 8) AS avg_temp_celsius,
        min(temperature_celsius) AS min_temp_celsius, max(temperature_celsius) AS max_temp_celsius,
        round(stddev_samp(temperature_celsius), 6) AS stddev_temp_celsius,
        count(CASE WHEN is_anomaly THEN 1 END) AS anomaly_count
@@ -221,16 +184,6 @@ FROM R ORDER BY event_timestamp DESC, reading_id DESC LIMIT 5""",
   UNION ALL SELECT 'window_events', count(*) FROM W
   UNION ALL SELECT 'temperature_aggregations_1min', count(*) FROM ({_temp_agg(_MIN, '1_minute')}) a
   UNION ALL SELECT 'temperature_aggregations_5min', count(*) FROM ({_temp_agg(5 * _MIN, '5_minute')}) b) t""",
-    "topic_status": _with(R, W) + f"""SELECT topic, CAST(sum(end_offset) AS BIGINT) AS messages, count(*) AS partitions FROM (
-  SELECT 'iot-temperature' AS topic, p, max(off) + 1 AS end_offset
-  FROM ({_offsets('R', 'reading_id', 'CAST(substr(device_id, 8) AS INTEGER) % 3')}) a GROUP BY p
-  UNION ALL
-  SELECT 'iot-window-events', p, max(off) + 1
-  FROM ({_offsets('W', 'event_id', 'object_code % 3')}) b GROUP BY p) t GROUP BY topic""",
-    "kafka_peek": _with(R) + f"""SELECT 'iot-temperature' AS topic, CAST(p AS INTEGER) AS partition,
-       CAST(off AS BIGINT) AS offset, device_id AS message_key
-FROM ({_offsets('R', 'reading_id', 'CAST(substr(device_id, 8) AS INTEGER) % 3')}) a
-ORDER BY p, off LIMIT 10""",
     "readings_codec": _with(R) + """SELECT device_id AS message_key, device_id, event_timestamp, timestamp_epoch,
        temperature_celsius, temperature_fahrenheit, 'temperature_reading' AS message_type,
        event_timestamp AS producer_timestamp, 'valid' AS quality_status FROM R""",
@@ -248,17 +201,22 @@ ORDER BY p, off LIMIT 10""",
        CASE WHEN k BETWEEN 0 AND 4 THEN 'quarantine' ELSE 'valid' END AS quality_status,
        CASE k WHEN 0 THEN 'malformed_payload' WHEN 1 THEN 'malformed_payload'
               WHEN 2 THEN 'missing_event_timestamp' WHEN 3 THEN 'value_too_long'
-              WHEN 4 THEN 'missing_required_field' END AS quarantine_reason
+              WHEN 4 THEN 'missing_required_field' END AS quarantine_reason,
+       CASE k WHEN 0 THEN 'not json' WHEN 1 THEN '{"test": "connection"}' END AS malformed_payload
 FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM R) x""",
     "replay_sample": _with(R) + """SELECT reading_id, device_id, event_timestamp, temperature_celsius FROM R
-ORDER BY ((reading_id % 2147483647) * 48271 + 0) % 2147483647, reading_id LIMIT 100""",
-    "replay_dedup": _with(R) + f"""SELECT DISTINCT * FROM (
-  SELECT {_READING_COLS} FROM R UNION ALL SELECT {_READING_COLS} FROM R WHERE is_anomaly) u""",
+ORDER BY md5(CAST(reading_id AS VARCHAR) || '/0'), reading_id LIMIT 100""",
+    "replay_dedup": _with(R) + f"SELECT {_READING_COLS} FROM R",
     "retention_kept": _with(RU) + """SELECT reading_id, device_id, event_timestamp, temperature_celsius FROM RU
 WHERE NOT COALESCE(event_timestamp < (SELECT max(event_timestamp) FROM RU) - INTERVAL '7 days', false)""",
     "retention_metric": _with(RU) + """SELECT 'data_cleanup_temp_readings' AS metric_name,
        CAST(count(*) FILTER (WHERE event_timestamp < m - INTERVAL '7 days') AS DOUBLE) AS metric_value,
        'rows_deleted' AS metric_unit, '{"days_to_keep":7}' AS tags, any_value(m) AS timestamp
+FROM RU, (SELECT max(event_timestamp) AS m FROM RU) mx""",
+    "retention_run": _with(RU) + """SELECT 'data_cleanup_temp_readings' AS metric_name,
+       CAST(count(*) FILTER (WHERE event_timestamp < m - INTERVAL '7 days') AS DOUBLE) AS metric_value,
+       'rows_deleted' AS metric_unit, '{"days_to_keep":7}' AS tags, any_value(m) AS timestamp,
+       count(*) - count(*) FILTER (WHERE event_timestamp < m - INTERVAL '7 days') AS rows_kept
 FROM RU, (SELECT max(event_timestamp) AS m FROM RU) mx""",
     "archive_roundtrip": _with(R) + f"SELECT {_READING_COLS} FROM R",
     "batch_audit": _with(R) + """SELECT 'temperature_readings' AS target, CAST(0 AS BIGINT) AS batch_id,

@@ -23,7 +23,7 @@ def _fields(*spec):
     return StructType([StructField(n, t, True) for n, t in spec])
 
 
-# JSON payload of a temperature reading. The wire also carries a duplicate
+# JSON payload of a temperature reading. The wire also carries a duplicate
 # ``timestamp`` field, which is ignored for readings.
 READING_PAYLOAD = _fields(
     ("event_timestamp", StringType()),
@@ -35,7 +35,7 @@ READING_PAYLOAD = _fields(
     ("producer_timestamp", StringType()),
 )
 
-# JSON payload of a window open/close event. Producers send ``timestamp``; the
+# JSON payload of a window open/close event. Producers send ``timestamp``; the
 # declared field is ``event_timestamp``. Both are decoded and coalesced.
 WINDOW_EVENT_PAYLOAD = _fields(
     ("event_timestamp", StringType()),
@@ -57,7 +57,7 @@ RECORD = _fields(
     ("timestamp", TimestampType()),
 )
 
-# Input CSV files (read with an explicit schema, no inference).
+# Input CSV files (read with an explicit schema, no inference).
 READINGS_CSV = _fields(
     ("timestamp_utc", StringType()),
     ("device_id", StringType()),
@@ -72,7 +72,7 @@ OPENINGS_CSV = _fields(
     ("ObjectName", StringType()),
 )
 
-# Tables written by the jobs (surrogate ids replaced by natural keys).
+# Tables written by the jobs (surrogate ids replaced by natural keys).
 TEMPERATURE_READINGS = _fields(
     ("timestamp_epoch", LongType()),
     ("device_id", StringType()),
@@ -88,6 +88,44 @@ TEMPERATURE_READINGS = _fields(
     ("message_key", StringType()),
 )
 
+WINDOW_EVENTS = _fields(
+    ("object_code", IntegerType()),
+    ("object_name", StringType()),
+    ("event_type", StringType()),
+    ("message_type", StringType()),
+    ("producer_timestamp", TimestampType()),
+    ("event_timestamp", TimestampType()),
+    ("processing_timestamp", TimestampType()),
+    ("kafka_timestamp", TimestampType()),
+    ("message_key", StringType()),
+)
+
+# One shape each for the 1- and 5-minute, and for the hourly and daily tables.
+TEMPERATURE_AGGREGATIONS = _fields(
+    ("device_id", StringType()),
+    ("window_start", TimestampType()),
+    ("window_end", TimestampType()),
+    ("window_duration", StringType()),
+    ("avg_temp_celsius", DoubleType()),
+    ("avg_temp_fahrenheit", DoubleType()),
+    ("max_temp_celsius", DoubleType()),
+    ("min_temp_celsius", DoubleType()),
+    ("reading_count", LongType()),
+    ("anomaly_count", LongType()),
+    ("created_at", TimestampType()),
+)
+
+WINDOW_AGGREGATIONS = _fields(
+    ("object_code", IntegerType()),
+    ("object_name", StringType()),
+    ("event_type", StringType()),
+    ("window_start", TimestampType()),
+    ("window_end", TimestampType()),
+    ("aggregation_period", StringType()),
+    ("event_count", LongType()),
+    ("created_at", TimestampType()),
+)
+
 WINDOW_DURATIONS = _fields(
     ("object_code", IntegerType()),
     ("object_name", StringType()),
@@ -97,6 +135,7 @@ WINDOW_DURATIONS = _fields(
     ("duration_minutes", DoubleType()),
     ("usage_pattern", StringType()),
     ("is_unusual", BooleanType()),
+    ("processing_timestamp", TimestampType()),
 )
 
 SYSTEM_METRICS = _fields(
@@ -107,6 +146,20 @@ SYSTEM_METRICS = _fields(
     ("timestamp", TimestampType()),
 )
 
+# Name -> (schema, natural key, time column) of every stored table.
+TABLES = {
+    "temperature_readings": (TEMPERATURE_READINGS, ("device_id", "event_timestamp", "message_key"), "event_timestamp"),
+    "window_events": (WINDOW_EVENTS, ("object_code", "event_type", "event_timestamp"), "event_timestamp"),
+    "temperature_aggregations_1min": (TEMPERATURE_AGGREGATIONS, ("device_id", "window_start"), "window_start"),
+    "temperature_aggregations_5min": (TEMPERATURE_AGGREGATIONS, ("device_id", "window_start"), "window_start"),
+    "window_aggregations_hourly": (WINDOW_AGGREGATIONS, ("object_code", "object_name", "event_type", "window_start"),
+                                   "window_start"),
+    "window_aggregations_daily": (WINDOW_AGGREGATIONS, ("object_code", "object_name", "event_type", "window_start"),
+                                  "window_start"),
+    "window_durations": (WINDOW_DURATIONS, ("object_code", "opened_at", "closed_at"), "opened_at"),
+    "system_metrics": (SYSTEM_METRICS, ("metric_name", "timestamp", "tags"), "timestamp"),
+}
+
 # Column length limits of the sink tables (quality rule Q-3).
 # VARCHAR sizes of the original sink tables.
 MAX_LENGTH = {

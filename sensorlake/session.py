@@ -8,6 +8,7 @@ TIMESTAMP (what watermarks need) are then lossless.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -41,15 +42,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints, stream state and written intermediate tables.
 
     Read from the session (``spark.checkpoint.dir``); on a cluster this must be
-    storage that driver and executors share. Raises if the session names none.
+    storage that driver and executors share, and this raises if the session names none.
+    A local session, whose driver and executors are one process, gets a folder in its warehouse.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        # unset: fall back to a folder under the warehouse, which a cluster keeps on shared storage
-        warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
-        if not warehouse:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage (HDFS/S3/...)")
-        root = f"{warehouse.rstrip('/')}/_sensorlake_checkpoints"
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_sensorlake_checkpoints"
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
@@ -85,12 +85,14 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     return configure(spark)
 
 
+#: Plans without statistics (a stream's batch, say) are given enormous sizes, which say nothing.
+_NO_ESTIMATE = 1 << 60
+
+
 def estimated_bytes(df) -> int | None:
-    """Catalyst's size estimate of a DataFrame's plan (file sizes for scans), or None."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:
-        return None
+    """Catalyst's size estimate of a DataFrame's plan (file sizes for scans); None for a plan without statistics."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < _NO_ESTIMATE else None
 
 
 _SIZE_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
@@ -108,10 +110,13 @@ def advisory_bytes(spark: SparkSession) -> int:
     return size_bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
 
 
-def partitions_for_size(spark: SparkSession, size: int | None, floor: int, ceiling: int | None = None) -> int:
-    """ceil(size / advisory partition size), clamped to [floor, ceiling]."""
-    n = floor if size is None else max(floor, -(-size // max(advisory_bytes(spark), 1)))
-    return min(n, ceiling) if ceiling else n
+def partitions_for_size(spark: SparkSession, size: int | None) -> int:
+    """One partition per advisory partition size, and enough for all cores; the session's shuffle
+    partitions where the size isn't known."""
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if size is None:
+        return shuffle
+    return max(min(spark.sparkContext.defaultParallelism, shuffle), -(-size // max(advisory_bytes(spark), 1)))
 
 
 def delete_path(spark: SparkSession, path: str) -> bool:
@@ -120,3 +125,18 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.delete(hpath, True))
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``; none if there is no such folder."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory()) if fs.exists(hpath) else []
+
+
+def replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Put the folder ``source`` in the place of ``target``."""
+    delete_path(spark, target)
+    new, old = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    if not new.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(new, old):
+        raise OSError(f"{source} could not be moved to {target}")

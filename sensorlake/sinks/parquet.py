@@ -11,15 +11,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def write_batch(batch: DataFrame, batch_id: int, path: str,
                 time_col: str = "event_timestamp",
-                sort_cols: Sequence[str] = ()) -> None:
-    """Write one micro-batch idempotently under ``batch_id=<n>`` partitions."""
-    out = (batch.withColumn("event_date", F.to_date(F.col(time_col)))
+                sort_cols: Sequence[str] = (), date_from: Column | None = None) -> None:
+    """Write one micro-batch idempotently under ``batch_id=<n>`` partitions, by the date of ``date_from``
+    (else of ``time_col``)."""
+    out = (batch.withColumn("event_date", F.to_date(F.col(time_col) if date_from is None else date_from))
                 .withColumn("batch_id", F.lit(int(batch_id)).cast("long")))
     if sort_cols:
         out = out.sortWithinPartitions(*sort_cols)

@@ -17,26 +17,47 @@ from pyspark.sql import functions as F
 
 
 def read_table(spark: SparkSession, url: str, table: str, properties: dict | None = None,
-               predicate: str | None = None) -> DataFrame:
-    """Scan a relational table; ``predicate`` is pushed to the database."""
+               predicate: str | None = None, partition_column: str | None = None,
+               bounds: tuple[str, str] | None = None, partitions: int = 1) -> DataFrame:
+    """Scan a relational table; ``predicate`` is pushed to the database. With a numeric, date or
+    time column and its ``bounds`` (text, UTC) the scan is split over ``partitions`` connections;
+    rows outside the bounds and NULLs are read too."""
     query = f"(SELECT * FROM {table} WHERE {predicate}) t" if predicate else table
-    return spark.read.jdbc(url, query, properties=properties or {})
+    split = {}
+    if partition_column and bounds and partitions > 1:
+        split = {"column": partition_column, "lowerBound": bounds[0], "upperBound": bounds[1], "numPartitions": partitions}
+    return spark.read.jdbc(url, query, properties=properties or {}, **split)
+
+
+def time_range(batch: DataFrame, time_col: str) -> str | None:
+    """The WHERE clause that covers the batch's times (UTC text, as stored), rows without time included."""
+    text = [F.date_format(f(time_col), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(n) for n, f in (("lo", F.min), ("hi", F.max))]
+    lo, hi, missing = batch.agg(*text, F.count_if(F.col(time_col).isNull())).first()
+    parts = ([f"{time_col} BETWEEN '{lo}' AND '{hi}'"] if lo else []) + ([f"{time_col} IS NULL"] if missing else [])
+    return " OR ".join(parts) or None
+
+
+def new_rows(batch: DataFrame, existing: DataFrame, key_cols: Sequence[str]) -> DataFrame:
+    """Rows of ``batch``, one a natural key, whose key isn't in ``existing``; NULL keys equal each other."""
+    keys = list(key_cols)
+    there = existing.select(*[F.col(k).alias(f"_there_{k}") for k in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_there_{k}"))
+    return batch.dropDuplicates(keys).join(there, same, "left_anti")
 
 
 def append_new(batch: DataFrame, url: str, table: str, key_cols: Sequence[str],
                time_col: str, properties: dict | None = None) -> int:
     """Append rows of ``batch`` whose natural key is not yet in ``table``; return the count."""
-    spark = batch.sparkSession
     batch = batch.persist()
     try:
-        bounds = batch.agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi")).first()
-        if bounds is None or bounds["lo"] is None:
+        predicate = time_range(batch, time_col)
+        if predicate is None:
             return 0
-        pred = f"{time_col} BETWEEN '{bounds['lo']}' AND '{bounds['hi']}'"
-        existing = read_table(spark, url, table, properties, pred).select(*key_cols)
-        fresh = batch.join(existing, list(key_cols), "left_anti")
+        existing = read_table(batch.sparkSession, url, table, properties, predicate)
         obs = Observation(f"jdbc_append_{table}")
-        fresh.observe(obs, F.count(F.lit(1)).alias("n")).write.jdbc(
+        new_rows(batch, existing, key_cols).observe(obs, F.count(F.lit(1)).alias("n")).write.jdbc(
             url, table, mode="append", properties=properties or {})
         return int(obs.get["n"])
     finally:

@@ -12,6 +12,8 @@ returns one, so the same derivation feeds batch queries and file streams.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,8 @@ from sensorlake.schemas import READING_MESSAGE_TYPE, WINDOW_MESSAGE_TYPE
 # compression factor.
 BASE_MICROS = 1704067200000000
 COMPRESSION = 60
+#: Which events are window events.
+IS_WINDOW_EVENT = "event_type in ('signup', 'error')"
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +42,14 @@ def event_time(ts: Column, compress: bool) -> Column:
     return F.timestamp_micros(F.lit(BASE_MICROS) + compressed)
 
 
+def instant(ts: dt.datetime, compress: bool) -> dt.datetime:
+    """``event_time`` of one value of ``ts``, in Python."""
+    epoch = dt.datetime(1970, 1, 1)
+    us = (ts - epoch) // dt.timedelta(microseconds=1)
+    us = BASE_MICROS + (us - BASE_MICROS) // COMPRESSION if compress else us
+    return (epoch + dt.timedelta(microseconds=us)).replace(tzinfo=dt.timezone.utc)
+
+
 def readings(ev: DataFrame, compress: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """Readings fixture: one row per event, ``reading_id`` is a tie-break id.
 
@@ -58,7 +70,7 @@ def readings(ev: DataFrame, compress: bool = True, keep: tuple[str, ...] = ()) -
 
 def window_events(ev: DataFrame, compress: bool = False) -> DataFrame:
     """Window open/close events; rows of other event types are not events."""
-    return ev.filter(F.col("event_type").isin("signup", "error")).select(
+    return ev.filter(IS_WINDOW_EVENT).select(
         F.col("event_id"),
         event_time(F.col("ts"), compress).alias("event_timestamp"),
         F.col("user_id").cast("int").alias("object_code"),
@@ -68,42 +80,22 @@ def window_events(ev: DataFrame, compress: bool = False) -> DataFrame:
     )
 
 
-
-def with_offsets(records: DataFrame, id_col: str) -> DataFrame:
-    """Dense per-(topic, partition) offsets in ``id_col`` order, as a bus would assign.
-
-    offset = number of records of the same topic partition with a smaller id,
-    computed by the skew-proof ordered scan (no window over a whole partition).
-    """
-    from sensorlake.operators.ordered import later_targets
-
-    keyed = records.withColumn("_neg_id", -F.col(id_col))
-    targets = keyed.select("topic", "partition", "_neg_id")
-    counted = later_targets(keyed, targets, ["topic", "partition"], "_neg_id")
-    return counted.withColumn("offset", F.col("later_count")).drop("_neg_id", "later_count", "later_min")
-
-
-def reading_records(readings_df: DataFrame, partitions: int = 3, offsets: bool = True) -> DataFrame:
-    """Readings as bus records keyed by device; partition = device number mod ``partitions``.
-
-    The producer time is set to the event time so the records are reproducible.
-    Without ``offsets`` the record id is kept as ``_id`` for a later
-    :func:`with_offsets` over several topics at once.
-    """
+def reading_records(readings_df: DataFrame, partitions: int = 3) -> DataFrame:
+    """Readings in the record shape, keyed by device; partition = device number mod ``partitions``, the
+    reading's id as offset. The producer time is the event time, so records are reproducible."""
     from sensorlake.functions.codec import encode_readings
 
     rec = encode_readings(readings_df, producer_time=F.col("event_timestamp"), keep=["reading_id"])
     device_no = F.substring(F.col("key").cast("string"), 8, 12).cast("int")
-    rec = rec.withColumn("partition", F.pmod(device_no, F.lit(partitions))).withColumnRenamed("reading_id", "_id")
-    return with_offsets(rec, "_id").drop("_id") if offsets else rec
+    return rec.withColumn("partition", F.pmod(device_no, F.lit(partitions))).withColumnRenamed("reading_id", "offset")
 
 
-def window_event_records(events_df: DataFrame, partitions: int = 3, offsets: bool = True) -> DataFrame:
-    """Window events as bus records keyed ``<code>_<type>``; partition = code mod ``partitions``."""
+def window_event_records(events_df: DataFrame, partitions: int = 3) -> DataFrame:
+    """Window events in the record shape, keyed ``<code>_<type>``; partition = code mod ``partitions``,
+    the event's id as offset."""
     from sensorlake.functions.codec import encode_window_events
 
     rec = encode_window_events(events_df, producer_time=F.col("event_timestamp"),
                                keep=["event_id", "object_code"])
-    rec = (rec.withColumn("partition", F.pmod(F.col("object_code"), F.lit(partitions))).drop("object_code")
-              .withColumnRenamed("event_id", "_id"))
-    return with_offsets(rec, "_id").drop("_id") if offsets else rec
+    return (rec.withColumn("partition", F.pmod(F.col("object_code"), F.lit(partitions))).drop("object_code")
+            .withColumnRenamed("event_id", "offset"))

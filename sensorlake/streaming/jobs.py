@@ -27,7 +27,9 @@ from sensorlake.functions.classify import detect_anomalies, detect_window_patter
 from sensorlake.functions.timefmt import whole_second_duration
 from sensorlake.operators import aggregates as agg
 from sensorlake.operators import quality
-from sensorlake.sinks import audit, parquet
+from sensorlake.schemas import TABLES
+from sensorlake.session import use_rocksdb_state
+from sensorlake.sinks import audit, parquet, relational
 from sensorlake.streaming.pairing import stream_first_close_pairs
 from sensorlake.streaming.pairing_tables import start_table_state_pairing
 from sensorlake.streaming.runner import start_to_parquet
@@ -46,7 +48,20 @@ class Triggers:
         return cls(raw=t, agg_fast=t, agg_slow=t)
 
 
-def _fan_out(tables: str, valid_name: str, time_col: str, label, fill, alerts: bool, key_col: str):
+@dataclass(frozen=True)
+class Database:
+    """A relational copy of every stored table, appended to batch by batch."""
+    url: str
+    properties: dict = field(default_factory=dict)
+
+    def append(self, batch: DataFrame, table: str) -> None:
+        schema, keys, time_col = TABLES[table]
+        columns = [c for c in schema.fieldNames() if c in batch.columns]
+        relational.append_new(batch.select(*columns), self.url, table, keys, time_col, self.properties)
+
+
+def _fan_out(tables: str, valid_name: str, time_col: str, label, fill, alerts: bool, key_col: str,
+             database: Database | None = None):
     def write(batch: DataFrame, batch_id: int) -> None:
         labelled = label(batch).persist()
         try:
@@ -58,8 +73,11 @@ def _fan_out(tables: str, valid_name: str, time_col: str, label, fill, alerts: b
             records = [audit.observed_write(valid, batch_id, valid_name,
                                             parquet.batch_writer(f"{tables}/{valid_name}", time_col,
                                                                  sort_cols=(key_col, time_col)))]
-            parquet.write_batch(bad.withColumn(time_col, F.coalesce(F.col(time_col), F.col("kafka_timestamp"))),
-                                batch_id, f"{tables}/quarantine_{valid_name}", time_col)
+            if database:
+                database.append(valid, valid_name)
+            # a missing event time stays missing: the folder goes by the bus time
+            parquet.write_batch(bad, batch_id, f"{tables}/quarantine_{valid_name}", time_col,
+                                date_from=F.coalesce(F.col(time_col), F.col("kafka_timestamp")))
             if alerts:
                 parquet.write_batch(valid.filter(F.col("is_anomaly")), batch_id, f"{tables}/alerts", time_col)
             audit_df = audit.audit_frame(batch.sparkSession, records)
@@ -70,50 +88,63 @@ def _fan_out(tables: str, valid_name: str, time_col: str, label, fill, alerts: b
     return write
 
 
+def _start_aggregate(aggregate: DataFrame, name: str, tables: str, checkpoints: str, trigger: dict,
+                     database: Database | None) -> list[StreamingQuery]:
+    """The aggregate's table, by date of the window, and its relational copy (a query of its own)."""
+    rows = aggregate.withColumn("created_at", F.current_timestamp())
+    queries = [start_to_parquet(rows.withColumn("event_date", F.to_date("window_start")), f"{tables}/{name}",
+                                f"{checkpoints}/{name}", name=name, trigger=trigger, partition_by=["event_date"])]
+    if database:
+        queries.append(rows.writeStream.queryName(f"{name}_database").foreachBatch(
+            lambda batch, _: database.append(batch, name))
+            .option("checkpointLocation", f"{checkpoints}/{name}_database").trigger(**trigger).start())
+    return queries
+
+
 def start_readings(spark: SparkSession, records: DataFrame, tables: str, checkpoints: str,
-                   triggers: Triggers | None = None) -> list[StreamingQuery]:
-    """Temperature job: raw fan-out + 1-minute and 5-minute aggregates."""
+                   triggers: Triggers | None = None, database: Database | None = None) -> list[StreamingQuery]:
+    """Temperature job: raw fan-out + 1-minute and 5-minute aggregates; state in RocksDB."""
+    use_rocksdb_state(spark)
     t = triggers or Triggers()
     decoded = codec.decode_readings(records)
     raw = (decoded.writeStream.queryName("readings_raw")
            .foreachBatch(_fan_out(tables, "temperature_readings", "event_timestamp",
                                   quality.label_readings, quality.fill_reading_defaults, alerts=True,
-                                  key_col="device_id"))
+                                  key_col="device_id", database=database))
            .option("checkpointLocation", f"{checkpoints}/readings_raw")
            .trigger(**t.raw).start())
     valid = detect_anomalies(quality.split(quality.label_readings(decoded))[0])
     queries = [raw]
     for spec, trig in ((agg.READINGS_1MIN, t.agg_fast), (agg.READINGS_5MIN, t.agg_slow)):
         name = f"temperature_aggregations_{spec.label.split('_')[0]}min"
-        queries.append(start_to_parquet(agg.temperature_window_agg(valid, spec), f"{tables}/{name}",
-                                        f"{checkpoints}/{name}", name=name, trigger=trig))
+        queries += _start_aggregate(agg.temperature_window_agg(valid, spec), name, tables, checkpoints, trig, database)
     return queries
 
 
 def start_window_events(spark: SparkSession, records: DataFrame, tables: str, checkpoints: str,
                         triggers: Triggers | None = None, pairing_delay: str = "1 hour",
-                        pairing: str = "tables") -> list[StreamingQuery]:
-    """Window-event job: raw fan-out, hourly and daily counts, open/close durations.
+                        pairing: str = "tables", database: Database | None = None) -> list[StreamingQuery]:
+    """Window-event job: raw fan-out, hourly and daily counts, open/close durations; state in RocksDB.
 
     ``pairing="tables"`` (default) pairs in skew-proof micro-batch jobs with
     table-backed state (``streaming.pairing_tables``); ``"state_store"`` uses
     ``applyInPandasWithState`` (lower latency, one task per object).
     """
+    use_rocksdb_state(spark)
     t = triggers or Triggers(raw={"processingTime": "15 seconds"},
                              agg_fast={"processingTime": "1 hour"}, agg_slow={"processingTime": "1 day"})
     decoded = codec.decode_window_events(records)
     raw = (decoded.writeStream.queryName("window_events_raw")
            .foreachBatch(_fan_out(tables, "window_events", "event_timestamp",
                                   quality.label_window_events, quality.fill_window_defaults, alerts=False,
-                                  key_col="object_code"))
+                                  key_col="object_code", database=database))
            .option("checkpointLocation", f"{checkpoints}/window_events_raw")
            .trigger(**t.raw).start())
     valid = quality.split(quality.label_window_events(decoded))[0]
     queries = [raw]
     for spec, trig in ((agg.EVENTS_HOURLY, t.agg_fast), (agg.EVENTS_DAILY, t.agg_slow)):
         name = f"window_aggregations_{spec.label}"
-        queries.append(start_to_parquet(agg.window_event_agg(valid, spec), f"{tables}/{name}",
-                                        f"{checkpoints}/{name}", name=name, trigger=trig))
+        queries += _start_aggregate(agg.window_event_agg(valid, spec), name, tables, checkpoints, trig, database)
     if pairing == "tables":
         queries.append(start_table_state_pairing(
             valid, f"{tables}/window_durations", f"{checkpoints}/window_durations_state",
@@ -122,7 +153,8 @@ def start_window_events(spark: SparkSession, records: DataFrame, tables: str, ch
     pairs = stream_first_close_pairs(valid, pairing_delay)
     durations = detect_window_patterns(
         pairs.withColumn("duration_seconds", whole_second_duration(F.col("opened_at"), F.col("closed_at")))
-             .withColumn("duration_minutes", F.col("duration_seconds") / 60))
+             .withColumn("duration_minutes", F.col("duration_seconds") / 60)
+             .withColumn("processing_timestamp", F.current_timestamp()))
     queries.append(start_to_parquet(durations, f"{tables}/window_durations", f"{checkpoints}/window_durations",
                                     name="window_durations", trigger=t.raw))
     return queries

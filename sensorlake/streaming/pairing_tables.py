@@ -6,7 +6,8 @@ micro-batch is a batch job instead (``foreachBatch``):
 
 1. state of the previous batch (openings not yet answered + events not yet
    final) is read from ``<state>/batch_id=<b-1>``, the new events are added;
-   events older than what was already final are late and ignored;
+   events older than what was already final are late: they pair with nothing and
+   go to ``<pairs>_late/batch_id=<b>``;
 2. the job's own watermark is ``max event time seen - delay``; events before
    it are final;
 3. every pending or final opening is matched to the first final closing after
@@ -29,7 +30,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
@@ -51,13 +51,9 @@ STATE_SCHEMA = StructType([
 WATERMARK_SCHEMA = StructType([StructField("max_us", LongType()), StructField("final_upto", LongType())])
 
 
-def _read_or_empty(spark, path: str, schema: StructType) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as err:  # first batch: nothing written yet
-        if "PATH_NOT_FOUND" not in str(err):
-            raise
-        return spark.createDataFrame([], schema)
+def _state(spark, path: str, schema: StructType, prev: int) -> DataFrame:
+    """What the batch before wrote: nothing for the first; a folder that is gone is an error, not empty state."""
+    return spark.createDataFrame([], schema) if prev < 0 else spark.read.schema(schema).parquet(path)
 
 
 def _event_id(events: DataFrame):
@@ -82,14 +78,16 @@ def pair_batch(batch: DataFrame, batch_id: int, pairs_path: str, state_path: str
     """Process one micro-batch of window events (see module docstring)."""
     spark = batch.sparkSession
     prev = int(batch_id) - 1
-    state = _read_or_empty(spark, f"{state_path}/batch_id={prev}", STATE_SCHEMA)
-    mark = _read_or_empty(spark, f"{state_path}/_watermark/batch_id={prev}", WATERMARK_SCHEMA).first()
+    state = _state(spark, f"{state_path}/batch_id={prev}", STATE_SCHEMA, prev)
+    mark = _state(spark, f"{state_path}/_watermark/batch_id={prev}", WATERMARK_SCHEMA, prev).first()
     prev_max = mark["max_us"] if mark else None
     final_upto = mark["final_upto"] if mark else None
 
     new = _as_state(batch)
     if final_upto is not None:
-        new = new.filter(F.col("_us") >= final_upto)              # late: older than what is final
+        late = new.filter(F.col("_us") < final_upto)              # older than what is final
+        late.write.mode("overwrite").parquet(f"{pairs_path.rstrip('/')}_late/batch_id={batch_id}")
+        new = new.filter(F.col("_us") >= final_upto)
     new = new.persist()
     try:
         batch_max = new.agg(F.max("_us")).first()[0]

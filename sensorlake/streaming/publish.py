@@ -26,14 +26,24 @@ def openings_csv_to_records(spark: SparkSession, path: str, producer_time: Colum
                             roll_midnight: bool = False, source_tz: str | None = None) -> DataFrame:
     """Openings CSV -> one opened and one closed record per row, merged in event-time order."""
     ev = codec.openings_to_events(files.openings_csv(spark, path), roll_midnight, source_tz)
-    ev = ev.filter(F.col("event_timestamp").isNotNull())   # unparseable rows have no time to publish
+    ev = ev.filter(F.col("event_timestamp").isNotNull())   # the others: see unparseable_openings
     rec = codec.encode_window_events(ev, producer_time=producer_time, keep=["event_timestamp"])
     return codec.in_publish_order(rec, ["event_timestamp"]).drop("event_timestamp")
 
 
+def unparseable_openings(spark: SparkSession, path: str, roll_midnight: bool = False,
+                         source_tz: str | None = None) -> DataFrame:
+    """The events of the openings CSV that have no time to be published at, to be stored and looked into."""
+    ev = codec.openings_to_events(files.openings_csv(spark, path), roll_midnight, source_tz)
+    return ev.filter(F.col("event_timestamp").isNull())
+
+
 def publish_csv(spark: SparkSession, readings_path: str | None, openings_path: str | None,
-                servers: str) -> None:
-    """Publish both inputs to their topics (needs the Kafka connector on the classpath)."""
+                servers: str, rejects_path: str | None = None) -> None:
+    """Publish both inputs to their topics (needs the Kafka connector on the classpath); openings
+    without a time are stored under ``rejects_path``."""
+    if openings_path and rejects_path:
+        unparseable_openings(spark, openings_path).write.mode("overwrite").parquet(rejects_path)
     if readings_path:
         bus_sink.publish(readings_csv_to_records(spark, readings_path), servers)
     if openings_path:

@@ -40,15 +40,3 @@ def test_classification_stays_in_codegen(spark):
     plan = detect_anomalies(df)._jdf.queryExecution().executedPlan().toString()
     assert "WholeStageCodegen" in plan or "*(" in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-
-
-def test_exact_avg_rounds_ties_away_from_zero_and_ignores_order(spark):
-    from sensorlake.functions.numeric import exact_avg
-    df = spark.createDataFrame([(1, 0.1), (1, 0.2), (2, -0.1), (2, -0.2), (3, None), (4, 13.9990625), (4, 13.9990625)],
-                               "g int, x double")
-    got = {r.g: r.a for r in df.groupBy("g").agg(exact_avg(F.col("x"), 1).alias("a")).collect()}
-    assert got == {1: 0.2, 2: -0.2, 3: None, 4: 14.0}
-    six = {r.g: r.a for r in df.groupBy("g").agg(exact_avg(F.col("x"), 6).alias("a")).collect()}
-    assert six[4] == 13.999063 and six[1] == 0.15
-    shuffled = df.repartition(7).groupBy("g").agg(exact_avg(F.col("x"), 6).alias("a"))
-    assert {r.g: r.a for r in shuffled.collect()} == six

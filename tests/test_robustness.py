@@ -1,0 +1,233 @@
+"""Odd data, odd layouts and odd zones: nothing is lost, nothing depends on them."""
+
+import datetime as dt
+import json
+import os
+import subprocess
+import sys
+import time
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry_mod
+from sensorlake.functions import codec
+from sensorlake.functions.timefmt import parse_day_clock
+from sensorlake.operators import quality, sampling
+from sensorlake.operators.metrics import ProgressTable
+from sensorlake.schemas import RECORD, TABLES
+from sensorlake.session import estimated_bytes, partitions_for_size, scratch_path
+from sensorlake.sinks import relational
+from sensorlake.sources import bus, files, fixtures as fx
+from sensorlake.streaming import jobs, publish
+from sensorlake.streaming.runner import materialize
+from tests.conftest import SF_SMALL, ts
+
+UTC = dt.timezone.utc
+
+
+def variant(spark, name, change, files_=1):
+    """A table folder whose ``events`` are changed ones of the smallest tables."""
+    root = scratch_path(spark, f"variant-{name}").replace("file:", "")
+    ev = change(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
+    ev.repartition(files_).write.parquet(f"{root}/events.parquet")
+    return root
+
+
+VARIANTS = {
+    "null times": (lambda e: e.withColumn("ts", F.when(F.col("event_id") % 10 != 0, F.col("ts"))), 1),
+    "tied times": (lambda e: e.withColumn("ts", F.date_trunc("hour", "ts").cast("timestamp_ntz")), 1),
+    "an extra event type": (lambda e: e.withColumn(
+        "event_type", F.when(F.col("event_id") % 7 == 0, "refund").otherwise(F.col("event_type"))), 1),
+    "four files": (lambda e: e, 4),
+}
+QUERIES = ["archive_roundtrip", "replay_sample", "replay_dedup", "readings_classified", "retention_kept", "retention_metric",
+           "retention_run", "anomaly_count_last_hour", "events_by_hour_type_24h", "window_cycles_first_close"]
+
+
+def normal(frame):
+    """Rows as text; whole numbers beside NULLs come back as floats, and NULLs under several names."""
+    for c in frame.select_dtypes(["number"]).columns:
+        frame = frame.assign(**{c: frame[c].astype("float64")})
+    return sorted(map(repr, frame.astype(str).replace({"None": "NaT", "<NA>": "NaT", "nan": "NaT"}).itertuples(index=False)))
+
+
+@pytest.mark.parametrize("kind", VARIANTS)
+def test_queries_match_their_sql_on_variants(spark, kind):
+    root = variant(spark, kind.replace(" ", "-"), *VARIANTS[kind])
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{root}/events.parquet/*.parquet')")
+    for name in QUERIES:
+        got = entry_mod.queries()[name](spark, root).toPandas()
+        exp = con.sql(entry_mod.oracle_sql()[name]).df()
+        cols = sorted(exp.columns)
+        assert sorted(got.columns) == cols and normal(got[cols]) == normal(exp[cols]), name
+
+
+def test_replay_sample_is_no_prefix_and_seeds_differ(spark):
+    ids = spark.range(1000).select(F.col("id").alias("reading_id"))
+    one, again, other = ([r[0] for r in sampling.replay_sample(ids, 100, "reading_id", s).collect()] for s in (0, 0, 1))
+    assert one == again and set(one) != set(other)
+    assert len(set(one)) == 100 and max(one) > 900 and sum(i < 100 for i in one) < 40
+
+
+def test_dedup_keeps_distinct_readings_of_one_instant(spark):
+    rows = [(1, "d", ts("2024-01-01 00:00:00"), 20.0), (2, "d", ts("2024-01-01 00:00:00"), 21.0),
+            (2, "d", ts("2024-01-01 00:00:00"), 21.0), (3, None, None, None), (3, None, None, None)]
+    df = spark.createDataFrame(rows, "id long, device_id string, event_timestamp timestamp, t double")
+    assert sampling.drop_replayed(df).count() == 3
+    assert sampling.drop_replayed(df, ["id"]).count() == 3
+
+
+def test_more_input_gives_more_range_partitions(spark):
+    counts = []
+    for n in (1_000, 5_000_000, 20_000_000):
+        path = scratch_path(spark, f"sized-{n}")
+        spark.range(n).select(F.xxhash64("id").alias("x")).write.parquet(path)
+        df = spark.read.parquet(path)
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+        try:
+            counts.append(partitions_for_size(spark, estimated_bytes(df)))
+        finally:
+            spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert counts[0] < counts[1] < counts[2]
+    assert partitions_for_size(spark, estimated_bytes(spark.createDataFrame([], "a int"))) <= 8
+    assert partitions_for_size(spark, None) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def records(spark, rows):
+    """(key, value text, offset) -> records of the bus."""
+    return spark.createDataFrame([(k.encode(), v.encode(), "iot-temperature", 0, o, dt.datetime(2024, 1, 1, 12, tzinfo=UTC))
+                                  for k, v, o in rows], RECORD)
+
+
+def reading(second, celsius, **more):
+    return json.dumps({"event_timestamp": f"2024-01-01T00:00:{second:02d}.000000", "timestamp_epoch": 1704067200 + second,
+                       "device_id": "d", "temperature_fahrenheit": 70.0, "temperature_celsius": celsius,
+                       "message_type": "temperature_reading", "producer_timestamp": "2024-01-01T00:00:00.000000"} | more)
+
+
+def test_values_that_are_no_numbers_spoil_no_average(spark):
+    rows = [("d", reading(1, 1e9), 0), ("d", reading(2, 1.0), 1), ("d", reading(3, float("nan")), 2),
+            ("d", reading(4, float("inf")), 3), ("d", reading(5, 2.0, temperature_fahrenheit=float("-inf")), 4),
+            ("d", "not json", 5), ("d", reading(6, 3.0, event_timestamp=None), 6),
+            ("e", reading(0, 1.0, event_timestamp="2024-01-02T00:00:00.000000", device_id="e"), 7)]
+    root = scratch_path(spark, "no-numbers").replace("file:", "")
+    records(spark, rows).coalesce(1).write.parquet(f"{root}/records")
+    copies = []
+    database = jobs.Database("jdbc:none:")
+    old, relational.append_new = relational.append_new, lambda batch, url, table, keys, time_col, properties: copies.append(
+        (table, batch.count(), tuple(batch.columns)))
+    try:
+        qs = jobs.start_readings(spark, bus.record_file_stream(spark, f"{root}/records"), f"{root}/t", f"{root}/c",
+                                 jobs.Triggers.available_now(), database)
+        for q in qs:
+            q.awaitTermination()
+            assert q.exception() is None
+    finally:
+        relational.append_new = old
+    agg = spark.read.parquet(f"{root}/t/temperature_aggregations_1min").filter("device_id = 'd'").collect()
+    assert [(r.avg_temp_celsius, r.reading_count) for r in agg] == [(500000000.5, 2)]
+    assert str(agg[0].event_date) == "2024-01-01" and agg[0].created_at is not None
+    bad = {r.offset: r for r in spark.read.parquet(f"{root}/t/quarantine_temperature_readings").collect()}
+    assert {o: r.quarantine_reason for o, r in bad.items()} == {
+        2: "non_finite_value", 3: "non_finite_value", 4: "non_finite_value", 5: "malformed_payload", 6: "missing_event_timestamp"}
+    assert bad[6].event_timestamp is None and bytes(bad[5].raw_value) == b"not json"      # as they came, to be replayed
+    again = spark.createDataFrame([(r.message_key.encode(), bytes(r.raw_value), r.topic, r.partition, r.offset, r.kafka_timestamp)
+                                   for r in bad.values()], RECORD)
+    labelled = quality.label_readings(codec.decode_readings(again)).collect()
+    assert {r.offset: r.quarantine_reason for r in labelled} == {o: r.quarantine_reason for o, r in bad.items()}
+    named = {t for t, n, _ in copies if n}
+    assert "temperature_readings" in named and "temperature_aggregations_1min" in named
+    for table, _, columns in copies:
+        assert set(columns) <= set(TABLES[table][0].fieldNames())
+
+
+def test_time_literals_and_metrics_do_not_depend_on_the_drivers_zone():
+    code = """
+import datetime as dt, sys
+sys.path.insert(0, %r)
+from pyspark.sql import functions as F
+from sensorlake.session import local_session
+from sensorlake.operators import views
+from sensorlake.operators.metrics import metric_rows
+from sensorlake.sinks import relational
+spark = local_session(1, shuffle_partitions=1)
+df = spark.range(48).select(F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 3600).alias("event_timestamp"))
+print("rows", views.since(df, dt.datetime(2024, 1, 2), "3 HOURS").count())
+print("metric", metric_rows(spark, [("a", 1, "u", {})], dt.datetime(2024, 1, 2)).select(F.col("timestamp").cast("string")).first()[0])
+print("range", relational.time_range(df, "event_timestamp"))
+""" % os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", code], env=os.environ | {"TZ": "America/New_York"}, capture_output=True, text=True,
+                         timeout=300).stdout
+    assert "rows 27" in out and "metric 2024-01-02 00:00:00" in out
+    assert "range event_timestamp BETWEEN '2024-01-01 00:00:00.000000' AND '2024-01-02 23:00:00.000000'" in out
+
+
+@pytest.mark.parametrize("name", ["temperature_stats_24h", "window_activity_7d", "readings_last_hour", "anomaly_count_last_hour",
+                                  "agg_1min_last_2h", "activity_by_object_24h", "events_by_hour_type_24h", "retention_kept"])
+def test_trailing_ranges_reach_the_scan(spark, capsys, name):
+    entry_mod.queries()[name](spark, SF_SMALL).explain("formatted")
+    pushed = [line for line in capsys.readouterr().out.splitlines() if "PushedFilters" in line]
+    assert pushed and all("GreaterThanOrEqual(ts," in line for line in pushed)
+
+
+def test_relational_keys_are_null_safe_and_single(spark):
+    schema = "k string, t timestamp, v int"
+    there = spark.createDataFrame([("a", ts("2024-01-01 00:00:00"), 1), (None, ts("2024-01-01 00:00:01"), 1)], schema)
+    batch = spark.createDataFrame([("a", ts("2024-01-01 00:00:00"), 2), (None, ts("2024-01-01 00:00:01"), 2),
+                                   ("b", None, 3), ("b", None, 3), (None, None, 4)], schema)
+    assert sorted((r.v for r in relational.new_rows(batch, there, ["k", "t"]).collect())) == [3, 4]
+    assert relational.time_range(batch, "t").endswith("OR t IS NULL")
+    assert relational.time_range(batch.filter("t is null"), "t") == "t IS NULL"
+    assert relational.time_range(batch.limit(0), "t") is None
+
+
+def test_all_eight_tables_are_declared():
+    assert len(TABLES) == 8
+    for schema, keys, time_col in TABLES.values():
+        assert {*keys, time_col} <= set(schema.fieldNames())
+
+
+def test_lenient_days(spark):
+    days = ["2020-01-02", "1/2/2020", "2020-01-02 00:00:00", "1/2/2020 0:00:00", "soon", None, ""]
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "i int, d string")
+    got = [r[1] for r in df.select("i", parse_day_clock(F.col("d"), F.lit("1:05 PM")).cast("string")).sort("i").collect()]
+    assert got == ["2020-01-02 13:05:00"] * 4 + [None] * 3
+
+
+def test_openings_without_a_time_are_kept_aside(spark, tmp_path):
+    path = str(tmp_path / "o.csv")
+    with open(path, "w") as f:
+        f.write("DayPST,StartTimePST,EndTimePST,ObjectCode,ObjectName\n2020-01-02,1:00:00 PM,2:00:00 PM,1,a\nnever,1:00 PM,2:00 PM,2,b\n")
+    assert publish.openings_csv_to_records(spark, path).count() == 2
+    assert {r.object_code for r in publish.unparseable_openings(spark, path).collect()} == {2}
+    assert files.openings_csv(spark, path).count() == 2
+
+
+def test_every_micro_batch_is_in_the_progress_table(spark):
+    root = scratch_path(spark, "progress-table").replace("file:", "")
+    for i in range(5):
+        spark.range(10 * i, 10 * i + 10).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    listener = ProgressTable(spark, f"{root}/metrics")
+    spark.streams.addListener(listener)
+    try:
+        src = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+        materialize(spark, src, "progress-table")
+        for _ in range(100):
+            if sum("_SUCCESS" in names for _, _, names in os.walk(f"{root}/metrics")) == 5:
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    rows = spark.read.parquet(f"{root}/metrics").filter("metric_name = 'stream_input_rows'")
+    assert rows.agg(F.sum("metric_value"), F.count_distinct("batch_id")).first() == (50.0, 5)
+
+
+def test_a_lost_state_folder_is_an_error(spark):
+    from sensorlake.streaming.pairing_tables import pair_batch
+    w = fx.window_events(spark.read.parquet(f"{SF_SMALL}/events.parquet"), True)
+    root = scratch_path(spark, "lost-state")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        pair_batch(w, 7, f"{root}/pairs", f"{root}/state", 0)

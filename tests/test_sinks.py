@@ -35,18 +35,31 @@ def test_legacy_batch_folders_are_readable(spark):
     assert parquet.read_legacy_archive(spark, path).count() == 30
 
 
-def test_apply_retention_rewrites_only_what_is_kept(spark):
+def test_retention_touches_expired_and_boundary_dates_only(spark):
+    import os
     from sensorlake.operators import retention
-    src, dst = scratch_path(spark, "ret-src"), scratch_path(spark, "ret-dst")
-    as_of = dt.datetime(2024, 1, 31, 12)
-    rows = [(i, as_of - dt.timedelta(days=d)) for i, d in enumerate([0, 1, 10, 29, 30, 31, 45])]
-    df = spark.createDataFrame(rows, "id long, event_timestamp timestamp").withColumn(
-        "event_date", F.to_date("event_timestamp"))
-    df.write.partitionBy("event_date").parquet(src)
-    metric = retention.apply_retention(spark, src, dst, as_of, 30).collect()[0]
-    kept = sorted(r.id for r in spark.read.parquet(dst).collect())
-    assert kept == [0, 1, 2, 3, 4]            # the row exactly at the cut-off stays
-    assert metric.metric_value == 2.0
+    src, metrics = scratch_path(spark, "ret-src"), scratch_path(spark, "ret-metrics")
+    as_of = dt.datetime(2024, 1, 31, 12, tzinfo=dt.timezone.utc)
+    ages = [0, 1, 10, 29, 29.9, 30, 30.2, 31, 45]
+    rows = [(i, as_of - dt.timedelta(days=d)) for i, d in enumerate(ages)] + [(99, None)]
+    parquet.write_batch(spark.createDataFrame(rows, "id long, event_timestamp timestamp"), 3, src)
+    root = src.replace("file:", "")
+
+    def files():
+        return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(root)
+                for f in names if f.endswith(".parquet")}
+
+    before = files()
+    assert retention.apply_retention(spark, src, metrics, as_of, 30) == 3
+    after = files()
+    left = {r.id: r.batch_id for r in spark.read.parquet(src).collect()}
+    assert left == {i: 3 for i, d in enumerate(ages) if d <= 30} | {99: 3}
+    kept = {f for f in before if "event_date=2024-01-01" not in f and f in after}
+    assert len(kept) == 5 and all(after[f] == before[f] for f in kept)
+    assert [(r.metric_name, r.metric_value, r.tags) for r in spark.read.parquet(metrics).collect()] == [
+        ("data_cleanup_temp_readings", 3.0, '{"days_to_keep":30}')]
+    assert retention.apply_retention(spark, src, metrics, as_of, 30) == 0       # a second run finds nothing
+    assert {r.id for r in spark.read.parquet(src).collect()} == set(left)
 
 
 def test_compact_date_rewrites_one_day_sorted(spark):
