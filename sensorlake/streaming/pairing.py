@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 OUTPUT_SCHEMA = "object_code int, object_name string, opened_at_us long, closed_at_us long"
-STATE_SCHEMA = ("buf_us array<long>, buf_kind array<int>, pending array<long>, "
-                "object_name string, final_upto long")
+STATE_SCHEMA = ("buf_us array<long>, buf_kind array<int>, buf_name array<string>, pending array<long>, "
+                "pending_name array<string>, final_upto long")
 
 _OPEN, _CLOSE = 0, 1
 
@@ -41,13 +41,14 @@ def _pairer():
 
         (code,) = key
         if state.exists:
-            buf_us, buf_kind, pending, name, final_upto = state.get
+            buf_us, buf_kind, buf_name, pending, pending_name, final_upto = state.get
             buf_us = np.asarray(buf_us or [], dtype="int64")
             buf_kind = np.asarray(buf_kind or [], dtype="int64")
             pending = np.asarray(pending or [], dtype="int64")
+            buf_name, pending_name = (np.array(x or [], dtype=object) for x in (buf_name, pending_name))
         else:
             buf_us, buf_kind, pending = (np.empty(0, "int64") for _ in range(3))
-            name, final_upto = None, None
+            buf_name, pending_name, final_upto = np.empty(0, object), np.empty(0, object), None
 
         for pdf in batches:
             if final_upto is not None:
@@ -56,29 +57,32 @@ def _pairer():
                 continue
             buf_us = np.concatenate([buf_us, pdf["_us"].to_numpy("int64")])
             buf_kind = np.concatenate([buf_kind, pdf["_kind"].to_numpy("int64")])
-            if name is None:
-                name = str(pdf["object_name"].iloc[0])
+            buf_name = np.concatenate([buf_name, pdf["object_name"].to_numpy(object)])
 
         watermark_us = state.getCurrentWatermarkMs() * 1000
         final = buf_us < watermark_us if watermark_us > 0 else np.zeros(len(buf_us), bool)
-        opens = np.sort(np.concatenate([pending, buf_us[final & (buf_kind == OPEN)]]))
+        settled = final & (buf_kind == OPEN)
+        opens = np.concatenate([pending, buf_us[settled]])
+        by_time = np.argsort(opens, kind="stable")
+        opens, names = opens[by_time], np.concatenate([pending_name, buf_name[settled]])[by_time]   # an opening's own name
         closes = np.sort(buf_us[final & (buf_kind == CLOSE)])
         # first closing strictly later than each opening
         nxt = np.searchsorted(closes, opens, side="right")
         answered = nxt < len(closes)
         out_open, out_close = opens[answered], closes[nxt[answered]]
-        pending = opens[~answered]
+        pending, pending_name = opens[~answered], names[~answered]
 
         if watermark_us > 0:
             final_upto = max(final_upto or 0, watermark_us)
         keep_us, keep_kind = buf_us[~final], buf_kind[~final]
-        state.update((keep_us.tolist(), keep_kind.tolist(), pending.tolist(), name, final_upto))
+        state.update((keep_us.tolist(), keep_kind.tolist(), buf_name[~final].tolist(), pending.tolist(),
+                      pending_name.tolist(), final_upto))
         if len(keep_us):
             # wake up as soon as the watermark passes the oldest event still buffered
             state.setTimeoutTimestamp(max(int(keep_us.min()) // 1000, state.getCurrentWatermarkMs(), 1))
         if len(out_open):
             yield pd.DataFrame({"object_code": np.full(len(out_open), code, dtype="int32"),
-                                "object_name": [name] * len(out_open),
+                                "object_name": names[answered].tolist(),
                                 "opened_at_us": out_open, "closed_at_us": out_close})
 
     return pair_events
