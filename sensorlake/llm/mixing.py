@@ -14,8 +14,9 @@ every integer in (u + (i-1) r, u + i r]. That is floor or ceil of r, so no docum
 stray from the target by about one document's size.
 
 The prefix sum is never taken over a source in one task: rows are counted per cell
-(source, size, bucket), running sums over the counted cells give each cell's offset, and a
-row's position is its offset plus its number within the cell.
+(source, size, bucket) and per class (source, root of the size); running sums over the classes of
+a source and over the cells of a class give each cell's offset, and a row's position is its
+offset plus its number within the cell.
 
 Defined cases: null text or no words: size 0; null source: a source of its own; null doc_id:
 a key like any other; repeated rows: each takes its own position (which of them gets which
@@ -78,9 +79,13 @@ def copies(docs: DataFrame, seed: str = SEED) -> DataFrame:
     rows = pinned(_keyed(docs).withColumn("_bucket", F.substring(F.md5(F.concat(
         F.coalesce(F.col("doc_id").cast("string"), F.lit("~")), F.lit("|"), "_text")), 1, 2)))
     cell = ["_source", "size", "_bucket"]
-    before = Window.partitionBy("_source").orderBy("size", "_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = rows.groupBy(*cell).agg(F.count("*").alias("_n")).select(
-        *cell, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    counted = rows.groupBy(*cell).agg(F.count("*").alias("_n")).withColumn("_class", F.floor(F.sqrt("size")))
+    earlier = Window.partitionBy("_source").orderBy("_class").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("_source", "_class").orderBy("size", "_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    classes = counted.groupBy("_source", "_class").agg(F.sum("_n").alias("_n")).select(
+        "_source", "_class", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
+    offsets = counted.withColumn("_in", F.coalesce(F.sum("_n").over(before), F.lit(0))).join(
+        classes, ["_source", "_class"]).select(*cell, (F.col("_base") + F.col("_in")).alias("_offset"))
     draw = F.conv(F.substring(F.md5(F.concat(F.lit(seed), "_source")), 1, 8), 16, 10).cast(_WIDE)
     sources = (source_targets(rows).withColumn("_draw", draw)
                .withColumn("_one", F.expr(f"cast(_den * source_size as {_WIDE})"))
@@ -125,7 +130,8 @@ WITH rows AS (
   SELECT doc_id, source,
          CASE WHEN source IS NULL THEN 'n' ELSE 's' || source END AS sk,
          coalesce(md5(text), '~') AS tx,
-         coalesce(len(regexp_extract_all(text, '[^ 	-]+')), 0)::BIGINT AS size
+         coalesce(len(regexp_extract_all(text, '[^ 	-
+]+')), 0)::BIGINT AS size
   FROM documents),
 cells AS (SELECT *, substr(md5(coalesce(doc_id::VARCHAR, '~') || '|' || tx), 1, 2) AS b FROM rows),
 numbered AS (SELECT *, row_number() OVER (PARTITION BY sk ORDER BY size, b, doc_id NULLS FIRST, tx) AS i FROM cells),
