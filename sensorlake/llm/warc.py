@@ -64,9 +64,12 @@ def decided(pages: DataFrame) -> DataFrame:
 
 def dictionary(pages: DataFrame) -> bytes:
     """A dictionary trained on a bounded sample of records; empty if they are too few."""
-    rows = (pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
-            .orderBy(F.xxhash64("page_id", "html"), "page_id").limit(SAMPLE)
-            .select("page_id", "url", F.left("html", F.lit(SAMPLE_CHARS)).alias("payload")).collect())
+    drawn = F.xxhash64("page_id", "url")
+    share = min(1.0, 2 * SAMPLE / max(pages.count(), 1))     # so tasks return few rows, whatever their number
+    rows = (pages.select("page_id", "url", F.left(F.coalesce("html", F.lit("")), F.lit(SAMPLE_CHARS)).alias("payload"),
+                         drawn.alias("drawn"))
+            .filter(F.pmod("drawn", F.lit(1 << 31)) < int(share * (1 << 31)))
+            .orderBy("drawn", "page_id").limit(SAMPLE).collect())
     samples = [record(r.page_id, r.url, r.payload.encode("utf-8", "replace"), "", None, False, "") for r in rows]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
