@@ -16,4 +16,4 @@ QUERIES = {
     "op9_warc": warc.op9_warc,
     "op10_pii": pii.op10_pii,
 }
-ORACLE = {"op4_mix": mixing.OP4_SQL, "op9_warc": warc.OP9_SQL}
+ORACLE = {"op4_mix": mixing.OP4_SQL, "op7_vectors": vectors.OP7_SQL, "op9_warc": warc.OP9_SQL}

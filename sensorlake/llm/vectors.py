@@ -263,3 +263,19 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
 def op7_vectors(spark, sf_dir):
     """Links and component of every vector of ``embeddings``."""
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+OP7_SQL = f"""
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+          ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+          AND list_cosine_similarity(a.v, b.v) >= {COSINE}),
+reach(node, seen) AS (SELECT vec_id, vec_id FROM embeddings
+                      UNION SELECT node, b FROM reach JOIN links ON seen = a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, min(seen) AS component_id,
+       vec_id = min(seen) AS kept
+FROM embeddings JOIN reach ON node = vec_id GROUP BY vec_id
+"""
