@@ -114,23 +114,19 @@ class Tokens:
         self.learned = np.repeat(~self.held, np.diff(self.first))
         self.n_buckets = n_buckets
         self.words, place = np.unique(np.append(token, START), return_inverse=True)
-        order = self._order(self.words)
-        self.words, rank = self.words[order], np.argsort(order)
-        self.word = rank[place[:-1]]
-        context = np.append(rank[place[-1]], self.word[:-1])
-        context[self.first[:-1]] = rank[place[-1]]
+        self.word = place[:-1]
+        context = np.append(place[-1], self.word[:-1])
+        context[self.first[:-1]] = place[-1]
         pair, self.gram = np.unique(context << 32 | self.word, return_inverse=True)
         before, after = pair >> 32, pair & 0xFFFFFFFF
         self.grams = mixed(self.words[before] * _M + self.words[after])
-        order = self._order(self.grams)
+        order = np.argsort(self.grams)
         self.grams, self.gram = self.grams[order], np.argsort(order)[self.gram]
         self.before, self.after = before[order], after[order]
 
     def bucket(self, hashes: np.ndarray) -> np.ndarray:
-        return ((hashes >> np.uint64(32)) % np.uint64(self.n_buckets)).astype(np.int64)
-
-    def _order(self, hashes: np.ndarray) -> np.ndarray:
-        return np.lexsort((hashes, self.bucket(hashes)))
+        """Buckets are ranges of the hashes, so the steps between a bucket's are small."""
+        return ((hashes >> np.uint64(32)) * np.uint64(self.n_buckets) >> np.uint64(32)).astype(np.int64)
 
     def learned_counts(self, place: np.ndarray, n: int) -> np.ndarray:
         return np.bincount(place[self.learned], minlength=n).astype(np.int64)

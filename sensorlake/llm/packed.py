@@ -48,9 +48,8 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def pack(docs: DataFrame) -> DataFrame:
-    """doc_id (long), text of every row, null texts as empty ones -> blocks, written once and dealt by block."""
-    blocks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_pack, BLOCKS)
-    return pinned(blocks.repartition(n_parts(docs.sparkSession), "block"))
+    """doc_id (long), text of every row, null texts as empty ones -> blocks, written once."""
+    return pinned(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_pack, BLOCKS))
 
 
 class Block:
