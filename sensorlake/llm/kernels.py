@@ -5,7 +5,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-_M = np.uint64(0x9E3779B97F4A7C15)
+#: An odd multiplier whose bits are well mixed.
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _byte_values(seed: int) -> np.ndarray:
@@ -54,8 +55,8 @@ class Hasher:
         self.values = _byte_values(seed)
         if fold_case:
             self.values[65:91] = self.values[97:123]
-        self.base = _M
-        self.inverse = np.uint64(pow(int(_M), -1, 1 << 64))
+        self.base = SPREAD
+        self.inverse = np.uint64(pow(int(SPREAD), -1, 1 << 64))
         self.size = 0
 
     def _grow(self, n: int) -> None:
@@ -80,7 +81,7 @@ def grams(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hash of every n neighbouring hashes (order counts); n - 1 fewer of them."""
     out = hashes[:len(hashes) - n + 1].copy()
     for k in range(1, n):
-        out = mixed(out * _M + hashes[k:len(hashes) - n + 1 + k])
+        out = mixed(out * SPREAD + hashes[k:len(hashes) - n + 1 + k])
     return out
 
 

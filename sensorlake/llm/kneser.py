@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorlake.llm.common import n_parts, pinned, table
-from sensorlake.llm.kernels import _M, SPACED, Hasher, mixed, words
+from sensorlake.llm.kernels import SPACED, SPREAD, Hasher, mixed, words
 from sensorlake.llm.packed import (Block, answered, by_bucket, ddl, decoded, decoded_sorted, encoded,
                                    encoded_sorted, over_blocks, over_buckets, pack, slices)
 
@@ -119,7 +119,7 @@ class Tokens:
         context[self.first[:-1]] = place[-1]
         pair, self.gram = np.unique(context << 32 | self.word, return_inverse=True)
         before, after = pair >> 32, pair & 0xFFFFFFFF
-        self.grams = mixed(self.words[before] * _M + self.words[after])
+        self.grams = mixed(self.words[before] * SPREAD + self.words[after])
         order = np.argsort(self.grams)
         self.grams, self.gram = self.grams[order], np.argsort(order)[self.gram]
         self.before, self.after = before[order], after[order]
