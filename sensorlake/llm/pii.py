@@ -117,7 +117,9 @@ def candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     for name, by in (("label", ["rid", "kind"]), ("taken", ["rid"])):
         w = Window.partitionBy(*by).orderBy("start")
         reach = F.max(F.when(F.col("ok"), F.col("end"))).over(w.rangeBetween(Window.unboundedPreceding, 0))
-        ahead = F.min(F.when(F.col("ok"), F.col("start"))).over(w.rangeBetween(0, Window.unboundedFollowing))
+        # from the end of the text, as a frame that ends at the last row is taken anew for every row
+        back = Window.partitionBy(*by).orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, 0)
+        ahead = F.min(F.when(F.col("ok"), F.col("start"))).over(back)
         spans = spans.withColumn(name, F.coalesce(reach > F.col("start"), F.lit(False))
                                  | F.coalesce(ahead < F.col("end"), F.lit(False)))
     # of every base match that passed its check and the wider ones, what the rest needs
