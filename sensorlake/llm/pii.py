@@ -6,16 +6,23 @@ each kind (written-out e-mail addresses, spaced or bracketed IP addresses, card
 other separators, phone numbers without a country prefix). Base spans that pass their check
 (IP parts, Luhn, digit counts) always stay. Every candidate gets a few small format and
 context features; rows with equal features are counted, and gradient boosted trees are trained
-on the counted table with the base check as (weak) label. For each kind the threshold is the
-lowest score at which, on documents that weren't trained on, at least ``PRECISION`` of the
-candidates at or above it are confirmed. Wider candidates at or above the threshold that
-overlap no base span are added; of those that overlap each other the leftmost stays.
+on the counted table. The (weak) label asks for no base pattern: a candidate is confirmed if
+its value, with ``(at)``, ``(dot)``, brackets, spaces and separators normalised, passes the
+check of its kind (``valid``: a host that ends in letters, IP parts, Luhn and 13 to 19 digits,
+10 to 15 digits) and either its form speaks for it (``form``: a written-out or unspaced
+address, bracketed or evenly spaced IP parts, a card issuer's first digits in one piece or in
+groups with one separator, an area code in parentheses or 3-3-4 digits) or a word before it
+names its kind (``hint`` 2). For each kind the threshold is the lowest score at which, of the
+wider candidates that overlap no base span and stand in documents that weren't trained on, at
+least ``PRECISION`` of those at or above it are confirmed; where none of these scores as high,
+all documents are asked. Wider candidates at or above the threshold that overlap no base span
+are added; of those that overlap each other the leftmost stays.
 
 Positions are code points, end exclusive. Texts are searched whole, by patterns that can't
 backtrack (possessive runs, anchored at the start of a run), so a long text costs linear time.
 
 Defined cases: null or empty text: no span; null doc_id and repeated rows: one result row
-each; fewer than two labels among the candidates (an empty table, say): base spans only.
+each; only one label among the candidates: one score for all; no candidates: no span.
 Only doc_id and text are read.
 """
 
@@ -42,13 +49,23 @@ PATTERNS = (
     r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
     r"[0-9](?:[\x20-]?[0-9])++",
     r"\+[0-9][\x20().0-9-]+[0-9]",
-    rf"(?<!{_LOCAL}){_LOCAL}++\x20?(?:\(at\)|\[at\]|@)\x20?[A-Za-z0-9-]++(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]++)++",
+    # ". " may only be the first dot of a host, as a sentence ends so, too
+    rf"(?<!{_LOCAL}){_LOCAL}++\x20?(?:\(at\)|\[at\]|@)\x20?[A-Za-z0-9-]++\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]++"
+    r"(?:(?:\x20?(?:\(dot\)|\[dot\])\x20?|\x20\.\x20|\x20?\.)[A-Za-z0-9-]++)*+",
     r"(?<![0-9.])[0-9]{1,3}(?:\x20?\[?\.\]?\x20?[0-9]{1,3}){3}(?![0-9])",
     r"(?<![0-9])[0-9](?:[\x20./_-]{0,2}[0-9])++",
     r"(?<![0-9+])\(?[0-9]{2,4}\)?[\x20.-]?[0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9])",
 )
-FEATURES = ("kind", "digits", "pieces", "paren", "hyphen", "space", "dot", "luhn", "before_class", "after_class", "hint")
+FEATURES = ("kind", "digits", "pieces", "paren", "hyphen", "space", "dot", "luhn", "before_class", "after_class", "hint",
+            "valid", "form")
 _HINTS = r"(?i)(?:mail|contact|tel|phone|call|fax|mobile|card|visa|credit|pay|ip|host|server|addr)"
+#: By kind: whole words before a span that name its kind.
+_NAMES = (
+    r"(?i)\b(?:e-?mails?|mailto|contact|write|reach)\b",
+    r"(?i)\b(?:ip|ipv4|hosts?|servers?|addr|address|gateway|dns)\b",
+    r"(?i)\b(?:cards?|visa|mastercard|amex|credit|debit|pay|paid|payment)\b",
+    r"(?i)\b(?:tel|telephone|phones?|call|dial|fax|mobile|cell|contact)\b",
+)
 
 
 def _matches(text: Column, generator: int) -> Column:
@@ -79,6 +96,37 @@ def _class(c: Column) -> Column:
             .when(c.rlike("[A-Za-z]"), 3).otherwise(4))
 
 
+def _by_kind(*conditions: Column) -> Column:
+    """The condition of the row's kind; false where it is null."""
+    chosen = F.lit(False)
+    for k, c in enumerate(conditions):
+        chosen = F.when(F.col("kind") == k, c).otherwise(chosen)
+    return F.coalesce(chosen, F.lit(False))
+
+
+def _valid() -> Column:
+    """Does the value, normalised, pass the check of its kind?"""
+    value = F.col("value")
+    address = F.regexp_replace(F.regexp_replace(value, r"\x20?(?:\(at\)|\[at\])\x20?|\x20?@\x20?", "@"),
+                               r"\x20?(?:\(dot\)|\[dot\]|\.)\x20?", ".")
+    parts = F.split(F.regexp_replace(value, r"[\x20\[\]]", ""), r"\.")
+    return _by_kind(
+        address.rlike(rf"^{_LOCAL}++@(?:[A-Za-z0-9-]++\.)++[A-Za-z]{{2,24}}$") & ~value.rlike(r"\.\x20[A-Z]"),
+        (F.size(parts) == 4) & F.forall(parts, lambda p: F.coalesce(p.try_cast("int"), F.lit(256)) <= 255),
+        F.col("luhn") == 1, F.length("figures").between(10, 15))
+
+
+def _form() -> Column:
+    """Does the way the value is written speak for its kind?"""
+    value, alone = F.col("value"), ~F.col("before").rlike(r"[0-9A-Za-z][./_-]$")
+    whole = value.rlike(r"^[0-9]++$") | value.rlike(r"^[0-9]{3,6}([\x20./_-]{1,2})[0-9]{3,6}(?:\1[0-9]{1,7})+$")
+    return _by_kind(
+        value.rlike(r"\(at\)|\[at\]|\(dot\)|\[dot\]") | ~value.rlike(r"\x20\.|\.\x20"),
+        value.rlike(r"[\[\]]") | value.rlike(r"^[0-9]++(?:\.[0-9]++){3}$|^[0-9]{2,3}(?:\x20\.\x20[0-9]{1,3}){3}$"),
+        alone & whole & F.col("figures").rlike("^(?:[3-6]|2[2-7])") & ((F.length("figures") > 13) | F.col("figures").startswith("4")),
+        value.startswith("+") | value.rlike(r"^\([0-9]{2,4}\)") | alone & value.rlike(r"^[0-9]{3}([.-])[0-9]{3}\1[0-9]{4}$"))
+
+
 def candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows, spans): every row of ``docs`` with a number of its own (rid), and every proposed span with
     its kind, position, whether it is a base span that passes its check (ok), and its features."""
@@ -112,16 +160,18 @@ def candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
              .withColumn("paren", has("(")).withColumn("hyphen", has("-")).withColumn("space", has(" "))
              .withColumn("dot", has(".")).withColumn("before_class", _class(F.right("before", F.lit(1))))
              .withColumn("after_class", _class(F.coalesce("after", F.lit(""))))
-             .withColumn("hint", F.col("before").rlike(_HINTS).cast("int")))
-    # does the span overlap a checked base span, of its own kind (label) or of any (taken)?
-    for name, by in (("label", ["rid", "kind"]), ("taken", ["rid"])):
-        w = Window.partitionBy(*by).orderBy("start")
-        reach = F.max(F.when(F.col("ok"), F.col("end"))).over(w.rangeBetween(Window.unboundedPreceding, 0))
-        # from the end of the text, as a frame that ends at the last row is taken anew for every row
-        back = Window.partitionBy(*by).orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, 0)
-        ahead = F.min(F.when(F.col("ok"), F.col("start"))).over(back)
-        spans = spans.withColumn(name, F.coalesce(reach > F.col("start"), F.lit(False))
-                                 | F.coalesce(ahead < F.col("end"), F.lit(False)))
+             .withColumn("hint", F.when(_by_kind(*[F.col("before").rlike(n) for n in _NAMES]), 2)
+                         .when(F.col("before").rlike(_HINTS), 1).otherwise(0))
+             .withColumn("valid", _valid().cast("int")).withColumn("form", _form().cast("int"))
+             .withColumn("label", F.col("ok") | (F.col("valid") == 1) & ((F.col("form") == 1) | (F.col("hint") == 2))))
+    # does the span overlap a checked base span of any kind?
+    w = Window.partitionBy("rid").orderBy("start")
+    reach = F.max(F.when(F.col("ok"), F.col("end"))).over(w.rangeBetween(Window.unboundedPreceding, 0))
+    # from the end of the text, as a frame that ends at the last row is taken anew for every row
+    back = Window.partitionBy("rid").orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, 0)
+    ahead = F.min(F.when(F.col("ok"), F.col("start"))).over(back)
+    spans = spans.withColumn("taken", F.coalesce(reach > F.col("start"), F.lit(False))
+                             | F.coalesce(ahead < F.col("end"), F.lit(False)))
     # of every base match that passed its check and the wider ones, what the rest needs
     spans = spans.filter(F.col("ok") | (F.col("generator") != 0)).select(
         "rid", "doc_id", "generator", "kind", "start", "end", "ok", "label", "taken",
@@ -132,23 +182,31 @@ def candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 def thresholds(spans: DataFrame) -> DataFrame | None:
     """Per combination of features that occurs: whether candidates with it are selected (columns FEATURES, chosen)."""
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 == 3
-    cells = pinned(spans.groupBy(*FEATURES).agg(
-        F.count_if(~fold).alias("n"), F.count_if(~fold & F.col("label")).alias("yes"),
-        F.count_if(fold).alias("n_cal"), F.count_if(fold & F.col("label")).alias("yes_cal")).coalesce(1))
-    seen = cells.agg(F.sum("yes"), F.sum("n") - F.sum("yes")).first()
-    if not seen[0] or not seen[1]:
+    wider = F.col("generator") >= len(KINDS)
+    learned, label = ~fold, F.col("label")
+    # wider candidates within base spans can't be added; the base candidate speaks for both
+    cells = pinned(spans.filter(~(wider & F.col("taken"))).groupBy(*FEATURES).agg(
+        F.count_if(learned).alias("n"), F.count_if(learned & label).alias("yes"),
+        F.count_if(wider & fold).alias("n_cal"), F.count_if(wider & fold & label).alias("yes_cal"),
+        F.count_if(wider).alias("n_all"), F.count_if(wider & label).alias("yes_all")).coalesce(1))
+    seen = cells.agg(F.sum("yes"), F.sum("n") - F.sum("yes"), F.count("*")).first()
+    if not seen[2]:
         return None
-    assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(cells)
-    labelled = (assembled.select("features", F.explode(F.array(
-        F.struct(F.lit(1.0).alias("label"), F.col("yes").cast("double").alias("weight")),
-        F.struct(F.lit(0.0).alias("label"), (F.col("n") - F.col("yes")).cast("double").alias("weight")))).alias("y"))
-        .select("features", "y.*").filter("weight > 0"))
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, weightCol="weight", seed=7).fit(labelled)
-    scored = model.transform(assembled).withColumn("score", vector_to_array("probability")[1])
+    if seen[0] and seen[1]:
+        assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(cells)
+        labelled = (assembled.select("features", F.explode(F.array(
+            F.struct(F.lit(1.0).alias("label"), F.col("yes").cast("double").alias("weight")),
+            F.struct(F.lit(0.0).alias("label"), (F.col("n") - F.col("yes")).cast("double").alias("weight")))).alias("y"))
+            .select("features", "y.*").filter("weight > 0"))
+        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, weightCol="weight", seed=7).fit(labelled)
+        scored = model.transform(assembled).withColumn("score", vector_to_array("probability")[1])
+    else:
+        scored = cells.withColumn("score", F.lit(0.5))
     # bounded windows: one row per combination of features
     falling = Window.partitionBy("kind").orderBy(F.desc("score")).rangeBetween(Window.unboundedPreceding, 0)
-    scored = scored.withColumn("good", (F.sum("n_cal").over(falling) > 0) & (
-        F.sum("yes_cal").over(falling) >= PRECISION * F.sum("n_cal").over(falling)))
+    above = {c: F.sum(c).over(falling) for c in ("n_cal", "yes_cal", "n_all", "yes_all")}
+    scored = scored.withColumn("good", F.when(above["n_cal"] > 0, above["yes_cal"] >= PRECISION * above["n_cal"])
+                               .otherwise((above["n_all"] > 0) & (above["yes_all"] >= PRECISION * above["n_all"])))
     limit = F.min(F.when(F.col("good"), F.col("score"))).over(Window.partitionBy("kind"))
     return scored.select(*FEATURES, F.coalesce(F.col("score") >= limit, F.lit(False)).alias("chosen"))
 

@@ -166,6 +166,44 @@ def test_wider_spans_are_learned_and_redacted(docs):
     assert all(r.t.startswith("call tel [phone] or tel ") and r.t.endswith("mail [email]") for r in got)
 
 
+WIDER = [("email", "mail", "ann.lee{i} (at) host{i} (dot) com"), ("phone", "tel", "(212) 555-01{d}"), ("ip", "", "10[.]20[.]{i}[.]7"),
+         ("card", "card", "4222222222222"), ("phone", "tel", "212 555 01{d}"), ("email", "", "bob{i} @ mail.example.org"),
+         ("ip", "server", "10 . 20 . {i} . 7"), ("card", "", "4111.1111.1111.1111")]
+BASE = ["mail a{i}@b.com", "tel +1 (212) 555-01{d}", "host 10.20.{i}.7", "card 4111 1111 1111 1111"]
+DECOYS = ["part 7. 1. 2. 3 on", "order 4222222222223 of", "look @ this. And", "serial 2024-1234-5678 ok"]
+
+
+@pytest.mark.parametrize("share", [1, 2, 10])
+def test_planted_wider_spans_are_found_and_redacted(docs, share):
+    """Every ``share``-th document holds a wider span, a base span otherwise."""
+    rows, planted = [], {}
+    for i in range(160):
+        kind, hint, value = WIDER[i // share % len(WIDER)]
+        begin = f"note {DECOYS[i % 4]} then {hint} "
+        if i % share == 0:
+            value = value.format(i=i, d=i % 90 + 10)
+            planted[i] = [(len(begin), list(brute.PERSONAL).index(kind), len(begin) + len(value))]
+            text = f"{begin}{value}. Thanks, {i}"
+        else:
+            text = f"note {DECOYS[i % 4]} then " + BASE[i % 4].format(i=i, d=i % 90 + 10)
+        rows.append({"doc_id": i, "text": text})
+    found = {r.doc_id: r for r in pii.find(docs(rows)).collect()}
+    for row in rows:
+        i, base = row["doc_id"], brute.personal(row["text"])
+        assert [tuple(s) for s in found[i].base] == base
+        assert [tuple(s) for s in found[i].spans] == sorted(base + planted.get(i, [])), row["text"]
+    names = list(brute.PERSONAL)
+    red = docs(rows).join(pii.find(docs(rows)), "doc_id").select("doc_id", "text", pii.redact(F.col("text"), F.col("spans")).alias("t"))
+    for r in red.collect():
+        for a, k, b in planted.get(r.doc_id, []):
+            assert r.t == f"{r.text[:a]}[{names[k]}]{r.text[b:]}"
+
+
+def test_one_written_out_address_alone(docs):
+    got = pii.find(docs([{"doc_id": 1, "text": "ann (at) host (dot) com"}])).first()
+    assert [tuple(s) for s in got.spans] == [(0, 0, 23)]
+
+
 def test_contaminated_documents(spark, tables):
     items = tables("benchmark")
     got = {(r.doc_id, r.item_id): r.similarity for r in decontam.op1_decontaminate(spark, SF).collect()}
