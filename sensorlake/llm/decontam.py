@@ -124,14 +124,16 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _needed(similarity: float) -> str:
-    """Seeds that a passage of an item shares at least.
+    """Distinct seeds that a passage of an item shares at least.
 
     With score s of L words, m matches and m - s errors, the matches stand in at most
-    m - s + 1 runs, each of which loses SEED_WORDS - 1 seeds; m is L at most. Seeds that
+    m - s + 1 runs, each of which loses SEED_WORDS - 1 positions; m is L at most. A seed is
+    lost only with all its positions, so no more seeds are lost than positions. Seeds that
     aren't used may be among those left.
     """
     runs = f"(n_words - {2 * similarity - 1} * n_words + 1)"
-    return f"greatest(1, ceil(n_words - {SEED_WORDS - 1} * {runs} - 1e-9) - (n_seeds - n_rare))"
+    left = f"ceil(n_words - {SEED_WORDS - 1} * {runs} - 1e-9)"
+    return f"greatest(1, n_seeds - (n_words - {SEED_WORDS - 1} - {left}) - (n_seeds - n_rare))"
 
 
 def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

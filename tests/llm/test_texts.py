@@ -238,6 +238,23 @@ def test_edited_copies_of_benchmark_items(spark, docs, tables):
     assert all(abs(got[k] - hit[k]) < 1e-9 for k in got)
 
 
+def test_copies_of_repetitive_items(spark, docs):
+    line = "row row row your boat gently down the stream merrily".split()
+    items = {1: line * 10, 2: "yes no no yes no".split() * 12, 3: [str(i * i % 10) for i in range(200)],
+             4: [f"u{i}" for i in range(40)] + "and so say all of us".split() * 10}
+    rows, hit = [], {}
+    for item, words in items.items():
+        for step in (0, 17, 7):
+            copy = [f"zz{i}" if step and i % step == step // 2 else w for i, w in enumerate(words)]
+            text = " ".join(["filler"] * 30 + copy + ["more"] * 30)
+            hit[len(rows), item] = brute.alignment(text, " ".join(words))
+            rows.append({"doc_id": len(rows), "text": text})
+    assert min(hit.values()) >= 0.8
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontam.contaminated(docs(rows), bench).collect()}
+    assert set(got) == set(hit) and all(abs(got[k] - hit[k]) < 1e-9 for k in got)
+
+
 def test_contamination_on_odd_rows(spark, docs):
     bench = spark.createDataFrame([(1, "quick BROWN fox jumps over the lazy"), (2, None), (3, ""), (4, "straße"),
                                    (1, "quick BROWN fox jumps over the lazy"), (None, "band plays on")], "item_id long, text string")
