@@ -1,12 +1,13 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Words are runs of letters and digits, lower-cased. Every item of the benchmark yields its
-3-word seeds; those that are common in the corpus compared with the item's other seeds
-(document frequency over ``RARE`` times the item's median, and over ``RARE_FLOOR``) are not
-used. Documents are read once: a bit table of fixed size says which of a document's n-grams
+seeds of 3 words, or of 2 or 1 where 3 are too many for a short item (see ``_seed_words``).
+Those that are common in the corpus compared with the item's other seeds (document frequency
+over ``RARE`` times the item's median, and over ``RARE_FLOOR``) are not used, the most
+frequent first, as long as every passage of the required similarity shares one that is. Documents are read once: a bit table of fixed size says which of a document's n-grams
 can be seeds at all, and around such places the hashed words of the passage are kept.
 The places join the seeds on the n-gram; a passage and an item that share at least as many
-seeds as any passage of the required similarity must (see ``_needed``) are aligned.
+seeds as any passage of the required similarity must (see ``contaminated``) are aligned.
 
 Similarity of a passage and an item of L words: (1 + s / L) / 2, s the best local alignment
 score in words (match +1, mismatch and gap -1). A verbatim copy scores 1, one with a share
@@ -16,18 +17,18 @@ Exact copies and edited ones are found wherever they stand in a text, however lo
 passages are no special case: each document's passage is one row, dealt by (document, item).
 
 Defined cases: null or empty text: no words, no hit; null doc_id: reported under null;
-repeated rows: reported once; items with fewer words than a seed: one seed of all their
-words; items without words: never hit; empty tables: empty result. Only doc_id, text and
+repeated rows: reported once; items without words: never hit; empty tables: empty result. Only doc_id, text and
 item_id are read.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorlake.llm.common import pinned, steps, table
@@ -40,18 +41,37 @@ TABLE_BITS = 24         # the bit table has 2^24 bits (2 MB), whatever the bench
 _HASH_SEED = 11
 
 
-def _seed_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """item_id, text -> item_id, hashed words, seeds (all words as one seed if fewer than a seed's)."""
-    hasher = Hasher(_HASH_SEED)
-    for batch in steps(batches):
-        texts = Texts(batch.column("text"), lower=True)
-        starts, ends, first = words(texts, PLAIN)
-        hashed = hasher.runs(hasher.sums(texts.data), starts, ends)
-        lists = [hashed[first[i]:first[i + 1]] for i in range(batch.num_rows)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("item_id"), pa.array([x.view(np.int64).tolist() for x in lists], pa.list_(pa.int64())),
-             pa.array([grams(x, min(SEED_WORDS, max(len(x), 1))).view(np.int64).tolist() for x in lists],
-                      pa.list_(pa.int64()))], ["item_id", "item_words", "seeds"])
+def _positions_left(n_words: int, seed: int, similarity: float) -> int:
+    """Positions of an item's seeds of ``seed`` words that a passage of the similarity shares at least.
+
+    With score s, m matches and m - s errors, the matches stand in at most m - s + 1 runs, each
+    of which loses seed - 1 positions. That is linear in m, which is s at least and n_words at most.
+    """
+    s = max(1, math.ceil((2 * similarity - 1) * n_words - 1e-6))
+    return min(m - (seed - 1) * (m - s + 1) for m in (s, n_words))
+
+
+def _seed_words(n_words: int, similarity: float) -> int:
+    """Words of an item's seeds: as many up to ``SEED_WORDS`` as leave a position to every passage of the similarity."""
+    return next((k for k in range(SEED_WORDS, 1, -1) if _positions_left(n_words, k, similarity) >= 1), 1)
+
+
+def _seed_lists(similarity: float):
+    """item_id, text -> item_id, hashed words, seeds, positions of them that are left at least."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher(_HASH_SEED)
+        for batch in steps(batches):
+            texts = Texts(batch.column("text"), lower=True)
+            starts, ends, first = words(texts, PLAIN)
+            hashed = hasher.runs(hasher.sums(texts.data), starts, ends)
+            lists = [hashed[first[i]:first[i + 1]] for i in range(batch.num_rows)]
+            sizes = [_seed_words(len(x), similarity) for x in lists]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("item_id"), pa.array([x.view(np.int64).tolist() for x in lists], pa.list_(pa.int64())),
+                 pa.array([grams(x, k).view(np.int64).tolist() for x, k in zip(lists, sizes)], pa.list_(pa.int64())),
+                 pa.array([_positions_left(len(x), k, similarity) for x, k in zip(lists, sizes)], pa.int64())],
+                ["item_id", "item_words", "seeds", "n_left"])
+    return run
 
 
 def _places(bits: np.ndarray, lengths: list[int], around: int):
@@ -123,28 +143,20 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["doc_id", "th", "item_id", "start", "similarity"])
 
 
-def _needed(similarity: float) -> str:
-    """Distinct seeds that a passage of an item shares at least.
+def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, th (hash of the text), item_id, start (word of the passage), similarity: the hits.
 
-    With score s of L words, m matches and m - s errors, the matches stand in at most
-    m - s + 1 runs, each of which loses SEED_WORDS - 1 positions; m is L at most. A seed is
-    lost only with all its positions, so no more seeds are lost than positions. Seeds that
-    aren't used may be among those left.
+    A passage of the similarity shares ``n_left`` positions of an item's seeds at least. Seeds that
+    aren't used have fewer positions than that, so one that is used is shared; and as a seed is lost
+    only with all its positions, no more of the used seeds are lost than positions.
     """
-    runs = f"(n_words - {2 * similarity - 1} * n_words + 1)"
-    left = f"ceil(n_words - {SEED_WORDS - 1} * {runs} - 1e-9)"
-    return f"greatest(1, n_seeds - (n_words - {SEED_WORDS - 1} - {left}) - (n_seeds - n_rare))"
-
-
-def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, th (hash of the text), item_id, start (word of the passage), similarity: the hits."""
     spark = docs.sparkSession
     bench = pinned(items.select("item_id", "text").mapInArrow(
-        _seed_lists, "item_id long, item_words array<long>, seeds array<long>")
+        _seed_lists(similarity), "item_id long, item_words array<long>, seeds array<long>, n_left long")
         .filter(F.size("item_words") > 0).dropDuplicates(["item_id", "item_words"])
         .withColumn("bench_id", F.xxhash64("item_id", "item_words")))
-    seeds = bench.select("bench_id", F.size("item_words").alias("n_words"),
-                         F.explode(F.array_distinct("seeds")).alias("seed"))
+    seeds = (bench.select("bench_id", "n_left", F.size("seeds").alias("n_places"), F.explode("seeds").alias("seed"))
+             .groupBy("bench_id", "n_left", "n_places", "seed").agg(F.count("*").alias("places")))
     slot = F.col("seed").bitwiseAND((1 << TABLE_BITS) - 1)
     table_rows = (seeds.groupBy(F.shiftright(slot, 5).alias("w"))
                   .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(seed & 31 as int))")).alias("b")).collect())  # bounded
@@ -154,19 +166,19 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
     longest = bench.agg(F.max(F.size("item_words"))).first()[0] or 0
     if not longest:
         return spark.createDataFrame([], "doc_id long, th long, item_id long, start long, similarity double")
-    lengths = sorted({min(SEED_WORDS, r[0]) for r in bench.select(
-        F.least(F.lit(SEED_WORDS), F.size("item_words"))).distinct().collect()})
+    lengths = sorted(r[0] for r in bench.select(F.size("item_words") - F.size("seeds") + 1).distinct().collect())
     found = pinned(docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(
         _places(bits, lengths, 2 * longest),
         "doc_id long, th long, start long, passage array<long>, seeds array<long>"))
     hits = found.select("doc_id", "th", "start", F.explode("seeds").alias("seed")).distinct()
     frequent = hits.groupBy("seed").agg(F.count_distinct("doc_id", "th").alias("df"))
     known = seeds.join(frequent, "seed", "left").withColumn("df", F.coalesce("df", F.lit(0)))
-    middle = known.groupBy("bench_id").agg(F.median("df").alias("mid"), F.count("*").alias("n_seeds"))
-    rare = known.join(middle, "bench_id").filter(F.col("df") <= F.greatest(F.lit(RARE_FLOOR), RARE * F.col("mid")))
-    per_item = (rare.groupBy("bench_id").agg(F.count("*").alias("n_rare"), F.first("n_words").alias("n_words"),
-                                             F.first("n_seeds").alias("n_seeds"))
-                .withColumn("needed", F.expr(_needed(similarity))))
+    middle = known.groupBy("bench_id").agg(F.median("df").alias("mid"))
+    falling = Window.partitionBy("bench_id").orderBy(F.desc("df"), "seed").rowsBetween(Window.unboundedPreceding, 0)
+    common = (F.col("df") > F.greatest(F.lit(RARE_FLOOR), RARE * F.col("mid"))) & (F.sum("places").over(falling) < F.col("n_left"))
+    rare = known.join(middle, "bench_id").withColumn("common", common).filter(~F.col("common"))
+    per_item = rare.groupBy("bench_id", "n_places", "n_left").agg(F.count("*").alias("n_rare")).withColumn(
+        "needed", F.greatest(F.lit(1), F.col("n_rare") - (F.col("n_places") - F.col("n_left"))))
     place = ["doc_id", "th", "start"]
     shared = (hits.join(rare.select("seed", "bench_id"), "seed").groupBy(*place, "bench_id").agg(F.count("*").alias("n"))
               .join(per_item.select("bench_id", "needed"), "bench_id").filter("n >= needed")

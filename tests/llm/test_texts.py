@@ -255,6 +255,31 @@ def test_copies_of_repetitive_items(spark, docs):
     assert set(got) == set(hit) and all(abs(got[k] - hit[k]) < 1e-9 for k in got)
 
 
+def test_edited_copies_of_short_items(spark, docs):
+    rows, hit, bench = [], {}, []
+    for n in range(1, 20):
+        words = [f"w{n}x{i}" for i in range(n)]
+        bench.append((n, " ".join(words)))
+        copies = [[w if i != k else "zz" for i, w in enumerate(words)] for k in range(n)]
+        copies += [[x for i, w in enumerate(words) for x in ((w, "yy") if i % step == step - 1 else (w,))] for step in (2, 3, 4)]
+        copies += [[w if i % step != step // 2 else "zz" for i, w in enumerate(words)] for step in (3, 4, 5)]
+        for copy in [words, *copies]:
+            text = " ".join(["filler"] * 5 + copy + ["more"] * 5)
+            hit[len(rows), n] = brute.alignment(text, bench[-1][1])
+            rows.append({"doc_id": len(rows), "text": text})
+    frame = spark.createDataFrame(bench, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontam.contaminated(docs(rows), frame).collect()}
+    assert set(got) == {k for k, v in hit.items() if v >= 0.8 - 1e-9} and all(abs(got[k] - hit[k]) < 1e-9 for k in got)
+
+
+def test_edited_copies_of_an_item_of_common_words(spark, docs, monkeypatch):
+    monkeypatch.setattr(decontam, "RARE_FLOOR", 2)
+    texts = ["zz good to see you", "it is zz to see you again"] + ["it is good or"] * 30 + [f"oh so good to {i}" for i in range(30)]
+    bench = spark.createDataFrame([(1, "is good to see you")], "item_id long, text string")
+    got = {r.doc_id for r in decontam.contaminated(docs([{"doc_id": i, "text": f"{t} {i}"} for i, t in enumerate(texts)]), bench).collect()}
+    assert got == {i for i, t in enumerate(texts) if brute.alignment(t, "is good to see you") >= 0.8 - 1e-9}
+
+
 def test_contamination_on_odd_rows(spark, docs):
     bench = spark.createDataFrame([(1, "quick BROWN fox jumps over the lazy"), (2, None), (3, ""), (4, "straße"),
                                    (1, "quick BROWN fox jumps over the lazy"), (None, "band plays on")], "item_id long, text string")
