@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sensorlake.llm import decontam, kneser, language, mixing, pii, sharding, simhash, suffixes, vectors, warc
+from sensorlake.llm import decontam, kneser, language, mixing, pii, sharding, simhash, suffixes, vectors, warc, whitening
 
 QUERIES = {
     "op1_decontaminate": decontam.op1_decontaminate,
@@ -15,5 +15,6 @@ QUERIES = {
     "op8_kneser_ney": kneser.op8_kneser_ney,
     "op9_warc": warc.op9_warc,
     "op10_pii": pii.op10_pii,
+    "op11_whiten": whitening.op11_whiten,
 }
 ORACLE = {"op4_mix": mixing.OP4_SQL, "op7_vectors": vectors.OP7_SQL, "op9_warc": warc.OP9_SQL}
