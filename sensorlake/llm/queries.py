@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sensorlake.llm import decontam, kneser, language, mixing, pii, sharding, simhash, suffixes, vectors, warc, whitening
+from sensorlake.llm import decontam, divergence, kneser, language, mixing, pii, rules, sharding, simhash, suffixes, vectors, warc, whitening
 
 QUERIES = {
     "op1_decontaminate": decontam.op1_decontaminate,
@@ -16,5 +16,8 @@ QUERIES = {
     "op9_warc": warc.op9_warc,
     "op10_pii": pii.op10_pii,
     "op11_whiten": whitening.op11_whiten,
+    "op12_divergence": divergence.op12_divergence,
+    "op13_rules": rules.op13_rules,
 }
-ORACLE = {"op4_mix": mixing.OP4_SQL, "op7_vectors": vectors.OP7_SQL, "op9_warc": warc.OP9_SQL}
+ORACLE = {"op4_mix": mixing.OP4_SQL, "op7_vectors": vectors.OP7_SQL, "op9_warc": warc.OP9_SQL,
+          "op12_divergence": divergence.OP12_SQL}
