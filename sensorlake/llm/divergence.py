@@ -6,12 +6,15 @@ prefix refinement, so rare terms, the most of all, drop out early:
 
 1. One pass over the texts. A task counts, over what it holds, in how many documents of a language
    each byte prefix of ``LEVELS`` lengths stands, and for complete terms by source also how often.
-   A document is in one task, so the numbers of tasks add up. The counts are written once, a
-   folder a level; no text is shuffled.
+   A document is in one task, so the numbers of tasks add up. Prefixes are written as rows, a folder a
+   level; complete terms stay packed in blocks (columns, compressed). No text is shuffled.
 2. Level by level, what extends a kept prefix of the level before is summed up, and prefixes in
    too few documents are discarded with all that would extend them. The kept prefixes are broadcast
    while they are ``BROADCAST_ROWS`` rows at most, and joined by a shuffle beyond.
-3. The complete terms under kept prefixes are the candidates; those in enough documents stay.
+3. The complete terms under kept prefixes are the candidates. Blocks are filtered by a bit table of the
+   last level's kept prefixes (2 ** ``FILTER_BITS`` bits, broadcast, whatever the corpus; a false hit is a
+   candidate more), split by a hash of language and term, and added up, a part a task; the candidates
+   in enough documents stay. That test is exact and decides alone.
 
 A group is a (lang, source) that occurs. With count occurrences of a term in it, N over all kept
 terms and V kept terms of the language, p = 1 + floor(10^9 (count + 1) / (N + V)); from q to p a
@@ -29,6 +32,7 @@ row. Only text, lang and source are read.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,8 +41,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import pinned, steps, table
-from sensorlake.llm.kernels import Texts, words
+from sensorlake.llm.common import n_parts, pinned, steps, table
+from sensorlake.llm.kernels import SPREAD, Hasher, Texts, mixed, words
+from sensorlake.llm.packed import slices
 from sensorlake.session import delete_path, scratch_path
 
 MIN_DOCS = 3
@@ -46,6 +51,7 @@ TOP_TERMS = 200
 LEVELS = (2, 4, 8)          # bytes of the prefixes, before complete terms
 BROADCAST_ROWS = 1 << 18    # kept prefixes (of 8 bytes and a language) that are broadcast
 PER_MILLIARD = 1_000_000_000
+FILTER_BITS = 26            # of the broadcast table of kept prefixes: 8 MB
 _HELD_ROWS = 1 << 20        # counts that a task holds before it puts some out
 _PAIRS = 1 << 20            # pairs of sources that a task compares at once
 
@@ -54,19 +60,25 @@ _LOWER[65:91] += 32
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
-_COUNTED = "level int, lang string, source string, item binary, docs long, n long"
+_COUNTED = "level int, lang string, item binary, docs long, block binary"
+_SPLIT = "part int, block binary"
 
 
 # ----------------------------------------------------------------------------- one pass over the texts
 
-def _summed(key: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, how many rows each has, and the sum of their weights."""
-    order = np.argsort(key, kind="stable")
-    sorted_key = key[order]
-    first = np.flatnonzero(np.r_[True, sorted_key[1:] != sorted_key[:-1]]) if len(key) else np.zeros(0, np.int64)
-    rows = np.diff(np.r_[first, len(key)])
-    total = np.add.reduceat(weight[order], first) if weight is not None and len(key) else np.zeros(len(first), np.int64)
-    return sorted_key[first], rows, total
+def _counted(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and how many rows each has."""
+    key = np.sort(key)
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+    return key[first], np.diff(np.r_[first, len(key)])
+
+
+def _summed(key: np.ndarray, *weights: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys and the sums of their weights."""
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+    return key[first], *[np.add.reduceat(w[order], first) if len(key) else w for w in weights]
 
 
 def _step_counts(batch: pa.RecordBatch, levels: tuple[int, ...], groups: dict) -> list[tuple]:
@@ -81,21 +93,21 @@ def _step_counts(batch: pa.RecordBatch, levels: tuple[int, ...], groups: dict) -
     coded = terms.dictionary_encode()
     items, code = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
     doc = np.repeat(np.arange(batch.num_rows), np.diff(first))
-    pair, n, _ = _summed(doc * len(items) + code)           # a term once a document
+    pair, n = _counted(doc * len(items) + code)             # a term once a document
     doc, code = pair // len(items), pair % len(items)
     langs, sources = batch.column("lang").to_pylist(), batch.column("source").to_pylist()
 
     def number(level: int) -> np.ndarray:
         return np.array([groups.setdefault((level, g, s if level == 0 else ""), len(groups)) for g, s in zip(langs, sources)])
 
-    key, docs, occurs = _summed(number(0)[doc] * len(items) + code, n)
+    key, docs, occurs = _summed(number(0)[doc] * len(items) + code, np.ones(len(n), np.int64), n)
     out = [(key // len(items), items.take(pa.array(key % len(items))), docs, occurs)]
     for level in levels:
         cut = pc.binary_slice(items, 0, level).dictionary_encode()
         prefix = cut.indices.to_numpy().astype(np.int64)[code]
         width = len(cut.dictionary)
-        once, _, _ = _summed(doc * width + prefix)          # a prefix once a document, however many terms extend it
-        key, docs, _ = _summed(number(level)[once // width] * width + once % width)
+        once, _ = _counted(doc * width + prefix)            # a prefix once a document, however many terms extend it
+        key, docs = _counted(number(level)[once // width] * width + once % width)
         out.append((key // width, cut.dictionary.take(pa.array(key % width)), docs, np.zeros(len(key), np.int64)))
     return out
 
@@ -105,19 +117,38 @@ def _merged(held: list[pa.Table]) -> pa.Table:
     return pa.table({"g": whole["g"], "item": whole["item"], "docs": whole["docs_sum"], "n": whole["n_sum"]})
 
 
+def _pack(t: pa.Table, names: list[tuple[str, str]]) -> bytes:
+    """A block: group number, item, docs, n, compressed; the groups' (lang, source) in the schema."""
+    t = t.replace_schema_metadata({"groups": json.dumps(names)})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, t.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(t)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpack(block: bytes) -> tuple[pa.Table, list[tuple[str, str]]]:
+    t = pa.ipc.open_stream(block).read_all()
+    return t, [tuple(g) for g in json.loads(t.schema.metadata[b"groups"])]
+
+
 def _counts(levels: tuple[int, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups: dict[tuple, int] = {}
         held, rows = [], 0
 
         def put(t: pa.Table) -> Iterator[pa.RecordBatch]:
-            names = list(groups)
-            for b in t.combine_chunks().to_batches(max_chunksize=1 << 16):
+            t, names = t.combine_chunks(), list(groups)
+            complete = np.array([k[0] == 0 for k in names])[t["g"].to_numpy()]
+            if complete.any():
+                block = _pack(t.filter(pa.array(complete)), [(k[1], k[2]) for k in names])
+                yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([""]), pa.array([b""]), pa.array([0]),
+                                                  pa.array([block], pa.binary())], ["level", "lang", "item", "docs", "block"])
+            for b in t.filter(pa.array(~complete)).combine_chunks().to_batches(max_chunksize=1 << 16):
                 g = b.column("g")
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([k[0] for k in names], pa.int32()).take(g), pa.array([k[1] for k in names]).take(g),
-                     pa.array([k[2] for k in names]).take(g), b.column("item").cast(pa.binary()), b.column("docs"),
-                     b.column("n")], ["level", "lang", "source", "item", "docs", "n"])
+                     b.column("item").cast(pa.binary()), b.column("docs"), pa.nulls(b.num_rows, pa.binary())],
+                    ["level", "lang", "item", "docs", "block"])
 
         for batch in steps(batches):
             for g, item, docs, n in _step_counts(batch, levels, groups):
@@ -137,6 +168,89 @@ def _counts(levels: tuple[int, ...]):
 
 # ----------------------------------------------------------------------------- prefix refinement
 
+_HASH = Hasher(12)
+
+
+def _hashes(items: pa.Array, group: np.ndarray, langs: list[str]) -> np.ndarray:
+    """64-bit hashes of (language, item); ``group`` is the row's index into ``langs``."""
+    texts = Texts(items.cast(pa.large_binary()))
+    own = Texts(pa.array(langs, pa.large_string()))
+    of_lang = _HASH.runs(_HASH.sums(own.data), own.off[:-1], own.off[1:])
+    return mixed(_HASH.runs(_HASH.sums(texts.data), texts.off[:-1], texts.off[1:]) * SPREAD + of_lang[group])
+
+
+def _bit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            langs = batch.column("lang").dictionary_encode()
+            at = _hashes(batch.column("item"), langs.indices.to_numpy(), langs.dictionary.to_pylist()) >> np.uint64(64 - FILTER_BITS)
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64))], ["bit"])
+
+
+def _bit_table(kept: DataFrame) -> np.ndarray:
+    """The hashes' leading bits of all kept prefixes as a table of 2 ** FILTER_BITS bits, built by Spark's bitmap aggregate."""
+    table_ = np.zeros(1 << FILTER_BITS - 3, np.uint8)
+    rows = (kept.mapInArrow(_bit_rows, "bit long").groupBy(F.call_function("div", F.col("bit"), F.lit(32768)).alias("bucket"))
+            .agg(F.expr("bitmap_construct_agg(bit % 32768)").alias("bits")))
+    for r in rows.toLocalIterator():        # 4 KB each, 2,048 of them at most
+        table_[r["bucket"] * 4096:(r["bucket"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
+    return table_
+
+
+def _split(parts: int, length: int, shared):
+    """Blocks -> for every part of the hash space, the candidates of each block as a block of their own."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = None if shared is None else np.frombuffer(shared.value, np.uint8)
+        for batch in batches:
+            for block in batch.column("block").to_pylist():
+                t, names = _unpack(block)
+                items, g = t["item"].combine_chunks(), t["g"].to_numpy()
+                langs = [n[0] for n in names]
+                if bits is not None:
+                    at = (_hashes(pc.binary_slice(items, 0, length), g, langs) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+                    t = t.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))
+                    items, g = t["item"].combine_chunks(), t["g"].to_numpy()
+                part = (_hashes(items, g, langs) % np.uint64(parts)).astype(np.int64)
+                order = np.argsort(part, kind="stable")
+                t, part = t.take(pa.array(order)), part[order]
+                for number, lo, hi in slices(part):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([number], pa.int32()), pa.array([_pack(t.slice(lo, hi - lo).combine_chunks(), names)], pa.binary())],
+                        ["part", "block"])
+    return run
+
+
+def _kept_of_part(min_docs: int):
+    """The blocks of some parts -> lang, source, term, n of the terms that are in enough documents."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups: dict[tuple, int] = {}
+        held, rows = [], 0
+        for batch in batches:
+            for block in batch.column("block").to_pylist():
+                t, names = _unpack(block)
+                number = np.array([groups.setdefault(n, len(groups)) for n in names], np.int64)
+                held.append(t.set_column(0, "g", pa.array(number[t["g"].to_numpy()])))
+                rows += t.num_rows
+                if rows > _HELD_ROWS:
+                    held = [_merged(held)]
+                    rows = held[0].num_rows - _HELD_ROWS // 2      # what is distinct stays; merge again after half as much
+        if not held:
+            return
+        t, names = _merged(held).combine_chunks(), list(groups)
+        lang_of = {lang: i for i, lang in enumerate(dict.fromkeys(n[0] for n in names))}
+        coded = t["item"].combine_chunks().dictionary_encode()
+        g = t["g"].to_numpy()
+        term = np.array([lang_of[n[0]] for n in names])[g] * len(coded.dictionary) + coded.indices.to_numpy().astype(np.int64)
+        distinct, docs = _summed(term, t["docs"].to_numpy())
+        t = t.filter(pa.array(docs[np.searchsorted(distinct, term)] >= min_docs))
+        for b in t.combine_chunks().to_batches(max_chunksize=1 << 16):
+            at = b.column("g")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([n[0] for n in names]).take(at), pa.array([n[1] for n in names]).take(at),
+                 b.column("item").cast(pa.binary()).cast(pa.string()), b.column("n")], ["lang", "source", "term", "n"])
+    return run
+
+
 def _small(df: DataFrame) -> DataFrame:
     """``df``, broadcast if it has few rows; ``df`` must be written already."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
@@ -152,11 +266,11 @@ def kept_counts(docs: DataFrame, min_docs: int = MIN_DOCS, levels: tuple[int, ..
                 created: list[str] | None = None) -> DataFrame:
     """(lang, source, term, n): occurrences by source of every term that ``min_docs`` documents of its language hold.
 
-    Two tables are written to the shared folder; their paths go to ``created`` and may be deleted once the result is used.
+    A table is written to the shared folder; its path goes to ``created`` and may be deleted once the result is used.
     """
     spark, created = docs.sparkSession, [] if created is None else created
-    path, out = scratch_path(spark, "prefix-counts"), scratch_path(spark, "term-counts")
-    created += [path, out]
+    path = scratch_path(spark, "prefix-counts")
+    created.append(path)
     docs.mapInArrow(_counts(levels), _COUNTED).write.partitionBy("level").parquet(path)
     counted = spark.read.schema(_COUNTED).parquet(path)
     kept, length = None, 0
@@ -165,14 +279,11 @@ def kept_counts(docs: DataFrame, min_docs: int = MIN_DOCS, levels: tuple[int, ..
         rows = rows if kept is None else _under(rows, kept, length)
         kept, length = pinned(rows.groupBy("lang", "item").agg(F.sum("docs").alias("docs"))
                               .filter(F.col("docs") >= min_docs).select("lang", "item")), level
-    terms = counted.filter("level = 0").select("lang", "source", "item", "docs", "n")
-    terms = terms if kept is None else _under(terms, kept, length)
-    by_source = terms.groupBy("lang", "source", "item").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
-    by_source.write.parquet(out)
-    by_source = spark.read.schema(by_source.schema).parquet(out)
-    enough = by_source.groupBy("lang", "item").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= min_docs)
-    return by_source.join(enough.select("lang", "item"), ["lang", "item"], "left_semi").select(
-        "lang", "source", F.col("item").cast("string").alias("term"), "n")
+    shared = None if kept is None else spark.sparkContext.broadcast(_bit_table(kept).tobytes())
+    parts = n_parts(spark)
+    blocks = counted.filter("level = 0").select("block")
+    return (blocks.mapInArrow(_split(parts, length, shared), _SPLIT).repartitionById(parts, F.col("part")).select("block")
+            .mapInArrow(_kept_of_part(min_docs), "lang string, source string, term string, n long"))
 
 
 # ----------------------------------------------------------------------------- divergence
@@ -216,11 +327,11 @@ def _shared_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             right += begin[term[left]]
             left, right = left[left != right], right[left != right]
             add = f(p[left], p[right]) - f(p[left], none[right]) - f(none[left], p[right]) + f(none[left], none[right])
-            key, _, total = _summed((lang[left] + who[left]) * wide + who[right], add)
+            key, total = _summed((lang[left] + who[left]) * wide + who[right], add)
             keys.append(key)
             values.append(total)
             lo = hi
-        key, _, total = _summed(np.concatenate(keys), np.concatenate(values))
+        key, total = _summed(np.concatenate(keys), np.concatenate(values))
         yield pa.RecordBatch.from_arrays(
             [langs.dictionary.take(pa.array(key // wide // wide)), sources.dictionary.take(pa.array(key // wide % wide)),
              sources.dictionary.take(pa.array(key % wide)), pa.array(total, pa.int64())], ["lang", "source", "item", "value"])

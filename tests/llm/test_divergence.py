@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 
 from sensorlake.llm import divergence
@@ -88,18 +89,36 @@ def test_prefixes_below_the_threshold_are_discarded(spark, docs):
 
 def test_tasks_that_hold_little_put_out_in_parts(spark, docs, monkeypatch):
     rows = corpus(60, 2)
-    batches = [pa.RecordBatch.from_pylist([{k: r[k] or "" for k in ("text", "lang", "source")}], pa.schema(
-        [("text", pa.string()), ("lang", pa.string()), ("source", pa.string())])) for r in rows]
+    schema = pa.schema([("text", pa.string()), ("lang", pa.string()), ("source", pa.string())])
+    batches = [pa.RecordBatch.from_pylist([{k: r[k] or "" for k in schema.names}], schema) for r in rows]
+
     def total(limit):
         monkeypatch.setattr(divergence, "_HELD_ROWS", limit)
-        sums, parts = Counter(), 0
+        sums, blocks = Counter(), []
         for b in divergence._counts((2,))(iter(batches)):
-            parts += 1
             for r in b.to_pylist():
-                sums[r["level"], r["lang"], r["source"], r["item"]] += r["docs"] * 1000 + r["n"]
-        return sums, parts
+                if r["level"]:
+                    sums[r["level"], r["lang"], r["item"]] += r["docs"]
+                else:
+                    blocks.append(r["block"])
+                    t, names = divergence._unpack(r["block"])
+                    for e in t.to_pylist():
+                        sums[names[e["g"]], e["item"]] += e["docs"] * 1000 + e["n"]
+        out = divergence._kept_of_part(2)(iter([pa.RecordBatch.from_arrays([pa.array(blocks, pa.binary())], ["block"])]))
+        return sums, len(blocks), sorted(tuple(r.values()) for b in out for r in b.to_pylist())
     few, many = total(1 << 20), total(50)
-    assert few[0] == many[0] and many[1] > few[1]
+    assert few[0] == many[0] and many[1] > few[1] and few[2] == many[2]
+
+
+def test_the_bit_table_lets_every_kept_prefix_through(spark, monkeypatch):
+    monkeypatch.setattr(divergence, "FILTER_BITS", 15)
+    kept = spark.createDataFrame([(lang, f"p{i}".encode()) for lang in ("en", "", "日本") for i in range(100)], "lang string, item binary")
+    bits = divergence._bit_table(kept)
+    rows = kept.collect()
+    langs = sorted({r.lang for r in rows})
+    at = divergence._hashes(pa.array([bytes(r.item) for r in rows]), np.array([langs.index(r.lang) for r in rows]), langs) >> np.uint64(49)
+    assert all(bits[int(a) >> 3] >> (int(a) & 7) & 1 for a in at)
+    assert np.unpackbits(bits).sum() == len(set(at.tolist())) > 250
 
 
 def test_a_language_without_kept_terms_and_empty_tables(spark, docs):
