@@ -72,6 +72,10 @@ OPENINGS_CSV = _fields(
     ("ObjectName", StringType()),
 )
 
+# Where a record stood on the bus: the identity of a reading or event (a device may report twice in an instant).
+BUS_POSITION = ("topic", "partition", "offset")
+_POSITION = (("topic", StringType()), ("partition", IntegerType()), ("offset", LongType()))
+
 # Tables written by the jobs (surrogate ids replaced by natural keys).
 TEMPERATURE_READINGS = _fields(
     ("timestamp_epoch", LongType()),
@@ -86,6 +90,7 @@ TEMPERATURE_READINGS = _fields(
     ("anomaly_type", StringType()),
     ("kafka_timestamp", TimestampType()),
     ("message_key", StringType()),
+    *_POSITION,
 )
 
 WINDOW_EVENTS = _fields(
@@ -98,6 +103,7 @@ WINDOW_EVENTS = _fields(
     ("processing_timestamp", TimestampType()),
     ("kafka_timestamp", TimestampType()),
     ("message_key", StringType()),
+    *_POSITION,
 )
 
 # One shape each for the 1- and 5-minute, and for the hourly and daily tables.
@@ -146,10 +152,10 @@ SYSTEM_METRICS = _fields(
     ("timestamp", TimestampType()),
 )
 
-# Name -> (schema, natural key, time column) of every stored table.
+# Name -> (schema, key that a row is known by, time column) of every stored table.
 TABLES = {
-    "temperature_readings": (TEMPERATURE_READINGS, ("device_id", "event_timestamp", "message_key"), "event_timestamp"),
-    "window_events": (WINDOW_EVENTS, ("object_code", "event_type", "event_timestamp"), "event_timestamp"),
+    "temperature_readings": (TEMPERATURE_READINGS, BUS_POSITION, "event_timestamp"),
+    "window_events": (WINDOW_EVENTS, BUS_POSITION, "event_timestamp"),
     "temperature_aggregations_1min": (TEMPERATURE_AGGREGATIONS, ("device_id", "window_start"), "window_start"),
     "temperature_aggregations_5min": (TEMPERATURE_AGGREGATIONS, ("device_id", "window_start"), "window_start"),
     "window_aggregations_hourly": (WINDOW_AGGREGATIONS, ("object_code", "object_name", "event_type", "window_start"),

@@ -127,16 +127,34 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(hpath, True))
 
 
+def _listed(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.listStatus(hpath) if fs.exists(hpath) else []
+
+
 def child_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders in ``path``; none if there is no such folder."""
+    return sorted(s.getPath().getName() for s in _listed(spark, path) if s.isDirectory())
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders and data files in ``path``."""
+    names = (s.getPath().getName() for s in _listed(spark, path))
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return sorted(s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory()) if fs.exists(hpath) else []
+    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
 
 
-def replace_folder(spark: SparkSession, source: str, target: str) -> None:
-    """Put the folder ``source`` in the place of ``target``."""
-    delete_path(spark, target)
-    new, old = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
-    if not new.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(new, old):
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; ``target`` must not exist, the folder it is to stand in is made."""
+    old, new = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(new):
+        raise FileExistsError(target)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
         raise OSError(f"{source} could not be moved to {target}")

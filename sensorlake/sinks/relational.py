@@ -2,7 +2,8 @@
 
 No JDBC driver ships with this repository; the code is written against
 Spark's public ``jdbc`` data source options and works with any driver on the
-classpath. Idempotence: the batch is anti-joined on its natural key against
+classpath. Idempotence: the batch is anti-joined on its key (the bus position of
+a reading or event; key and window of an aggregate) against
 the rows already in the target *for the batch's own time range* (the range is
 pushed down as a WHERE clause), then appended. Errors are raised, never
 swallowed, so a failed batch is re-run on restart instead of being lost.
@@ -37,19 +38,32 @@ def time_range(batch: DataFrame, time_col: str) -> str | None:
     return " OR ".join(parts) or None
 
 
-def new_rows(batch: DataFrame, existing: DataFrame, key_cols: Sequence[str]) -> DataFrame:
-    """Rows of ``batch``, one a natural key, whose key isn't in ``existing``; NULL keys equal each other."""
-    keys = list(key_cols)
+#: Columns that differ from run to run of one batch.
+RUN_TIMES = ("processing_timestamp", "created_at")
+
+
+def _absent(batch: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     there = existing.select(*[F.col(k).alias(f"_there_{k}") for k in keys])
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_there_{k}"))
-    return batch.dropDuplicates(keys).join(there, same, "left_anti")
+    return batch.dropDuplicates(list(keys)).join(there, same, "left_anti")
+
+
+def new_rows(batch: DataFrame, existing: DataFrame, key_cols: Sequence[str]) -> DataFrame:
+    """Rows of ``batch``, one a key, whose key isn't in ``existing``; NULLs in a key equal each other. Rows
+    whose key is all NULL have none: they are told apart by all their columns (but ``RUN_TIMES``)."""
+    keys = list(key_cols)
+    keyless = F.lit(True)
+    for k in keys:
+        keyless = keyless & F.col(k).isNull()
+    whole = [c for c in batch.columns if c not in RUN_TIMES]
+    return _absent(batch.filter(~keyless), existing, keys).unionByName(_absent(batch.filter(keyless), existing.filter(keyless), whole))
 
 
 def append_new(batch: DataFrame, url: str, table: str, key_cols: Sequence[str],
                time_col: str, properties: dict | None = None) -> int:
-    """Append rows of ``batch`` whose natural key is not yet in ``table``; return the count."""
+    """Append rows of ``batch`` whose key is not yet in ``table``; return the count."""
     batch = batch.persist()
     try:
         predicate = time_range(batch, time_col)
