@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,14 +20,19 @@ from sensorlake.functions import codec
 from sensorlake.functions.classify import detect_anomalies, detect_window_patterns
 from sensorlake.functions.timefmt import format_clock, format_day, parse_day_clock, whole_second_duration
 from sensorlake.operators import aggregates as agg
-from sensorlake.operators import pairing, quality, retention, sampling, status, views
-from sensorlake.sinks import audit, parquet
+from sensorlake.operators import moments, offsets, pairing, quality, reconcile, retention, sampling, status, views
+from sensorlake.sinks import audit, layout, parquet
 from sensorlake.schemas import READING_MESSAGE_TYPE, READINGS_TOPIC, SYSTEM_METRICS
-from sensorlake.session import configure, scratch_path
+from sensorlake.session import child_folders, configure, scratch_path
 from sensorlake.sources import bus, files, fixtures as fx
+from sensorlake.streaming import merge_table
+from sensorlake.streaming.frontiers import PartitionClock
+from sensorlake.streaming.identity import IdentityTable
+from sensorlake.streaming.kept import LatestTable, RunningSample
 from sensorlake.streaming.pairing import stream_first_close_pairs
-from sensorlake.streaming.pairing_tables import start_table_state_pairing
-from sensorlake.streaming.runner import materialize
+from sensorlake.streaming.pairing_tables import finish_pairing, pair_writer, start_table_state_pairing
+from sensorlake.streaming.pairing_timers import timed_first_close_pairs
+from sensorlake.streaming.runner import materialize, with_rocksdb_state
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -445,6 +451,205 @@ def window_cycles_stream_tables(spark, sf_dir):
     return present(spark.read.parquet(f"{root}/pairs").drop("batch_id"))
 
 
+# --------------------------------------------------------------------------- tables kept batch by batch
+
+BATCHES = 4                 # micro-batches that the fixtures are dealt into
+THREE_HOURS = 3 * 3_600_000_000     # of bus time in a batch of the uneven partitions
+
+
+def _dealt(spark, df: DataFrame, number, name: str) -> list[DataFrame]:
+    """The rows dealt into micro-batches by ``number``, written once; batch i as a ``foreachBatch`` writer would get it."""
+    path = scratch_path(spark, f"{name}-batches")
+    df.withColumn("_batch", number).write.partitionBy("_batch").parquet(path)
+    found = sorted(int(n.partition("=")[2]) for n in child_folders(spark, path) if n.startswith("_batch="))
+    return [spark.read.schema(df.schema).parquet(f"{path}/_batch={k}") for k in found]
+
+
+def _shuffled(id_col: str):
+    """Batches that have nothing to do with time: rows come hours late, or early, in every one."""
+    return F.pmod(F.xxhash64(id_col), F.lit(BATCHES))
+
+
+def window_cycles_uneven_partitions(spark, sf_dir):
+    """S-12, J-3: openings and closings travel in two bus partitions, the openings' one two hours behind; pairs of all
+    batches and how many events were called late."""
+    w = _window_events(spark, sf_dir, compress=True)
+    behind = F.when(F.col("event_type") == "opened", F.lit(2 * 3_600_000_000)).otherwise(F.lit(0))
+    arrival = F.floor((F.coalesce(F.unix_micros("event_timestamp"), F.lit(fx.BASE_MICROS)) - fx.BASE_MICROS + behind)
+                      / F.lit(THREE_HOURS)).cast("int")
+    ev = (w.withColumn("topic", F.lit("iot-window-events")).withColumn("partition", (F.col("event_type") == "closed").cast("int"))
+          .withColumn("kafka_timestamp", F.timestamp_micros(F.lit(fx.BASE_MICROS) + (arrival + 1) * F.lit(THREE_HOURS))))
+    bus_batch = F.floor((F.unix_micros("kafka_timestamp") - fx.BASE_MICROS) / F.lit(THREE_HOURS)).cast("int")
+    root = scratch_path(spark, "uneven")
+    clock = PartitionClock(idle_seconds=4 * 3600, partitions=2)
+    write = pair_writer(f"{root}/pairs", f"{root}/state", PAIRING_DELAY_SECONDS, clock)
+    for i, batch in enumerate(_dealt(spark, ev, bus_batch, "uneven")):
+        write(batch, i)
+    finish_pairing(ev.schema, spark, f"{root}/pairs", f"{root}/state")
+    if not child_folders(spark, f"{root}/pairs"):                   # no event at all
+        write(ev.limit(0), 0)
+    late = [f"{root}/pairs_late/{n}" for n in child_folders(spark, f"{root}/pairs_late")]
+    n_late = spark.read.parquet(*late).count() if late else 0
+    return present(spark.read.parquet(f"{root}/pairs").drop("batch_id").withColumn("late_events", F.lit(n_late).cast("long")))
+
+
+def temp_agg_1min_amended(spark, sf_dir):
+    """S-4, G-1: 1-minute aggregates from batches in any order of time, one run again, some compacted: no cut-off."""
+    r = _readings(spark, sf_dir)
+    table = merge_table.temperature_table(scratch_path(spark, "amended"))
+    batches = _dealt(spark, r, _shuffled("reading_id"), "amended")
+    for i, batch in enumerate(batches):
+        table.write(merge_table.temperature_parts(batch), i)
+        if i == 1:
+            table.write(merge_table.temperature_parts(batch), i)    # run again
+        if i == 2:
+            table.compact(spark, 1)
+    return present(merge_table.temperature_view(table.read(spark)), AGG_ROUNDED)
+
+
+def window_agg_hourly_amended(spark, sf_dir):
+    """S-4, G-3: hourly event counts from batches in any order of time, compacted twice."""
+    table = merge_table.event_table(scratch_path(spark, "amended-hourly"))
+    for i, batch in enumerate(_dealt(spark, _window_events(spark, sf_dir), _shuffled("event_id"), "amended-hourly")):
+        table.write(merge_table.event_parts(batch), i)
+        if i >= 2:
+            table.compact(spark, i - 1)
+    return present(merge_table.event_view(table.read(spark)))
+
+
+def _planted_records(spark, sf_dir) -> DataFrame:
+    """Bus records of the events, three partitions: every 97th is lost, every 89th comes twice."""
+    ev = _events(spark, sf_dir)
+    rec = ev.select(F.lit(READINGS_TOPIC).alias("topic"), (F.col("event_id") % 3).cast("int").alias("partition"),
+                    F.call_function("div", F.col("event_id"), F.lit(3)).alias("offset"), "event_id")
+    rec = rec.filter("event_id % 97 != 0")
+    return rec.unionByName(rec.filter("event_id % 89 = 0")).drop("event_id")
+
+
+def bus_offset_gaps(spark, sf_dir):
+    """A-5, A-9: lost and repeated offsets, exactly."""
+    return offsets.offset_report(_planted_records(spark, sf_dir))
+
+
+def bus_offset_summary(spark, sf_dir):
+    """A-9, GF-7: start and end of every topic partition, what is there, lost and repeated."""
+    return offsets.offset_summary(_planted_records(spark, sf_dir)).drop("unplaced")
+
+
+def temperature_stats_24h_rollup(spark, sf_dir):
+    """G-5, GF-6: the 24-hour statistics from moments by hour and minute, raw rows at the two edges only."""
+    r = _readings(spark, sf_dir, compress=False)
+    root = scratch_path(spark, "moments")
+    moments.minute_moments(r).write.parquet(f"{root}/minutes")
+    minutes = spark.read.parquet(f"{root}/minutes")
+    moments.hour_moments(minutes).write.parquet(f"{root}/hours")
+    newest = _events(spark, sf_dir).agg(F.max("ts")).first()[0]
+    as_of = fx.instant(newest, False) if newest is not None else dt.datetime(1970, 1, 1)
+    stats = moments.temperature_stats(r, minutes, spark.read.parquet(f"{root}/hours"), as_of, DAY)
+    return present(stats.orderBy(F.desc("avg_temp_celsius")), AGG_ROUNDED | {"stddev_temp_celsius": 6})
+
+
+def replay_beyond_watermark(spark, sf_dir):
+    """S-11: every batch sends rows of all earlier ones again; each reading is stored once."""
+    r = _readings(spark, sf_dir).select(*READING_COLS)
+    at = F.floor((F.unix_micros("event_timestamp") - fx.BASE_MICROS) / F.lit(12 * 3_600_000_000 // BATCHES))
+    own = F.greatest(F.least(F.coalesce(at, F.lit(0)), F.lit(BATCHES - 1)), F.lit(0)).cast("int")
+    again = r.withColumn("_own", own).filter("reading_id % 5 < 3").withColumn(
+        "_batch", F.explode(F.sequence(F.col("_own"), F.lit(BATCHES - 1))))
+    sent = r.withColumn("_batch", own).unionByName(again.drop("_own"))
+    known = IdentityTable(scratch_path(spark, "identities"), ("reading_id", "device_id", "event_timestamp"), blocks=16)
+    path = scratch_path(spark, "first-sent")
+    for i, batch in enumerate(_dealt(spark, sent, F.col("_batch"), "replays")):
+        stored = f"{path}/batch_id={i}"
+        known.new_rows(batch.drop("_batch"), i).write.parquet(stored)
+        known.remember(spark.read.parquet(stored), i)
+        if i == 2:
+            known.compact_filters(spark, 1)
+    return present(spark.read.parquet(path).select(*READING_COLS))
+
+
+def latest_reading_kept(spark, sf_dir):
+    """N-1: the newest reading per device, kept as a table from batch to batch, one of them run again."""
+    r = _readings(spark, sf_dir)
+    cols = ["device_id", "temperature_celsius", "temperature_fahrenheit", "event_timestamp", "is_anomaly", "anomaly_type"]
+    rows = r.select(*cols, "reading_id")
+    table = LatestTable(scratch_path(spark, "latest"), rows.schema, ["device_id"], ["event_timestamp", "reading_id"], buckets=16)
+    for i, batch in enumerate(_dealt(spark, rows, _shuffled("reading_id"), "latest")):
+        table.apply(batch, i)
+        if i == 2:
+            table.apply(batch, i)
+    return present(table.read(spark).select(*cols).orderBy("device_id"))
+
+
+def replay_sample_stream(spark, sf_dir):
+    """L-9 on a stream: a bottom-k sample as running state."""
+    rows = _readings(spark, sf_dir).select("reading_id", "device_id", "event_timestamp", "temperature_celsius")
+    sample = RunningSample(scratch_path(spark, "sample"), rows.schema, SAMPLE_SIZE, "reading_id")
+    for i, batch in enumerate(_dealt(spark, rows, _shuffled("reading_id"), "sample")):
+        sample.apply(batch, i)
+    return present(sample.read(spark))
+
+
+def fan_out_reconciliation(spark, sf_dir):
+    """B-15, B-17: four batches fanned out to two tables; a row lost, one doubled and two values swapped on the way are named."""
+    r = _readings(spark, sf_dir).select(*READING_COLS)
+    root = scratch_path(spark, "fan-out")
+    expected = []
+    for i, batch in enumerate(_dealt(spark, r, (F.col("reading_id") % BATCHES).cast("int"), "fan-out")):
+        alerts = batch.filter("is_anomaly")
+        expected += [reconcile.fingerprint(batch, "temperature_readings", i), reconcile.fingerprint(alerts, "alerts", i)]
+        first, last = batch.agg(F.min("reading_id"), F.max("reading_id")).first()
+        swapped = F.when(F.col("reading_id") == first, last).when(F.col("reading_id") == last, first).otherwise(F.col("reading_id"))
+        if i == 1:
+            batch = batch.filter(F.col("reading_id") != first)
+        if i == 2:
+            alerts = alerts.unionByName(alerts.orderBy("reading_id").limit(1))
+        if i == 3:
+            batch = batch.withColumn("reading_id", swapped)
+        parquet.write_batch(batch, i, f"{root}/temperature_readings")
+        parquet.write_batch(alerts, i, f"{root}/alerts")
+    stored = [reconcile.stored_fingerprints(parquet.read_archive(spark, f"{root}/{t}"), t) for t in ("temperature_readings", "alerts")]
+    return reconcile.compare(reduce(DataFrame.unionByName, expected), reduce(DataFrame.unionByName, stored))
+
+
+def access_paths(spark, sf_dir):
+    """M-6: filters by flag and type, device, event type and unusual flag over interleaved files: rows found, and whether
+    under a quarter of the files were opened."""
+    r = _readings(spark, sf_dir).select(*READING_COLS)
+    w = _window_events(spark, sf_dir, compress=True)
+    cycles = pairing.first_close_pairs(w).withColumn("is_unusual", F.col("duration_minutes") > 60)    # rarer beyond an hour here
+    end = fx.instant(dt.datetime(2024, 1, 31), True)
+    quarter = (end - dt.timedelta(hours=3), end)
+    root = scratch_path(spark, "paths")
+    tables = {"readings": (r, ["anomaly_type", "event_timestamp", "device_id", "is_anomaly"]),
+              "window_events": (w, ["event_type", "event_timestamp"]), "cycles": (cycles, ["is_unusual", "opened_at"])}
+    paths = [("readings", {"is_anomaly": (True, True), "anomaly_type": ("NORMAL", "NORMAL")}),
+             ("readings", {"anomaly_type": ("HIGH_TEMP", "HIGH_TEMP"), "event_timestamp": quarter}),
+             ("readings", {"device_id": ("device_3", "device_3"), "event_timestamp": quarter}),
+             ("window_events", {"event_type": ("opened", "opened"), "event_timestamp": quarter}),
+             ("cycles", {"is_unusual": (True, True), "opened_at": quarter})]
+    for name, (df, columns) in tables.items():
+        layout.write_interleaved(df, f"{root}/{name}", columns, at_least=64)
+    found = []
+    for name, where in paths:
+        opened, there = layout.files_where(spark, f"{root}/{name}", where)
+        rows = layout.read_where(spark, f"{root}/{name}", where, tables[name][0].schema)
+        found.append(rows.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("table_name"), F.lit("+".join(where)).alias("path"), "row_count",
+            F.lit(4 * len(opened) < there or not there).alias("few_files")))
+    return reduce(DataFrame.unionByName, found)
+
+
+def window_cycles_stream_timers(spark, sf_dir):
+    """J-3 on a stream with keyed timers and state in parts: pairs final before the last watermark."""
+    s = fx.window_events(_event_stream(spark, sf_dir), compress=True)
+    with with_rocksdb_state(spark):
+        pairs = _run_stream(spark, sf_dir, timed_first_close_pairs(s, PAIRING_DELAY), "cycles-timers")
+    pairs = pairs.withColumn("duration_seconds", whole_second_duration(F.col("opened_at"), F.col("closed_at")))
+    pairs = pairs.withColumn("duration_minutes", F.col("duration_seconds") / 60)
+    return present(detect_window_patterns(pairs))
+
+
 QUERIES: dict[str, QueryFn] = {
     "readings_classified": readings_classified,
     "anomaly_alerts": anomaly_alerts,
@@ -485,4 +690,16 @@ QUERIES: dict[str, QueryFn] = {
     "retention_run": retention_run,
     "archive_roundtrip": archive_roundtrip,
     "batch_audit": batch_audit,
+    "window_cycles_uneven_partitions": window_cycles_uneven_partitions,
+    "temp_agg_1min_amended": temp_agg_1min_amended,
+    "window_agg_hourly_amended": window_agg_hourly_amended,
+    "bus_offset_gaps": bus_offset_gaps,
+    "bus_offset_summary": bus_offset_summary,
+    "temperature_stats_24h_rollup": temperature_stats_24h_rollup,
+    "replay_beyond_watermark": replay_beyond_watermark,
+    "latest_reading_kept": latest_reading_kept,
+    "window_cycles_stream_timers": window_cycles_stream_timers,
+    "replay_sample_stream": replay_sample_stream,
+    "fan_out_reconciliation": fan_out_reconciliation,
+    "access_paths": access_paths,
 }

@@ -118,6 +118,14 @@ SELECT object_code, object_name, 'closed',
        date_trunc('second', CAST(CAST(opened_at AS DATE) AS TIMESTAMP) + (closed_at - date_trunc('day', closed_at)))
 FROM ({_FIRST_CLOSE}) g"""
 
+_OFFSETS = """rec AS (SELECT 'iot-temperature' AS topic, CAST(event_id % 3 AS INTEGER) AS "partition", event_id // 3 AS "offset", event_id
+  FROM events WHERE event_id % 97 <> 0),
+twice AS (SELECT * FROM rec UNION ALL SELECT * FROM rec WHERE event_id % 89 = 0),
+counted AS (SELECT topic, "partition", "offset", count(*) AS copies,
+  lag("offset") OVER (PARTITION BY topic, "partition" ORDER BY "offset") AS before FROM twice GROUP BY topic, "partition", "offset")"""
+
+_LAST_QUARTER = "BETWEEN TIMESTAMP '2024-01-01 09:00:00' AND TIMESTAMP '2024-01-01 12:00:00'"
+
 ORACLE: dict[str, str] = {
     "readings_classified": _with(R) + f"SELECT {_READING_COLS} FROM R",
     "anomaly_alerts": _with(R) + """SELECT reading_id, device_id, event_timestamp, temperature_celsius,
@@ -221,4 +229,35 @@ FROM RU, (SELECT max(event_timestamp) AS m FROM RU) mx""",
     "archive_roundtrip": _with(R) + f"SELECT {_READING_COLS} FROM R",
     "batch_audit": _with(R) + """SELECT 'temperature_readings' AS target, CAST(0 AS BIGINT) AS batch_id,
        count(*) AS row_count FROM R""",
+    "window_cycles_uneven_partitions": _with(WC) + f"SELECT *, CAST(0 AS BIGINT) AS late_events FROM ({_durations(_FIRST_CLOSE)}) d",
+    "temp_agg_1min_amended": _with(R) + _temp_agg(_MIN, "1_minute"),
+    "window_agg_hourly_amended": _with(W) + _event_agg("W", _HOUR, "hourly"),
+    "bus_offset_gaps": _with(_OFFSETS) + """SELECT topic, "partition", 'gap' AS kind, before + 1 AS first_offset, "offset" - 1 AS last_offset,
+       "offset" - before - 1 AS records FROM counted WHERE "offset" - before > 1
+UNION ALL SELECT topic, "partition", 'repeat', "offset", "offset", copies - 1 FROM counted WHERE copies > 1""",
+    "bus_offset_summary": _with(_OFFSETS) + """SELECT topic, "partition", min("offset") AS start_offset, max("offset") + 1 AS end_offset,
+       count(*) AS present, max("offset") + 1 - min("offset") - count(*) AS lost, CAST(sum(copies - 1) AS BIGINT) AS repeated
+FROM counted GROUP BY topic, "partition" """,
+    "replay_beyond_watermark": _with(R) + f"SELECT {_READING_COLS} FROM R",
+    "fan_out_reconciliation": _with(R) + """SELECT target, batch_id, n AS expected_rows,
+       CASE WHEN target = 'temperature_readings' AND batch_id = 1 THEN n - 1 WHEN target = 'alerts' AND batch_id = 2 THEN n + 1 ELSE n END
+         AS stored_rows,
+       CASE WHEN target = 'temperature_readings' AND batch_id = 1 THEN 'rows_lost'
+            WHEN target = 'alerts' AND batch_id = 2 THEN 'rows_doubled'
+            WHEN target = 'temperature_readings' AND batch_id = 3 THEN 'rows_changed' ELSE 'ok' END AS status
+FROM (SELECT 'temperature_readings' AS target, reading_id % 4 AS batch_id, count(*) AS n FROM R GROUP BY ALL
+      UNION ALL SELECT 'alerts', reading_id % 4, count(*) FROM R WHERE is_anomaly GROUP BY ALL) t""",
+    "access_paths": _with(R, WC) + f"""SELECT *, true AS few_files FROM (
+  SELECT 'readings' AS table_name, 'is_anomaly+anomaly_type' AS path, count(*) AS row_count FROM R WHERE is_anomaly AND anomaly_type = 'NORMAL'
+  UNION ALL SELECT 'readings', 'anomaly_type+event_timestamp', count(*) FROM R
+    WHERE anomaly_type = 'HIGH_TEMP' AND event_timestamp {_LAST_QUARTER}
+  UNION ALL SELECT 'readings', 'device_id+event_timestamp', count(*) FROM R WHERE device_id = 'device_3' AND event_timestamp {_LAST_QUARTER}
+  UNION ALL SELECT 'window_events', 'event_type+event_timestamp', count(*) FROM WC
+    WHERE event_type = 'opened' AND event_timestamp {_LAST_QUARTER}
+  UNION ALL SELECT 'cycles', 'is_unusual+opened_at', count(*) FROM ({_durations(_FIRST_CLOSE)}) d
+    WHERE duration_minutes > 60 AND opened_at {_LAST_QUARTER}) t""",
 }
+# the same results by other means
+for _name, _like in {"temperature_stats_24h_rollup": "temperature_stats_24h", "latest_reading_kept": "latest_reading_per_device",
+                     "replay_sample_stream": "replay_sample", "window_cycles_stream_timers": "window_cycles_stream"}.items():
+    ORACLE[_name] = ORACLE[_like]

@@ -3,8 +3,8 @@
 Each job starts
 
 * one *raw* query whose ``foreachBatch`` decodes, labels and fans the batch out
-  to the valid table, the quarantine table, the alerts table and the audit
-  log -- the batch is persisted once and read by every sink instead of
+  to the valid table, the quarantine table, the alerts table, the audit
+  log and the fingerprints that ``reconcile_tables`` checks them by -- the batch is persisted once and read by every sink instead of
   re-reading the source once per sink;
 * one query per stateful operator (each needs its own checkpoint): tumbling
   aggregates, and for window events the first-close pairing.
@@ -16,7 +16,9 @@ folders the caller passes -- shared storage on a cluster.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,10 +28,11 @@ from sensorlake.functions import codec
 from sensorlake.functions.classify import detect_anomalies, detect_window_patterns
 from sensorlake.functions.timefmt import whole_second_duration
 from sensorlake.operators import aggregates as agg
-from sensorlake.operators import quality
+from sensorlake.operators import quality, reconcile
 from sensorlake.schemas import TABLES
-from sensorlake.session import use_rocksdb_state
+from sensorlake.session import path_exists, use_rocksdb_state
 from sensorlake.sinks import audit, parquet, relational
+from sensorlake.streaming.frontiers import PartitionClock
 from sensorlake.streaming.pairing import stream_first_close_pairs
 from sensorlake.streaming.pairing_tables import start_table_state_pairing
 from sensorlake.streaming.runner import start_to_parquet
@@ -78,8 +81,16 @@ def _fan_out(tables: str, valid_name: str, time_col: str, label, fill, alerts: b
             # a missing event time stays missing: the folder goes by the bus time
             parquet.write_batch(bad, batch_id, f"{tables}/quarantine_{valid_name}", time_col,
                                 date_from=F.coalesce(F.col(time_col), F.col("kafka_timestamp")))
+            sent = {valid_name: valid, f"quarantine_{valid_name}": bad}
             if alerts:
-                parquet.write_batch(valid.filter(F.col("is_anomaly")), batch_id, f"{tables}/alerts", time_col)
+                sent["alerts"] = valid.filter(F.col("is_anomaly"))
+                parquet.write_batch(sent["alerts"], batch_id, f"{tables}/alerts", time_col)
+            # what every table should hold of this batch, for ``reconcile_tables``
+            marks = reduce(DataFrame.unionByName, [reconcile.fingerprint(df, name, batch_id) for name, df in sent.items()])
+            marks.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+                .partitionBy("batch_id").parquet(f"{tables}/fingerprints_{valid_name}")
+            if database:
+                database.append(_batch_metrics(labelled, valid_name, batch_id), "system_metrics")
             audit_df = audit.audit_frame(batch.sparkSession, records)
             audit_df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
                 .partitionBy("batch_id").parquet(f"{tables}/audit_{valid_name}")
@@ -88,6 +99,28 @@ def _fan_out(tables: str, valid_name: str, time_col: str, label, fill, alerts: b
     return write
 
 
+def reconcile_tables(spark: SparkSession, tables: str, valid_name: str) -> DataFrame:
+    """Whether every table of a fan-out holds what was sent to it, batch by batch (see ``operators.reconcile``)."""
+    expected = spark.read.schema(reconcile.FINGERPRINT_SCHEMA).parquet(f"{tables}/fingerprints_{valid_name}")
+    names = [r[0] for r in expected.filter("row_count > 0").select("target").distinct().collect()]      # three tables at most
+    stored = [reconcile.stored_fingerprints(parquet.read_archive(spark, f"{tables}/{n}"), n) for n in names if path_exists(spark, f"{tables}/{n}")]
+    none = spark.createDataFrame([], reconcile.FINGERPRINT_SCHEMA)
+    return reconcile.compare(expected, reduce(DataFrame.unionByName, stored, none))
+
+
+def _batch_metrics(labelled: DataFrame, table: str, batch_id: int) -> DataFrame:
+    """Rows stored and quarantined by one batch as metric rows, timed by the batch's newest record: a batch
+    that is run again gives the same rows. An empty batch gives none."""
+    counts = labelled.agg(F.count_if(F.col("quality_status") == "valid").alias("rows_stored"),
+                          F.count_if(F.col("quality_status") != "valid").alias("rows_quarantined"),
+                          F.max("kafka_timestamp").alias("timestamp"))
+    names = ("rows_stored", "rows_quarantined")
+    metric = F.explode(F.array(*[F.struct(F.lit(n).alias("metric_name"), F.col(n).cast("double").alias("metric_value")) for n in names]))
+    return (counts.filter(F.col("rows_stored") + F.col("rows_quarantined") > 0).select(metric.alias("m"), "timestamp")
+            .select("m.*", F.lit("rows").alias("metric_unit"),
+                    F.lit(json.dumps({"batch_id": int(batch_id), "table": table}, separators=(",", ":"))).alias("tags"), "timestamp"))
+
+
 def _start_aggregate(aggregate: DataFrame, name: str, tables: str, checkpoints: str, trigger: dict,
                      database: Database | None) -> list[StreamingQuery]:
     """The aggregate's table, by date of the window, and its relational copy (a query of its own)."""
@@ -95,12 +128,15 @@ def _start_aggregate(aggregate: DataFrame, name: str, tables: str, checkpoints:
     queries = [start_to_parquet(rows.withColumn("event_date", F.to_date("window_start")), f"{tables}/{name}",
                                 f"{checkpoints}/{name}", name=name, trigger=trigger, partition_by=["event_date"])]
     if database:
-        queries.append(rows.writeStream.queryName(f"{name}_database").foreachBatch(
-            lambda batch, _: database.append(batch, name))
-            .option("checkpointLocation", f"{checkpoints}/{name}_database").trigger(**trigger).start())
+        queries.append(_start_database(rows, name, checkpoints, trigger, database))
     return queries
 
 
+def _start_database(rows: DataFrame, name: str, checkpoints: str, trigger: dict, database: Database) -> StreamingQuery:
+    return (rows.writeStream.queryName(f"{name}_database").foreachBatch(lambda batch, _: database.append(batch, name))
+            .option("checkpointLocation", f"{checkpoints}/{name}_database").trigger(**trigger).start())
+
+
 def start_readings(spark: SparkSession, records: DataFrame, tables: str, checkpoints: str,
                    triggers: Triggers | None = None, database: Database | None = None) -> list[StreamingQuery]:
     """Temperature job: raw fan-out + 1-minute and 5-minute aggregates; state in RocksDB."""
@@ -123,12 +159,14 @@ def start_readings(spark: SparkSession, records: DataFrame, tables: str, checkpo
 
 def start_window_events(spark: SparkSession, records: DataFrame, tables: str, checkpoints: str,
                         triggers: Triggers | None = None, pairing_delay: str = "1 hour",
-                        pairing: str = "tables", database: Database | None = None) -> list[StreamingQuery]:
+                        pairing: str = "tables", database: Database | None = None,
+                        clock: PartitionClock | None = None) -> list[StreamingQuery]:
     """Window-event job: raw fan-out, hourly and daily counts, open/close durations; state in RocksDB.
 
     ``pairing="tables"`` (default) pairs in skew-proof micro-batch jobs with
     table-backed state (``streaming.pairing_tables``); ``"state_store"`` uses
-    ``applyInPandasWithState`` (lower latency, one task per object).
+    ``applyInPandasWithState`` (lower latency, one task per object). ``clock`` waits for slow
+    bus partitions (``streaming.frontiers``); by default one maximum over all of them is the clock.
     """
     use_rocksdb_state(spark)
     t = triggers or Triggers(raw={"processingTime": "15 seconds"},
@@ -148,7 +186,8 @@ def start_window_events(spark: SparkSession, records: DataFrame, tables: str, ch
     if pairing == "tables":
         queries.append(start_table_state_pairing(
             valid, f"{tables}/window_durations", f"{checkpoints}/window_durations_state",
-            f"{checkpoints}/window_durations", delay_seconds=_seconds(pairing_delay), trigger=t.raw))
+            f"{checkpoints}/window_durations", delay_seconds=_seconds(pairing_delay), trigger=t.raw,
+            also=(lambda pairs: database.append(pairs, "window_durations")) if database else None, clock=clock))
         return queries
     pairs = stream_first_close_pairs(valid, pairing_delay)
     durations = detect_window_patterns(
@@ -157,6 +196,8 @@ def start_window_events(spark: SparkSession, records: DataFrame, tables: str, ch
              .withColumn("processing_timestamp", F.current_timestamp()))
     queries.append(start_to_parquet(durations, f"{tables}/window_durations", f"{checkpoints}/window_durations",
                                     name="window_durations", trigger=t.raw))
+    if database:
+        queries.append(_start_database(durations, "window_durations", checkpoints, t.raw, database))
     return queries
 
 

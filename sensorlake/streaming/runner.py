@@ -14,7 +14,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from sensorlake.session import scratch_path
+from sensorlake.session import scratch_path, use_rocksdb_state
 
 
 @contextmanager
@@ -29,6 +29,18 @@ def partitions_for_new_queries(spark: SparkSession, n: int | None):
         spark.conf.set("spark.sql.shuffle.partitions", previous)
 
 
+@contextmanager
+def with_rocksdb_state(spark: SparkSession):
+    """RocksDB as the state store of queries started (and awaited) inside the block."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    previous = spark.conf.get(key)
+    use_rocksdb_state(spark)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, previous)
+
+
 def start_to_parquet(df: DataFrame, path: str, checkpoint: str, name: str | None = None,
                      trigger: dict | None = None, partition_by: list[str] | None = None) -> StreamingQuery:
     writer = (df.writeStream.format("parquet").outputMode("append")
