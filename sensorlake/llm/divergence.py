@@ -52,7 +52,7 @@ LEVELS = (2, 4, 8)          # bytes of the prefixes, before complete terms
 BROADCAST_ROWS = 1 << 18    # kept prefixes (of 8 bytes and a language) that are broadcast
 PER_MILLIARD = 1_000_000_000
 FILTER_BITS = 26            # of the broadcast table of kept prefixes: 8 MB
-_HELD_ROWS = 1 << 20        # counts that a task holds before it puts some out
+_HELD_ROWS = 1 << 19        # counts that a task holds before it puts some out
 _PAIRS = 1 << 20            # pairs of sources that a task compares at once
 
 _LOWER = np.arange(256, dtype=np.uint8)
