@@ -79,14 +79,3 @@ def epoch_seconds(ts: Column) -> Column:
 def whole_second_duration(start: Column, end: Column) -> Column:
     """F-5: difference of truncated epochs (not a truncated difference)."""
     return F.unix_timestamp(end) - F.unix_timestamp(start)
-
-
-def as_ntz(ts: Column) -> Column:
-    """Result presentation: wall-clock TIMESTAMP_NTZ (session zone is UTC)."""
-    return ts.cast("timestamp_ntz")
-
-
-def days_interval(days: Column | int) -> Column:
-    """Dynamic day interval from an integer parameter (F-9)."""
-    d = F.lit(days) if isinstance(days, int) else days
-    return F.make_dt_interval(d)

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from sensorlake.session import checkpoint_root, estimated_bytes, partitions_for_size, scratch_path
+from sensorlake.session import checkpoint_root, estimated_bytes, partitions_for_size, scratch_path, setting
 
 _KIND_TARGET, _KIND_PROBE, _KIND_SUMMARY = 0, 1, 2
 
@@ -122,7 +122,9 @@ def _materialize(df: DataFrame, created: list[str] | None = None) -> DataFrame:
     pins ``_pid``; a lost executor re-reads files instead of re-sampling the range shuffle).
     The folder is appended to ``created`` so a caller that consumed the result can delete it."""
     path = scratch_path(df.sparkSession, "ordered-scan")
-    df.write.mode("errorifexists").parquet(path)
+    # fewer, larger Arrow batches for the pandas pass (narrow rows, about 10 MB a batch)
+    with setting(df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", "65536"):
+        df.write.mode("errorifexists").parquet(path)
     if created is not None:
         created.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

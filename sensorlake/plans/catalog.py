@@ -25,7 +25,7 @@ from sensorlake.sinks import audit, layout, parquet
 from sensorlake.schemas import READING_MESSAGE_TYPE, READINGS_TOPIC, SYSTEM_METRICS
 from sensorlake.session import child_folders, configure, scratch_path
 from sensorlake.sources import bus, files, fixtures as fx
-from sensorlake.streaming import merge_table
+from sensorlake.streaming import merge_table, publish
 from sensorlake.streaming.frontiers import PartitionClock
 from sensorlake.streaming.identity import IdentityTable
 from sensorlake.streaming.kept import LatestTable, RunningSample
@@ -390,6 +390,43 @@ def openings_csv_events(spark, sf_dir):
     return present(ordered.select("object_code", "object_name", "event_type", "event_timestamp"))
 
 
+def csv_load_counts(spark, sf_dir):
+    """G-12: rows loaded from the two CSV inputs, as metric rows."""
+    root = scratch_path(spark, "load-counts")
+    _readings(spark, sf_dir).select("device_id").write.option("header", True).csv(f"{root}/readings")
+    fx.window_events(_events(spark, sf_dir)).filter("event_type = 'opened'").select("object_code").write.option("header", True).csv(f"{root}/openings")
+    at = F.timestamp_micros(F.lit(fx.BASE_MICROS))
+    return present(publish.loaded_rows(spark, f"{root}/readings", f"{root}/openings", at))
+
+
+def wire_messages(spark, sf_dir):
+    """C-1, C-2, F-1, F-2, Q-1: messages as a producer outside of this library writes them (ISO times without a
+    fraction where there is none, spaces after separators, a second time field), decoded."""
+    ev = _events(spark, sf_dir).select("event_id", "user_id", "event_type", "value", fx.event_time(F.col("ts"), True).alias("t"))
+    iso = F.concat(F.date_format("t", "yyyy-MM-dd'T'HH:mm:ss"),
+                   F.when(F.date_format("t", "SSSSSS") == "000000", "").otherwise(F.concat(F.lit("."), F.date_format("t", "SSSSSS"))))
+    window = F.col("event_type").isin("signup", "error")
+    kind = F.when(F.col("event_type") == "signup", "opened").otherwise("closed")
+    number = lambda c: F.coalesce(c.cast("string"), F.lit("null"))
+    time = F.coalesce(F.concat(F.lit('"'), iso, F.lit('"')), F.lit("null"))
+    reading = F.concat(F.lit('{"event_timestamp": '), time, F.lit(', "timestamp": '), time, F.lit(', "timestamp_epoch": '), number(F.unix_timestamp("t")),
+                       F.lit(', "device_id": "'), F.col("user_id").cast("string"), F.lit('", "temperature_fahrenheit": '), number(F.col("value")),
+                       F.lit(', "temperature_celsius": '), number(F.col("value") - 30), F.lit(', "message_type": "temperature_reading", "producer_timestamp": '),
+                       time, F.lit("}"))
+    event = F.concat(F.lit('{"timestamp": '), time, F.lit(', "object_code": '), number(F.col("user_id")), F.lit(', "object_name": "w'),
+                     F.col("user_id").cast("string"), F.lit('", "event_type": "'), kind, F.lit('", "message_type": "window_event", "producer_timestamp": '),
+                     time, F.lit("}"))
+    rec = ev.select(F.col("user_id").cast("string").cast("binary").alias("key"), F.when(window, event).otherwise(reading).cast("binary").alias("value"),
+                    F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"), F.col("t").alias("timestamp"), window.alias("w"))
+    r = quality.label_readings(codec.decode_readings(rec.filter("not w")))
+    e = quality.label_window_events(codec.decode_window_events(rec.filter("w")))
+    none = lambda kind: F.lit(None).cast(kind)
+    return present(r.select("offset", "quality_status", "event_timestamp", "producer_timestamp", F.coalesce("timestamp_epoch", F.lit(0)).alias("timestamp_epoch"),
+                            "device_id", "temperature_celsius", F.lit(0).alias("object_code"), none("string").alias("event_type"))
+                   .union(e.select("offset", "quality_status", "event_timestamp", "producer_timestamp", F.lit(0).cast("long"), none("string"), none("double"),
+                                   F.coalesce("object_code", F.lit(0)), "event_type")))
+
+
 # --------------------------------------------------------------------------- streaming queries
 
 def _event_stream(spark, sf_dir) -> DataFrame:
@@ -690,6 +727,8 @@ QUERIES: dict[str, QueryFn] = {
     "retention_run": retention_run,
     "archive_roundtrip": archive_roundtrip,
     "batch_audit": batch_audit,
+    "csv_load_counts": csv_load_counts,
+    "wire_messages": wire_messages,
     "window_cycles_uneven_partitions": window_cycles_uneven_partitions,
     "temp_agg_1min_amended": temp_agg_1min_amended,
     "window_agg_hourly_amended": window_agg_hourly_amended,

@@ -229,6 +229,17 @@ FROM RU, (SELECT max(event_timestamp) AS m FROM RU) mx""",
     "archive_roundtrip": _with(R) + f"SELECT {_READING_COLS} FROM R",
     "batch_audit": _with(R) + """SELECT 'temperature_readings' AS target, CAST(0 AS BIGINT) AS batch_id,
        count(*) AS row_count FROM R""",
+    "csv_load_counts": _with(R, W) + """SELECT 'rows_loaded' AS metric_name, 'rows' AS metric_unit, TIMESTAMP '2024-01-01 00:00:00' AS timestamp, *
+FROM (SELECT CAST(count(*) AS DOUBLE) AS metric_value, '{"source":"readings"}' AS tags FROM R
+      UNION ALL SELECT CAST(count(*) AS DOUBLE), '{"source":"openings"}' FROM W WHERE event_type = 'opened') t""",
+    "wire_messages": f"""WITH x AS (SELECT *, {_COMPRESSED} AS t FROM events)
+SELECT event_id AS "offset", CASE WHEN t IS NULL OR (event_type NOT IN ('signup', 'error') AND value IS NULL) THEN 'quarantine' ELSE 'valid' END AS quality_status,
+       t AS event_timestamp, t AS producer_timestamp,
+       CASE WHEN event_type NOT IN ('signup', 'error') AND t IS NOT NULL THEN epoch_us(t) // 1000000 ELSE 0 END AS timestamp_epoch,
+       CASE WHEN event_type NOT IN ('signup', 'error') THEN CAST(user_id AS VARCHAR) END AS device_id,
+       CASE WHEN event_type NOT IN ('signup', 'error') THEN value - 30 END AS temperature_celsius,
+       CASE WHEN event_type IN ('signup', 'error') THEN CAST(user_id AS INTEGER) ELSE 0 END AS object_code,
+       CASE event_type WHEN 'signup' THEN 'opened' WHEN 'error' THEN 'closed' END AS event_type FROM x""",
     "window_cycles_uneven_partitions": _with(WC) + f"SELECT *, CAST(0 AS BIGINT) AS late_events FROM ({_durations(_FIRST_CLOSE)}) d",
     "temp_agg_1min_amended": _with(R) + _temp_agg(_MIN, "1_minute"),
     "window_agg_hourly_amended": _with(W) + _event_agg("W", _HOUR, "hourly"),

@@ -7,9 +7,13 @@ TIMESTAMP (what watermarks need) are then lossless.
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
 import uuid
+import warnings
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -24,11 +28,23 @@ def configure(spark: SparkSession) -> SparkSession:
     conf.set("spark.sql.adaptive.enabled", "true")
     conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    # fewer, larger Arrow batches for the vectorised pandas passes (about 10 MB each here)
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "65536")
     return spark
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """A runtime setting for the actions inside the block."""
+    previous = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if previous is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, previous)
+
+
 def use_rocksdb_state(spark: SparkSession) -> None:
     """Keep streaming state in RocksDB (off-heap, spills to local disk, checkpointed).
 
@@ -55,9 +71,65 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+class ScratchOwner:
+    """Deletes the folders that ``scratch_path`` made inside its block::
+
+        with scratch(spark):
+            first_close_pairs(events).write.parquet(target)
+
+    A result is lazy, so it must be written (or collected) before the block ends.
+    Streaming callbacks run in threads of their own, outside of any block.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+        # kept: a session that was stopped has neither any more
+        self._jvm, self._conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def __enter__(self) -> ScratchOwner:
+        self._token = _OWNER.set(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        _OWNER.reset(self._token)
+        self.delete()
+
+    def delete(self) -> None:
+        while self.paths:
+            path = self._jvm.org.apache.hadoop.fs.Path(self.paths.pop())
+            path.getFileSystem(self._conf).delete(path, True)
+
+
+_OWNER: ContextVar[ScratchOwner | None] = ContextVar("scratch_owner", default=None)
+_UNOWNED: list[ScratchOwner] = []       # one a session: folders made outside of any block
+
+
+def scratch(spark: SparkSession) -> ScratchOwner:
+    return ScratchOwner(spark)
+
+
+@atexit.register
+def _delete_unowned() -> None:
+    """When the driver program ends, nobody can read what it made outside of a block."""
+    for owner in _UNOWNED:
+        try:
+            owner.delete()
+        except Exception as e:      # the session's JVM may be gone
+            warnings.warn(f"scratch folders are left under {owner.paths}: {e}", stacklevel=1)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/sensorlake/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique folder under the shared checkpoint root; deleted with its ``scratch`` block, or
+    when the driver program ends."""
+    path = f"{checkpoint_root(spark)}/sensorlake/{name}-{uuid.uuid4().hex}"
+    owner = _OWNER.get()
+    if owner is None:
+        owner = next((o for o in _UNOWNED if o.spark is spark), None)
+        if owner is None:
+            owner = ScratchOwner(spark)
+            _UNOWNED.append(owner)
+    owner.paths.append(path)
+    return path
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
@@ -75,11 +147,12 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", os.environ.get("SENSORLAKE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        # tests only: the environment names no shared folder
+        # a local session only, whose driver and executors are one process
         fallback = os.environ.get("SENSORLAKE_CHECKPOINT_DIR", "/tmp/sensorlake-checkpoints")
         spark.sparkContext.setCheckpointDir(fallback)
     return configure(spark)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake.functions import codec
+from sensorlake.operators.metrics import load_counts
 from sensorlake.sinks import bus as bus_sink
 from sensorlake.sources import files
 
@@ -38,10 +39,19 @@ def unparseable_openings(spark: SparkSession, path: str, roll_midnight: bool = F
     return ev.filter(F.col("event_timestamp").isNull())
 
 
+def loaded_rows(spark: SparkSession, readings_path: str | None, openings_path: str | None, at: Column | None = None) -> DataFrame:
+    """How many rows each input file holds, as metric rows (G-12)."""
+    inputs = {"readings": readings_path and files.readings_csv(spark, readings_path),
+              "openings": openings_path and files.openings_csv(spark, openings_path)}
+    return load_counts({k: df for k, df in inputs.items() if df is not None}, F.current_timestamp() if at is None else at)
+
+
 def publish_csv(spark: SparkSession, readings_path: str | None, openings_path: str | None,
-                servers: str, rejects_path: str | None = None) -> None:
+                servers: str, rejects_path: str | None = None, metrics_path: str | None = None) -> None:
     """Publish both inputs to their topics (needs the Kafka connector on the classpath); openings
-    without a time are stored under ``rejects_path``."""
+    without a time are stored under ``rejects_path``, the numbers of rows loaded appended to ``metrics_path``."""
+    if metrics_path and (readings_path or openings_path):
+        loaded_rows(spark, readings_path, openings_path).coalesce(1).write.mode("append").parquet(metrics_path)
     if openings_path and rejects_path:
         unparseable_openings(spark, openings_path).write.mode("overwrite").parquet(rejects_path)
     if readings_path:
