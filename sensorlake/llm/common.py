@@ -42,6 +42,11 @@ def text_bytes(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
 
 
+def tie(docs: DataFrame) -> Column:
+    """A hash of all columns but the text: orders rows that share doc_id and text, whatever their partition."""
+    return F.xxhash64(F.to_json(F.struct(*[docs[f"`{c}`"] for c in docs.columns if c != "text"])))
+
+
 def steps(batches: Iterator[pa.RecordBatch], text: str = "text",
           limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about ``limit`` text bytes (at least one row each)."""

@@ -19,8 +19,9 @@ a source and over the cells of a class give each cell's offset, and a row's posi
 offset plus its number within the cell.
 
 Defined cases: null text or no words: size 0; null source: a source of its own; null doc_id:
-a key like any other; repeated rows: each takes its own position (which of them gets which
-is unspecified, they are equal); empty input: empty result. Other columns are not read.
+a key like any other; repeated rows: each takes its own position, rows of one doc_id and text that
+differ in other columns in the order of a hash of these; texts of any length; empty input: empty
+result. ``copies`` reads no other columns, ``mix`` passes them on.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import pinned, table, word_count
+from sensorlake.llm.common import pinned, table, tie, word_count
 
 WEIGHTS = (1, 2, 3)     # by source in code point order, repeating
 CAP = 3                 # copies of a document, and target per source word, at most
@@ -103,9 +104,9 @@ def copies(docs: DataFrame, seed: str = SEED) -> DataFrame:
 
 def mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
     """The mixed corpus: every row of ``docs``, all columns, as often as it was drawn (0 to ``CAP`` times)."""
-    same = Window.partitionBy(*KEY).orderBy(F.lit(0))
-    drawn = copies(docs, seed).select(*KEY, "copies").withColumn("_k", F.row_number().over(same))
-    keyed = _keyed_rows(docs).withColumn("_k", F.row_number().over(same))
+    same = Window.partitionBy(*KEY)     # rows that differ in other columns go by a hash of these, so reruns agree
+    drawn = copies(docs, seed).select(*KEY, "copies").withColumn("_k", F.row_number().over(same.orderBy("copies")))
+    keyed = _keyed_rows(docs).withColumn("_k", F.row_number().over(same.orderBy("_tie")))
     null_safe = [F.col(f"d.{c}").eqNullSafe(F.col(f"m.{c}")) for c in [*KEY, "_k"]]
     on = null_safe[0] & null_safe[1] & null_safe[2] & null_safe[3]
     return (keyed.alias("d").join(drawn.filter("copies > 0").alias("m"), on)
@@ -117,7 +118,7 @@ def _keyed_rows(docs: DataFrame) -> DataFrame:
     """The whole row as one struct (so no column name can clash) with the columns that name it."""
     return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"), *[
         F.when(F.col("source").isNull(), "n").otherwise(F.concat(F.lit("s"), "source")).alias("_source"),
-        F.col("doc_id"), F.coalesce(F.md5("text"), F.lit("~")).alias("_text")])
+        F.col("doc_id"), F.coalesce(F.md5("text"), F.lit("~")).alias("_text"), tie(docs).alias("_tie")])
 
 
 def op4_mix(spark, sf_dir):

@@ -1,23 +1,29 @@
 """Sharding by a hierarchical weighted hash tree (DataFrame functions only).
 
-Shards hang in racks, racks in regions. Every shard draws, for each document, an
-exponential ticket -ln(u) / weight from a hash of (doc_id, shard); the ticket of a rack is
-the smallest of its shards', that of a region the smallest of its racks' -- again
-exponential, with the summed weight as rate. The descent takes the region with the smallest
-ticket, in it the rack, in it the shard. A subtree wins a document with probability
-weight / total, and when the weight of one shard grows (or a shard is added), only that
-shard's ticket changes: tickets of its rack and region can only shrink through it, so
-documents move into that subtree and, within it, into that shard, and nowhere else.
+Shards hang in racks, racks in regions; a node weighs what its shards weigh together. A document
+goes down the tree: at every level each child of the node that it has reached draws an exponential
+ticket -ln(u) / weight from a hash of (doc_id, child), and the least ticket wins. A child wins with
+probability weight / weight of its node, whatever hangs below it, and a document hashes the
+children along its own way only (regions, the racks of one, the shards of one), not every shard.
+
+The least ticket over the regions is exponential with the weight of the whole tree. What comes on top
+of the tree -- a shard beyond the first ``SHARDS``, a shard's weight beyond 1 -- draws one ticket
+with the added weight against that minimum: if it is smaller the document moves to that shard, else
+it stays where it is. So added weight takes its share of the documents from all other shards alike,
+and no document moves but into the shard, and so the rack and region, whose weight has grown (law ``key``).
 
 ``slot`` numbers the rows of a shard from 0 without gaps. Rows are counted per cell (shard,
 hash of the row) and numbered within their cell, so no shard is gathered in one task.
 
 Defined cases: null doc_id: hashed as its own key; null text: no bytes (size 8, CRC of the
-empty text); repeated rows: same shard, slots of their own; empty input: empty result.
+empty text); texts of any length: only size and CRC are taken; repeated rows: same shard, slots of
+their own; equal tickets: the child with the smaller number; empty input: empty result.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,27 +35,55 @@ CELLS = 256             # cells of a shard whose rows are numbered on their own
 ROW_OVERHEAD = 8        # bytes of a row besides its text
 
 
-def tree(n_shards: int, weights: dict[int, float] | None = None) -> dict[int, dict[int, dict[int, float]]]:
-    """region -> rack -> shard -> weight."""
-    out: dict[int, dict[int, dict[int, float]]] = {}
-    for i in range(n_shards):
-        out.setdefault(i % REGIONS, {}).setdefault((i // REGIONS) % RACKS, {})[i] = (weights or {}).get(i, 1.0)
-    return out
+@dataclass(frozen=True)
+class Tree:
+    """region -> rack -> shard -> weight, and what was added on top: (shard, weight)."""
+    nodes: dict[int, dict[int, dict[int, float]]]
+    added: tuple[tuple[int, float], ...] = ()
+
+
+def tree(n_shards: int, weights: dict[int, float] | None = None) -> Tree:
+    """``n_shards`` shards of weight 1 or as ``weights`` say."""
+    weight = {i: (weights or {}).get(i, 1.0) for i in range(n_shards)}
+    nodes: dict[int, dict[int, dict[int, float]]] = {}
+    for i in range(min(n_shards, SHARDS)):
+        nodes.setdefault(i % REGIONS, {}).setdefault((i // REGIONS) % RACKS, {})[i] = min(weight[i], 1.0)
+    more = [(i, w if i >= SHARDS else w - 1.0) for i, w in weight.items()]
+    return Tree(nodes, tuple((i, w) for i, w in more if w > 0))
+
 
+def _ticket(key: Column, node: str, weight: float) -> Column:
+    """An exponential draw with rate ``weight`` from a hash of the document and a node's path."""
+    bits = F.shiftrightunsigned(F.xxhash64(key, F.lit(node)), 11)
+    return -F.log((bits.cast("double") + 0.5) / float(1 << 53)) / weight
 
-def _least(columns: list[Column]) -> Column:
-    return F.least(*columns) if len(columns) > 1 else columns[0]
 
+def _least(drawn: list[Column]) -> Column:
+    return F.least(*drawn) if len(drawn) > 1 else drawn[0]
+
+
+def _draw(key: Column, path: str, children: dict[int, float]) -> Column:
+    """(ticket, child) of the child of a node whose ticket is least."""
+    return _least([F.struct(_ticket(key, f"{path}{c}", w).alias("ticket"), F.lit(c).alias("child")) for c, w in children.items()])
+
+
+def _below(child: Column, ways: dict[int, Column]) -> Column:
+    """What is below the child that was reached; only that branch is computed."""
+    *some, (_, out) = ways.items()
+    for number, way in reversed(some):
+        out = F.when(child == number, way).otherwise(out)
+    return out
 
-def shard_of(key: Column, nodes: dict[int, dict[int, dict[int, float]]]) -> Column:
-    """The shard that the descent reaches for ``key``."""
-    def ticket(region: int, rack: int, shard: int, weight: float) -> Column:
-        bits = F.shiftrightunsigned(F.xxhash64(key, F.lit(f"{region}/{rack}/{shard}")), 11)
-        u = (bits.cast("double") + 0.5) / float(1 << 53)
-        return F.struct((-F.log(u) / weight).alias("ticket"), F.lit(shard).alias("shard"))
 
-    return _least([_least([_least([ticket(g, r, s, w) for s, w in shards.items()])
-                           for r, shards in racks.items()]) for g, racks in nodes.items()])["shard"]
+def shard_of(key: Column, placed: Tree) -> Column:
+    """The shard that the descent reaches for ``key``, or the one added since that draws a smaller ticket."""
+    weight = {g: {r: sum(shards.values()) for r, shards in racks.items()} for g, racks in placed.nodes.items()}
+    region = _draw(key, "", {g: sum(racks.values()) for g, racks in weight.items()})
+    shard = _below(region["child"], {g: _below(_draw(key, f"{g}/", weight[g])["child"],
+                                               {r: _draw(key, f"{g}/{r}/", shards)["child"] for r, shards in racks.items()})
+                                     for g, racks in placed.nodes.items()})
+    added = [F.struct(_ticket(key, f"+{i}", w).alias("ticket"), F.lit(i).alias("shard")) for i, w in placed.added]
+    return _least([F.struct(region["ticket"].alias("ticket"), shard.alias("shard")), *added])["shard"]
 
 
 def assign(docs: DataFrame, n_shards: int = SHARDS, weights: dict[int, float] | None = None) -> DataFrame:
@@ -70,9 +104,9 @@ def assign(docs: DataFrame, n_shards: int = SHARDS, weights: dict[int, float] |
                     (F.col("_offset") + F.col("_i") - 1).alias("slot"), "grown_shard"))
 
 
-def place(docs: DataFrame, n_shards: int = SHARDS, weights: dict[int, float] | None = None) -> DataFrame:
-    """``docs`` with the shard of each row appended as ``shard`` (no shuffle); a column of that name is replaced."""
-    return docs.withColumn("shard", shard_of(F.col("doc_id").cast("string"), tree(n_shards, weights)))
+def place(docs: DataFrame, n_shards: int = SHARDS, weights: dict[int, float] | None = None, column: str = "shard") -> DataFrame:
+    """``docs`` with the shard of each row as ``column`` (no shuffle); a column of that name is replaced."""
+    return docs.withColumn(column, shard_of(F.col("doc_id").cast("string"), tree(n_shards, weights)))
 
 
 def op5_shard(spark, sf_dir):

@@ -173,3 +173,24 @@ def alignment(text, item):
             last, row[i] = row[i], cell
             best = max(best, cell)
     return (1 + best / len(b)) / 2 if b else 0
+
+
+def shard(key, n, weights):
+    """A document's shard by exponential tickets down the tree, then against what was added."""
+    def ticket(node, weight):
+        seed = 42
+        for part in (key, node):
+            seed = seed if part is None else xxhash.xxh64_intdigest(part.encode(), seed)
+        return -math.log(((seed >> 11) + 0.5) / float(1 << 53)) / weight
+
+    weight = {i: weights.get(i, 1.0) for i in range(n)}
+    base = {i: min(w, 1.0) for i, w in weight.items() if i < 24}
+    regions = {}
+    for i in base:
+        regions.setdefault(i % 2, {}).setdefault(i // 2 % 3, []).append(i)
+    rack_weight = lambda shards: sum(base[i] for i in shards)
+    least, g = min((ticket(f"{g}", sum(map(rack_weight, racks.values()))), g) for g, racks in regions.items())
+    _, r = min((ticket(f"{g}/{r}", rack_weight(shards)), r) for r, shards in regions[g].items())
+    _, s = min((ticket(f"{g}/{r}/{i}", base[i]), i) for i in regions[g][r])
+    added = [(ticket(f"+{i}", w - (1.0 if i < 24 else 0.0)), i) for i, w in weight.items() if i >= 24 or w > 1.0]
+    return min([(least, s), *added])[1]

@@ -54,3 +54,30 @@ def test_odd_rows_pass_every_stage(spark, docs):
     once = pipeline.near_duplicates(spark, frame, SF).collect()
     exp = {c for _, _, c in brute.simhash([(r["doc_id"], r["text"]) for r in ODD])}
     assert sorted(r.doc_id for r in once) == sorted(exp)
+
+
+CLASHING = ["score", "lang_pred", "ambiguous", "shard", "_row", "_key", "_tie", "copies", "size", "group", "th", "a b.c", "_rest", "ticket", "_g", "_place"]
+
+
+def test_columns_of_any_name_pass_every_stage(spark, tables):
+    rows = [r for r in tables("documents") if r["doc_id"] % 3 == 0]
+    frame = spark.createDataFrame([(r["doc_id"], r["text"], r["lang"], r["source"], r["n_chars"], *[f"{c}-{r['doc_id']}" for c in CLASHING]) for r in rows],
+                                  "doc_id long, text string, lang string, source string, n_chars int, " + ", ".join(f"`{c}` string" for c in CLASHING))
+    for name, stage in pipeline.STAGES:
+        frame = stage(spark, frame, SF)
+        assert sorted(frame.columns) == sorted([*["doc_id", "text", "lang", "source", "n_chars"], *CLASHING]), name
+        got = frame.collect()
+        assert got, name
+        for r in got:
+            assert all(r[c] == f"{c}-{r.doc_id}" for c in CLASHING if (name, c) != ("shard", "shard")), name
+    assert all(0 <= r["shard"] < 24 for r in got)
+
+
+def test_rows_that_differ_beside_the_text_give_the_same_rerun(spark, tables):
+    rows = [(r["doc_id"] // 4, r["text"] if r["doc_id"] % 5 else "one text that many rows share, under ids of their own", lang, f"s{k}")
+            for r in tables("documents")[:60] for k, lang in enumerate(["en", "de", None])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").cache()
+    for stage in (pipeline.near_duplicates, pipeline.mix):
+        first = plain(map(list, stage(spark, frame.repartition(1), SF).collect()))
+        for n in (3, 7):
+            assert plain(map(list, stage(spark, frame.repartition(n), SF).collect())) == first

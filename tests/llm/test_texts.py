@@ -345,3 +345,32 @@ def test_weights_move_rows_into_their_subtree_only(spark):
     assert moved.filter("b != 5").count() == 0
     share = rows.filter("b = 5").count() / 20000
     assert abs(share - 3 / 26) < 0.01
+
+
+def test_placement_against_a_plain_version(spark):
+    from tests.llm import brute
+    keys = [None, "", "7", "é", *map(str, range(3000))]
+    frame = spark.createDataFrame([(k,) for k in keys], "k string")
+    for n, weights in ((24, None), (25, None), (30, {3: 2.5, 27: 0.5}), (24, {5: 0.25, 6: 4.0}), (1, None), (7, None)):
+        got = [r.s for r in frame.select(sharding.shard_of(F.col("k"), sharding.tree(n, weights)).alias("s")).collect()]
+        assert got == [brute.shard(k, n, weights or {}) for k in keys], (n, weights)
+        if n >= 24:
+            total = sum((weights or {}).get(i, 1.0) for i in range(n))
+            for i in (0, 3, 5, 6):
+                assert abs(got.count(i) / len(keys) - (weights or {}).get(i, 1.0) / total) < 0.02
+
+
+@pytest.mark.parametrize("level", ["shard", "rack", "region"])
+def test_added_weight_moves_rows_into_its_subtree_only(spark, level):
+    """One shard, all shards of a rack, all of a region grow: rows move in there, to each in proportion, and nowhere else."""
+    nodes = sharding.tree(24).nodes
+    grown = {"shard": [9], "rack": list(nodes[1][2]), "region": [s for rack in nodes[0].values() for s in rack]}[level]
+    ids = spark.range(20000).select(F.col("id").cast("string").alias("k"))
+    rows = ids.select(sharding.shard_of(F.col("k"), sharding.tree(24)).alias("a"),
+                      sharding.shard_of(F.col("k"), sharding.tree(24, {s: 2.0 for s in grown})).alias("b")).cache()
+    assert rows.filter("a != b").filter(~F.col("b").isin(grown)).count() == 0
+    share = rows.filter(F.col("b").isin(grown)).count() / 20000
+    assert abs(share - 2 * len(grown) / (24 + len(grown))) < 0.015
+    by_shard = {r["b"]: r["count"] for r in rows.filter(F.col("b").isin(grown)).groupBy("b").count().collect()}
+    assert len(by_shard) == len(grown) and max(by_shard.values()) < 1.35 * min(by_shard.values())
+
