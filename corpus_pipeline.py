@@ -5,8 +5,10 @@ DataFrame of the same columns (the last one: and ``shard``). ``run`` writes what
 Parquet in the shared folder and reads it again for the next.
 
 Rows are told apart by (doc_id, hash of the text), nulls included; of rows that repeat both, a
-stage keeps or drops all, but for the near-duplicates, of which one row a group stays.
-Empty inputs give empty results; columns beside those of ``documents`` are passed through.
+stage keeps or drops all, but for the near-duplicates, of which one row a group stays: of rows equal
+in both, the one with the least hash of its other columns, so a rerun keeps the same.
+Empty inputs give empty results; columns beside those of ``documents`` are passed through, whatever
+their names, but for one named ``shard``, which the last stage's takes the place of.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sensorlake.llm import decontam, language, mixing, sharding, simhash
-from sensorlake.llm.common import table
+from sensorlake.llm.common import table, tie
 from sensorlake.session import delete_path, scratch_path
 
 
@@ -28,7 +30,7 @@ def _key(doc_id: str, text_hash: Column) -> Column:
 def _rows(docs: DataFrame) -> DataFrame:
     """``_row``: the whole row, so that no column name can clash, and ``_key``."""
     return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"),
-                       _key("doc_id", F.xxhash64("text")).alias("_key"))
+                       _key("doc_id", F.xxhash64("text")).alias("_key"), tie(docs).alias("_tie"))
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,9 +39,12 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Learned from all rows with a label. Rejected: texts without a letter (``und``).
     """
     model = language.learn(docs.select("text", "lang"))
-    known = language.predict(docs, model, {f.name: f.dataType.simpleString() for f in docs.schema})
-    filled = known.filter(F.col("lang_pred") != language.UNKNOWN).withColumn("lang", F.coalesce("lang", "lang_pred"))
-    return filled.select(*[filled[f"`{c}`"] for c in docs.columns])
+    rest = [f for f in docs.schema.fields if f.name != "text"]      # in one struct: no name can clash
+    kind = "struct<" + ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in rest) + ">"
+    known = language.predict(docs.select(F.struct(*[docs[f"`{f.name}`"] for f in rest]).alias("_rest"), "text"), model,
+                             {"_rest": kind, "text": "string"}).filter(F.col("lang_pred") != language.UNKNOWN)
+    column = lambda c: F.col("text") if c == "text" else F.col("_rest")[c]
+    return known.select(*[(F.coalesce(column(c), "lang_pred") if c == "lang" else column(c)).alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +53,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     groups = simhash.near_duplicates(named, {"doc_id": "long", "th": "long"})
     first = F.min(_key("doc_id", F.col("th"))).alias("_key")
     kept = groups.groupBy("group").agg(first).select("_key")
-    one = Window.partitionBy("_key").orderBy(F.lit(0))
+    one = Window.partitionBy("_key").orderBy("_tie")
     return (_rows(docs).join(kept, "_key").withColumn("_i", F.row_number().over(one)).filter("_i = 1").select("_row.*"))
 
 
