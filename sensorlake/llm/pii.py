@@ -4,19 +4,24 @@
 Generators propose spans, which may overlap: the four base patterns, and a wider pattern of
 each kind (written-out e-mail addresses, spaced or bracketed IP addresses, card numbers with
 other separators, phone numbers without a country prefix). Base spans that pass their check
-(IP parts, Luhn, digit counts) always stay. Every candidate gets a few small format and
-context features; rows with equal features are counted, and gradient boosted trees are trained
-on the counted table. The (weak) label asks for no base pattern: a candidate is confirmed if
+(IP parts, Luhn, digit counts) always stay. Every candidate gets a few small features of its
+shape, its neighbours and the words before it; rows with equal features are counted, and
+gradient boosted trees are trained on the counted table.
+
+The (weak) label is evidence that the features don't show: the value itself. A candidate is confirmed if
 its value, with ``(at)``, ``(dot)``, brackets, spaces and separators normalised, passes the
 check of its kind (``valid``: a host that ends in letters, IP parts, Luhn and 13 to 19 digits,
-10 to 15 digits) and either its form speaks for it (``form``: a written-out or unspaced
-address, bracketed or evenly spaced IP parts, a card issuer's first digits in one piece or in
+10 to 15 digits), and either its exact form is one that people write (``form``: a written-out or
+unspaced address, bracketed or evenly spaced IP parts, a card issuer's first digits in one piece or in
 groups with one separator, an area code in parentheses or 3-3-4 digits) or a word before it
-names its kind (``hint`` 2). For each kind the threshold is the lowest score at which, of the
+names its kind (``hint`` 2). Neither check nor form is a feature, so candidates of one shape and context
+differ in their labels, and the trees learn how often such a thing is what it looks like: an order
+number that passes Luhn by chance is among nine that don't, and none of them is taken; the same digits
+after the word card are. For each kind the threshold is the lowest score at which, of the
 wider candidates that overlap no base span and stand in documents that weren't trained on, at
 least ``PRECISION`` of those at or above it are confirmed; where none of these scores as high,
-all documents are asked. Wider candidates at or above the threshold that overlap no base span
-are added; of those that overlap each other the leftmost stays.
+all documents are asked. Wider candidates at or above the threshold that pass their check and overlap no
+base span are added; of those that overlap each other the leftmost stays.
 
 Positions are code points, end exclusive. Texts are searched whole, by patterns that can't
 backtrack (possessive runs, anchored at the start of a run), so a long text costs linear time.
@@ -56,8 +61,7 @@ PATTERNS = (
     r"(?<![0-9])[0-9](?:[\x20./_-]{0,2}[0-9])++",
     r"(?<![0-9+])\(?[0-9]{2,4}\)?[\x20.-]?[0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9])",
 )
-FEATURES = ("kind", "digits", "pieces", "paren", "hyphen", "space", "dot", "luhn", "before_class", "after_class", "hint",
-            "valid", "form")
+FEATURES = ("kind", "digits", "pieces", "longest", "paren", "hyphen", "space", "dot", "before_class", "after_class", "hint")
 _HINTS = r"(?i)(?:mail|contact|tel|phone|call|fax|mobile|card|visa|credit|pay|ip|host|server|addr)"
 #: By kind: whole words before a span that name its kind.
 _NAMES = (
@@ -157,6 +161,8 @@ def candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     has = lambda c: F.contains(F.col("value"), F.lit(c)).cast("int")
     spans = (spans.withColumn("ok", F.coalesce(check, F.lit(False)))
              .withColumn("pieces", F.least(F.size(F.split("value", r"[^0-9A-Za-z]+")), F.lit(6)))
+             .withColumn("longest", F.coalesce(F.array_max(F.transform(F.regexp_extract_all("value", F.lit("[0-9]++"), F.lit(0)), F.length)), F.lit(0)))
+             .withColumn("longest", F.least(F.col("longest"), F.lit(14)))
              .withColumn("paren", has("(")).withColumn("hyphen", has("-")).withColumn("space", has(" "))
              .withColumn("dot", has(".")).withColumn("before_class", _class(F.right("before", F.lit(1))))
              .withColumn("after_class", _class(F.coalesce("after", F.lit(""))))
@@ -174,7 +180,7 @@ def candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                              | F.coalesce(ahead < F.col("end"), F.lit(False)))
     # of every base match that passed its check and the wider ones, what the rest needs
     spans = spans.filter(F.col("ok") | (F.col("generator") != 0)).select(
-        "rid", "doc_id", "generator", "kind", "start", "end", "ok", "label", "taken",
+        "rid", "doc_id", "generator", "kind", "start", "end", "ok", "valid", "label", "taken",
         *[F.col(f) for f in FEATURES if f != "kind"])
     return found.select("rid", "doc_id"), pinned(spans)
 
@@ -219,7 +225,7 @@ def find(docs: DataFrame) -> DataFrame:
     chosen = thresholds(spans)
     if chosen is not None:
         line = Window.partitionBy("rid").orderBy("start", "kind", "end").rowsBetween(Window.unboundedPreceding, -1)
-        wider = (spans.filter(f"generator >= {len(KINDS)} and not taken").join(chosen.filter("chosen"), list(FEATURES))
+        wider = (spans.filter(f"generator >= {len(KINDS)} and valid = 1 and not taken").join(chosen.filter("chosen"), list(FEATURES))
                  .select("rid", "start", "kind", "end").distinct()
                  .withColumn("reach", F.max("end").over(line)).filter("reach is null or reach <= start"))
         kept = kept.union(wider.select("rid", place.alias("span"), F.lit(False).alias("base")))

@@ -194,3 +194,47 @@ def shard(key, n, weights):
     _, s = min((ticket(f"{g}/{r}/{i}", base[i]), i) for i in regions[g][r])
     added = [(ticket(f"+{i}", w - (1.0 if i < 24 else 0.0)), i) for i, w in weight.items() if i >= 24 or w > 1.0]
     return min([(least, s), *added])[1]
+
+
+def kneser_ney_of_order(rows, order, others=()):
+    """(doc_id, text) -> doc_id, score under the model of ``order`` learned from ``rows``; of ``others`` if given."""
+    split = lambda t: WORD.findall(lower(t)) + [None]
+    held = lambda key: zlib.crc32(b"" if key is None else str(key).encode()) % 10 == 0
+    pad = [("start",)] * (order - 1)
+    counts = {k: Counter() for k in range(1, order + 1)}
+    for key, t in rows:
+        if not held(key):
+            words = pad + split(t)
+            counts[order].update(tuple(words[i - order + 1:i + 1]) for i in range(order - 1, len(words)))
+    for k in range(order - 1, 0, -1):
+        for gram in counts[k + 1]:
+            counts[k][gram[1:]] += 1
+    cuts, uses, spare = {}, {}, {}
+    for k in counts:
+        n = Counter(counts[k].values())
+        cuts[k] = [0, .5, 1, 1.5]
+        if n[1] and n[2] and n[3]:
+            y = n[1] / (n[1] + 2 * n[2])
+            cuts[k] = [min(max(x, 0), i) for i, x in enumerate([0, 1 - 2 * y * n[2] / n[1], 2 - 3 * y * n[3] / n[2], 3 - 4 * y * n[4] / n[3]])]
+        uses[k], spare[k] = Counter(), Counter()
+        for gram, c in counts[k].items():
+            uses[k][gram[:-1]] += c
+            spare[k][gram[:-1]] += cuts[k][min(c, 3)]
+    size = len(counts[1]) + 1
+
+    def p(gram):
+        k = len(gram)
+        if not k:
+            return 1 / size
+        context = gram[:-1]
+        if not uses[k][context]:
+            return p(gram[1:])
+        c = counts[k][gram]
+        return (max(c - cuts[k][min(c, 3)], 0) + spare[k][context] * p(gram[1:])) / uses[k][context]
+
+    out = []
+    for key, t in others or rows:
+        words = pad + split(t)
+        out.append((key, sum(math.log10(p(tuple(words[i - order + 1:i + 1]))) for i in range(order - 1, len(words)))))
+    return out
+

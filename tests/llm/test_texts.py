@@ -1,6 +1,7 @@
 """Operators on texts against plain versions, on the smallest tables and on odd rows."""
 
 import hashlib
+import random
 import zlib
 
 import pytest
@@ -104,6 +105,34 @@ def test_kneser_ney_on_odd_rows_and_its_tables(docs):
     assert only_held.train_tokens == 0 and only_held.score == 0 and only_held.base_score == 0
 
 
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_kneser_ney_of_any_order(docs, tables, order):
+    rows = [{"doc_id": r["doc_id"], "text": r["text"][:1500]} for r in tables("documents") if r["doc_id"] % 3 == 0] + ODD
+    scores, *model = kneser.kneser_ney(docs(rows), order)
+    got, exp = (sorted(x, key=repr) for x in ([(r.doc_id, r.score) for r in scores.collect()], brute.kneser_ney_of_order(pairs(rows), order)))
+    assert [g[0] for g in got] == [e[0] for e in exp] and all(near(g[1], e[1]) for g, e in zip(got, exp))
+    assert len(model) == order
+    with pytest.raises(ValueError):
+        kneser.kneser_ney(docs(rows), 0)
+
+
+def test_a_stored_model_scores_other_texts(spark, docs, tables, tmp_path):
+    rows = [{"doc_id": r["doc_id"], "text": r["text"][:1500]} for r in tables("documents") if r["doc_id"] % 3 == 0]
+    others = [{"doc_id": 5000 + r["doc_id"], "text": r["text"][:800]} for r in tables("documents") if r["doc_id"] % 3 == 1] + ODD
+    tables_ = kneser.kneser_ney(docs(rows), 3)[1:]
+    for i, t in enumerate(tables_):
+        t.write.parquet(str(tmp_path / str(i)))
+    stored = [spark.read.parquet(str(tmp_path / str(i))) for i in range(3)]
+    got = sorted(((r.doc_id, r.score) for r in kneser.score(docs(others), *stored).collect()), key=repr)
+    exp = sorted(brute.kneser_ney_of_order(pairs(rows), 3, pairs(others)), key=repr)
+    assert [g[0] for g in got] == [e[0] for e in exp] and all(near(g[1], e[1]) for g, e in zip(got, exp))
+    same = sorted(((r.doc_id, r.score) for r in kneser.score(docs(rows), *stored).collect()), key=repr)
+    assert all(near(a[1], b[1]) for a, b in zip(same, sorted(brute.kneser_ney_of_order(pairs(rows), 3), key=repr)))
+    assert kneser.score(docs([]), *stored).count() == 0
+    nothing = kneser.kneser_ney(docs([]), 2)[1:]
+    assert kneser.score(docs(ODD), *nothing).agg(F.min("score"), F.max("score")).first()[:] == (0.0, 0.0)
+
+
 def test_language_on_held_out_documents(spark, tables):
     truth = {r["doc_id"]: r["lang"] for r in tables("documents")}
     rows = language.op6_language(spark, SF).collect()
@@ -199,6 +228,41 @@ def test_planted_wider_spans_are_found_and_redacted(docs, share):
             assert r.t == f"{r.text[:a]}[{names[k]}]{r.text[b:]}"
 
 
+def luhn(digits):
+    return sum(d if i % 2 == 0 else d * 2 - 9 * (d > 4) for i, d in enumerate(map(int, reversed(digits)))) % 10 == 0
+
+
+def test_the_trees_overrule_the_rule_where_values_pass_by_chance(docs):
+    """Order numbers of 13 digits that begin with 4: one in ten passes Luhn, and by its form alone it would be a card.
+    Card numbers of the same shape, after a word that says so, all pass."""
+    draw, rows, cards, chance = random.Random(4), [], {}, []
+    for i in range(600):
+        number = "4" + "".join(draw.choice("0123456789") for _ in range(12))
+        if i % 4 == 0:
+            while not luhn(number):
+                number = "4" + "".join(draw.choice("0123456789") for _ in range(12))
+            begin = "paid with card "
+            cards[i] = (len(begin), 2, len(begin) + 13)
+        else:
+            begin = draw.choice(["order number ", "shipment ", "our reference "])
+            chance += [i] * luhn(number)
+        rows.append({"doc_id": i, "text": f"{begin}{number} of {i % 7} items"})
+    found = {r.doc_id: [tuple(s) for s in r.spans] for r in pii.find(docs(rows)).collect()}
+    assert len(chance) > 25
+    caught = sum(cards[i] in found[i] for i in cards)
+    wrong = sum(bool(found[i]) for i in found if i not in cards)
+    assert caught >= 0.9 * len(cards) and wrong <= 0.05 * caught     # recall and precision
+    assert not any(found[i] for i in chance)
+
+
+def test_the_label_is_no_function_of_the_features(docs):
+    rows = [{"doc_id": i, "text": f"order {4222222222222 + i * 7} then card {4222222222222 + i * 3}, tel 212-555-{1000 + i}"} for i in range(200)]
+    _, spans = pii.candidates(docs(rows))
+    cells = spans.groupBy(*pii.FEATURES).agg(F.countDistinct("label").alias("kinds"))
+    assert cells.filter("kinds > 1").count() > 0
+    assert not {"valid", "form", "luhn"} & set(pii.FEATURES)
+
+
 def test_one_written_out_address_alone(docs):
     got = pii.find(docs([{"doc_id": 1, "text": "ann (at) host (dot) com"}])).first()
     assert [tuple(s) for s in got.spans] == [(0, 0, 23)]
