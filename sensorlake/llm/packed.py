@@ -24,7 +24,7 @@ BLOCKS = "block long, ids array<long>, sizes array<long>, data binary"
 _TEXT_LEVEL = 3         # an eighth smaller than the fastest level, for 1 s a 100 MB
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def pack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     task, made, codec = TaskContext.get().partitionId(), 0, pa.Codec("zstd", compression_level=_TEXT_LEVEL)
     ids, texts, held = [], [], 0
 
@@ -50,7 +50,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def pack(docs: DataFrame) -> DataFrame:
     """doc_id (long), text of every row, null texts as empty ones -> blocks, written once."""
-    return pinned(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_pack, BLOCKS))
+    return pinned(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(pack_batches, BLOCKS))
 
 
 class Block:

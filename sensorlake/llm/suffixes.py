@@ -4,7 +4,8 @@ Which suffixes are sorted. Every 50-byte window of a text is assigned to the 16-
 with the least hash. Equal windows have the same gram, so only windows of the same gram need
 comparing; neighbouring windows mostly share their gram, and a run of them (at most ``SPAN``) is
 one suffix: it starts where the run does and ends with the run's last window (84 bytes at most).
-So the array is sparse, about one suffix every 18 bytes, yet covers every window.
+So the array is sparse, about one suffix every 18 bytes, yet covers every window. The runs are found
+once, when texts are packed, and kept with the block (two bytes a run, compressed).
 
 1. Blocks of texts send the sorted hashes of their grams to buckets of the hash space, which
    answer for each whether it occurs again anywhere (one bit in effect). Suffixes of grams that
@@ -39,11 +40,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from sensorlake.llm.common import n_parts, pinned, table
 from sensorlake.llm.kernels import Hasher
-from sensorlake.llm.packed import (Block, answered, by_bucket, ddl, decoded, decoded_sorted, encoded,
-                                   encoded_sorted, over_blocks, over_buckets, pack, slices)
+from sensorlake.llm.packed import (BLOCKS, Block, answered, blocks_of, by_bucket, ddl, decoded, decoded_sorted, encoded,
+                                   encoded_sorted, over_blocks, over_buckets, pack_batches, slices)
 
 WINDOW, GRAM = 50, 16
 SPAN = WINDOW - GRAM + 1        # grams of a window, and windows of a suffix at most
@@ -54,8 +56,8 @@ _PRINT = np.uint64((1 << 40) - 1)
 _NEVER = np.iinfo(np.int64).max
 
 
-def window_runs(block: Block, hasher: Hasher) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of every run of windows with one gram: text number, first window, number of windows, gram hash."""
+def window_runs(block: Block, hasher: Hasher) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every run of windows with one gram: first window, number of windows, place of the gram in the first."""
     parts = []
     n = len(block.data) - WINDOW + 1
     for lo in range(0, max(n, 0), _STEP):
@@ -63,12 +65,13 @@ def window_runs(block: Block, hasher: Hasher) -> tuple[np.ndarray, np.ndarray, n
         data = block.data[lo:hi + WINDOW - 1]
         sums = hasher.sums(data)
         at = np.arange(len(data) - GRAM + 1)
-        least, width = hasher.runs(sums, at, at + GRAM), 1
+        grams = hasher.runs(sums, at, at + GRAM)
+        least, width = grams, 1
         while width < SPAN:
             shift = min(width, SPAN - width)
             least = np.minimum(least[:-shift], least[shift:])
             width += shift
-        text = np.searchsorted(block.off, np.arange(lo, hi), side="right") - 1
+        text = np.repeat(np.arange(len(block.off) - 1), np.diff(np.clip(block.off, lo, hi)))
         whole = np.arange(lo, hi) + WINDOW <= block.off[text + 1]
         new = np.ones(hi - lo, bool)
         new[1:] = (least[1:] != least[:-1]) | (text[1:] != text[:-1]) | ~whole[:-1]
@@ -83,25 +86,57 @@ def window_runs(block: Block, hasher: Hasher) -> tuple[np.ndarray, np.ndarray, n
         first, size = first[keep], size[keep]
         # a run that leaves its text's last window ends there
         size = np.minimum(size, block.off[text[first] + 1] - WINDOW + 1 - lo - first)
-        parts.append((text[first], first + lo, size, least[first]))
-    if not parts:
-        none = np.zeros(0, np.int64)
-        return none, none, none, np.zeros(0, np.uint64)
-    return tuple(map(np.concatenate, zip(*parts)))
+        lead = (grams[first[:, None] + np.arange(SPAN)] == least[first][:, None]).argmax(1)
+        parts.append((first + lo, size, lead))
+    none = np.zeros(0, np.int64)
+    return tuple(map(np.concatenate, zip(*parts))) if parts else (none, none, none)
+
+
+#: A block with the runs of its texts: gaps between them, sizes, places of the grams.
+WITH_RUNS = BLOCKS + ", n_runs int, gap binary, size binary, lead binary"
+
+
+def _pack_with_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hasher = Hasher(50)
+    for block, batch, row in blocks_of(pack_batches(batches)):
+        first, size, lead = window_runs(block, hasher)
+        gap = first - np.concatenate([[0], (first + size)[:-1]]) if len(first) else first
+        yield pa.RecordBatch.from_arrays(
+            [*batch.slice(row, 1).columns, pa.array([len(first)], pa.int32()), pa.array([encoded(gap)], pa.binary()),
+             *[pa.array([pa.compress(x.astype(np.uint8).tobytes(), "zstd", asbytes=True)], pa.binary()) for x in (size, lead)]],
+            [*batch.schema.names, "n_runs", "gap", "size", "lead"])
 
 
 class Suffixes:
     """The runs of a block's texts that have a doc_id, and its distinct grams in sending order."""
 
-    def __init__(self, block: Block, n_buckets: int):
+    def __init__(self, block: Block, n_buckets: int, batch: pa.RecordBatch, row: int):
         self.block, self.hasher, self.n_buckets = block, Hasher(50), n_buckets
         known = block.ids.is_valid().to_numpy(zero_copy_only=False)
         self.ids = block.ids.fill_null(0).to_numpy()
-        text, first, size, gram = window_runs(block, self.hasher)
-        keep = known[text] if len(text) else np.zeros(0, bool)
-        self.text, self.first, self.size, self.gram = text[keep], first[keep], size[keep], gram[keep]
+        n = batch.column("n_runs")[row].as_py()
+        size, lead = (np.frombuffer(pa.decompress(batch.column(c)[row].as_buffer(), n, "zstd") if n else b"", np.uint8).astype(np.int64)
+                      for c in ("size", "lead"))
+        first = np.cumsum(decoded(batch.column("gap")[row].as_py(), n, np.int64) + np.concatenate([[0], size[:-1]])) if n else size
+        text = np.searchsorted(block.off, first, side="right") - 1
+        keep = known[text] if n else np.zeros(0, bool)
+        self.text, self.first, self.size = text[keep], first[keep], size[keep]
+        self.gram = self._hashes(first[keep] + lead[keep])
         self.sent, self.place, self.count = np.unique(self.order(self.gram), return_inverse=True, return_counts=True)
 
+    def _hashes(self, at: np.ndarray) -> np.ndarray:
+        """Hashes of the grams at some places, which rise but for a window's length."""
+        out, lo = np.zeros(len(at), np.uint64), 0
+        while lo < len(at):
+            begin = max(int(at[lo]) - SPAN, 0)
+            hi = int(np.searchsorted(self.first, at[lo] + _STEP))
+            hi = min(max(hi, lo + 1), len(at))
+            some = at[lo:hi]
+            sums = self.hasher.sums(self.block.data[begin:int(some.max()) + GRAM])
+            out[lo:hi] = self.hasher.runs(sums, some - begin, some - begin + GRAM)
+            lo = hi
+        return out
+
     def order(self, hashes: np.ndarray) -> np.ndarray:
         return (hashes >> np.uint64(40)) % np.uint64(self.n_buckets) << np.uint64(40) | hashes & _PRINT
 
@@ -151,7 +186,7 @@ RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed
 
 def _send_grams(n_buckets: int):
     def run(block: Block, batch, row) -> list[dict]:
-        own = Suffixes(block, n_buckets)
+        own = Suffixes(block, n_buckets, batch, row)
         return [{"bucket": b, "block": block.number, "n": hi - lo, "grams": encoded_sorted(own.sent[lo:hi] & _PRINT),
                  "counts": encoded(own.count[lo:hi].astype(np.int64))} for b, lo, hi in own.by_bucket(own.sent)]
     return over_blocks(run, GRAMS)
@@ -190,7 +225,7 @@ def front_decoded(prefix: list[int], length: list[int], tail: bytes) -> list[byt
 
 def _send_runs(n_buckets: int):
     def run(block: Block, batch, row) -> list[dict]:
-        own = Suffixes(block, n_buckets)
+        own = Suffixes(block, n_buckets, batch, row)
         strings, entry, text, _ = own.entries(_codes(own, batch.column("codes")[row].as_py()))
         if not strings:
             return []
@@ -216,8 +251,12 @@ def _bucket_of(strings: list[bytes]) -> np.ndarray:
 def _first_difference(a: bytes, b: bytes, known: int) -> int:
     """Length of the common prefix of two strings whose first ``known`` bytes agree."""
     n = min(len(a), len(b))
-    x = int.from_bytes(a[known:n], "big") ^ int.from_bytes(b[known:n], "big")
-    return n - (x.bit_length() + 7) // 8
+    near = min(known + 8, n)                    # mostly it is right there
+    x = int.from_bytes(a[known:near], "big") ^ int.from_bytes(b[known:near], "big")
+    if x or near == n:
+        return near - (x.bit_length() + 7 >> 3)
+    x = int.from_bytes(a[near:n], "big") ^ int.from_bytes(b[near:n], "big")
+    return n - (x.bit_length() + 7 >> 3)
 
 
 def merged(runs: list[list[bytes]], prefixes: list[list[int]]) -> Iterator[tuple[int, int, int]]:
@@ -252,17 +291,32 @@ def merged(runs: list[list[bytes]], prefixes: list[list[int]]) -> Iterator[tuple
     for node in range(k - 1, 0, -1):
         winners[node], losers[node] = play(winners[2 * node], winners[2 * node + 1])
     top = winners[1] if k > 1 else 0
+    for r in range(k):
+        if heads[r] is None:
+            known[r] = -1           # shares nothing with any winner: it never is the smaller one
     while heads[top] is not None:
         yield top, at[top], known[top]
         i = at[top] + 1
         at[top] = i
         if i < len(runs[top]):
-            heads[top], known[top] = runs[top][i], prefixes[top][i]
+            heads[top], known[top] = head, p = runs[top][i], prefixes[top][i]
         else:
-            heads[top] = None
+            heads[top], known[top] = head, p = None, -1
         node = (top + k) >> 1
-        while node:
-            top, losers[node] = play(top, losers[node])
+        while node:                 # play(top, losers[node]), without a call where the prefixes decide
+            rival = losers[node]
+            q = known[rival]
+            if q > p:
+                losers[node], top, p = top, rival, q
+                head = heads[top]
+            elif q == p >= 0:
+                other = heads[rival]
+                n = _first_difference(head, other, p)
+                if head[n:n + 1] <= other[n:n + 1]:
+                    known[rival] = n
+                else:
+                    known[top] = n
+                    losers[node], top, head = top, rival, other
             node >>= 1
 
 
@@ -271,7 +325,7 @@ def _merge_bucket(bucket: int, rows: list[dict]) -> list[dict]:
     lengths = [list(pa.decompress(r["length"], r["n"], "zstd", asbytes=True)) for r in rows]
     runs = [front_decoded(p, n, pa.decompress(r["tail"], r["tail_bytes"], "zstd", asbytes=True) if r["tail_bytes"] else b"")
             for r, p, n in zip(rows, prefixes, lengths)]
-    order = np.fromiter((x for t in merged(runs, prefixes) for x in t), np.int64).reshape(-1, 3)
+    order = np.fromiter(merged(runs, prefixes), np.dtype((np.int64, 3)))
     start = np.cumsum([0, *(r["n"] for r in rows)])
     slot = start[order[:, 0]] + order[:, 1]
     own = np.concatenate([decoded(r["least"], r["n"], np.int64) for r in rows])[slot]
@@ -335,7 +389,7 @@ def _by_window(strings: list[bytes], number: np.ndarray, group: np.ndarray, leas
 
 def _remove(n_buckets: int, with_kept: bool):
     def run(block: Block, batch, row) -> list[dict]:
-        own = Suffixes(block, n_buckets)
+        own = Suffixes(block, n_buckets, batch, row)
         strings, entry, text, first = own.entries(_codes(own, batch.column("codes")[row].as_py()))
         edge = np.zeros(len(block.data) + 1, np.int32)
         if strings:
@@ -380,7 +434,7 @@ def _remove(n_buckets: int, with_kept: bool):
 def dedup(docs: DataFrame, with_kept: bool = False) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes, or null)."""
     buckets = n_parts(docs.sparkSession)
-    blocks = pack(docs)
+    blocks = pinned(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_pack_with_runs, WITH_RUNS))
     repeat = over_buckets(_which_repeat, CODES)
     codes = pinned(by_bucket(blocks.mapInArrow(_send_grams(buckets), ddl(GRAMS))).mapInArrow(repeat, ddl(CODES)))
     runs = answered(blocks, codes=codes).mapInArrow(_send_runs(buckets), ddl(RUNS))
