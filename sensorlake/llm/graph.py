@@ -38,6 +38,11 @@ def components(links: DataFrame) -> DataFrame:
     rounds that grows with the logarithm of the component size). Each round is a few
     aggregations and joins over the links left, at most one per node after the first, and
     is written to the shared checkpoint folder. Self-links and nulls are ignored.
+
+    A link (a, b), a > b, is kept at a. Large-star hands it on to the least neighbour of b, if b has one below
+    itself; the least node of a component has none, so a hub's links stay as they are. That join
+    is a left one on b with few rows on its other side, which adaptive execution splits where a hub
+    that isn't the least yet has most of the links.
     """
     edges = pinned(links.select(F.greatest("u", "v").alias("a"), F.least("u", "v").alias("b"))
                    .filter("a is not null and b is not null and a != b").distinct())
@@ -47,10 +52,8 @@ def components(links: DataFrame) -> DataFrame:
         if state == seen or not state[0]:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         seen = state
-        both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
-            edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+        least = edges.groupBy(F.col("a").alias("_b")).agg(F.min("b").alias("_least"))
+        large = edges.join(least, F.col("b") == F.col("_b"), "left").select("a", F.coalesce("_least", "b").alias("b"))
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
         edges = pinned(large.join(lowest, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                        .union(lowest.select("a", F.col("m").alias("b"))).distinct())
