@@ -15,7 +15,8 @@ size doesn't depend on the number of documents.
 Defined cases: null text or a text without a letter: ``und``, score 0, not ambiguous; null
 label: predicted, not learned from; no learning rows: every text is ``und``; one learned
 label: every text with a letter gets it, score 1; repeated rows count as often as they stand;
-empty input: empty result. Only doc_id, text and lang are read, lang never for a prediction.
+codewords at the same distance: the label that comes first, flagged as ambiguous; texts of any length
+are read whole, some megabytes of texts at a time; empty input: empty result. Only doc_id, text and lang are read, lang never for a prediction.
 """
 
 from __future__ import annotations

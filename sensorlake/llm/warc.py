@@ -3,7 +3,7 @@
 An archive (``*.warc.zst``) starts with a skippable frame (magic 0x184D2A5D) that holds the
 dictionary; every record, the leading ``warcinfo`` included, is a frame of its own, so a record
 can be read by its offset alone. The dictionary is trained on ``SAMPLE`` records (those with the
-least hashes, their first ``SAMPLE_CHARS`` characters): a bound, whatever the corpus; too few
+least hashes, ``SAMPLE_CHARS`` characters from a hash-drawn place of each): a bound, whatever the corpus; too few
 records for one give archives without that frame.
 
 Of records with equal payloads (SHA-1) of ``REVISIT_BYTES`` or more the one with the largest
@@ -66,8 +66,10 @@ def dictionary(pages: DataFrame) -> bytes:
     """A dictionary trained on a bounded sample of records; empty if they are too few."""
     drawn = F.xxhash64("page_id", "url")
     share = min(1.0, 2 * SAMPLE / max(pages.count(), 1))     # so tasks return few rows, whatever their number
-    rows = (pages.select("page_id", "url", F.left(F.coalesce("html", F.lit("")), F.lit(SAMPLE_CHARS)).alias("payload"),
-                         drawn.alias("drawn"))
+    html = F.coalesce("html", F.lit(""))
+    # a piece that begins anywhere, so what stands at the end of pages is learned, too
+    begin = F.pmod(F.xxhash64("url", "page_id"), F.greatest(F.char_length(html) - SAMPLE_CHARS, F.lit(0)) + 1) + 1
+    rows = (pages.select("page_id", "url", F.substring(html, begin.cast("int"), F.lit(SAMPLE_CHARS)).alias("payload"), drawn.alias("drawn"))
             .filter(F.pmod("drawn", F.lit(1 << 31)) < int(share * (1 << 31)))
             .orderBy("drawn", "page_id").limit(SAMPLE).collect())
     samples = [record(r.page_id, r.url, r.payload.encode("utf-8", "replace"), "", None, False, "") for r in rows]

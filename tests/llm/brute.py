@@ -238,3 +238,48 @@ def kneser_ney_of_order(rows, order, others=()):
         out.append((key, sum(math.log10(p(tuple(words[i - order + 1:i + 1]))) for i in range(order - 1, len(words)))))
     return out
 
+
+def language(learned, texts):
+    """(text, lang) rows, texts -> (label, score, ambiguous): counts, codewords, bit classifiers and decoding, a text at a time."""
+    def grams(text):
+        data = bytes(b if 97 <= b < 123 or b >= 128 else 32 for b in f" {text.lower()} ".encode()) if text else b""
+        return [((data[i] << 16 | data[i + 1] << 8 | data[i + 2]) * 2654435761 % (1 << 32)) >> 16 for i in range(len(data) - 2) if data[i + 1] != 32]
+
+    counts = defaultdict(Counter)
+    for text, lang in learned:
+        if text is not None and lang is not None:
+            counts[lang].update(grams(text))
+    labels = sorted(lang for lang in counts if counts[lang])
+    if not labels:
+        return [("und", 0.0, False) for _ in texts]
+    k, size = len(labels), 1 << 16
+    code = [[1 if i == 0 or m >> (i - 1) & 1 == 0 else -1 for m in range(1, 1 << (k - 1))] for i in range(k)]
+    share = lambda lang, b: (counts[lang][b] + 0.5) / (sum(counts[lang].values()) + 0.5 * size)
+
+    def odds(b, bit):
+        sides = [[share(lang, b) for lang, c in zip(labels, code) if c[bit] == side] for side in (1, -1)]
+        return math.log(sum(sides[0]) / len(sides[0])) - math.log(sum(sides[1]) / len(sides[1]))
+
+    bits = range(len(code[0]))
+    rest = {lang: 0.5 / (sum(counts[lang].values()) + 0.5 * size) for lang in labels}     # buckets that a label never had
+    seen = set().union(*(counts[lang] for lang in labels))
+    table = {b: [odds(b, bit) for bit in bits] for b in seen}
+    never = [odds(-1, bit) for bit in bits]
+    margin = [sum(code[i][bit] * (sum(share(lang, b) * table[b][bit] for b in seen) + (size - len(seen)) * rest[lang] * never[bit])
+                  for i, lang in enumerate(labels)) / k for bit in bits]
+    weight = [max(m, 0.05 * max(margin)) for m in margin] if margin and max(margin) > 0 else [1.0] * len(margin)
+    weight = [w / max(sum(weight), 1e-9) for w in weight]
+    out = []
+    for text in texts:
+        if not text or not any(map(str.isalpha, text)):
+            out.append(("und", 0.0, False))
+            continue
+        found = grams(text)
+        mean = [sum(table.get(b, never)[bit] for b in found) / len(found) if found else 0.0 for bit in bits]
+        loss = [sum(w * np.logaddexp(0, -12.0 * m * c) for w, m, c in zip(weight, mean, row)) for row in code]
+        chance = [math.exp(-12.0 * (x - min(loss))) for x in loss]
+        chance = [c / sum(chance) for c in chance]
+        top = sorted(chance)
+        out.append((labels[chance.index(max(chance))], max(chance), k > 1 and top[-1] - top[-2] < 0.02))
+    return out
+

@@ -143,6 +143,28 @@ def test_language_on_held_out_documents(spark, tables):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+@pytest.mark.parametrize("labels", [["en"], ["en", "de"], ["en", "de", "fr", "es"]])
+def test_language_against_a_plain_version(docs, tables, labels):
+    rows = [{"doc_id": r["doc_id"], "text": r["text"][:600], "lang": r["lang"] if r["lang"] in labels else None} for r in tables("documents")] + [
+        {**r, "lang": None} for r in ODD]
+    got = language.predict(docs(rows), language.learn(docs(rows)), {"doc_id": "long", "text": "string"}).collect()
+    exp = brute.language([(r["text"], r["lang"]) for r in rows], [r["text"] for r in rows])
+    key = lambda doc, text: (str(doc), str(text))
+    got = {key(r.doc_id, r.text): (r.lang_pred, r.score, r.ambiguous) for r in got}
+    for row, (lang, score, close) in zip(rows, exp):
+        mine = got[key(row["doc_id"], row["text"])]
+        assert abs(mine[1] - score) < 1e-3, row
+        if abs(score - 0.5) > 0.01:
+            assert mine[0] == lang
+        assert mine[2] == close or abs(2 * score - 1 - 0.02) < 2e-3 or len(labels) > 2
+
+
+def test_ties_between_codewords_go_to_the_first_label(docs):
+    rows = [{"doc_id": 1, "text": "abc abc", "lang": "xx"}, {"doc_id": 2, "text": "abc abc", "lang": "aa"}]
+    got = language.predict(docs(rows), language.learn(docs(rows)), {"doc_id": "long"}).collect()
+    assert {(r.lang_pred, r.score, r.ambiguous) for r in got} == {("aa", 0.5, True)}
+
+
 def test_language_on_odd_rows(spark, docs):
     frame = docs(ODD)
     rows = language.predict(frame, language.learn(frame), {"doc_id": "long", "text": "string"}).collect()
