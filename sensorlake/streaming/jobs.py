@@ -35,6 +35,7 @@ from sensorlake.sinks import audit, parquet, relational
 from sensorlake.streaming.frontiers import PartitionClock
 from sensorlake.streaming.pairing import stream_first_close_pairs
 from sensorlake.streaming.pairing_tables import start_table_state_pairing
+from sensorlake.streaming.pairing_timers import timed_first_close_pairs
 from sensorlake.streaming.runner import start_to_parquet
 
 
@@ -164,8 +165,9 @@ def start_window_events(spark: SparkSession, records: DataFrame, tables: str, ch
     """Window-event job: raw fan-out, hourly and daily counts, open/close durations; state in RocksDB.
 
     ``pairing="tables"`` (default) pairs in skew-proof micro-batch jobs with
-    table-backed state (``streaming.pairing_tables``); ``"state_store"`` uses
-    ``applyInPandasWithState`` (lower latency, one task per object). ``clock`` waits for slow
+    table-backed state (``streaming.pairing_tables``); ``"timers"`` keeps state in parts in the
+    state store (``streaming.pairing_timers``; lower latency, one task per object) and ``"state_store"``
+    one value an object (``applyInPandasWithState``). ``clock`` waits for slow
     bus partitions (``streaming.frontiers``); by default one maximum over all of them is the clock.
     """
     use_rocksdb_state(spark)
@@ -189,7 +191,7 @@ def start_window_events(spark: SparkSession, records: DataFrame, tables: str, ch
             f"{checkpoints}/window_durations", delay_seconds=_seconds(pairing_delay), trigger=t.raw,
             also=(lambda pairs: database.append(pairs, "window_durations")) if database else None, clock=clock))
         return queries
-    pairs = stream_first_close_pairs(valid, pairing_delay)
+    pairs = (timed_first_close_pairs if pairing == "timers" else stream_first_close_pairs)(valid, pairing_delay)
     durations = detect_window_patterns(
         pairs.withColumn("duration_seconds", whole_second_duration(F.col("opened_at"), F.col("closed_at")))
              .withColumn("duration_minutes", F.col("duration_seconds") / 60)

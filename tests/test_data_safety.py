@@ -137,6 +137,20 @@ def test_two_readings_of_one_instant_both_arrive(spark):
     assert sorted(r.offset if r.offset is not None else -1 for r in relational.new_rows(batch, there.limit(0), keys).collect()) == [-1, 0, 1]
 
 
+@pytest.mark.parametrize("pairing", ["timers", "state_store"])
+def test_the_window_job_pairs_in_the_state_store(spark, pairing):
+    root = scratch_path(spark, f"job-{pairing}").replace("file:", "")
+    events = [window_record(0, 1, "opened", 0), window_record(1, 1, "closed", 10), window_record(2, 2, "opened", 1), window_record(3, 2, "closed", 20),
+              window_record(4, 1, "opened", 55)]
+    spark.createDataFrame(events, RECORD).coalesce(1).write.parquet(f"{root}/w")
+    qs = jobs.start_window_events(spark, bus.record_file_stream(spark, f"{root}/w"), f"{root}/t", f"{root}/c", jobs.Triggers.available_now(), "1 minute", pairing)
+    for q in qs:
+        q.awaitTermination()
+        assert q.exception() is None
+    got = spark.read.parquet(f"{root}/t/window_durations").collect()
+    assert sorted((r.object_code, r.duration_minutes, r.usage_pattern) for r in got) == [(1, 10.0, "SHORT_OPENING"), (2, 19.0, "SHORT_OPENING")]
+
+
 def test_every_stored_table_has_its_relational_copy(spark, monkeypatch):
     root, store = scratch_path(spark, "copies").replace("file:", ""), Store(spark)
     monkeypatch.setattr(relational, "append_new", store)

@@ -19,6 +19,7 @@ from sensorlake.streaming import merge_table
 from sensorlake.streaming.frontiers import FRONTIER_SCHEMA, PartitionClock, advance
 from sensorlake.streaming.identity import IdentityTable
 from sensorlake.streaming.kept import LatestTable, RunningSample
+from sensorlake.streaming.pairing import stream_first_close_pairs
 from sensorlake.streaming.pairing_tables import finish_pairing, start_table_state_pairing
 from sensorlake.streaming.pairing_timers import timed_first_close_pairs
 from sensorlake.streaming.runner import start_to_parquet, with_rocksdb_state
@@ -297,6 +298,22 @@ def test_timers_ignore_arrival_order_and_write_what_is_new(spark):
     assert same(spark.read.parquet(f"{root}/out").select(*columns).filter(F.col("closed_at") < cut), expect)
 
 
+def test_state_written_follows_new_events_not_the_state(spark):
+    """One object with 5,000 events waiting, then one event a batch."""
+    schema = "object_code int, object_name string, event_type string, event_timestamp timestamp"
+    rows = lambda a, b: spark.createDataFrame([(1, "w", "opened", D + dt.timedelta(seconds=i)) for i in range(a, b)], schema)
+    root, written = scratch_path(spark, "state-bytes").replace("file:", ""), {}
+    one_file_each(spark, f"{root}/in", [rows(0, 5000), rows(5000, 5001), rows(5001, 5002)])
+    for name, pairs in (("timers", timed_first_close_pairs), ("arrays", stream_first_close_pairs)):
+        src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in/*")
+        with with_rocksdb_state(spark):
+            q = start_to_parquet(pairs(src, "2 hours"), f"{root}/{name}", f"{root}/{name}_ckpt")
+            q.awaitTermination()
+        last = [p for p in q.recentProgress if p["numInputRows"] == 1][-1]
+        written[name] = last["stateOperators"][0]["customMetrics"]["rocksdbTotalBytesWritten"]
+    assert 0 < written["timers"] < 5000 < 50_000 < written["arrays"]
+
+
 def test_a_closing_at_the_instant_of_an_opening_does_not_answer_it(spark):
     root = scratch_path(spark, "ties").replace("file:", "")
     rows = [(1, "w", "opened", ts("2024-01-01 00:00:00"), 1), (1, "w", "closed", ts("2024-01-01 00:00:00"), 2),
