@@ -28,17 +28,25 @@ from sensorlake.functions import codec
 from sensorlake.functions.classify import detect_anomalies, detect_window_patterns
 from sensorlake.functions.timefmt import whole_second_duration
 from sensorlake.operators import aggregates as agg
-from sensorlake.operators import quality, reconcile
-from sensorlake.schemas import TABLES
+from sensorlake.operators import offsets, quality, reconcile
+from sensorlake.schemas import BUS_POSITION, TABLES
 from sensorlake.session import path_exists, use_rocksdb_state
 from sensorlake.sinks import audit, parquet, relational
+from sensorlake.streaming import merge_table
 from sensorlake.streaming.frontiers import PartitionClock
+from sensorlake.streaming.identity import IdentityTable
 from sensorlake.streaming.pairing import stream_first_close_pairs
 from sensorlake.streaming.pairing_tables import start_table_state_pairing
 from sensorlake.streaming.pairing_timers import timed_first_close_pairs
 from sensorlake.streaming.runner import start_to_parquet
 
 
+#: What makes a message the same when it is sent again: all it says but the producer's time.
+READING_IDENTITY = ("device_id", "event_timestamp", "temperature_celsius", "temperature_fahrenheit")
+EVENT_IDENTITY = ("object_code", "object_name", "event_type", "event_timestamp")
+COMPACT_EVERY = 100         # batches between compactions of amended aggregates
+
+
 @dataclass
 class Triggers:
     # Trigger intervals of the original jobs.
@@ -65,11 +73,14 @@ class Database:
 
 
 def _fan_out(tables: str, valid_name: str, time_col: str, label, fill, alerts: bool, key_col: str,
-             database: Database | None = None):
+             database: Database | None = None, known: IdentityTable | None = None):
     def write(batch: DataFrame, batch_id: int) -> None:
-        labelled = label(batch).persist()
+        labelled, fresh = label(batch).persist(), None
         try:
             valid, bad = quality.split(labelled)
+            if known:
+                valid = fresh = known.new_rows(valid, batch_id).persist()
+                fresh.count()
             if alerts:
                 valid = detect_anomalies(valid)
             valid = fill(valid)
@@ -95,8 +106,12 @@ def _fan_out(tables: str, valid_name: str, time_col: str, label, fill, alerts: b
             audit_df = audit.audit_frame(batch.sparkSession, records)
             audit_df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
                 .partitionBy("batch_id").parquet(f"{tables}/audit_{valid_name}")
+            if known:       # last: a batch that fails before is run again with the same rows new
+                known.remember(fresh, batch_id)
         finally:
             labelled.unpersist()
+            if fresh is not None:
+                fresh.unpersist()
     return write
 
 
@@ -109,6 +124,14 @@ def reconcile_tables(spark: SparkSession, tables: str, valid_name: str) -> DataF
     return reconcile.compare(expected, reduce(DataFrame.unionByName, stored, none))
 
 
+def offset_audit(spark: SparkSession, tables: str, valid_name: str) -> DataFrame:
+    """Which bus offsets never got to a table, and which came again (see ``operators.offsets``): every record of a
+    topic is in the table or in its quarantine, unless replays are dropped."""
+    stored = [parquet.read_archive(spark, f"{tables}/{n}").select(*BUS_POSITION)
+              for n in (valid_name, f"quarantine_{valid_name}") if path_exists(spark, f"{tables}/{n}")]
+    return offsets.offset_report(reduce(DataFrame.unionByName, stored))
+
+
 def _batch_metrics(labelled: DataFrame, table: str, batch_id: int) -> DataFrame:
     """Rows stored and quarantined by one batch as metric rows, timed by the batch's newest record: a batch
     that is run again gives the same rows. An empty batch gives none."""
@@ -122,6 +145,14 @@ def _batch_metrics(labelled: DataFrame, table: str, batch_id: int) -> DataFrame:
                     F.lit(json.dumps({"batch_id": int(batch_id), "table": table}, separators=(",", ":"))).alias("tags"), "timestamp"))
 
 
+def _start_amended(rows: DataFrame, name: str, spec: agg.Tumbling, tables: str, checkpoints: str, trigger: dict) -> StreamingQuery:
+    """The same aggregate, amended by late rows, as parts under ``<tables>/<name>_parts`` (see ``merge_table``)."""
+    readings = "device_id" in rows.columns
+    table = (merge_table.temperature_table if readings else merge_table.event_table)(f"{tables}/{name}_parts")
+    parts = merge_table.temperature_parts if readings else merge_table.event_parts
+    return merge_table.start_amended(rows, table, lambda batch: parts(batch, spec), f"{checkpoints}/{name}_parts", trigger, COMPACT_EVERY)
+
+
 def _start_aggregate(aggregate: DataFrame, name: str, tables: str, checkpoints: str, trigger: dict,
                      database: Database | None) -> list[StreamingQuery]:
     """The aggregate's table, by date of the window, and its relational copy (a query of its own)."""
@@ -139,15 +170,21 @@ def _start_database(rows: DataFrame, name: str, checkpoints: str, trigger: dict,
 
 
 def start_readings(spark: SparkSession, records: DataFrame, tables: str, checkpoints: str,
-                   triggers: Triggers | None = None, database: Database | None = None) -> list[StreamingQuery]:
-    """Temperature job: raw fan-out + 1-minute and 5-minute aggregates; state in RocksDB."""
+                   triggers: Triggers | None = None, database: Database | None = None, amend_late: bool = False,
+                   drop_replays: bool = False) -> list[StreamingQuery]:
+    """Temperature job: raw fan-out + 1-minute and 5-minute aggregates; state in RocksDB.
+
+    ``amend_late``: the aggregates are also kept as parts that late rows amend. ``drop_replays``: readings that
+    were sent again, however long ago, are stored once (``streaming.identity``, under the checkpoints).
+    """
     use_rocksdb_state(spark)
     t = triggers or Triggers()
     decoded = codec.decode_readings(records)
     raw = (decoded.writeStream.queryName("readings_raw")
            .foreachBatch(_fan_out(tables, "temperature_readings", "event_timestamp",
                                   quality.label_readings, quality.fill_reading_defaults, alerts=True,
-                                  key_col="device_id", database=database))
+                                  key_col="device_id", database=database,
+                                  known=IdentityTable(f"{checkpoints}/readings_known", READING_IDENTITY) if drop_replays else None))
            .option("checkpointLocation", f"{checkpoints}/readings_raw")
            .trigger(**t.raw).start())
     valid = detect_anomalies(quality.split(quality.label_readings(decoded))[0])
@@ -155,13 +192,16 @@ def start_readings(spark: SparkSession, records: DataFrame, tables: str, checkpo
     for spec, trig in ((agg.READINGS_1MIN, t.agg_fast), (agg.READINGS_5MIN, t.agg_slow)):
         name = f"temperature_aggregations_{spec.label.split('_')[0]}min"
         queries += _start_aggregate(agg.temperature_window_agg(valid, spec), name, tables, checkpoints, trig, database)
+        if amend_late:
+            queries.append(_start_amended(valid, name, spec, tables, checkpoints, trig))
     return queries
 
 
 def start_window_events(spark: SparkSession, records: DataFrame, tables: str, checkpoints: str,
                         triggers: Triggers | None = None, pairing_delay: str = "1 hour",
                         pairing: str = "tables", database: Database | None = None,
-                        clock: PartitionClock | None = None) -> list[StreamingQuery]:
+                        clock: PartitionClock | None = None, amend_late: bool = False,
+                        drop_replays: bool = False) -> list[StreamingQuery]:
     """Window-event job: raw fan-out, hourly and daily counts, open/close durations; state in RocksDB.
 
     ``pairing="tables"`` (default) pairs in skew-proof micro-batch jobs with
@@ -169,6 +209,7 @@ def start_window_events(spark: SparkSession, records: DataFrame, tables: str, ch
     state store (``streaming.pairing_timers``; lower latency, one task per object) and ``"state_store"``
     one value an object (``applyInPandasWithState``). ``clock`` waits for slow
     bus partitions (``streaming.frontiers``); by default one maximum over all of them is the clock.
+    ``amend_late`` and ``drop_replays`` as in :func:`start_readings`.
     """
     use_rocksdb_state(spark)
     t = triggers or Triggers(raw={"processingTime": "15 seconds"},
@@ -177,7 +218,8 @@ def start_window_events(spark: SparkSession, records: DataFrame, tables: str, ch
     raw = (decoded.writeStream.queryName("window_events_raw")
            .foreachBatch(_fan_out(tables, "window_events", "event_timestamp",
                                   quality.label_window_events, quality.fill_window_defaults, alerts=False,
-                                  key_col="object_code", database=database))
+                                  key_col="object_code", database=database,
+                                  known=IdentityTable(f"{checkpoints}/window_events_known", EVENT_IDENTITY) if drop_replays else None))
            .option("checkpointLocation", f"{checkpoints}/window_events_raw")
            .trigger(**t.raw).start())
     valid = quality.split(quality.label_window_events(decoded))[0]
@@ -185,6 +227,8 @@ def start_window_events(spark: SparkSession, records: DataFrame, tables: str, ch
     for spec, trig in ((agg.EVENTS_HOURLY, t.agg_fast), (agg.EVENTS_DAILY, t.agg_slow)):
         name = f"window_aggregations_{spec.label}"
         queries += _start_aggregate(agg.window_event_agg(valid, spec), name, tables, checkpoints, trig, database)
+        if amend_late:
+            queries.append(_start_amended(valid, name, spec, tables, checkpoints, trig))
     if pairing == "tables":
         queries.append(start_table_state_pairing(
             valid, f"{tables}/window_durations", f"{checkpoints}/window_durations_state",
