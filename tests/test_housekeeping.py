@@ -79,4 +79,6 @@ print(len(e.queries()), sorted(q for q in e.queries() if q[:2] == "op" and q[2].
 """
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120)
     from sensorlake.plans.catalog import QUERIES
-    assert out.stdout.split(" ", 1) == [str(len(QUERIES)), "[]\n"] and "left out" in out.stderr
+    assert out.stdout.split(" ", 1) == [str(len(QUERIES)), "[]\n"]
+    if os.path.isdir(f"{ROOT}/sensorlake/llm"):         # the subpackage may be absent itself, which is no matter for a warning
+        assert "left out" in out.stderr
