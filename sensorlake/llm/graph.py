@@ -52,7 +52,7 @@ def components(links: DataFrame) -> DataFrame:
         if state == seen or not state[0]:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         seen = state
-        least = edges.groupBy(F.col("a").alias("_b")).agg(F.min("b").alias("_least"))
+        least = pinned(edges.groupBy(F.col("a").alias("_b")).agg(F.min("b").alias("_least")))      # so a hub's side can be split
         large = edges.join(least, F.col("b") == F.col("_b"), "left").select("a", F.coalesce("_least", "b").alias("b"))
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
         edges = pinned(large.join(lowest, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))

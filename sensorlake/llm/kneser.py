@@ -140,9 +140,12 @@ class Tokens:
             pairs = context << 32 | word.place
             if k < order:               # start marks alone are a context of the order above
                 pairs = np.append(pairs, low.start << 32 | word.start)
-            pair, index, place = np.unique(pairs, return_index=True, return_inverse=True)
+            pair, place = np.unique(pairs, return_inverse=True)
             before, end = pair >> 32, pair & 0xFFFFFFFF
-            after = np.append(low.place, low.start)[index]          # the same n-gram without its first word
+            after = end                             # the same n-gram without its first word
+            if k > 2:
+                after = np.empty(len(pair), np.int64)
+                after[place] = np.append(low.place, low.start)[:len(place)]
             self.grams[k] = Grams(mixed(low.hashes[before] * SPREAD + word.hashes[end]), place[:len(context)], before, after,
                                   int(place[-1]) if k < order else -1)
 
