@@ -5,7 +5,8 @@ from tests.conftest import SF_SMALL
 
 CHEAP = ["readings_classified", "temp_agg_1min", "window_agg_daily", "latest_reading_per_device",
          "temperature_stats_24h", "window_activity_7d", "window_cycles_first_close", "window_pair_counts",
-         "quality_quarantine", "retention_metric", "retention_run", "replay_sample"]
+         "quality_quarantine", "retention_metric", "retention_run", "replay_sample", "csv_load_counts", "temp_agg_1min_amended",
+         "window_agg_hourly_amended", "bus_offset_summary", "window_cycles_stream_timers"]
 
 
 def test_entry_runs(spark):

@@ -43,7 +43,9 @@ VARIANTS = {
     "four files": (lambda e: e, 4),
 }
 QUERIES = ["archive_roundtrip", "replay_sample", "replay_dedup", "readings_classified", "retention_kept", "retention_metric",
-           "retention_run", "anomaly_count_last_hour", "events_by_hour_type_24h", "window_cycles_first_close"]
+           "retention_run", "anomaly_count_last_hour", "events_by_hour_type_24h", "window_cycles_first_close",
+           "wire_messages", "window_cycles_uneven_partitions", "bus_offset_gaps", "temperature_stats_24h_rollup", "replay_beyond_watermark",
+           "latest_reading_kept", "replay_sample_stream", "fan_out_reconciliation", "access_paths"]
 
 
 def normal(frame):
