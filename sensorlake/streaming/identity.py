@@ -58,7 +58,8 @@ class IdentityTable:
 
     def _before(self, spark: SparkSession, part: str, days: list[str], batch_id: int) -> DataFrame | None:
         """What earlier batches stored for ``days``."""
-        there = [d for d in days if f"day={d}" in child_folders(spark, f"{self.path}/{part}")]
+        stored = set(child_folders(spark, f"{self.path}/{part}"))
+        there = [d for d in days if f"day={d}" in stored]
         if not there:
             return None
         stored = spark.read.option("basePath", f"{self.path}/{part}").parquet(*[f"{self.path}/{part}/day={d}" for d in there])
@@ -77,11 +78,8 @@ class IdentityTable:
         known = F.lit(True)
         for k in range(_PROBES):
             known = known & _bit(F.col("_bitmap"), F.col("_bits")[k])
-        probed = probed.withColumn("_maybe", F.coalesce(known, F.lit(False))).persist()
-        try:
-            hit_days = [r[0] for r in probed.filter("_maybe").select("day").distinct().collect()]
-        finally:
-            probed.unpersist()
+        probed = probed.withColumn("_maybe", F.coalesce(known, F.lit(False)))
+        hit_days = [r[0] for r in probed.filter("_maybe").select("day").distinct().collect()]
         fresh = probed.filter(~F.col("_maybe")).select(*names)
         ids = self._before(spark, "ids", hit_days, batch_id)
         if ids is None:
