@@ -324,6 +324,28 @@ def test_edited_copies_of_benchmark_items(spark, docs, tables):
     assert all(abs(got[k] - hit[k]) < 1e-9 for k in got)
 
 
+def test_long_documents_against_alignment(spark, tables, docs):
+    """Whole texts of 20,000 words: passages at the start, in the middle, at the very end, edited ones, and none."""
+    draw = random.Random(8)
+    items = tables("benchmark")[:6]
+    vocabulary = sorted({w for r in tables("documents")[:40] for w in r["text"].split()})
+    rows, hit = [], {}
+    for i, at in enumerate([0, 9_000, 19_950, None, 12_000]):
+        words = [draw.choice(vocabulary) for _ in range(20_000)]
+        item = items[i % len(items)]["text"].split()
+        if at is not None:
+            copy = [w if i < 4 or draw.random() > 0.1 else "changed" for w in item]
+            words[at:at + len(copy)] = copy
+        rows.append({"doc_id": i, "text": " ".join(words)})
+        for it in items:
+            hit[i, it["item_id"]] = brute.alignment(rows[-1]["text"], it["text"])
+    bench = spark.createDataFrame([(i["item_id"], i["text"], 1, 2, 3, "x") for i in items],
+                                  "item_id long, text string, doc_id int, th int, seeds int, n_left string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontam.contaminated(docs(rows), bench).collect()}
+    assert {k for k, v in hit.items() if v >= 0.8 - 1e-9} == set(got) and len(got) >= 4
+    assert all(abs(got[k] - hit[k]) < 1e-9 for k in got)
+
+
 def test_copies_of_repetitive_items(spark, docs):
     line = "row row row your boat gently down the stream merrily".split()
     items = {1: line * 10, 2: "yes no no yes no".split() * 12, 3: [str(i * i % 10) for i in range(200)],
