@@ -260,8 +260,9 @@ def labelled(stats: DataFrame, labels: DataFrame) -> DataFrame:
 
 def grow(known: DataFrame) -> Forest | None:
     """The forest of a bounded sample of the labelled documents: the ``POOL_ROWS`` least by a hash of the id."""
-    pool = known.filter("_half = 0").select(*STATISTICS, F.xxhash64("doc_id", F.lit(1)).alias("_h"))
-    rows = pool.orderBy("_h", *STATISTICS).limit(POOL_ROWS).collect()
+    sample = known.filter("_half = 0").select(*STATISTICS, F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 31)).alias("_h"))
+    share = min(1.0, 2 * POOL_ROWS / max(sample.count(), 1))      # so tasks return few rows, whatever their number
+    rows = sample.filter(F.col("_h") < int(share * (1 << 31))).orderBy("_h", *STATISTICS).limit(POOL_ROWS).collect()
     return Forest(features({s: np.array([r[s] for r in rows]) for s in STATISTICS})) if rows else None
 
 
