@@ -81,7 +81,7 @@ class MergeTable:
             if bases:       # one row a date
                 done = spark.createDataFrame([(_dt.date.fromisoformat(day.partition("=")[2]), b[-1]) for day, b in bases.items()],
                                              "event_date date, _upto long")
-                deltas = deltas.join(done, "event_date", "left").filter("_upto is null or batch_id > _upto")
+                deltas = deltas.join(F.broadcast(done), "event_date", "left").filter("_upto is null or batch_id > _upto")
             parts = parts.unionByName(deltas.select(*columns))
         return parts
 
