@@ -491,7 +491,7 @@ def window_cycles_stream_tables(spark, sf_dir):
 # --------------------------------------------------------------------------- tables kept batch by batch
 
 BATCHES = 4                 # micro-batches that the fixtures are dealt into
-THREE_HOURS = 3 * 3_600_000_000     # of bus time in a batch of the uneven partitions
+FOUR_HOURS = 4 * 3_600_000_000     # of bus time in a batch of the uneven partitions
 
 
 def _dealt(spark, df: DataFrame, number, name: str) -> list[DataFrame]:
@@ -513,12 +513,12 @@ def window_cycles_uneven_partitions(spark, sf_dir):
     w = _window_events(spark, sf_dir, compress=True)
     behind = F.when(F.col("event_type") == "opened", F.lit(2 * 3_600_000_000)).otherwise(F.lit(0))
     arrival = F.floor((F.coalesce(F.unix_micros("event_timestamp"), F.lit(fx.BASE_MICROS)) - fx.BASE_MICROS + behind)
-                      / F.lit(THREE_HOURS)).cast("int")
+                      / F.lit(FOUR_HOURS)).cast("int")
     ev = (w.withColumn("topic", F.lit("iot-window-events")).withColumn("partition", (F.col("event_type") == "closed").cast("int"))
-          .withColumn("kafka_timestamp", F.timestamp_micros(F.lit(fx.BASE_MICROS) + (arrival + 1) * F.lit(THREE_HOURS))))
-    bus_batch = F.floor((F.unix_micros("kafka_timestamp") - fx.BASE_MICROS) / F.lit(THREE_HOURS)).cast("int")
+          .withColumn("kafka_timestamp", F.timestamp_micros(F.lit(fx.BASE_MICROS) + (arrival + 1) * F.lit(FOUR_HOURS))))
+    bus_batch = F.floor((F.unix_micros("kafka_timestamp") - fx.BASE_MICROS) / F.lit(FOUR_HOURS)).cast("int")
     root = scratch_path(spark, "uneven")
-    clock = PartitionClock(idle_seconds=4 * 3600, partitions=2)
+    clock = PartitionClock(idle_seconds=5 * 3600, partitions=2)
     write = pair_writer(f"{root}/pairs", f"{root}/state", PAIRING_DELAY_SECONDS, clock)
     for i, batch in enumerate(_dealt(spark, ev, bus_batch, "uneven")):
         write(batch, i)

@@ -16,6 +16,7 @@ table has thousands of files at most a date, so the index fits the driver.
 
 from __future__ import annotations
 
+import math
 import os
 from collections.abc import Sequence
 
@@ -60,25 +61,32 @@ def _quantiles(df: DataFrame, numbers: dict[str, Column]) -> dict[str, list[floa
     return {c: sorted(set(row[c] or [])) for c in numbers}
 
 
-def _rank(value: Column, bounds: list[float]) -> Column:
-    """How many bounds lie below the value, spread over the bits; NULL is least."""
+def _rank(number: str, bounds: list[float]) -> Column:
+    """How many bounds lie below the value, spread over the bits, by bisection; NULL is least."""
+    def below(lo: int, hi: int) -> str:
+        if lo == hi:
+            return str(lo)
+        mid = (lo + hi) // 2
+        return f"CASE WHEN {number} > {bounds[mid]!r}D THEN {below(mid + 1, hi)} ELSE {below(lo, mid)} END"
+
+    bounds = [b for b in bounds if math.isfinite(b)]
     if not bounds:
         return F.lit(0)
-    below = F.coalesce(F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < value)), F.lit(0))
-    return F.least(below * ((1 << RANK_BITS) // len(bounds)), F.lit((1 << RANK_BITS) - 1))
+    return F.least(F.expr(below(0, len(bounds))) * ((1 << RANK_BITS) // len(bounds)), F.lit((1 << RANK_BITS) - 1))
 
 
-def interleaved(df: DataFrame, columns: Sequence[str]) -> Column:
-    """The bits of the columns' ranks in turn, the leading ones first."""
+def interleaved(df: DataFrame, columns: Sequence[str], out: str = "_z") -> DataFrame:
+    """``df`` with ``out``: the bits of the columns' ranks in turn, the leading ones first."""
     numbers = _numbers(df, columns)
     bounds = _quantiles(df, numbers)
-    ranks = [_rank(numbers[c], bounds[c]) for c in columns]
+    names = {c: f"_n{i}" for i, c in enumerate(columns)}
+    ranked = df.withColumns({names[c]: numbers[c] for c in columns}).withColumns({f"_r{i}": _rank(names[c], bounds[c]) for i, c in enumerate(columns)})
     z = F.lit(0).cast("long")
     for bit in range(RANK_BITS):
-        for k, rank in enumerate(ranks):
-            place = bit * len(ranks) + (len(ranks) - 1 - k)
-            z = z.bitwiseOR(F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1)).cast("long"), place))
-    return z
+        for k in range(len(columns)):
+            place = bit * len(columns) + (len(columns) - 1 - k)
+            z = z.bitwiseOR(F.shiftleft(F.shiftright(F.col(f"_r{k}"), bit).bitwiseAND(F.lit(1)).cast("long"), place))
+    return ranked.withColumn(out, z).select(*[df[f"`{c}`"] for c in df.columns], out)
 
 
 def write_interleaved(df: DataFrame, path: str, columns: Sequence[str], at_least: int = 1) -> None:
@@ -87,8 +95,7 @@ def write_interleaved(df: DataFrame, path: str, columns: Sequence[str], at_least
         raise ValueError(f"{len(columns)} columns of {RANK_BITS} bits don't fit a long")
     spark = df.sparkSession
     n = max(at_least, partitions_for_size(spark, estimated_bytes(df)))
-    ranked = df.withColumn("_z", interleaved(df, columns))
-    ranked.repartitionByRange(n, "_z").sortWithinPartitions("_z").drop("_z").write.parquet(path)
+    interleaved(df, columns).repartitionByRange(n, "_z").sortWithinPartitions("_z").drop("_z").write.parquet(path)
     stored = spark.read.schema(df.schema).parquet(path)
     held = [f(c).alias(f"{n}_{c}") for c in columns for n, f in (("low", F.min), ("high", F.max))]
     missing = [F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in columns]
