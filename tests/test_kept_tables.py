@@ -314,6 +314,43 @@ def test_state_written_follows_new_events_not_the_state(spark):
     assert 0 < written["timers"] < 5000 < 50_000 < written["arrays"]
 
 
+def test_calls_of_the_state_store_follow_parts_not_events(spark):
+    """6,000 events of 1,000 objects, each in a time slice of its own: neighbours share a part and a timer."""
+    schema = "object_code int, object_name string, event_type string, event_timestamp timestamp"
+    root = scratch_path(spark, "state-calls").replace("file:", "")
+    events = spark.range(6000).select((F.col("id") % 1000).cast("int").alias("object_code"), F.lit("w").alias("object_name"),
+                                      F.when(F.floor(F.col("id") / 1000) % 2 == 0, "opened").otherwise("closed").alias("event_type"),
+                                      F.timestamp_seconds(F.lit(1704067200) + 60 * F.col("id")).alias("event_timestamp"))
+    late = spark.createDataFrame([(9, "w", "opened", D + dt.timedelta(days=60)), (9, "w", "closed", D)], schema)
+    one_file_each(spark, f"{root}/in", [events, late])
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in/*")
+    with with_rocksdb_state(spark):
+        q = start_to_parquet(timed_first_close_pairs(src, "10 minutes"), f"{root}/out", f"{root}/ckpt")
+        q.awaitTermination()
+    steps = [p["stateOperators"][0]["customMetrics"] for p in q.recentProgress if p["stateOperators"]]
+    assert spark.read.parquet(f"{root}/out").count() == 3000
+    assert 0 < sum(p["numRegisteredTimers"] for p in steps) < 1500 and sum(p["rocksdbPutCount"] for p in steps) < 10_000
+
+
+def test_openings_wait_in_parts_until_a_closing(spark):
+    """Openings of two objects over many batches fill parts; the first closing answers all of one object's, late or not in order."""
+    schema = "object_code int, object_name string, event_type string, event_timestamp timestamp"
+    root = scratch_path(spark, "waiting").replace("file:", "")
+    at = lambda i: D + dt.timedelta(minutes=i)
+    batches = [[(1 + k % 2, f"n{i}.{k}" if k % 5 else None, "opened", at(10 * i + k % 7)) for k in range(50)] for i in range(5)]
+    batches += [[(1, "w", "closed", at(100))], [(2, "w", "opened", at(200))], [(1, "w", "closed", at(201)), (2, "w", "closed", at(200))],
+                [(3, "w", "opened", at(500))]]
+    one_file_each(spark, f"{root}/in", [spark.createDataFrame(b, schema) for b in batches])
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in/*")
+    with with_rocksdb_state(spark):
+        q = start_to_parquet(timed_first_close_pairs(src, "1 minute", buckets=1), f"{root}/out", f"{root}/ckpt")
+        q.awaitTermination()
+    assert q.exception() is None
+    opened = [r for b in batches[:5] for r in b]
+    expect = sorted([(1, n or "", str(u), str(at(100))) for c, n, _, u in opened if c == 1] + [(2, n or "", str(u), str(at(200))) for c, n, _, u in opened if c == 2])
+    assert sorted((r.object_code, r.object_name or "", str(r.opened_at), str(r.closed_at)) for r in spark.read.parquet(f"{root}/out").collect()) == expect
+
+
 def test_a_closing_at_the_instant_of_an_opening_does_not_answer_it(spark):
     root = scratch_path(spark, "ties").replace("file:", "")
     rows = [(1, "w", "opened", ts("2024-01-01 00:00:00"), 1), (1, "w", "closed", ts("2024-01-01 00:00:00"), 2),
