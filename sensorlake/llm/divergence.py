@@ -53,6 +53,7 @@ BROADCAST_ROWS = 1 << 18    # kept prefixes (of 8 bytes and a language) that are
 PER_MILLIARD = 1_000_000_000
 FILTER_BITS = 26            # of the broadcast table of kept prefixes: 8 MB
 _HELD_ROWS = 1 << 19        # counts that a task holds before it puts some out
+_HASH_ROWS = 1 << 15        # rows that are hashed at once
 _PAIRS = 1 << 20            # pairs of sources that a task compares at once
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -131,6 +132,11 @@ def _unpack(block: bytes) -> tuple[pa.Table, list[tuple[str, str]]]:
     return t, [tuple(g) for g in json.loads(t.schema.metadata[b"groups"])]
 
 
+def _give_back() -> None:
+    """What Arrow has freed goes back to the system: a worker serves task after task, and all cores' workers count."""
+    pa.default_memory_pool().release_unused()
+
+
 def _counts(levels: tuple[int, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups: dict[tuple, int] = {}
@@ -161,8 +167,11 @@ def _counts(levels: tuple[int, ...]):
                 if rows > _HELD_ROWS // 2:
                     yield from put(held[0])
                     held, rows = [], 0
+                _give_back()
         if held:
             yield from put(_merged(held))
+        held = []
+        _give_back()
     return run
 
 
@@ -172,11 +181,16 @@ _HASH = Hasher(12)
 
 
 def _hashes(items: pa.Array, group: np.ndarray, langs: list[str]) -> np.ndarray:
-    """64-bit hashes of (language, item); ``group`` is the row's index into ``langs``."""
-    texts = Texts(items.cast(pa.large_binary()))
+    """64-bit hashes of (language, item); ``group`` is the row's index into ``langs``. Some rows at a time: the hasher
+    takes dozens of bytes for a byte of its input."""
     own = Texts(pa.array(langs, pa.large_string()))
     of_lang = _HASH.runs(_HASH.sums(own.data), own.off[:-1], own.off[1:])
-    return mixed(_HASH.runs(_HASH.sums(texts.data), texts.off[:-1], texts.off[1:]) * SPREAD + of_lang[group])
+    out = np.empty(len(items), np.uint64)
+    for lo in range(0, len(items), _HASH_ROWS):
+        texts = Texts(items.slice(lo, _HASH_ROWS))
+        of_item = _HASH.runs(_HASH.sums(texts.data), texts.off[:-1], texts.off[1:])
+        out[lo:lo + _HASH_ROWS] = mixed(of_item * SPREAD + of_lang[group[lo:lo + _HASH_ROWS]])
+    return out
 
 
 def _bit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

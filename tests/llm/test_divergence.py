@@ -121,6 +121,21 @@ def test_the_bit_table_lets_every_kept_prefix_through(spark, monkeypatch):
     assert np.unpackbits(bits).sum() == len(set(at.tolist())) > 250
 
 
+def test_hashing_many_items_takes_little_memory(monkeypatch):
+    """A block's items are hashed some at a time: the same hashes, and a few bytes a row at the most."""
+    import tracemalloc
+
+    items, group = pa.array([b"term%d" % i for i in range(400_000)], pa.large_binary()), np.arange(400_000) % 2
+    monkeypatch.setattr(divergence, "_HASH", divergence.Hasher(12))
+    tracemalloc.start()
+    got = divergence._hashes(items, group, ["en", "de"])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30_000_000
+    lone = [divergence._hashes(items.slice(i, 1), group[i:i + 1], ["en", "de"])[0] for i in range(0, 400_000, 9_999)]
+    assert got[::9_999].tolist() == [int(h) for h in lone]
+
+
 def test_a_language_without_kept_terms_and_empty_tables(spark, docs):
     rows = [{"doc_id": i, "text": f"only{'abc'[i]}", "lang": "xx", "source": "abc"[i]} for i in range(3)]
     assert run(docs(rows)) == plain_audit(rows) and all(r[4] == 0 for r in plain_audit(rows))
