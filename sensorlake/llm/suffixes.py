@@ -1,10 +1,10 @@
 """Suffix-array dedup: bytes covered by a 50-byte string of an earlier document are removed.
 
-Which suffixes are sorted. Every 50-byte window of a text is assigned to the 16-byte gram in it
+Which suffixes are sorted. Every 50-byte window of a text is assigned to the 20-byte gram in it
 with the least hash. Equal windows have the same gram, so only windows of the same gram need
 comparing; neighbouring windows mostly share their gram, and a run of them (at most ``SPAN``) is
-one suffix: it starts where the run does and ends with the run's last window (84 bytes at most).
-So the array is sparse, about one suffix every 18 bytes, yet covers every window. The runs are found
+one suffix: it starts where the run does and ends with the run's last window (80 bytes at most).
+So the array is sparse, about one suffix every 16 bytes, yet covers every window. The runs are found
 once, when texts are packed, and kept with the block (two bytes a run, compressed).
 
 1. Blocks of texts send the sorted hashes of their grams to buckets of the hash space, which
@@ -14,10 +14,12 @@ once, when texts are packed, and kept with the block (two bytes a run, compresse
    bucket (the leading bytes of the order are the hash, so buckets are ranges of it), front-coded:
    common prefix with the one before, length, the bytes that are new. Equal suffixes of a block
    are one entry, with the smallest doc_id.
-3. A bucket merges its runs with a loser tree that carries common prefix lengths: two heads with
-   different lengths are ordered by them alone, those with equal lengths are compared from there
-   on, and a run's next head brings its length from the front coding. The merged order comes
-   with its common prefixes: at full length the suffix is the same, at 8 bytes or more the gram.
+3. A bucket merges its runs: hashes as numbers, and what shares a hash with loser trees that carry
+   common prefix lengths: two heads with different lengths are ordered by them alone, those with
+   equal lengths are compared from there on, and a run's next head brings its length from the
+   front coding. Trees of many hashes play their matches together. So a suffix is compared
+   with those of its gram, however many runs the bucket has. The merged order comes with its
+   common prefixes: at full length the suffix is the same, at 8 bytes or more the gram.
 4. Where a gram has one suffix only, its smallest doc_id holds for all its windows; where it has
    several, the windows of the distinct ones are hashed and each gets the smallest doc_id of its
    own. What is smaller than the block's own smallest goes back to the block, which removes the
@@ -36,6 +38,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,15 +50,23 @@ from sensorlake.llm.kernels import Hasher
 from sensorlake.llm.packed import (BLOCKS, Block, answered, blocks_of, by_bucket, ddl, decoded, decoded_sorted, encoded,
                                    encoded_sorted, over_blocks, over_buckets, pack_batches, slices)
 
-WINDOW, GRAM = 50, 16
+WINDOW, GRAM = 50, 20
 SPAN = WINDOW - GRAM + 1        # grams of a window, and windows of a suffix at most
 KEY = 8                         # bytes of the gram's hash before a suffix
 HOT = 4096
-_STEP = 1 << 20                 # windows that are hashed at once
+_STEP = 1 << 16                 # windows that are hashed at once: their arrays stay in the cache
+_TREES = 1 << 16                # heads of all trees that are merged together
+_STEP_COST = 4                  # of a step of them, for each level, in strings that are merged alone
 _PRINT = np.uint64((1 << 40) - 1)
 _NEVER = np.iinfo(np.int64).max
 
 
+@lru_cache
+def _hasher(seed: int) -> Hasher:
+    """One a worker: its powers are kept for the next block."""
+    return Hasher(seed)
+
+
 def window_runs(block: Block, hasher: Hasher) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of every run of windows with one gram: first window, number of windows, place of the gram in the first."""
     parts = []
@@ -97,7 +108,7 @@ WITH_RUNS = BLOCKS + ", n_runs int, gap binary, size binary, lead binary"
 
 
 def _pack_with_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hasher = Hasher(50)
+    hasher = _hasher(50)
     for block, batch, row in blocks_of(pack_batches(batches)):
         first, size, lead = window_runs(block, hasher)
         gap = first - np.concatenate([[0], (first + size)[:-1]]) if len(first) else first
@@ -111,7 +122,8 @@ class Suffixes:
     """The runs of a block's texts that have a doc_id, and its distinct grams in sending order."""
 
     def __init__(self, block: Block, n_buckets: int, batch: pa.RecordBatch, row: int):
-        self.block, self.hasher, self.n_buckets = block, Hasher(50), n_buckets
+        self.block, self.hasher, self.n_buckets = block, _hasher(50), n_buckets
+        self.padded = np.append(block.data, np.zeros(SPAN + WINDOW, np.uint8))
         known = block.ids.is_valid().to_numpy(zero_copy_only=False)
         self.ids = block.ids.fill_null(0).to_numpy()
         n = batch.column("n_runs")[row].as_py()
@@ -121,19 +133,19 @@ class Suffixes:
         text = np.searchsorted(block.off, first, side="right") - 1
         keep = known[text] if n else np.zeros(0, bool)
         self.text, self.first, self.size = text[keep], first[keep], size[keep]
-        self.gram = self._hashes(first[keep] + lead[keep])
+        self.gram = self._hashes(first[keep] + lead[keep], self.first, GRAM)
         self.sent, self.place, self.count = np.unique(self.order(self.gram), return_inverse=True, return_counts=True)
 
-    def _hashes(self, at: np.ndarray) -> np.ndarray:
-        """Hashes of the grams at some places, which rise but for a window's length."""
+    def _hashes(self, at: np.ndarray, rising: np.ndarray, width: int) -> np.ndarray:
+        """Hashes of the bytes at some places, which rise as ``rising`` does but for a window's length."""
         out, lo = np.zeros(len(at), np.uint64), 0
         while lo < len(at):
             begin = max(int(at[lo]) - SPAN, 0)
-            hi = int(np.searchsorted(self.first, at[lo] + _STEP))
+            hi = int(np.searchsorted(rising, at[lo] + _STEP))
             hi = min(max(hi, lo + 1), len(at))
             some = at[lo:hi]
-            sums = self.hasher.sums(self.block.data[begin:int(some.max()) + GRAM])
-            out[lo:hi] = self.hasher.runs(sums, some - begin, some - begin + GRAM)
+            sums = self.hasher.sums(self.block.data[begin:int(some.max()) + width])
+            out[lo:hi] = self.hasher.runs(sums, some - begin, some - begin + width)
             lo = hi
         return out
 
@@ -143,25 +155,63 @@ class Suffixes:
     def by_bucket(self, values: np.ndarray) -> Iterator[tuple[int, int, int]]:
         return slices((values >> np.uint64(40)).astype(np.int64))
 
-    def entries(self, codes: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct suffixes to be sorted, in sending order; of every occurrence its entry, text and first window."""
+    def entries(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct suffixes to be sorted, in sending order: key, place, bytes; of every occurrence its entry, text and first window."""
         code = codes[self.place] if len(codes) else np.zeros(0, np.uint8)
         plain, hot = np.flatnonzero(code == 1), np.flatnonzero(code == 2)
         text, first, size, gram = (x[plain] for x in (self.text, self.first, self.size, self.gram))
         if len(hot):
-            n = self.size[hot]
-            at = np.repeat(self.first[hot], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            sums = np.concatenate([self.hasher.runs(self.hasher.sums(self.block.data[x[0]:x[-1] + WINDOW]),
-                                                    x - x[0], x - x[0] + WINDOW)
-                                   for x in np.array_split(at, len(at) * 8 // _STEP + 1) if len(x)])
-            text, first = np.append(text, np.repeat(self.text[hot], n)), np.append(first, at)
+            of, at = _ranges(self.first[hot], self.size[hot])
+            sums = self._hashes(at, at, WINDOW)
+            text, first = np.append(text, self.text[hot][of]), np.append(first, at)
             size, gram = np.append(size, np.ones(len(at), size.dtype)), np.append(gram, sums)
-        keys, raw = self.order(gram).astype(">u8").tobytes(), self.block.bytes
-        found = [keys[k:k + KEY] + raw[a:b] for k, a, b in zip(
-            range(0, KEY * len(first), KEY), first.tolist(), (first + size + WINDOW - 1).tolist())]
-        distinct = sorted(set(found))
-        number = {s: i for i, s in enumerate(distinct)}
-        return distinct, np.fromiter(map(number.__getitem__, found), np.int64, len(found)), text, first
+        key, length = self.order(gram), size + WINDOW - 1
+        by, new = sorted_suffixes(key, self.padded, first, length)
+        entry = np.empty(len(by), np.int64)
+        entry[by] = np.cumsum(new) - 1
+        some = by[new]
+        return key[some], first[some], length[some], entry, text, first
+
+    def chars(self, key: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Key and bytes of suffixes, a row each; what follows a suffix in its row is not defined."""
+        out = np.empty((len(key), KEY + int(length.max())), np.uint8)
+        out[:, :KEY] = key.astype(">u8").view(np.uint8).reshape(-1, KEY)
+        out[:, KEY:] = np.lib.stride_tricks.sliding_window_view(self.padded, out.shape[1] - KEY)[first]
+        return out
+
+
+def sorted_suffixes(key: np.ndarray, data: np.ndarray, first: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order by (key, bytes, length), and of every place in it whether it differs from the one before.
+
+    Suffixes of one key are told apart by eight bytes at a time; only groups that differ there are
+    sorted anew. ``data`` goes on for eight bytes after the last suffix.
+    """
+    by = np.argsort(key, kind="stable")
+    new = np.ones(len(by), bool)
+    new[1:] = key[by[1:]] != key[by[:-1]]
+    words = np.ndarray(len(data) - 7, ">u8", data, 0, (1,))
+    tied, done, more = np.arange(len(by)), 0, True
+    while more:
+        group = np.cumsum(new[tied]) - 1
+        tied = tied[np.bincount(group, minlength=1)[group] > 1]
+        group = np.cumsum(new[tied]) - 1
+        size = length[by[tied]]
+        more = bool((size > done).any())
+        if more:
+            beyond = np.clip(done + 8 - size, 0, 7).astype(np.uint64) << np.uint64(3)
+            word = words[np.minimum(first[by[tied]] + done, len(words) - 1)].astype(np.uint64) >> beyond << beyond
+            word[size <= done] = 0
+        else:                                       # the bytes agree, up to zeros at an end
+            word = size.astype(np.uint64)
+        differs = (word[1:] != word[:-1]) & (group[1:] == group[:-1])
+        mixed = np.zeros(len(tied) + 1, bool)
+        mixed[group[1:][differs]] = True
+        again = np.flatnonzero(mixed[group])
+        order = again[np.lexsort((word[again], group[again]))]
+        by[tied[again]], word[again] = by[tied[order]], word[order]
+        new[tied[1:]] |= (word[1:] != word[:-1]) & (group[1:] == group[:-1])
+        done += 8
+    return by, new
 
 
 def _codes(block: Suffixes, rows: list[dict] | None) -> np.ndarray:
@@ -207,33 +257,48 @@ def front_coded(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, bytes]:
     """Sorted strings of up to 255 bytes -> common prefix with the one before, length, and the bytes after the prefix."""
     length = np.fromiter(map(len, strings), np.int64, len(strings))
     width = int(length.max())
-    chars = np.array(strings, f"S{width}").view(np.uint8).reshape(-1, width)
-    same = np.logical_and.accumulate(chars[1:] == chars[:-1], axis=1).sum(1)
+    return front_coded_rows(np.array(strings, f"S{width}").view(np.uint8).reshape(-1, width), length)
+
+
+def front_coded_rows(chars: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, bytes]:
+    """The same of strings that are the first ``length`` bytes of rows."""
+    differ = chars[1:] != chars[:-1]
+    same = np.where(differ.any(1), differ.argmax(1), chars.shape[1])
     prefix = np.concatenate([[0], np.minimum(same, np.minimum(length[1:], length[:-1]))])
-    column = np.arange(width)
-    return prefix, length, chars[(column >= prefix[:, None]) & (column < length[:, None])].tobytes()
+    column = np.arange(chars.shape[1], dtype=np.uint8)
+    return prefix, length, chars[(column >= prefix.astype(np.uint8)[:, None]) & (column < length.astype(np.uint8)[:, None])].tobytes()
 
 
 def front_decoded(prefix: list[int], length: list[int], tail: bytes) -> list[bytes]:
-    out, last, at = [], b"", 0
-    for p, n in zip(prefix, length):
-        last = last[:p] + tail[at:at + n - p]
-        at += n - p
-        out.append(last)
+    out = front_decoded_rows(np.array(prefix, np.int64), np.array(length, np.int64), tail, max(length, default=0))
+    return [row[:n].tobytes() for row, n in zip(out, length)]
+
+
+def front_decoded_rows(prefix: np.ndarray, length: np.ndarray, tail: bytes, width: int) -> np.ndarray:
+    """Strings as rows of ``width`` bytes, zeros after them; a prefix of 0 begins a run."""
+    column = np.arange(width, dtype=np.uint8)
+    out = np.zeros((len(prefix), width), np.uint8)
+    out[(column >= prefix.astype(np.uint8)[:, None]) & (column < length.astype(np.uint8)[:, None])] = np.frombuffer(tail, np.uint8)
+    for some, lo, hi in ((prefix > 0, 0, KEY), (prefix > KEY, KEY, width)):
+        some[:-1] |= some[1:]                           # and the strings before
+        some = np.flatnonzero(some)
+        known, nth = prefix[some], np.arange(len(some))
+        for c in range(lo, min(int(known.max(initial=0)), hi)):     # a byte of the prefix is that of the last string that sent it
+            out[some, c] = out[some[np.maximum.accumulate(np.where(known <= c, nth, 0))], c]
     return out
 
 
 def _send_runs(n_buckets: int):
     def run(block: Block, batch, row) -> list[dict]:
         own = Suffixes(block, n_buckets, batch, row)
-        strings, entry, text, _ = own.entries(_codes(own, batch.column("codes")[row].as_py()))
-        if not strings:
+        key, first, size, entry, text, _ = own.entries(_codes(own, batch.column("codes")[row].as_py()))
+        if not len(key):
             return []
-        least = np.full(len(strings), _NEVER)
+        least = np.full(len(key), _NEVER)
         np.minimum.at(least, entry, own.ids[text])
         out = []
-        for b, lo, hi in slices(_bucket_of(strings)):
-            prefix, length, tail = front_coded(strings[lo:hi])
+        for b, lo, hi in own.by_bucket(key):
+            prefix, length, tail = front_coded_rows(own.chars(key[lo:hi], first[lo:hi], size[lo:hi]), size[lo:hi] + KEY)
             out.append({"bucket": b, "block": block.number, "n": hi - lo,
                         "prefix": pa.compress(prefix.astype(np.uint8).tobytes(), "zstd", asbytes=True),
                         "length": pa.compress(length.astype(np.uint8).tobytes(), "zstd", asbytes=True),
@@ -243,11 +308,6 @@ def _send_runs(n_buckets: int):
     return over_blocks(run, RUNS)
 
 
-def _bucket_of(strings: list[bytes]) -> np.ndarray:
-    lead = np.frombuffer(b"".join([s[:KEY] for s in strings]), ">u8").astype(np.uint64)
-    return (lead >> np.uint64(40)).astype(np.int64)
-
-
 def _first_difference(a: bytes, b: bytes, known: int) -> int:
     """Length of the common prefix of two strings whose first ``known`` bytes agree."""
     n = min(len(a), len(b))
@@ -320,17 +380,142 @@ def merged(runs: list[list[bytes]], prefixes: list[list[int]]) -> Iterator[tuple
             node >>= 1
 
 
+def _common(words: np.ndarray, length: np.ndarray, a: np.ndarray, b: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Common prefixes of strings a and b whose first ``known`` bytes agree, and whether a is not after b."""
+    at = known >> 3
+    x, y = words[a, at], words[b, at]
+    same = np.flatnonzero(x == y)
+    while len(same):                                # mostly the first word decides
+        at[same] += 1
+        same = same[at[same] < words.shape[1]]
+        x[same], y[same] = words[a[same], at[same]], words[b[same], at[same]]
+        same = same[x[same] == y[same]]
+    m, n = length[a], length[b]
+    differ = x ^ y
+    differ &= ~(differ >> np.uint64(1))             # its highest bit stays the highest when it is rounded
+    bits = np.frexp(differ.astype(np.float64))[1]
+    return np.minimum((at << 3) + (64 - bits >> 3), np.minimum(m, n)), (x < y) | (x == y) & (m <= n)
+
+
+def merged_groups(words: np.ndarray, length: np.ndarray, prefix: np.ndarray, lo: np.ndarray,
+                  hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``merged`` for many groups at once: strings in order, group by group, and their common prefixes with the last one out.
+
+    Strings are rows of big-endian words, zeros after their end. Run r of group g is the strings
+    from ``lo[g, r]`` to ``hi[g, r]``; every group has a loser tree of its own, and all trees
+    put out a string, and play their matches of one level, together.
+    """
+    n = (hi - lo).sum(1)
+    start = np.cumsum(n) - n
+    out, common = np.empty(n.sum(), np.int64), np.empty(n.sum(), np.int64)
+    by = np.argsort(-n, kind="stable")              # trees that still hold strings stay the first ones
+    n, start = n[by], start[by]
+    depth = max(lo.shape[1] - 1, 0).bit_length()
+    k = 1 << depth
+    at, end = np.zeros((2, len(by), k), np.int64)
+    at[:, :lo.shape[1]], end[:, :lo.shape[1]] = lo[by], hi[by]
+    base = np.arange(len(by)) * k
+    known = np.where(at < end, 0, -1).ravel()
+    at, end = at.ravel(), end.ravel()
+    after = np.append(prefix, 0)
+
+    def play(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        p, q = known[a], known[b]
+        wins = p > q
+        even = np.flatnonzero((p == q) & (p >= 0))
+        if len(even):
+            x, y = a[even], b[even]
+            c, wins[even] = _common(words, length, at[x], at[y], p[even])
+            known[np.where(wins[even], y, x)] = c
+        return np.where(wins, a, b), np.where(wins, b, a)
+
+    losers = np.empty(len(by) * k, np.int64)
+    top = (base[:, None] + np.arange(k)).ravel()    # of a tree's node at this level
+    level = k
+    while level > 1:
+        level >>= 1
+        top, lost = play(top[::2], top[1::2])
+        losers[(base[:, None] + level + np.arange(level)).ravel()] = lost
+    for step in range(int(n.max(initial=0))):
+        m = int(np.searchsorted(-n, -step))         # trees with more than ``step`` strings
+        top = top[:m]
+        now = at[top]
+        out[start[:m] + step], common[start[:m] + step] = now, known[top]
+        now += 1
+        at[top], known[top] = now, np.where(now < end[top], after[now], -1)
+        node, tree = (top & k - 1) + k, base[:m]
+        for _ in range(depth):
+            node >>= 1
+            top, losers[tree + node] = play(top, losers[tree + node])
+    return out, common
+
+
+def merged_runs(words: np.ndarray, length: np.ndarray, prefix: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Strings of sorted runs, one run after another, in order, and their common prefixes with the one before.
+
+    The first words are merged as numbers; strings that share them, from several runs, are a
+    group, with a loser tree. Groups with about as many runs are merged together, but for the few
+    longest, whose trees would outlast the others.
+    """
+    by = np.argsort(words[:, 0], kind="stable")     # merges the runs as they are
+    out, common = by.copy(), prefix[by]
+    new = np.ones(len(by), bool)
+    new[1:] = words[by[1:], 0] != words[by[:-1], 0]
+    cut = new.copy()
+    cut[1:] |= run[by[1:]] != run[by[:-1]]
+    first, part = np.flatnonzero(new), np.flatnonzero(cut)
+    size, part_size = np.diff(np.append(first, len(by))), np.diff(np.append(part, len(by)))
+    part_of = (np.cumsum(new) - 1)[part]
+    runs = np.bincount(part_of)
+    part_0 = np.cumsum(runs) - runs
+    depth = np.frexp((runs - 1).astype(np.float64))[1]
+    for d in np.unique(depth[runs > 1]).tolist():
+        groups = np.flatnonzero(depth == d)
+        groups = groups[np.argsort(-size[groups], kind="stable")]
+        steps = _STEP_COST * d * size[groups]
+        few = int(np.argmin(np.append(steps, 0) + np.append(0, np.cumsum(size[groups]))))
+        for s in groups[:few].tolist():
+            at = slice(part_0[s], part_0[s] + runs[s])
+            lo, hi = by[part[at]], by[part[at]] + part_size[at]
+            strings = [[w.tobytes()[:m] for w, m in zip(words[a:b].astype(">u8"), length[a:b].tolist())] for a, b in zip(lo, hi)]
+            found = np.fromiter(merged(strings, [prefix[a:b].tolist() for a, b in zip(lo, hi)]), np.dtype((np.int64, 3)))
+            at = slice(first[s], first[s] + size[s])
+            out[at], common[at] = lo[found[:, 0]] + found[:, 1], found[:, 2]
+        for i in range(few, len(groups), max(1, _TREES >> d)):
+            some = groups[i:i + max(1, _TREES >> d)]
+            lo = np.zeros((len(some), 1 << d), np.int64)
+            hi = lo.copy()
+            slot, nth = _ranges(np.zeros(len(some), np.int64), runs[some])
+            mine = part_0[some][slot] + nth
+            lo[slot, nth] = by[part[mine]]
+            hi[slot, nth] = by[part[mine]] + part_size[mine]
+            slot, nth = _ranges(first[some], size[some])
+            out[nth], common[nth] = merged_groups(words, length, prefix, lo, hi)
+    common[:1] = 0
+    common[first[1:]] = _common(words, length, out[first[1:] - 1], out[first[1:]], np.zeros(len(first) - 1, np.int64))[0]
+    return out, common
+
+
+def _ranges(start: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers from every start on, ``n`` of them, one range after another: number of the range, number."""
+    of = np.repeat(np.arange(len(n)), n)
+    return of, np.arange(len(of)) - (np.cumsum(n) - n - start)[of]
+
+
 def _merge_bucket(bucket: int, rows: list[dict]) -> list[dict]:
-    prefixes = [list(pa.decompress(r["prefix"], r["n"], "zstd", asbytes=True)) for r in rows]
-    lengths = [list(pa.decompress(r["length"], r["n"], "zstd", asbytes=True)) for r in rows]
-    runs = [front_decoded(p, n, pa.decompress(r["tail"], r["tail_bytes"], "zstd", asbytes=True) if r["tail_bytes"] else b"")
-            for r, p, n in zip(rows, prefixes, lengths)]
-    order = np.fromiter(merged(runs, prefixes), np.dtype((np.int64, 3)))
-    start = np.cumsum([0, *(r["n"] for r in rows)])
-    slot = start[order[:, 0]] + order[:, 1]
+    prefix, length = (np.frombuffer(b"".join(pa.decompress(r[c], r["n"], "zstd", asbytes=True) for r in rows), np.uint8).astype(np.int64)
+                      for c in ("prefix", "length"))
+    count = np.array([r["n"] for r in rows])
+    start = np.cumsum(count) - count
+    width = (int(length.max()) >> 3) + 1 << 3       # at least a zero after every string
+    chars = front_decoded_rows(prefix, length, b"".join(
+        pa.decompress(r["tail"], r["tail_bytes"], "zstd", asbytes=True) if r["tail_bytes"] else b"" for r in rows), width)
+    words = chars.view(">u8").astype(np.uint64)
+    run_of = np.repeat(np.arange(len(rows)), count)
+    slot, common = merged_runs(words, length, prefix, run_of)
+    del words
     own = np.concatenate([decoded(r["least"], r["n"], np.int64) for r in rows])[slot]
-    length = np.concatenate([np.array(n) for n in lengths])[slot]
-    common = order[:, 2]
+    length = length[slot]
     new = np.ones(len(slot), bool)
     new[1:] = (common[1:] < length[1:]) | (length[1:] != length[:-1])
     gram = np.ones(len(slot), bool)
@@ -345,12 +530,12 @@ def _merge_bucket(bucket: int, rows: list[dict]) -> list[dict]:
     spans = [(plain, np.zeros(len(plain), np.int64), length[head[plain]] - KEY - WINDOW + 1, least[plain])]
     mixed = np.flatnonzero(several)
     begin = 0
-    while begin < len(mixed):                       # whole grams, some megabytes at a time
-        end = min(len(mixed), begin + 50_000)
+    while begin < len(mixed):                       # whole grams, a megabyte at a time
+        end = min(len(mixed), begin + 10_000)
         while end < len(mixed) and group[mixed[end]] == group[mixed[end - 1]]:
             end += 1
         some = mixed[begin:end]
-        spans.append(_by_window([runs[r][i] for r, i, _ in order[head[some]]], some, group[some], least[some]))
+        spans.append(_by_window(chars[slot[head[some]]], length[head[some]], some, group[some], least[some]))
         begin = end
     of, first, n, doc = map(np.concatenate, zip(*spans))
     by = np.argsort(of, kind="stable")
@@ -360,7 +545,8 @@ def _merge_bucket(bucket: int, rows: list[dict]) -> list[dict]:
     at = np.arange(len(entry)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + lo[entry]
     useful = doc[at] < own[entry]
     entry, at = entry[useful], at[useful]
-    run, number = order[entry, 0], order[entry, 1]
+    run = run_of[slot[entry]]
+    number = slot[entry] - start[run]
     by = np.lexsort((first[at], number, run))
     run, number, at = run[by], number[by], at[by]
     return [{"block": rows[r]["block"], "bucket": bucket, "n": b - a, "entry": encoded_sorted(number[a:b].astype(np.uint64)),
@@ -368,17 +554,16 @@ def _merge_bucket(bucket: int, rows: list[dict]) -> list[dict]:
             for r, a, b in slices(run)]
 
 
-def _by_window(strings: list[bytes], number: np.ndarray, group: np.ndarray, least: np.ndarray):
-    """Distinct suffixes -> runs of windows with their smallest doc_id, over all suffixes of a gram."""
-    data = np.frombuffer(b"".join(strings), np.uint8)
-    size = np.fromiter(map(len, strings), np.int64, len(strings))
-    start, n = np.cumsum(size) - size + KEY, size - KEY - WINDOW + 1
-    of = np.repeat(np.arange(len(strings)), n)
+def _by_window(chars: np.ndarray, size: np.ndarray, number: np.ndarray, group: np.ndarray, least: np.ndarray):
+    """Distinct suffixes, as rows -> runs of windows with their smallest doc_id, over all suffixes of a gram."""
+    data = chars.ravel()
+    start, n = np.arange(len(chars)) * chars.shape[1] + KEY, size - KEY - WINDOW + 1
+    of = np.repeat(np.arange(len(chars)), n)
     nth = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-    hasher = Hasher(51)
+    hasher = _hasher(51)
     at = start[of] + nth
     window = hasher.runs(hasher.sums(data), at, at + WINDOW)
-    by = np.lexsort((window, group[of]))
+    by = np.argsort(window, kind="stable")      # by gram within a hash
     w, g = window[by], group[of][by]
     new = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (g[1:] != g[:-1])]))
     smallest = np.empty(len(of), np.int64)
@@ -390,16 +575,16 @@ def _by_window(strings: list[bytes], number: np.ndarray, group: np.ndarray, leas
 def _remove(n_buckets: int, with_kept: bool):
     def run(block: Block, batch, row) -> list[dict]:
         own = Suffixes(block, n_buckets, batch, row)
-        strings, entry, text, first = own.entries(_codes(own, batch.column("codes")[row].as_py()))
+        keys, _, size, entry, text, first = own.entries(_codes(own, batch.column("codes")[row].as_py()))
         edge = np.zeros(len(block.data) + 1, np.int32)
-        if strings:
+        if len(keys):
             doc = own.ids[text]
-            least = np.full(len(strings), _NEVER)
+            least = np.full(len(keys), _NEVER)
             np.minimum.at(least, entry, doc)
-            windows = np.fromiter(map(len, strings), np.int64, len(strings)) - KEY - WINDOW + 1
-            base = {b: lo for b, lo, _ in slices(_bucket_of(strings))}
+            windows = size - WINDOW + 1
+            base = {b: lo for b, lo, _ in own.by_bucket(keys)}
             # what holds for all windows of an entry in this block, then what the buckets know better
-            of, at, n, known = [np.arange(len(strings))], [np.zeros(len(strings), np.int64)], [windows], [least]
+            of, at, n, known = [np.arange(len(keys))], [np.zeros(len(keys), np.int64)], [windows], [least]
             for r in batch.column("finds")[row].as_py() or ():
                 of.append(decoded_sorted(r["entry"], r["n"]).astype(np.int64) + base[r["bucket"]])
                 span = decoded(r["windows"], r["n"], np.int64)
@@ -417,7 +602,7 @@ def _remove(n_buckets: int, with_kept: bool):
             begin = first[found] + at[which]
             np.add.at(edge, begin, 1)
             np.add.at(edge, begin + n[which] + WINDOW - 1, -1)
-        gone = np.cumsum(edge[:-1]) > 0
+        gone = np.cumsum(edge[:-1], dtype=np.int32) > 0
         out = []
         for i, key in enumerate(block.ids.to_pylist()):
             a, b = int(block.off[i]), int(block.off[i + 1])

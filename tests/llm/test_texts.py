@@ -4,10 +4,12 @@ import hashlib
 import random
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sensorlake.llm import decontam, kneser, language, mixing, pii, sharding, simhash, suffixes
+from sensorlake.llm import decontam, kneser, language, mixing, packed, pii, sharding, simhash, suffixes
 from tests.llm import brute
 from tests.llm.conftest import ODD, SF, plain
 
@@ -54,6 +56,61 @@ def test_front_coding_round_trip():
     assert suffixes.front_decoded(prefix.tolist(), length.tolist(), tail) == strings
 
 
+def test_sorted_suffixes_and_merged_runs_against_plain_sorting(monkeypatch):
+    rnd = random.Random(5)
+    for trial in range(60):
+        letters = rnd.choice([b"ab", b"\0a", bytes(range(256))])
+        monkeypatch.setattr(suffixes, "_STEP_COST", rnd.choice([0, 1, 100]))
+        monkeypatch.setattr(suffixes, "_TREES", rnd.choice([1, 8, 1 << 16]))
+        runs = [sorted({bytes(rnd.choices(letters[:2], k=rnd.choice([3, 8]))) + bytes(rnd.choices(letters, k=rnd.randint(0, 20)))
+                        for _ in range(rnd.randint(1, 60))}) for _ in range(rnd.randint(1, 9))]
+        prefix, length, tail = zip(*map(suffixes.front_coded, runs))
+        prefix, length, strings = np.concatenate(prefix), np.concatenate(length), [s for r in runs for s in r]
+        chars = suffixes.front_decoded_rows(prefix, length, b"".join(tail), int(length.max()) // 8 * 8 + 8)
+        assert [row[:n].tobytes() for row, n in zip(chars, length)] == strings
+        order, common = suffixes.merged_runs(chars.view(">u8").astype(np.uint64), length, prefix,
+                                             np.repeat(np.arange(len(runs)), list(map(len, runs))))
+        assert sorted(order.tolist()) == list(range(len(strings)))
+        out = [strings[i] for i in order]
+        assert out == sorted(strings)
+        for n, a, b in zip(common[1:], out, out[1:]):
+            assert n == next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+        data = np.frombuffer(bytes(rnd.choices(letters[:2], k=400)) + bytes(8), np.uint8)
+        first, size, key = np.array([(rnd.randint(0, 380), rnd.randint(1, 20), rnd.randint(0, 3)) for _ in range(rnd.randint(1, 200))]).T
+        by, new = suffixes.sorted_suffixes(key.astype(np.uint64), data, first, size)
+        found = [(int(key[i]), data[first[i]:first[i] + size[i]].tobytes()) for i in by]
+        assert found == sorted(found)
+        assert new.tolist() == [True] + [a != b for a, b in zip(found, found[1:])]
+
+
+def test_a_bucket_compares_suffixes_with_those_of_their_gram_only(monkeypatch):
+    """64 runs of one bucket; every gram stands in two of them, with different bytes around one common window."""
+    calls, plain_one = [], suffixes._first_difference
+    monkeypatch.setattr(suffixes, "_first_difference", lambda *a: calls.append(1) or plain_one(*a))
+    rnd, runs = random.Random(6), [[] for _ in range(64)]
+    windows = {}
+    for g in range(3200):
+        key, window = (7 << 40 | rnd.getrandbits(40)).to_bytes(8, "big"), rnd.randbytes(suffixes.WINDOW)
+        for doc, r in enumerate(rnd.sample(range(64), 2)):
+            before = rnd.randint(0, 5)
+            runs[r].append((key + b"01"[doc:doc + 1] * before + window + b"23"[doc:doc + 1] * rnd.randint(0, 5), doc))
+            windows[r, runs[r][-1][0]] = before, doc
+    rows = []
+    for number, run in enumerate(map(sorted, runs)):
+        prefix, length, tail = suffixes.front_coded([s for s, _ in run])
+        small = {c: pa.compress(v.astype(np.uint8).tobytes(), "zstd", asbytes=True) for c, v in (("prefix", prefix), ("length", length))}
+        rows.append({"bucket": 7, "block": number, "n": len(run), **small, "tail": pa.compress(tail, "zstd", asbytes=True),
+                     "tail_bytes": len(tail), "least": packed.encoded(np.array([doc for _, doc in run]))})
+        runs[number] = run
+    found = set()
+    for r in suffixes._merge_bucket(7, rows):
+        for i, span, least in zip(packed.decoded_sorted(r["entry"], r["n"]), packed.decoded(r["windows"], r["n"], np.int64),
+                                  packed.decoded(r["least"], r["n"], np.int64)):
+            found.add((r["block"], runs[r["block"]][int(i)][0], int(span) >> 8, int(span) & 255, int(least)))
+    assert found == {(r, s, before, 1, 0) for (r, s), (before, doc) in windows.items() if doc}
+    assert len(calls) < 6400            # 64 runs in one tree: about six a suffix
+
+
 def test_simhash_on_documents(spark, tables):
     got = simhash.op3_simhash(spark, SF).collect()
     assert plain(map(list, got)) == plain(map(list, brute.simhash(pairs(tables("documents")))))
