@@ -278,7 +278,12 @@ def front_decoded_rows(prefix: np.ndarray, length: np.ndarray, tail: bytes, widt
     """Strings as rows of ``width`` bytes, zeros after them; a prefix of 0 begins a run."""
     column = np.arange(width, dtype=np.uint8)
     out = np.zeros((len(prefix), width), np.uint8)
-    out[(column >= prefix.astype(np.uint8)[:, None]) & (column < length.astype(np.uint8)[:, None])] = np.frombuffer(tail, np.uint8)
+    new, end = np.frombuffer(tail, np.uint8), np.cumsum(length - prefix)
+    for lo in range(0, len(out), _STEP):
+        some = slice(lo, lo + _STEP)
+        sent = column >= prefix[some].astype(np.uint8)[:, None]
+        sent &= column < length[some].astype(np.uint8)[:, None]
+        out[some][sent] = new[end[lo] - length[lo] + prefix[lo]:end[some][-1]]
     for some, lo, hi in ((prefix > 0, 0, KEY), (prefix > KEY, KEY, width)):
         some[:-1] |= some[1:]                           # and the strings before
         some = np.flatnonzero(some)
